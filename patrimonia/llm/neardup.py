@@ -5,8 +5,9 @@ j-th slot the rank j plus a fraction, so the ranks of an element are correlated
 has a lower variance than MinHash of the same length. A slot that round j filled can't be lowered by a later
 round, so a document stops as soon as all its slots are filled; the rounds run for a whole batch at once.
 
-Candidates: documents that agree on a band of slots. A bucket's members are compared with its smallest
-member, not with each other; what remains in another component after that is compared with the whole bucket.
+Candidates: documents that agree on a band of slots. A bucket's members are compared with its head, the member
+that agrees with most documents on most bands, and not with each other. Members that stay outside the head's
+component are then compared with the rest of the bucket, but for pairs whose bitmaps rule a link out.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from patrimonia.llm.store import save
 
 #: 28 bands of 5 slots lose a pair of similarity 0.85 with a chance of 1e-7.
 BANDS, ROWS = 28, 5
+#: Of 256 slot bits, a pair of similarity 0.85 differs in 19 on average (deviation 5), and in more than these with a chance near 1e-7.
+MOST_BITS = 45
+BITS = [f"bits{i}" for i in range(8)]
 _U = np.uint64
 
 
@@ -60,6 +64,19 @@ def superminhash(doc: np.ndarray, value: np.ndarray, n_docs: int, slots: int) ->
     return sig.reshape(n_docs, slots)
 
 
+def _slot_bits(sig: np.ndarray) -> np.ndarray:
+    """256 bits: two of each of 128 slots."""
+    wide = W.mix(sig[:, np.arange(128) % sig.shape[1]], 3) & _U(3)
+    return (wide.reshape(len(sig), 4, 32) << (np.arange(32, dtype=np.uint64) * _U(2))).sum(axis=2, dtype=np.uint64)
+
+
+def _parity(doc: np.ndarray, value: np.ndarray, n_docs: int) -> np.ndarray:
+    """256 bits: whether an odd number of the set's elements falls to each. Two sets differ in as many elements at least as bits."""
+    place = (W.mix(value, 5) >> _U(56)).astype(np.int64)
+    odd = (np.bincount(doc * 256 + place, minlength=n_docs * 256) & 1).astype(np.uint64)
+    return (odd.reshape(n_docs, 4, 64) << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+
+
 def _sketches(shingle: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     place = W.mix(np.arange(1, rows + 1, dtype=np.uint64), 7) | _U(1)
 
@@ -75,16 +92,14 @@ def _sketches(shingle: int, bands: int, rows: int) -> Callable[[Iterator[pa.Reco
                     np.add.at(total, doc, W.mix(value, 31 + seed))
                 sig = superminhash(doc, value, n, bands * rows)
                 key = W.mix((sig.reshape(n, bands, rows) * place).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * W._STEP)
-                # two bits of each of 128 slots: what differs in them bounds the similarity of two signatures
-                wide = W.mix(sig[:, np.arange(128) % (bands * rows)], 3) & _U(3)
-                bits = (wide.reshape(n, 4, 32) << (np.arange(32, dtype=np.uint64) * _U(2))).sum(axis=2, dtype=np.uint64)
+                bits = np.concatenate([_slot_bits(sig), _parity(doc, value, n)], axis=1)
                 yield pa.record_batch(
                     [
                         part.column(0), pa.array(count.astype(np.int64)), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel())),
-                        *(pa.array(np.ascontiguousarray(bits[:, i]).view(np.int64)) for i in range(4)),
+                        *(pa.array(np.ascontiguousarray(bits[:, i]).view(np.int64)) for i in range(8)),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bands", *(f"bits{i}" for i in range(4))],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "bands", *BITS],
                 )
 
     return run
@@ -135,41 +150,45 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
         raise ValueError("percent is 80 or more: the bands are laid out for such links")
     near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    form = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"bits{i} long" for i in range(4))
+    form = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"{x} long" for x in BITS)
     sketch = save(text.mapInArrow(_sketches(shingle, bands, rows), form), "sketches")
 
     # Equal sets are one class; its smallest document stands for it.
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = save(full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")), "classes")
-    bits = [f"bits{i}" for i in range(4)]
     reps = full.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    member = reps.select(F.explode(F.array_distinct("bands")).alias("key"), F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), *bits)
-    member = save(member, "buckets")
-    heads = member.groupBy("key").agg(F.min(F.struct("a", "n_a")).alias("head"), F.max("a").alias("last")).where("head.a < last")
-    heads = save(heads.select("key", F.col("head.a").alias("b"), F.col("head.n_a").alias("n_b")), "heads")
+    member = reps.select(F.explode(F.array_distinct("bands")).alias("key"), F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"))
+    sizes = save(member.groupBy("key").agg(F.count("*").alias("size"), F.min("a").alias("first"), F.max("a").alias("last")).where("first < last").select("key", "size"), "sizes")
+    member = save(member.join(sizes, "key"), "buckets")
+    weight = member.groupBy("a").agg(F.sum("size").alias("weight"))
+    member = save(member.drop("size").join(weight, "a"), "buckets")
+    head = F.max(F.struct("weight", (-F.col("a")).alias("less"), "n_a"))
+    heads = save(member.groupBy("key").agg(head.alias("head")).select("key", (-F.col("head.less")).alias("b"), F.col("head.n_a").alias("n_b")), "heads")
     pairs = save(member.join(heads, "key").where("a <> b").where(near).select("a", "b").distinct(), "pairs")
 
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
+    wanted = weight.select(F.col("a").alias("doc_id"))
     texts = save(text.where("doc_id is not null and text is not null").join(wanted, "doc_id", "left_semi").distinct(), "texts")
     links = save(_confirmed(pairs, texts, shingle, percent), "links")
     groups = save(components(links, "a", "b"), "groups")
 
-    # A bucket whose members are in several components: those outside its head's are compared with all the others.
-    placed = member.join(heads.select("key", F.col("b").alias("head")), "key")
-    placed = placed.join(groups.select(F.col("node").alias("a"), F.col("component").alias("comp_a")), "a", "left").withColumn("comp_a", F.coalesce("comp_a", "a"))
-    placed = placed.join(groups.select(F.col("node").alias("head"), F.col("component").alias("comp_head")), "head", "left").withColumn("comp_head", F.coalesce("comp_head", "head"))
-    placed = save(placed.drop("head"), "placed")
-    left = placed.where("comp_a <> comp_head").select("key", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("comp_a").alias("comp_b"), *(F.col(x).alias(f"{x}_b") for x in bits))
+    # A bucket whose members are in several components: those outside its head's are held against all the others.
+    placed = member.select("key", "a", "n_a").join(heads.select("key", F.col("b").alias("head")), "key")
+    for name in ("a", "head"):
+        own = groups.select(F.col("node").alias(name), F.col("component").alias(f"comp_{name}"))
+        placed = placed.join(own, name, "left").withColumn(f"comp_{name}", F.coalesce(f"comp_{name}", name))
+    placed = save(placed.select("key", "a", "n_a", "comp_a", (F.col("comp_a") != F.col("comp_head")).alias("out")), "placed")
+    open_ = save(placed.where("out").select("key").distinct(), "open")
+    rest = placed.join(open_, "key", "left_semi")
+    bits = full.select(F.col("doc_id").alias("a"), *BITS).join(rest.select("a").distinct(), "a", "left_semi").dropDuplicates(["a"])
+    rest = save(rest.join(bits, "a"), "rest")
+    left = rest.where("out").select("key", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("comp_a").alias("comp_b"), *(F.col(x).alias(f"{x}_b") for x in BITS))
     left = save(left, "left")
-    keys = left.select("key").distinct()
-    rest = placed.join(keys, "key", "left_semi")
-    # 64 of 256 bits: a pair of similarity 0.85 differs in 19 on average, and in so many with a chance below 1e-9
-    alike = " + ".join(f"bit_count({x} ^ {x}_b)" for x in bits) + " <= 64"
-    more = rest.join(left, "key").where("comp_a <> comp_b").where(near).where(alike)
-    more = save(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    differ = [" + ".join(f"bit_count({x} ^ {x}_b)" for x in part) for part in (BITS[:4], BITS[4:])]
+    more = rest.join(left, "key").where("comp_a <> comp_b").where(near).where(f"{differ[0]} <= {MOST_BITS}")
+    # of n_a + n_b elements that are counted twice if shared, a linked pair has this many in one set only at most
+    more = more.where(f"({differ[1]}) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
+    more = save(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     if not more.isEmpty():
-        wanted = more.select("a").union(more.select("b")).distinct().withColumnRenamed("a", "doc_id")
-        texts = save(text.where("doc_id is not null and text is not null").join(wanted, "doc_id", "left_semi").distinct(), "texts")
         links = links.union(_confirmed(more, texts, shingle, percent))
         groups = save(components(links, "a", "b"), "groups")
 
