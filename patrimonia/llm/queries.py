@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from patrimonia.llm.decontaminate import contaminated
+from patrimonia.llm.langid import predict_language
+from patrimonia.llm.maxscore import top_k
+from patrimonia.llm.mixing import mix
 from patrimonia.llm.neardup import near_duplicates
+from patrimonia.llm.sharding import shard_documents
+from patrimonia.llm.urlrules import judge_urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,9 +24,35 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return predict_language(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_read(spark, sf_dir, "embeddings"))
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_read(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op4_near_duplicates)}
+    """Each operator over its whole table."""
+    return {
+        f.__name__: f
+        for f in (op1_decontaminate, op3_language, op4_near_duplicates, op5_top_k, op6_url_rules, op7_sharding, op9_mixing)
+    }
