@@ -2,6 +2,40 @@
 
 from __future__ import annotations
 
+#: Words of letters, digits and non-ASCII characters, A-Z lower-cased; runs of five; shares of items' sets.
+_OP1 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+bs AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b WHERE len(w) >= 5)),
+n AS (SELECT item_id, count(*) AS n_item_shingles FROM bs GROUP BY item_id),
+ds AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+hit AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item_shingles, n_shared, n_shared / n_item_shingles AS containment
+FROM hit JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_item_shingles - 1e-9
+"""
+
+_OP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, v.v), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": _OP1, "op5_top_k": _OP5}

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from patrimonia.llm.decontaminate import contaminated
 from patrimonia.llm.langid import predict_language
+from patrimonia.llm.licenses import license_spans
+from patrimonia.llm.linedup import line_duplicates
 from patrimonia.llm.maxscore import top_k
 from patrimonia.llm.mixing import mix
 from patrimonia.llm.neardup import near_duplicates
+from patrimonia.llm.pii import personal_data
 from patrimonia.llm.sharding import shard_documents
 from patrimonia.llm.urlrules import judge_urls
 
@@ -24,6 +27,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_spans(_read(spark, sf_dir, "documents"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -46,13 +53,24 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_read(spark, sf_dir, "documents"))
 
 
+def op8_line_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each operator over its whole table."""
     return {
         f.__name__: f
-        for f in (op1_decontaminate, op3_language, op4_near_duplicates, op5_top_k, op6_url_rules, op7_sharding, op9_mixing)
-    }
+        for f in (
+            op1_decontaminate, op2_licenses, op3_language, op4_near_duplicates, op5_top_k,
+            op6_url_rules, op7_sharding, op8_line_duplicates, op9_mixing, op10_personal_data,
+        )
+    }
