@@ -24,13 +24,13 @@ FROM hit JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_item_shingles - 1e-9
 
 _OP5 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
   SELECT q.vec_id AS query_id, v.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, v.v), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.v, v.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
