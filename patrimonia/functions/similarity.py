@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from patrimonia.functions.text import _col, compact_norm, let, norm_text
 
@@ -42,7 +43,7 @@ def _plain_upper(text: str) -> str:
 PROVINCE_KEYS = {_plain_upper(p): p for p in PROVINCES} | OTHER_NAMES
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """2 * matched / total characters over the longest common blocks, found one after the other; 0 if either is empty.
 
