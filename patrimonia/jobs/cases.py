@@ -1,0 +1,121 @@
+"""Case queries: a function of a text that each order picks from a table of cases. The SQL gives the results that were worked out by hand."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from patrimonia.functions import amounts as A
+from patrimonia.functions import codes as C
+from patrimonia.functions import similarity as S
+from patrimonia.functions import text as T
+from patrimonia.jobs.driver import pick, read, sql_list
+
+Case = tuple[str | None, object]
+
+#: job: (function, result type in SQL, cases)
+CASES: dict[str, tuple[Callable[[Column], Column], str, tuple[Case, ...]]] = {
+    "parse_share": (
+        A.parse_share, "DOUBLE",
+        (("50%", 50.0), ("1/2", 50.0), ("33,33 %", 33.33), ("P", None), ("3/2", 150.0), ("1/0", 1.0), ("101", None), ("2/3", 66.67), (None, None), ("100", 100.0), ("-5", None)),
+    ),
+    "title_case_name": (
+        T.title_case_name, "VARCHAR",
+        (("MARIA DE LA O", "Maria de la O"), ("pere i roig", "Pere i Roig"), ("Ana mixta", "Ana mixta"), (None, ""), ("  LUIS   DEL RIO ", "Luis del Rio"), ("123", "123"), ("ÀNGELA", "Àngela")),
+    ),
+    "clean_ocr_edges": (
+        T.clean_ocr_edges, "VARCHAR",
+        (("PERUGA po", "PERUGA"), ("| Casa _", "Casa"), ("(MADRID", "MADRID"), ("a  b", "a b"), (None, None), ("VALOR  -- ;", "VALOR"), ("", "")),
+    ),
+    "clean_income_cell": (
+        T.clean_income_cell, "VARCHAR",
+        (("(cid:12)Sueldo+", "Sueldo"), ("Renta ++", "Renta"), (" Otros ", "Otros"), ("a+b", "a+b"), (None, None)),
+    ),
+    "has_word": (
+        T.has_word, "BOOLEAN",
+        (("Coche", True), ("aaa", False), ("xyz", False), ("a b c", False), (None, False), ("Ñandú 3", True), ("12345", False), ("eeea", False), ("ll la casa", True)),
+    ),
+    "code_right": (
+        lambda c: C.code_right(c, ocr=F.lit(True)), "VARCHAR",
+        (("Pleno dominio", "P"), ("NUDA PROPIEDAD", "P"), ("nua", "N"), ("Multipropiedad", "M"), ("Usufructo 50", "U"), ("u", "U"), ("F", "P"), ("xx", None), (None, None), ("D.", "P"), ("casa grande", None)),
+    ),
+    "code_type": (
+        lambda c: C.code_type(c, ocr=F.lit(True)), "VARCHAR",
+        (("Vivienda", "V"), ("PLAZA de garaje", "O"), ("Local", "L"), ("finca rústica", "R"), ("0", "O"), ("Y", "V"), ("K", "R"), ("Z", None), (None, None), ("solar", "O"), ("PIS", "V"), ("PISCINA", None)),
+    ),
+    "classify_asset": (
+        C.classify_asset, "VARCHAR",
+        (
+            ("Plan de pensiones en banco", "pensiones"), ("Compte corrent", "cuentas"), ("Bancal de naranjos", "cuentas"), ("Participación en sociedad", "inversiones"), ("Seguro de vida", "seguros"),
+            ("Volkswagen Golf", "vehiculos"), ("Motor de riego", "vehiculos"), ("Cuadro", "otros"), (None, "otros"), ("Obra S.L.", "inversiones"), ("Slalom", "otros"),
+        ),
+    ),
+    "classify_liability": (
+        C.classify_liability, "VARCHAR",
+        (("Préstamo hipotecario", "hipoteca"), ("PRESXTAMO", "prestamo"), ("Pòlissa de crèdit", "prestamo"), ("Tarjeta VISA", "tarjeta"), ("Cuenta", "cuenta"), ("Deuda", "otros"), (None, "otros")),
+    ),
+    "parse_pub_date": (
+        lambda c: C.parse_pub_date(c), "DATE",
+        (("20240115", "2024-01-15"), ("19991231", "1999-12-31"), ("2024-01-15", None), ("20240230", None), (None, None), ("abc", None)),
+    ),
+    "classify_insertion": (
+        C.classify_insertion, "VARCHAR",
+        (("Modificaciones de las declaraciones", "modificacion"), ("Declaraciones finales de actividades", "final"), ("Declaración final", "final"), ("Declaraciones de bienes", "inicial"), ("La modificación", "inicial")),
+    ),
+    "decode_labels": (
+        lambda c: F.concat_ws("|", C.decode_label(c, C.TYPE_LABELS), C.decode_label(c, C.RIGHT_LABELS, F.lit("texto")), C.decode_label(c, C.KIND_LABELS)), "VARCHAR",
+        (("V", "Vivienda|texto|—"), ("P", "—|Pleno dominio|—"), ("final", "—|texto|Declaración final"), (None, "—|texto|—"), ("R", "Rústico|texto|—")),
+    ),
+}
+#: Cases that need the helper for ratios: resolved on distinct texts.
+PROVINCE_CASES: tuple[Case, ...] = (
+    ("CASTELLÓN", "Castellón"), ("Alacant", "Alicante"), ("VALÈNCIA", "Valencia"), ("ELCHE (ALICANTE)", "Alicante"), ("VALENCLA", "Valencia"), ("xx", None), (None, None),
+    ("Santa Cruz de Tenerife", "Santa Cruz de Tenerife"), ("Castellón de la Plana", "Castellón"), ("MALAGAA", "Málaga"), ("Las Palmas de G.C.", "Las Palmas"),
+)
+LABEL_CASES: tuple[Case, ...] = (
+    ("Descripcion", True), ("Coche", False), ("VALOR (EUROS)", True), ("Valor catastral del conjunt", True), (None, False), ("Clave", True), ("Cuenta corriente", False), ("Situacion provincia", True)
+)
+SIMILAR_CASES: tuple[tuple[str, str, float], ...] = (
+    ("Ñúñez", "nunez", 1.0), ("ABCD", "BCDE", 0.75), ("", "A", 0.0), ("Perez Lopez", "Lopez Perez", 0.5), ("tide", "diet", 0.25), ("diet", "tide", 0.5),
+)
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey"))
+
+
+def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    function, _, cases = CASES[name]
+    return lambda spark, sf_dir: _orders(spark, sf_dir).select("o_orderkey", function(pick(tuple(c[0] for c in cases), F.col("o_orderkey"))).alias("result"))
+
+
+def _sql(cases: tuple, kind: str) -> str:
+    return f"SELECT o_orderkey, CAST(({sql_list(tuple(c[-1] for c in cases))})[CAST(o_orderkey % {len(cases)} AS INTEGER) + 1] AS {kind}) AS result FROM orders"
+
+
+def resolve_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _orders(spark, sf_dir).withColumn("t", pick(tuple(c[0] for c in PROVINCE_CASES), F.col("o_orderkey")))
+    return S.resolve_province(df, "t", "result").select("o_orderkey", "result")
+
+
+def is_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _orders(spark, sf_dir).withColumn("t", pick(tuple(c[0] for c in LABEL_CASES), F.col("o_orderkey")))
+    return S.is_label(df, "t", "result").select("o_orderkey", "result")
+
+
+def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    df = _orders(spark, sf_dir).withColumns({"a": pick(tuple(c[0] for c in SIMILAR_CASES), key), "b": pick(tuple(c[1] for c in SIMILAR_CASES), key)})
+    told = df.select("a", "b").distinct().withColumn("result", S.similarity("a", "b"))
+    return df.join(told, ["a", "b"]).select("o_orderkey", "result")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _query(name) for name in CASES} | {f.__name__: f for f in (resolve_province, is_label, similarity)}
+
+
+def oracle_sql() -> dict[str, str]:
+    out = {name: _sql(cases, kind) for name, (_, kind, cases) in CASES.items()}
+    return out | {"resolve_province": _sql(PROVINCE_CASES, "VARCHAR"), "is_label": _sql(LABEL_CASES, "BOOLEAN"), "similarity": _sql(SIMILAR_CASES, "DOUBLE")}

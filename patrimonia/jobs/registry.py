@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from patrimonia.jobs import cases, text_queries
+
+_PARTS = (cases, text_queries)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {k: v for part in _PARTS for k, v in part.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for part in _PARTS for k, v in part.oracle_sql().items()}
