@@ -7,7 +7,7 @@ score for each bucket and language, which every task looks up for all subwords o
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,19 +75,21 @@ def _nll(logits: np.ndarray, y: np.ndarray, temperature: float) -> float:
     return float(-np.log(_softmax(logits / temperature)[np.arange(len(y)), y] + 1e-12).mean())
 
 
-def train(texts: list[str], labels: list[str], epochs: int = 6, rate: float = 0.5, seed: int = 11, lost: float = 0.001) -> Model | None:
-    """Fit on four fifths of the rows; the rest sets the temperature and the rejection, which loses a share ``lost`` of them at most."""
+def train(rows: Iterable[tuple[str, str]], epochs: int = 6, rate: float = 0.5, seed: int = 11, lost: float = 0.001) -> Model | None:
+    """Fit on four fifths of the (text, lang) rows; the rest sets the temperature and the rejection, which loses a share ``lost`` of them at most."""
+    features, labels = [], []
+    for text, lang in rows:
+        labels.append(lang)
+        raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+        _, bucket = subwords(raw, np.array([0, len(raw)]))
+        bucket, count = np.unique(bucket.astype(np.uint16), return_counts=True)
+        features.append((bucket, (count / max(1, count.sum())).astype(np.float32)))
     langs = sorted(set(labels))
     if not langs:
         return None
+    y = np.array([langs.index(x) for x in labels])
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(texts))
-    features, y = [], np.array([langs.index(x) for x in labels])
-    for text in texts:
-        raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        _, bucket = subwords(raw, np.array([0, len(raw)]))
-        bucket, count = np.unique(bucket, return_counts=True)
-        features.append((bucket, (count / max(1, count.sum())).astype(np.float32)))
+    order = rng.permutation(len(labels))
     held, used = (order[: len(order) // 5], order[len(order) // 5 :]) if len(order) >= 20 else (order, order)
     table = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     weight, bias = rng.normal(0, 0.1, (DIM, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32)
@@ -120,19 +122,19 @@ def fold_of_training(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2
 
 
-def sample(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> tuple[list[str], list[str]]:
-    """Texts and labels of at most about ``per_language`` rows of each language, chosen by a hash of doc_id."""
+def sample(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> Iterator[tuple[str, str]]:
+    """(text, lang) of at most about ``per_language`` rows of each language, chosen by a hash of doc_id."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & fold_of_training(F.col("doc_id")))
     counts = {x["lang"]: x["count"] for x in known.groupBy("lang").count().collect()}
     if not counts:
-        return [], []
+        return
     wanted = None
     for lang, n in sorted(counts.items()):
         limit = int(min(1.0, per_language / n) * 2**30)
         chosen = (F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < limit)
         wanted = chosen if wanted is None else wanted | chosen
-    rows = known.where(wanted).select("doc_id", "text", "lang").orderBy("doc_id", "text").collect()
-    return [x["text"] for x in rows], [x["lang"] for x in rows]
+    for x in known.where(wanted).select("doc_id", "text", "lang").orderBy("doc_id", "text").toLocalIterator():
+        yield x["text"], x["lang"]
 
 
 def _predict(model: Model | None, ids: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -170,7 +172,7 @@ def predict_language(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) ->
     With nothing to learn from, every row is ``und`` and rejected. All columns but those three are kept, and
     columns of those names are replaced. Rows with a null doc_id or lang are predicted like others.
     """
-    model = train(*sample(docs, per_language))
+    model = train(sample(docs, per_language))
     docs = docs.drop("lang_pred", "score", "rejected")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     text = docs.withColumn("text", F.col("text").cast("string")) if dict(docs.dtypes)["text"] != "string" else docs

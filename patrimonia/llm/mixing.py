@@ -21,8 +21,8 @@ from patrimonia.llm.store import save
 #: Labelled rows that the classifier is fitted on at most (about), by a hash of doc_id.
 FIT_ROWS = 8_000
 DOMAINS = ("good", "low", "toxic")
-#: Shares of the mixed corpus's tokens.
-TARGETS: Mapping[str, float] = {"good": 0.90, "low": 0.09, "toxic": 0.01}
+#: Shares of the mixed corpus's tokens; domains without one keep the tokens that they have.
+TARGETS: Mapping[str, float] = {"toxic": 0.01}
 FEATURES = 1 << 15
 
 
@@ -41,7 +41,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     Where a domain has no labelled document (or there are no labels) its posterior comes from what remains: with
     fewer than two domains seen, everything belongs to the one seen, or else to the first.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _words(F.col("text").cast("string")).alias("words"))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = text.select("doc_id", _words(F.col("text")).alias("words"))
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(domain_of(F.col("toxic"), F.col("quality"))).alias("label")).where("label is not null")
     total = known.count()
     few = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < int(min(1.0, fit_rows / max(1, total)) * 2**30)) if total > fit_rows else known
@@ -49,7 +50,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     if few.count() > 2 * fit_rows:
         raise ValueError("the labelled sample is larger than its bound")
     hashed = HashingTF(inputCol="words", outputCol="features", numFeatures=FEATURES, binary=True)
-    sample = save(own.join(F.broadcast(few), "doc_id").select("words", F.col("label").cast("double").alias("label")), "sample")
+    sample = text.join(F.broadcast(few), "doc_id").select(F.col("text"), F.col("label").cast("double").alias("label"))
+    sample = save(sample, "sample").select(_words(F.col("text")).alias("words"), "label")
     seen = sorted(int(x["label"]) for x in sample.select("label").distinct().collect())
     if len(seen) < 2:
         p = F.array(*(F.lit(1.0 if k == (seen or [0])[0] else 0.0) for k in range(len(DOMAINS))))
@@ -71,23 +73,38 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], rounds: int = 24
     p, n = [F.get("p", F.lit(i)) for i in range(k)], F.col("n_tokens").cast("double")
     first = members.agg(F.sum(n).alias("n"), *(F.sum(n * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)), *(F.sum(n * p[i]).alias(f"t{i}") for i in range(k))).first()
     total = float(first["n"] or 0)
-    weight = sum(targets.get(d, 0.0) for d in DOMAINS)
-    goal = np.array([targets.get(d, 0.0) / weight for d in DOMAINS]) * total
-    rate: Column = F.lit(1.0)
+    steps: list[list[float]] = []
     history: list[dict[str, float]] = []
     if total > 0:
         gram = np.array([[float(first[f"g{i}{j}"]) for j in range(k)] for i in range(k)])
         back = np.linalg.pinv(gram, rcond=1e-10)
         now = np.array([float(first[f"t{i}"]) for i in range(k)])
+        goal = _goal(targets, now)
         for _ in range(rounds):
             history.append(dict(zip(DOMAINS, now.tolist(), strict=True)))
             if np.abs(now - goal).max() <= tolerance * total:
                 break
-            step = back @ (now - goal)
-            rate = F.greatest(F.lit(0.0), rate - sum((p[i] * F.lit(float(step[i])) for i in range(k)), F.lit(0.0)))
-            sums = members.select(n.alias("n"), "p", rate.alias("r")).agg(*(F.sum(F.col("n") * p[i] * F.col("r")).alias(f"t{i}") for i in range(k))).first()
+            steps.append((back @ (now - goal)).tolist())
+            sums = members.select(n.alias("n"), "p", _rate(steps).alias("r")).agg(*(F.sum(F.col("n") * p[i] * F.col("r")).alias(f"t{i}") for i in range(k))).first()
             now = np.array([float(sums[f"t{i}"]) for i in range(k)])
-    return members.withColumn("rate", rate), history
+    return members.withColumn("rate", _rate(steps)), history
+
+
+def _goal(targets: Mapping[str, float], now: np.ndarray) -> np.ndarray:
+    """Token totals that the targets ask for. With a target for every domain they sum up to the corpus's."""
+    given = np.array([targets.get(d, np.nan) for d in DOMAINS])
+    open_ = np.isnan(given)
+    if not open_.any():
+        return given / given.sum() * now.sum()
+    return np.where(open_, now, np.nan_to_num(given) / max(1e-9, 1 - np.nansum(given)) * now[open_].sum())
+
+
+def _rate(steps: list[list[float]]) -> Column:
+    """The rate after projected steps from 1. The steps are one array literal, so that all rounds share one plan."""
+    if not steps:
+        return F.lit(1.0)
+    down = lambda step: F.aggregate(F.zip_with("p", step, lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+    return F.aggregate(F.lit(steps), F.lit(1.0), lambda r, step: F.greatest(F.lit(0.0), r - down(step)))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, fit_rows: int = FIT_ROWS, rounds: int = 24) -> DataFrame:
