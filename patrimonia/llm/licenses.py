@@ -129,12 +129,22 @@ class Index:
         order = np.argsort(value[place], kind="stable")
         self.value, self.place = value[place][order], place[order]
         self.owner = np.searchsorted(self.at, self.place, "right") - 1
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[(self.value >> np.uint64(48)).astype(np.int64)] = True
+
+    def least_hits(self, coverage: float) -> np.ndarray:
+        """Fingerprints of each template that must be met: a changed word spoils as many as a run has words at most."""
+        size = np.diff(self.at)
+        spoilt = self.gram * np.floor(np.round((1 - coverage) * size, 9)).astype(np.int64)
+        return np.maximum(1, np.bincount(self.owner, minlength=len(size)) - spoilt)
 
     def template(self, number: int) -> np.ndarray:
         return self.word[self.at[number] : self.at[number + 1]]
 
     def hits(self, value: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(template, template position, text position) for each shared fingerprint."""
+        seen = self.maybe[(value >> np.uint64(48)).astype(np.int64)]
+        value, position = value[seen], position[seen]
         low, high = np.searchsorted(self.value, value), np.searchsorted(self.value, value, "right")
         some = high > low
         if not some.any():
@@ -145,35 +155,39 @@ class Index:
 
 
 def _scan(index: Index, coverage: float, band: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    needed = index.least_hits(coverage)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw, at in W.chunks(batch):
                 word, start, end, first = W.words(raw, at, W.NON_ALNUM)
-                value = grams(word, first, index.gram)
-                position = winnow(value, first, index.window)
-                template, inside, where = index.hits(value[position], position)
+                template, inside, where = index.hits(grams(word, first, index.gram), np.arange(len(word)))
                 if not len(template):
                     continue
                 row = np.searchsorted(first, where, "right") - 1
                 # one candidate for hits of a template in a text whose diagonals lie within a band of each other
                 diagonal = where - inside
                 order = np.lexsort((diagonal, template, row))
-                row, template, diagonal, where = row[order], template[order], diagonal[order], where[order]
+                row, template, diagonal = row[order], template[order], diagonal[order]
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (template[1:] != template[:-1]) | (np.diff(diagonal) > band)
+                begin = np.flatnonzero(new)
+                many = np.diff(np.append(begin, len(row)))
                 found = []
-                for i in np.flatnonzero(new):
+                for i in begin[many >= needed[template[begin]]]:
                     own = index.template(template[i])
                     lo = max(first[row[i]], diagonal[i] - band)
                     hi = min(first[row[i] + 1], diagonal[i] + len(own) + band + 1)
+                    if np.isin(own, word[lo:hi]).sum() < coverage * len(own) - 1e-9:
+                        continue  # words that aren't there can't be aligned
                     head = np.zeros(max(0, lo - (diagonal[i] - band)), np.uint64)  # before the text's begin: no word
                     matched, a, b = align(own, np.concatenate([head, word[lo:hi]]), band)
                     if matched >= coverage * len(own) - 1e-9:
                         a, b = lo + max(0, a - len(head)), lo + b - len(head)
                         text = raw[at[row[i]] : at[row[i] + 1]]
                         chars = np.cumsum((text & 0xC0) != 0x80)
-                        begin, stop = start[a] - at[row[i]], end[b - 1] - at[row[i]]
-                        found.append((row[i], index.names[template[i]], matched, matched / len(own), int(chars[begin] - 1), int(chars[stop - 1])))
+                        head_at, stop = start[a] - at[row[i]], end[b - 1] - at[row[i]]
+                        found.append((row[i], index.names[template[i]], matched, matched / len(own), int(chars[head_at] - 1), int(chars[stop - 1])))
                 found = list({(x[0], x[1], x[4], x[5]): x for x in found}.values())
                 if found:
                     rows, names, matched, share, begin, stop = zip(*found, strict=True)
@@ -194,7 +208,9 @@ def license_spans(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cov
     several templates one for each. Null, empty and wordless texts give none; nor do rows with a null doc_id.
     Repeated rows give their passages each. Other columns play no part. Without templates the result is empty.
 
-    A run of GRAM + WINDOW - 1 words that text and template share always gives a shared fingerprint.
+    The index holds the templates' winnowed runs of GRAM words, one for each WINDOW at least; texts look all their
+    runs up. A template is a candidate where as many of its fingerprints are met, within a band of places, as remain
+    when the share of its words that coverage allows to miss is changed.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     index = Index({k: v for k, v in templates.items() if v and v.strip()})
