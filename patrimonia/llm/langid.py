@@ -122,19 +122,39 @@ def fold_of_training(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2
 
 
-def sample(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> Iterator[tuple[str, str]]:
-    """(text, lang) of at most about ``per_language`` rows of each language, chosen by a hash of doc_id."""
+def sample(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> DataFrame | None:
+    """(doc_id, text, lang) of at most about ``per_language`` rows of each language, chosen by a hash of doc_id."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & fold_of_training(F.col("doc_id")))
     counts = {x["lang"]: x["count"] for x in known.groupBy("lang").count().collect()}
     if not counts:
-        return
+        return None
     wanted = None
     for lang, n in sorted(counts.items()):
         limit = int(min(1.0, per_language / n) * 2**30)
         chosen = (F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < limit)
         wanted = chosen if wanted is None else wanted | chosen
-    for x in known.where(wanted).select("doc_id", "text", "lang").orderBy("doc_id", "text").toLocalIterator():
-        yield x["text"], x["lang"]
+    return known.where(wanted).select("doc_id", "text", "lang")
+
+
+def _fit(rows: pa.Table) -> pa.Table:
+    """The model of a bounded sample, as one row."""
+    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    model = train((t.as_py(), x.as_py()) for t, x in zip(rows.column("text"), rows.column("lang"), strict=True))
+    fields = {"langs": [model.langs], "scores": [model.scores.tobytes()], "bias": [model.bias.astype(np.float64).tolist()], "temperature": [float(model.temperature)], "reject_below": [model.reject_below]}
+    return pa.table(fields, pa.schema([("langs", pa.list_(pa.string())), ("scores", pa.binary()), ("bias", pa.list_(pa.float64())), ("temperature", pa.float64()), ("reject_below", pa.float64())]))
+
+
+def fit(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
+    """The model of a sample of ``docs``, trained in one task; the driver gets its scores only."""
+    chosen = sample(docs, per_language)
+    if chosen is None:
+        return None
+    form = "langs array<string>, scores binary, bias array<double>, temperature double, reject_below double"
+    row = chosen.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit, form).first()
+    if row is None:
+        return None
+    scores = np.frombuffer(row["scores"], np.float32).reshape(BUCKETS, len(row["langs"]))
+    return Model(list(row["langs"]), scores, np.array(row["bias"]), row["temperature"], row["reject_below"])
 
 
 def _predict(model: Model | None, ids: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -172,7 +192,7 @@ def predict_language(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) ->
     With nothing to learn from, every row is ``und`` and rejected. All columns but those three are kept, and
     columns of those names are replaced. Rows with a null doc_id or lang are predicted like others.
     """
-    model = train(sample(docs, per_language))
+    model = fit(docs, per_language)
     docs = docs.drop("lang_pred", "score", "rejected")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     text = docs.withColumn("text", F.col("text").cast("string")) if dict(docs.dtypes)["text"] != "string" else docs
