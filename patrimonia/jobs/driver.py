@@ -48,7 +48,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.select(
         key.alias("decl_id"), F.row_number().over(order).alias("pos"),
         F.when(F.col("l_returnflag") == "R", "inmuebles").when(F.col("l_returnflag") == "A", "otros_bienes").otherwise("pasivo").alias("table"),
-        pick(("P", "N", "M", "U"), supp).alias("clave"), pick(("V", "L", "R", "O", None), part).alias("tipo"), share.alias("porcentaje"),
+        pick(("P", "N", "M", "U"), supp).alias("clave"), pick(("V", "V", "V", "L", "R", "O", None), part).alias("tipo"), share.alias("porcentaje"),
         F.when(supp % 10 != 0, F.col("n_name")).alias("provincia"), value.alias("valor"), pick(DESCRIPTIONS, part).alias("descripcion"),
         F.lit("").alias("valor_txt"), F.array(F.lit("sin datos"), other).alias("alts"), number.alias("pagina"), (F.col("l_quantity") < 25).alias("dudoso"),
     )
@@ -58,7 +58,7 @@ ITEMS = f"""
 it AS (
   SELECT l_orderkey AS decl_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_shipdate) AS pos,
     CASE l_returnflag WHEN 'R' THEN 'inmuebles' WHEN 'A' THEN 'otros_bienes' ELSE 'pasivo' END AS tab,
-    {sql_pick(("P", "N", "M", "U"), "l_suppkey")} AS clave, {sql_pick(("V", "L", "R", "O", None), "l_partkey")} AS tipo,
+    {sql_pick(("P", "N", "M", "U"), "l_suppkey")} AS clave, {sql_pick(("V", "V", "V", "L", "R", "O", None), "l_partkey")} AS tipo,
     CASE WHEN l_orderkey % 2 = 0 THEN CASE WHEN l_linenumber % 2 = 0 THEN 100.0 ELSE 50.0 END WHEN l_linenumber % 3 <> 0 THEN 100.0 END::DOUBLE AS porcentaje,
     CASE WHEN l_suppkey % 10 <> 0 THEN n_name END AS provincia, CASE WHEN l_partkey % 29 <> 0 THEN l_extendedprice END AS valor,
     {sql_pick(DESCRIPTIONS, "l_partkey")} AS descripcion, l_linenumber AS pagina, l_quantity < 25 AS dudoso, l_partkey AS part

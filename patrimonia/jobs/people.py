@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from patrimonia.operators import declarations as D
 from patrimonia.operators import reconcile as R
 from patrimonia.operators import summary as S
+from patrimonia.operators.people import assemble_people
+from patrimonia.sources.store import save
 
 SECTIONS = (("inmuebles", "valor_catastral", "porcentaje", "total_catastral", "suma_inmuebles_cuadra"), ("otros_bienes", "valor", None, "total_otros_bienes", "suma_otros_cuadra"), ("pasivo", "valor", None, "total_pasivo", "suma_pasivo_cuadra"))
 
@@ -29,29 +31,31 @@ class Read:
 
 
 def check(read: Read) -> Read:
-    """Sums against totals, repairs from other readings, and what follows for doubts, legibility and totals."""
+    """Sums against totals, repairs from other readings, and what follows for doubts, legibility and totals.
+
+    The tables are written once: what is built on them reads each several times.
+    """
     declarations, tables = read.declarations, {}
     for name, value, share, total, flag in SECTIONS:
         totals = read.declarations.select("decl_id", F.col(total).alias("total"))
         items, flags = R.repair_with_alternatives(getattr(read, name), totals, value, share)
+        flags = save(flags, f"flags-{name}")
         tables[name] = R.clear_doubt(items, flags)
         declarations = declarations.join(flags.withColumnRenamed("cuadra", flag), "decl_id", "left")
     tables["pasivo"] = R.flag_misfiled_assets(tables["pasivo"])
-    out = Read(declarations, **tables)
-    declarations = R.flag_illegible(declarations, out.all_items())
-    return Read(R.flag_repeated_totals(declarations, tables["otros_bienes"], tables["pasivo"]), **tables)
+    tables = {name: save(items, name) for name, items in tables.items()}
+    declarations = R.flag_illegible(declarations, Read(declarations, **tables).all_items())
+    return Read(save(R.flag_repeated_totals(declarations, tables["otros_bienes"], tables["pasivo"]), "declarations"), **tables)
 
 
 def build(people: DataFrame, read: Read, income: DataFrame) -> DataFrame:
     """One row for each of ``people(id, en_activo, ...)``: summary, quality, role and history of its declarations."""
-    current = D.current_declaration(read.declarations)
+    current = save(D.current_declaration(read.declarations), "current")
     own = read.declarations.join(current.select("decl_id", "aviso"), "decl_id")
     rated = S.put_notice_first(S.quality_report(own, read.all_items()))
-    summed = S.summarize_people(rated, read.inmuebles, read.otros_bienes, read.pasivo)
+    summed = S.summarize_people(save(rated, "rated"), read.inmuebles, read.otros_bienes, read.pasivo)
     summed = summed.withColumns({"bocv": F.col("numero"), "fecha_declaracion": F.col("fecha_registro"), "url_declaracion": D.declaration_ref()["url"]})
     keep = [c for c in summed.columns if c not in ("person_id", "aviso", "bulletin_id", "pos")]
-    from patrimonia.operators.people import assemble_people
-
     out = assemble_people(people, current, summed.select(*keep), D.declaration_history(read.declarations))
     out = out.withColumns({
         "revisar": F.coalesce("revisar", F.lit(True)), "comprobado": F.coalesce("comprobado", F.lit(False)), "metodo_lectura": F.col("metodo"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from patrimonia.functions.similarity import length_bound, ratio
 from patrimonia.functions.text import compact_norm, norm_text, slug_id, title_case_name
+from patrimonia.sources.store import save
 
 MATCH, SURNAME_MATCH = 0.84, 0.92
 SURNAME_WEIGHT, NAME_WEIGHT = 0.75, 0.25
@@ -79,13 +80,13 @@ def match_people(declared: DataFrame, roster: DataFrame) -> DataFrame:
 
 def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, component) for ``nodes(node)`` and ``edges(a, b)``: the smallest node reached, by spreading minima with shortcuts."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    now = nodes.select("node", F.col("node").alias("component")).checkpoint()
+    both = save(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    now = save(nodes.select("node", F.col("node").alias("component")), "nodes")
     for _ in range(rounds):
         near = both.join(now.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         spread = now.join(near, "node", "left").select("node", F.col("component").alias("was"), F.least("component", F.coalesce("near", "component")).alias("component"))
         jump = spread.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        after = spread.join(jump, "component").select("node", "was", F.least("component", "up").alias("component")).checkpoint()
+        after = save(spread.join(jump, "component").select("node", "was", F.least("component", "up").alias("component")), "nodes")
         moved = after.where("was <> component").limit(1).count()
         now = after.select("node", "component")
         if not moved:
@@ -134,7 +135,7 @@ def resolve_unmatched(declarations: DataFrame) -> DataFrame:
     """
     kept = declarations.select("decl_id", "nombre", "apellidos", "sello", F.struct("ord", "decl_id").alias("_o"))
     stored = F.when(F.trim(F.coalesce("nombre", F.lit(""))) == "", NO_NAME).otherwise(F.col("nombre"))
-    both = keyed_names(keyed_names(kept.withColumn("_stored", stored), "nombre", "apellidos", "d"), "_stored", "apellidos", "r").checkpoint()
+    both = save(keyed_names(keyed_names(kept.withColumn("_stored", stored), "nombre", "apellidos", "d"), "_stored", "apellidos", "r"), "names")
     texts = [c for c in both.columns if c[:2] in ("d_", "r_")]
     names = both.select(*texts).distinct().withColumn("_key", F.xxhash64(*texts))
     right = names.select(F.col("_key").alias("_to"), *(c for c in texts if c[0] == "r"))
