@@ -75,9 +75,8 @@ def _contained(blocks: list[Sketches], threshold: float) -> Callable[[Iterator[p
                 found: list[tuple[int, int, int, int]] = []
                 for block in blocks:
                     row, value = W.shingles(word, first, block.k)
-                    if block.k < 5:  # a run of so few words must be a true run: a shorter document's whole text is none
-                        true_run = np.diff(first)[row] >= block.k
-                        row, value = row[true_run], value[true_run]
+                    run_of_k = np.diff(first)[row] >= block.k  # a shorter text's whole sequence is no run of k words
+                    row, value = row[run_of_k], value[run_of_k]  # and so rows stand in order
                     hits = block.hits(row, value)
                     if len(hits):
                         begin, end = np.searchsorted(row, hits[:, 0]), np.searchsorted(row, hits[:, 0], "right")

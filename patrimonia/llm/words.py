@@ -106,14 +106,14 @@ def shingles(word: np.ndarray, at: np.ndarray, k: int = 5) -> tuple[np.ndarray,
         inside = np.arange(len(value)) + k <= at[1:][row[: len(value)]]
         rows.append(row[: len(value)][inside])
         values.append(mix(value[inside], k))
-    short = np.flatnonzero((count > 0) & (count < k))
-    if len(short):
-        value = np.zeros(len(short), np.uint64)
-        for j in range(k - 1):
-            has = count[short] > j
-            value[has] += word[at[short[has]] + j] * _PLACE[j]
-        rows.append(short)
-        values.append(mix(value + count[short].astype(np.uint64), 101))
+    for size in range(1, k):  # hashed as a run of so many words is
+        short = np.flatnonzero(count == size)
+        if len(short):
+            value = np.zeros(len(short), np.uint64)
+            for j in range(size):
+                value += word[at[short] + j] * _PLACE[j]
+            rows.append(short)
+            values.append(mix(value, size))
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(rows), np.concatenate(values)
