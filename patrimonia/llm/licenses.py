@@ -154,8 +154,26 @@ class Index:
         return self.owner[at], self.place[at] - self.at[self.owner[at]], np.repeat(position, many)
 
 
+def _centres(row: np.ndarray, template: np.ndarray, diagonal: np.ndarray, needed: np.ndarray, bands: np.ndarray) -> list[int]:
+    """Hits, sorted by row, template and diagonal, around whose diagonal enough others lie: the fullest within each band."""
+    group = np.cumsum(np.concatenate([[0], (np.diff(row) != 0) | (np.diff(template) != 0)]))
+    place = group * (1 << 32) + diagonal
+    first = np.flatnonzero(np.concatenate([[True], np.diff(place) != 0]))
+    own = np.diff(np.append(first, len(place)))
+    reach = bands[template[first]]
+    near = np.searchsorted(place, place[first] + reach, "right") - np.searchsorted(place, place[first] - reach)
+    chosen: dict[int, list[int]] = {}
+    for k in sorted(np.flatnonzero(near >= needed[template[first]]), key=lambda k: (-own[k], k)):
+        i = first[k]
+        taken = chosen.setdefault(int(group[i]), [])
+        if all(abs(diagonal[i] - diagonal[j]) > reach[k] for j in taken):
+            taken.append(int(i))
+    return sorted(i for taken in chosen.values() for i in taken)
+
+
 def _scan(index: Index, coverage: float, band: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     needed = index.least_hits(coverage)
+    bands = np.maximum(1, np.minimum(band, np.diff(index.at) // 4))  # far below the distance of two places of a template
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,16 +183,11 @@ def _scan(index: Index, coverage: float, band: int) -> Callable[[Iterator[pa.Rec
                 if not len(template):
                     continue
                 row = np.searchsorted(first, where, "right") - 1
-                # one candidate for hits of a template in a text whose diagonals lie within a band of each other
-                diagonal = where - inside
-                order = np.lexsort((diagonal, template, row))
-                row, template, diagonal = row[order], template[order], diagonal[order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (template[1:] != template[:-1]) | (np.diff(diagonal) > band)
-                begin = np.flatnonzero(new)
-                many = np.diff(np.append(begin, len(row)))
+                order = np.lexsort((where - inside, template, row))
+                row, template, diagonal = row[order], template[order], (where - inside)[order]
                 found = []
-                for i in begin[many >= needed[template[begin]]]:
+                for i in _centres(row, template, diagonal, needed, bands):
+                    band = bands[template[i]]
                     own = index.template(template[i])
                     lo = max(first[row[i]], diagonal[i] - band)
                     hi = min(first[row[i] + 1], diagonal[i] + len(own) + band + 1)
