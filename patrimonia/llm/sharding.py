@@ -1,9 +1,9 @@
 """Shards of equal row counts that keep linked documents together: label propagation under capacity quotas.
 
 Documents of equal text are linked. In each round a group counts its members by shard and calls those outside
-its fullest shard there; each shard admits callers only as far as its capacity for linked documents goes, a
-call's share being the room left over all calls. Documents without links then fill every shard to its quota.
-DataFrame operations only; what reaches the driver is a count for each shard.
+its fullest shard there. Between two shards as many callers are admitted as move the other way, and beyond that
+as many as a shard's capacity for linked documents has room for. Documents without links then fill every shard
+to its quota. DataFrame operations only; what reaches the driver is a count for each pair of shards.
 """
 
 from __future__ import annotations
@@ -40,23 +40,18 @@ def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int) -> Dat
     for number in range(rounds):
         load = _counts(linked, shards)
         cells = linked.groupBy(*link, "shard").agg(F.count("*").alias("n"))
-        # a full shard calls nobody: the group turns to its fullest shard that has room
-        room = [max(0, capacity - x) for x in load]
-        eager = cells.withColumn("open", _at(room, F.col("shard")) > 0)
-        full = eager.groupBy(*link).agg(
-            F.max(F.when(F.col("open"), F.struct("n", (-F.col("shard")).alias("s")))).alias("to"),
-            F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("top"),
-        )
-        calls = save(
-            cells.join(full, link).select(*link, "shard", "n", (-F.col("to.s")).alias("to"), (-F.col("top.s")).alias("top")).where("to is not null and to <> shard and shard <> top"),
-            "calls",
-        )
-        called = {x["to"]: x["n"] for x in calls.groupBy("to").agg(F.sum("n").alias("n")).collect()}
+        tie = F.xxhash64(*link, "shard")
+        top = cells.groupBy(*link).agg(F.max(F.struct("n", tie.alias("tie"), "shard")).alias("top")).select(*link, F.col("top.shard").alias("to"))
+        calls = save(cells.join(top, link).where("to <> shard"), "calls")
+        called = {(x["shard"], x["to"]): x["n"] for x in calls.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
         if not called:
             drop(calls)
             break
-        admit = F.array(*(F.lit(min(1.0, room[s] / called[s]) if called.get(s) else 0.0) for s in range(shards)))
-        moves = calls.withColumn("part", F.floor(F.col("n") * admit[F.col("to")] + _share(*link, "shard", F.lit(number))) / F.col("n"))
+        room = [max(0, capacity - x) for x in load]
+        into = [max(1, sum(n for (_, t), n in called.items() if t == s)) for s in range(shards)]
+        admit = [min(1.0, (min(called[s, t], called.get((t, s), 0)) + room[t] * called[s, t] / into[t]) / called[s, t]) if (s, t) in called else 0.0 for s in range(shards) for t in range(shards)]
+        share = F.lit(admit)[F.col("shard") * shards + F.col("to")]
+        moves = calls.withColumn("part", F.floor(F.col("n") * share + _share(*link, "shard", F.lit(number))) / F.col("n"))
         after = linked.join(moves.where("part > 0").select(*link, "shard", "to", "part"), [*link, "shard"], "left")
         goes = F.col("to").isNotNull() & (_share("doc_id", "size", F.lit(number)) < F.col("part"))
         after = save(after.withColumn("shard", F.when(goes, F.col("to")).otherwise(F.col("shard"))).drop("to", "part"), "linked")
@@ -81,7 +76,7 @@ def numbered(df: DataFrame, first: Column, rows: int, window_rows: int = WINDOW_
     return ranked.withColumn("rank", (F.col("rank") + F.col("start")).cast("long")).drop("start", "window")
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 4) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, linked) for each row of ``docs(doc_id, text)``.
 
     law is ``rows``: shards hold row counts at most one apart. Slots run from 0 without gaps in each shard.
