@@ -30,20 +30,30 @@ def line_offsets(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.append(begin, len(raw)), np.searchsorted(begin, at)
 
 
-def line_sets(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, word) of all lines' distinct words, sorted, and the offsets of each row's lines."""
+def line_sets(raw: np.ndarray, at: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, word) of all lines' distinct words, by line, rarity and word, and the offsets of each row's lines."""
     lines, of_row = line_offsets(raw, at)
     word, _, _, first = W.words(raw, lines)
-    row = np.repeat(np.arange(len(lines) - 1), np.diff(first))
-    line, word = W.distinct(row, word)
-    return line, word, of_row
+    line = np.repeat(np.arange(len(lines) - 1), np.diff(first))
+    rank = np.zeros(len(word), np.uint64) if counts is None else counts[(word >> _U(64 - BUCKET_BITS)).astype(np.int64)]
+    key = (line.astype(np.uint64) << _U(42)) | (rank << _U(20)) | (word >> _U(44))
+    order = np.argsort(key)
+    near, full = key[order], word[order]
+    same = near[1:] == near[:-1]
+    if (same & (full[1:] != full[:-1])).any() or len(lines) > 1 << 22:  # words that the short key can't tell apart
+        order = np.lexsort((word, rank, line))
+        full = word[order]
+        row = line[order]
+        same = (row[1:] == row[:-1]) & (full[1:] == full[:-1])
+    keep = np.concatenate([[True], ~same])[: len(order)]
+    return line[order][keep], full[keep], of_row
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches:
         for _, raw, at in W.chunks(batch):
-            _, word, _ = line_sets(raw, at)
+            word, _, _, _ = W.words(raw, at)
             total += np.bincount((word >> _U(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
     parts = total.reshape(SLICES, -1)
     task = TaskContext.get().partitionId()
@@ -65,7 +75,7 @@ def _add(table: pa.Table) -> pa.Table:
 
 
 def word_counts(text: DataFrame) -> np.ndarray:
-    """Lines that hold a word, summed by the word's hash bucket, over all rows."""
+    """Occurrences of words, summed by the word's hash bucket, over all rows."""
     form = "slice int, batch int, bucket binary, n binary"
     counts = text.mapInArrow(_count, form).groupBy("slice", "batch").applyInArrow(_add, form).groupBy("slice").applyInArrow(_add, form)
     total = np.zeros((SLICES, (1 << BUCKET_BITS) // SLICES), np.int64)
@@ -75,29 +85,36 @@ def word_counts(text: DataFrame) -> np.ndarray:
 
 
 def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    counts = np.minimum(counts, 2**31 - 1).astype(np.int32)
+    counts = np.minimum(counts, 2**22 - 1).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            known: set[int] = set()
             for part, raw, at in W.chunks(batch):
-                line, word, of_row = line_sets(raw, at)
+                line, word, of_row = line_sets(raw, at, counts)
                 lines = int(of_row[-1])
                 size = np.bincount(line, minlength=lines)
                 name = np.zeros(lines, np.uint64)
                 np.add.at(name, line, W.mix(word, 41))
                 odd = np.bincount(line * 64 + (word & _U(63)).astype(np.int64), minlength=lines * 64) & 1
                 parity = (odd.astype(np.uint64).reshape(lines, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-                order = np.lexsort((word, counts[(word >> _U(64 - BUCKET_BITS)).astype(np.int64)], line))
+                cid = W.mix(name, 1).view(np.int64)
                 begin = np.concatenate([[0], np.cumsum(size)])
                 prefix = np.where(size > 0, size - -(-percent * size // 100) + 1, 0)
-                chosen = np.arange(len(order)) - np.repeat(begin[:-1], size) < np.repeat(prefix, size)
-                token = (word[order][chosen] & _U(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                fresh = np.zeros(lines, bool)  # a batch gives a set's prefix once
+                for i in np.unique(cid, return_index=True)[1]:
+                    if cid[i] not in known:
+                        known.add(int(cid[i]))
+                        fresh[i] = True
+                prefix[~fresh] = 0
+                chosen = np.arange(len(word)) - np.repeat(begin[:-1], size) < np.repeat(prefix, size)
+                token = (word[chosen] & _U(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
                 row = np.repeat(np.arange(part.num_rows), np.diff(of_row))
                 number = np.arange(lines) - of_row[row]
                 full = np.flatnonzero(size)
                 held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(prefix[full])]).astype(np.int32)), pa.array(token))
                 yield pa.record_batch(
-                    [part.column(0).take(pa.array(row[full])), pa.array(number[full].astype(np.int32)), pa.array(W.mix(name, 1)[full].view(np.int64)), pa.array(size[full].astype(np.int32)), pa.array(parity[full].view(np.int64)), held],
+                    [part.column(0).take(pa.array(row[full])), pa.array(number[full].astype(np.int32)), pa.array(cid[full]), pa.array(size[full].astype(np.int32)), pa.array(parity[full].view(np.int64)), held],
                     ["doc_id", "line_no", "cid", "n", "parity", "prefix"],
                 )
 
@@ -122,14 +139,13 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(occurrences, classes, links) of the lines of ``text(doc_id, text)``.
 
-    occurrences(doc_id, line_no, cid): lines with a word. classes(cid, first, n): a class is a set of words, and first
+    occurrences(doc_id, line_no, cid): lines with a word. classes(cid, first): a class is a set of words, and first
     its first place as struct(doc_id, line_no). links(a, b): pairs of classes of similarity percent / 100 or more.
     """
     occurrences = save(text.mapInArrow(_occurrences(word_counts(text), percent), "doc_id long, line_no int, cid long, n int, parity long, prefix array<int>"), "occurrences")
-    classes = occurrences.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
-    classes = save(classes, "classes")
+    classes = save(occurrences.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "classes")
     left, right = (
-        classes.select(F.posexplode("prefix").alias(f"at_{x}", "token"), F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab"
+        occurrences.select(F.posexplode("prefix").alias(f"at_{x}", "token"), F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab"
     )
     whole = f"(n_a + n_b) * {percent}"
     pairs = left.join(right, "token").where("n_a < n_b or (n_a = n_b and a < b)").where(f"100 * n_a >= {percent} * n_b")
@@ -143,7 +159,7 @@ def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFr
     both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("words").alias("words_a")), "a").join(sets.select(F.col("cid").alias("b"), F.col("words").alias("words_b")), "b")
     shared = F.size(F.array_intersect("words_a", "words_b"))
     links = both.where(shared * 100 >= (F.size("words_a") + F.size("words_b") - shared) * percent).select("a", "b")
-    return occurrences.select("doc_id", "line_no", "cid"), classes.select("cid", "first"), save(links, "links")
+    return occurrences.select("doc_id", "line_no", "cid"), classes, save(links, "links")
 
 
 def line_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
