@@ -37,5 +37,46 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+#: Full shingle sets, all pairs that share a shingle, and the smallest document that links reach.
+_OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT d.doc_id, count(s.s) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+SELECT doc_id, n.n AS n_shingles, min(reached) AS component_id, min(reached) = doc_id AS kept FROM r JOIN n USING (doc_id) GROUP BY doc_id, n.n
+"""
+
+
+#: Distinct word sets of lines, pairs that share one of their rarest words, exact Jaccard, and lines with an earlier one alike.
+_OP8 = r"""
+WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+y AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, ls FROM x),
+o AS (
+  SELECT doc_id, i - 1 AS line_no, list_sort(list_distinct(regexp_extract_all(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w FROM y),
+p AS (SELECT *, array_to_string(w, ' ') AS cid FROM o WHERE len(w) > 0),
+k AS (SELECT cid, any_value(w) AS w, any_value(len(w)) AS n, min((doc_id, line_no)) AS first FROM p GROUP BY cid),
+t AS (SELECT cid, n, unnest(w) AS word FROM k),
+f AS (SELECT word, count(*) AS f FROM t GROUP BY word),
+q AS (SELECT cid, n, word FROM t JOIN f USING (word) QUALIFY row_number() OVER (PARTITION BY cid ORDER BY f, word) <= n - (80 * n + 99) // 100 + 1),
+c AS (SELECT DISTINCT a.cid AS a, b.cid AS b FROM q a JOIN q b ON a.word = b.word AND a.cid < b.cid AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+l AS (
+  SELECT a, b, u.first AS fa, v.first AS fb FROM c JOIN k u ON u.cid = a JOIN k v ON v.cid = b
+  WHERE 100 * len(list_intersect(u.w, v.w)) >= 80 * (u.n + v.n - len(list_intersect(u.w, v.w)))),
+e AS (SELECT a AS cid, fb < fa AS earlier FROM l UNION ALL SELECT b, fa < fb FROM l),
+m AS (SELECT cid, count(*) AS links, bool_or(earlier) AS later FROM e GROUP BY cid),
+g AS (
+  SELECT p.doc_id, p.line_no, coalesce(m.links, 0) AS links, coalesce(m.later, FALSE) OR (p.doc_id, p.line_no) <> k.first AS gone FROM p JOIN k USING (cid) LEFT JOIN m USING (cid))
+SELECT d.doc_id, count(g.line_no) AS n_lines, CAST(coalesce(sum(links), 0) AS BIGINT) AS n_links, coalesce(string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) FILTER (gone), '') AS removed
+FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) d LEFT JOIN g USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _OP1, "op5_top_k": _OP5}
+    return {"op1_decontaminate": _OP1, "op4_near_duplicates": _OP4, "op5_top_k": _OP5, "op8_line_duplicates": _OP8}

@@ -54,7 +54,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_duplicates(_read(spark, sf_dir, "documents"))
+    return line_duplicates(_read(spark, sf_dir, "documents")).withColumn("removed", F.array_join("removed", ","))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
