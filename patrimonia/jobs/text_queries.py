@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from patrimonia.jobs.driver import DECLARATIONS, FORENAMES, ROSTER, SURNAMES, de
 from patrimonia.operators import layout as L
 from patrimonia.operators import sequence as Q
 from patrimonia.sources import tables as IO
+from patrimonia.sources.store import shared_folder
 
 NORM = f"trim(regexp_replace(regexp_replace(upper(replace(translate(regexp_replace(coalesce({{}}, ''), '\\p{{{{Mn}}}}+', '', 'g'), '{T.ACCENTED}', '{T.PLAIN}'), 'ß', 'SS')), '[^A-Z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
 
@@ -186,7 +188,7 @@ WITH {ROSTER} SELECT md5(CAST(id AS VARCHAR)) AS id, 'persona-' || id AS slug, n
 """
 
 
-def parse_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correction files made of customers, each with a help text and a full or person-only entry for every order status."""
     name = F.concat(F.lit("Persona "), F.col("c_custkey").cast("string"))
     person = F.struct(F.struct(name.alias("nombre")).alias("persona"), F.lit("solo nombre").alias("motivo"))
@@ -207,6 +209,36 @@ SELECT 'S' || c_custkey AS seal, CASE WHEN c_custkey % 2 = 1 THEN 'solo nombre'
 """
 
 
+def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page files of each user, a page for each event, written and read again."""
+    e = read(spark, sf_dir, "events")
+    page = F.to_json(F.struct(F.col("event_id").cast("int").alias("num"), F.lit(842.0).alias("alto"), F.when(F.col("event_id") % 3 == 0, "ocr").otherwise("texto").alias("metodo"), F.array(F.struct(F.col("event_type").alias("t"), F.col("value").alias("x0"))).alias("palabras")))
+    files = e.groupBy(F.concat(F.lit("B"), F.col("user_id").cast("string")).alias("bulletin_id")).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(page), ",\n"), F.lit("]")).alias("value"))
+    path = f"{shared_folder(spark)}/tables/pages-{uuid.uuid4().hex}"
+    files.write.partitionBy("bulletin_id").text(path)
+    return IO.read_pages(spark, path).select("bulletin_id", "num", "metodo", F.get("palabras.t", F.lit(0)).alias("t"), F.get("palabras.x0", F.lit(0)).alias("x0"))
+
+
+READ_PAGES = "SELECT 'B' || user_id AS bulletin_id, CAST(event_id AS INTEGER) AS num, CASE WHEN event_id % 3 = 0 THEN 'ocr' ELSE 'texto' END AS metodo, event_type AS t, value AS x0 FROM events"
+
+
+def read_insertions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search results of twenty files in ISO-8859-15, with tabs and line ends in their titles, written and read again."""
+    key = F.col("o_orderkey")
+    title = F.concat(F.lit("<HTML>"), F.regexp_replace(pick(TITLES, key), " y ", "\ty\r\n"), F.lit(" en ¤</HTML>"))
+    one = F.struct(key.cast("string").alias("id_bocv"), (key % 97).cast("string").alias("numero_bocv"), title.alias("titulo"), F.date_format("o_orderdate", "yyyyMMdd").alias("fecha_publicacion"))
+    files = read(spark, sf_dir, "orders").groupBy((key % 20).alias("part")).agg(F.struct(F.collect_list(one).alias("inserciones")).alias("dades"))
+    path = f"{shared_folder(spark)}/tables/insertions-{uuid.uuid4().hex}"
+    files.write.partitionBy("part").option("encoding", "ISO-8859-1").json(path)
+    return IO.read_insertions(spark, path).drop("pos")
+
+
+READ_INSERTIONS = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS id_bocv, CAST(o_orderkey % 97 AS INTEGER) AS numero, CAST(o_orderdate AS DATE) AS fecha, replace({sql_pick(TITLES, "o_orderkey")}, ' y ', ' y ') || ' en €' AS titulo,
+  {sql_pick(("inicial", "inicial", "modificacion", "inicial", "final", "final"), "o_orderkey")} AS tipo FROM orders
+"""
+
+
 def title_start_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages as titles, looked for in the documents of the same tenth."""
     pages = read(spark, sf_dir, "documents").select((F.col("doc_id") % 10).alias("bulletin_id"), F.col("doc_id").cast("int").alias("num"), T.norm_text("text").alias("texto"))
@@ -245,7 +277,7 @@ FLAG_DISAGREEMENT = "SELECT l_partkey, count(*) FILTER (l_partkey % 4 IN (1, 2))
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         parse_amount, slug_id, extract_stamp, page_text, source_links, reading_status, filter_insertions, order_insertions, first_by_key, select_bulletins,
-        extract_links, extract_roster, parse_corrections, title_start_page, contains_join, flag_disagreement,
+        extract_links, extract_roster, read_corrections, read_pages, read_insertions, title_start_page, contains_join, flag_disagreement,
     )
     return {"strip_accents": _texts(T.strip_accents), "norm_text": _texts(T.norm_text), "fold_text": _texts(T.fold_text)} | {f.__name__: f for f in own}
 
@@ -257,6 +289,6 @@ def oracle_sql() -> dict[str, str]:
         "parse_amount": PARSE_AMOUNT, "slug_id": SLUG_ID, "extract_stamp": EXTRACT_STAMP, "page_text": PAGE_TEXT, "source_links": SOURCE_LINKS, "reading_status": READING_STATUS,
         "filter_insertions": FILTER_INSERTIONS, "order_insertions": ORDER_INSERTIONS, "first_by_key": "SELECT o_orderkey % 500 AS bulletin_id, min(o_orderkey) AS pos FROM orders GROUP BY 1",
         "select_bulletins": "SELECT doc_id AS bulletin_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
-        "extract_links": EXTRACT_LINKS, "extract_roster": EXTRACT_ROSTER, "parse_corrections": PARSE_CORRECTIONS, "title_start_page": TITLE_START_PAGE, "contains_join": CONTAINS_JOIN,
+        "extract_links": EXTRACT_LINKS, "extract_roster": EXTRACT_ROSTER, "read_corrections": PARSE_CORRECTIONS, "read_pages": READ_PAGES, "read_insertions": READ_INSERTIONS, "title_start_page": TITLE_START_PAGE, "contains_join": CONTAINS_JOIN,
         "flag_disagreement": FLAG_DISAGREEMENT,
     }

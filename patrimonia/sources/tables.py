@@ -28,9 +28,11 @@ EXPORT_COLUMNS = (
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Page layouts of bulletins: files of JSON arrays of pages, named after their bulletin."""
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[A-Za-z]+)*$", 1)
-    return spark.read.schema(PAGE).option("multiLine", True).json(path).withColumn("bulletin_id", name)
+    """Page layouts of bulletins: files of JSON arrays of pages, named after their bulletin or in a folder ``bulletin_id=...`` each."""
+    pages = spark.read.schema(PAGE).option("multiLine", True).json(path)
+    if "bulletin_id" in pages.columns:
+        return pages.withColumn("bulletin_id", F.col("bulletin_id").cast("string"))
+    return pages.withColumn("bulletin_id", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[A-Za-z]+)*$", 1))
 
 
 def read_insertions(spark: SparkSession, path: str) -> DataFrame:
