@@ -13,6 +13,8 @@ DESCRIPTIONS = (
 )
 FORENAMES = ("ANA", "LUIS", "MARIA DEL MAR", "Pere", "Núria", "JOSE I", "Eva", "Ramon", "Àngel", "SONIA")
 SURNAMES = ("GARCIA LOPEZ", "Puig i Ferrer", "DE LA TORRE", "Martí Roig", "SANZ", "Núñez Gil", "Ibáñez Soler", "VIDAL", "Mas Oltra")
+#: Second surnames: the hexadecimal digits of a hash as letters.
+HEX, LETTERS = "0123456789abcdef", "BCDFGLMNPRAEIOUS"
 DISTRICTS = ("Alicante", "Castellón", "Valencia", "")
 
 
@@ -25,6 +27,15 @@ def pick(values: tuple[str | None, ...], key: Column) -> Column:
     return F.element_at(F.array(*(F.lit(v).cast("string") for v in values)), (F.pmod(key, F.lit(len(values))) + 1).cast("int"))
 
 
+def invented(key: Column) -> Column:
+    """A surname of twelve letters that no other key has."""
+    return F.translate(F.substring(F.md5(key.cast("string").cast("binary")), 1, 12), HEX, LETTERS)
+
+
+def sql_invented(key: str) -> str:
+    return f"translate(substr(md5(CAST({key} AS VARCHAR)), 1, 12), '{HEX}', '{LETTERS}')"
+
+
 def sql_list(values: tuple[object, ...]) -> str:
     def one(v: object) -> str:  # noqa: ANN001
         return "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
@@ -140,14 +151,14 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People: a customer each."""
     key = F.col("c_custkey")
     return read(spark, sf_dir, "customer").select(
-        key.alias("id"), pick(FORENAMES, key).alias("nombre"), F.concat(pick(SURNAMES, key), F.lit(" "), key.cast("string")).alias("apellidos"), F.col("c_mktsegment").alias("grupo"),
+        key.alias("id"), pick(FORENAMES, key).alias("nombre"), F.concat(F.when(key % 50 < 9, pick(SURNAMES, key)).otherwise(invented(key + 1)), F.lit(" "), invented(key)).alias("apellidos"), F.col("c_mktsegment").alias("grupo"),
         pick(DISTRICTS, key).alias("circunscripcion"), (key % 3 != 0).alias("en_activo"), F.concat(F.lit("https://fichas.example/"), key.cast("string")).alias("url_ficha"), key.alias("roster_pos"),
     )
 
 
 ROSTER = f"""
 ro AS (
-  SELECT c_custkey AS id, {sql_pick(FORENAMES, "c_custkey")} AS nombre, {sql_pick(SURNAMES, "c_custkey")} || ' ' || c_custkey AS apellidos, c_mktsegment AS grupo,
+  SELECT c_custkey AS id, {sql_pick(FORENAMES, "c_custkey")} AS nombre, CASE WHEN c_custkey % 50 < 9 THEN {sql_pick(SURNAMES, "c_custkey")} ELSE {sql_invented("c_custkey + 1")} END || ' ' || {sql_invented("c_custkey")} AS apellidos, c_mktsegment AS grupo,
     {sql_pick(DISTRICTS, "c_custkey")} AS circunscripcion, c_custkey % 3 <> 0 AS en_activo, 'https://fichas.example/' || c_custkey AS url_ficha FROM customer)"""
 
 

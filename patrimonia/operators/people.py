@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patrimonia.functions.similarity import length_bound, ratio
@@ -19,12 +19,15 @@ SHORT_TOTAL = 6
 NO_NAME = "(nombre ilegible)"
 
 
-def _grams(c: Column | str) -> Column:
-    """The distinct pairs of neighbouring characters of a text; texts that may be in a short pair also get a shared key."""
-    text = F.col(c) if isinstance(c, str) else c
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(2)))
+def _pairs(text: Column) -> Column:
+    """The pairs of neighbouring characters of a text, in order."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(2)))
+
+
+def _grams(text: Column) -> Column:
+    """The distinct pairs of a text; texts that may be in a short pair also get a shared key."""
     short = F.when(F.length(text) < SHORT_TOTAL, F.array(F.lit("#"))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.length(text) > 0, F.array_distinct(F.concat(pairs, short)))
+    return F.concat(F.array_distinct(_pairs(text)), short)
 
 
 def keyed_names(df: DataFrame, name: str, surname: str, prefix: str) -> DataFrame:
@@ -33,18 +36,38 @@ def keyed_names(df: DataFrame, name: str, surname: str, prefix: str) -> DataFram
     return df.withColumns({f"{prefix}_all": compact_norm(full), f"{prefix}_sur": compact_norm(surname), f"{prefix}_nom": compact_norm(name), f"{prefix}_tokens": norm_text(name)})
 
 
+def _rarest(texts: DataFrame, counts: DataFrame, least: float) -> DataFrame:
+    """(id, gram) of ``texts(id, text, grams)``: as many of the rarest grams as must hold one that any accepted partner shares."""
+    # a partner of ratio ``least`` has least / (2 - least) of the characters at least, which bounds the pairs in common from below
+    shared = F.greatest(F.lit(1), F.ceil((1.5 * least - 1) * 2 / (2 - least) * F.length("text") - 1 - 1e-9) - F.col("again"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("n", "gram"))
+    rows = texts.select("id", F.explode("grams").alias("gram"), (F.size("grams") - shared + 1).alias("most")).join(counts, "gram")
+    return rows.withColumn("rank", rank).where("rank <= most").select("id", "gram")
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    """Distinct (left_id, right_id) that may reach MATCH: a shared pair of characters and lengths near enough, of full names or surnames.
+    """Distinct (left_id, right_id) that may reach MATCH, by full names or surnames: lengths near enough, and enough pairs of characters in common.
 
-    ``left`` and ``right`` come from ``keyed_names`` with the prefixes ``d`` and ``r``. No pair that would be accepted is lost.
+    ``left`` and ``right`` come from ``keyed_names`` with the prefixes ``d`` and ``r``. No pair that would be accepted is
+    lost: with T characters in both texts a ratio of t matches m >= t T / 2 of each, in T - 2 m + 1 blocks at most, and
+    so 3 m - T - 1 neighbouring pairs at least, repeats counted. Only the rarest pairs of each text that must hold a shared one are joined.
     """
     found = None
     for part, least in (("all", MATCH), ("sur", SURNAME_NEEDED)):
-        a = left.select(left_id, f"d_{part}", F.explode(_grams(f"d_{part}")).alias("gram"))
-        b = right.select(right_id, f"r_{part}", F.explode(_grams(f"r_{part}")).alias("gram"))
-        pairs = a.join(b, "gram").where(length_bound(F.col(f"d_{part}"), F.col(f"r_{part}"), least)).select(left_id, right_id)
+        sides = []
+        for df, key, side in ((left, left_id, "d"), (right, right_id, "r")):
+            own = df.select(F.col(key).alias("id"), F.col(f"{side}_{part}").alias("text")).where("text <> ''")
+            own = own.withColumns({"grams": _grams(F.col("text")), "again": F.length("text") - 1 - F.size(F.array_distinct(_pairs(F.col("text"))))})
+            sides.append(save(own, "grams"))
+        a, b = sides
+        counts = a.select(F.explode("grams").alias("gram")).unionByName(b.select(F.explode("grams").alias("gram"))).groupBy("gram").agg(F.count("*").alias("n"))
+        pairs = _rarest(a, counts, least).join(_rarest(b, counts, least).withColumnRenamed("id", "to"), "gram").select("id", "to").distinct()
+        pairs = pairs.join(a, "id").join(b.select(F.col("id").alias("to"), F.col("text").alias("text_b"), F.col("grams").alias("grams_b"), F.col("again").alias("again_b")), "to")
+        common = F.size(F.array_intersect("grams", "grams_b"))
+        enough = common >= (1.5 * least - 1) * (F.length("text") + F.length("text_b")) - 1 - 1e-9 - F.least("again", "again_b")
+        pairs = pairs.where(length_bound(F.col("text"), F.col("text_b"), least)).where(enough).select(F.col("id").alias(left_id), F.col("to").alias(right_id))
         found = pairs if found is None else found.unionByName(pairs)
-    return found.distinct()
+    return save(found.distinct(), "candidates")
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
