@@ -57,7 +57,8 @@ def repair_with_alternatives(items: DataFrame, totals: DataFrame, value: str = "
     flags = reconcile_totals(items, totals, value, share)
     sums = _sums(items, value, share).join(totals, "decl_id").join(flags.where("cuadra = false").select("decl_id"), "decl_id", "left_semi")
     part = (F.col(share) if share else F.lit(None).cast("double")).alias("part")
-    tried = items.select("decl_id", "pos", F.col(value).alias("was"), part, F.posexplode("alts").alias("alt_pos", "alt")).withColumn("v", parse_amount("alt")).where("v is not null")
+    open_ = items.join(sums.select("decl_id"), "decl_id", "left_semi")
+    tried = open_.select("decl_id", "pos", F.col(value).alias("was"), part, F.posexplode("alts").alias("alt_pos", "alt")).withColumn("v", parse_amount("alt")).where("v is not null")
     delta = F.col("v") - F.col("was")
     fits = _near(F.col("whole") + delta, F.col("total")) | (F.coalesce(F.col("shared") == F.col("n"), F.lit(False)) & F.coalesce(_near(F.col("weighted") + delta * F.col("part") / 100, F.col("total")), F.lit(False)))
     best = tried.join(sums, "decl_id").where(fits).groupBy("decl_id").agg(F.min(F.struct("pos", "alt_pos", "v", "alt")).alias("fix"))
