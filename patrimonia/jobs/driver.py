@@ -163,7 +163,7 @@ ro AS (
 
 
 def income(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Income items of people: those of their purchases whose user is a customer."""
+    """Income items of people: an event each."""
     e = read(spark, sf_dir, "events")
     section = pick(("salarios", "dividendos", "intereses", "otras"), F.col("event_id"))
     return e.select(F.col("user_id").alias("person_id"), F.col("event_id").alias("pos"), section.alias("apartado"), F.col("event_type").alias("concepto"), F.lit("").alias("origen"), F.col("value").alias("importe"))
