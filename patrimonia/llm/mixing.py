@@ -68,9 +68,13 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], rounds: int = 24
     Minimises the distance of the expected domain totals from target share * total tokens, over rates of 0 or
     more, from rates of 1. Steps are scaled by the domains' Gram matrix, so that one step would reach the targets
     were no rate held at 0; each document's change is in proportion to its posteriors, whatever its length.
+    A target of 0 leaves its domain out, however small the domain's share is: documents that most likely belong to it
+    get rate 0, and the others are fitted to the other domains' totals, which are theirs alone.
     """
     k = len(DOMAINS)
-    p, n = [F.get("p", F.lit(i)) for i in range(k)], F.col("n_tokens").cast("double")
+    none = [i for i, d in enumerate(DOMAINS) if targets.get(d) == 0]
+    gone = (F.array_position("p", F.array_max("p")) - 1).isin(none)
+    p, n = [F.lit(0.0) if i in none else F.get("p", F.lit(i)) for i in range(k)], F.when(gone, 0.0).otherwise(F.col("n_tokens").cast("double"))
     first = members.agg(F.sum(n).alias("n"), *(F.sum(n * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)), *(F.sum(n * p[i]).alias(f"t{i}") for i in range(k))).first()
     total = float(first["n"] or 0)
     steps: list[list[float]] = []
@@ -87,7 +91,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], rounds: int = 24
             steps.append((back @ (now - goal)).tolist())
             sums = members.select(n.alias("n"), "p", _rate(steps).alias("r")).agg(*(F.sum(F.col("n") * p[i] * F.col("r")).alias(f"t{i}") for i in range(k))).first()
             now = np.array([float(sums[f"t{i}"]) for i in range(k)])
-    return members.withColumn("rate", _rate(steps)), history
+    return members.withColumn("rate", F.when(gone, 0.0).otherwise(_rate(steps))), history
 
 
 def _goal(targets: Mapping[str, float], now: np.ndarray) -> np.ndarray:
