@@ -12,6 +12,7 @@ component are then compared with the rest of the bucket, but for pairs whose bit
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,14 +24,31 @@ from patrimonia.llm import words as W
 from patrimonia.llm.components import components
 from patrimonia.llm.store import save
 
-#: 28 bands of 5 slots lose a pair of similarity 0.85 with a chance of 1e-7.
-BANDS, ROWS = 28, 5
-#: Of 256 slot bits, a pair of similarity 0.85 differs in 19 on average (deviation 5), and in more than these with a chance near 1e-7.
-MOST_BITS = 45
+#: A pair of just the similarity asked for is lost by the bands, and by the slot bits, with this chance at most.
+LOSS = 1e-7
+#: Slots that the slot bits are taken of.
+BIT_SLOTS = 128
 BITS = [f"bits{i}" for i in range(8)]
 _U = np.uint64
 
 
+def layout(percent: int) -> tuple[int, int]:
+    """(bands, rows) for links of ``percent``: 28 bands of 5 slots at 85, 32 of 4 at 80."""
+    rows = 5 if percent >= 85 else 4
+    missed = max(1e-12, 1 - (percent / 100) ** rows)
+    return max(math.ceil(math.log(LOSS) / math.log(missed)), math.ceil(BIT_SLOTS / rows)), rows
+
+
+def most_bits(percent: int) -> int:
+    """Slot bits that a link of ``percent`` differs in at most: of a slot that differs, each of the two bits does by one half."""
+    differs = 1 - percent / 100
+    chance = np.ones(1)
+    for _ in range(BIT_SLOTS):
+        chance = np.convolve(chance, [1 - 0.75 * differs, 0.5 * differs, 0.25 * differs])
+    more = np.cumsum(chance[::-1])[::-1]  # of so many or more
+    return int(np.flatnonzero(more > LOSS)[-1])
+
+
 def superminhash(doc: np.ndarray, value: np.ndarray, n_docs: int, slots: int) -> np.ndarray:
     """Signatures (n_docs x slots, 64 bits: rank above 48 random bits) of sets given as sorted (doc, element)."""
     empty = _U(2**64 - 1)
@@ -66,7 +84,7 @@ def superminhash(doc: np.ndarray, value: np.ndarray, n_docs: int, slots: int) ->
 
 def _slot_bits(sig: np.ndarray) -> np.ndarray:
     """256 bits: two of each of 128 slots."""
-    wide = W.mix(sig[:, np.arange(128) % sig.shape[1]], 3) & _U(3)
+    wide = W.mix(sig[:, np.arange(BIT_SLOTS) % sig.shape[1]], 3) & _U(3)
     return (wide.reshape(len(sig), 4, 32) << (np.arange(32, dtype=np.uint64) * _U(2))).sum(axis=2, dtype=np.uint64)
 
 
@@ -136,7 +154,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
     return both.mapInArrow(_verify(shingle, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs(doc_id, text)``; other columns play no part.
 
     Two documents are linked when 100 * intersection >= percent * union of their sets of ``shingle``-word
@@ -148,6 +166,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
     """
     if percent < 80:
         raise ValueError("percent is 80 or more: the bands are laid out for such links")
+    bands, rows = layout(percent)
     near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     form = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"{x} long" for x in BITS)
@@ -184,7 +203,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
     left = rest.where("out").select("key", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("comp_a").alias("comp_b"), *(F.col(x).alias(f"{x}_b") for x in BITS))
     left = save(left, "left")
     differ = [" + ".join(f"bit_count({x} ^ {x}_b)" for x in part) for part in (BITS[:4], BITS[4:])]
-    more = rest.join(left, "key").where("comp_a <> comp_b").where(near).where(f"{differ[0]} <= {MOST_BITS}")
+    more = rest.join(left, "key").where("comp_a <> comp_b").where(near).where(f"{differ[0]} <= {most_bits(percent)}")
     # of n_a + n_b elements that are counted twice if shared, a linked pair has this many in one set only at most
     more = more.where(f"({differ[1]}) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
     more = save(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")

@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from patrimonia.llm import neardup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -28,3 +30,44 @@ def test_mixing_drops_few_toxic_documents(spark, tmp_path):
         labels.write.parquet(f"{folder}/labels.parquet")
         kept = sorted(r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, folder).collect())
         assert kept == list(range(clean))
+
+
+def jaccard(a, b):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_near_copies_from_eighty_percent(spark):
+    """Pairs of similarity 0.80 to 0.85 lose their copy in the pipeline; those below 0.80 keep it."""
+    rng = random.Random(3)
+    rows, gone, similar = [], set(), []
+    for i in range(60):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        copy = list(w)
+        for place in (20, 60, 100, 140) if i % 2 else (20, 60, 100, 140, 180):
+            copy[place] = "otra"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(copy))]
+        similar.append(jaccard(rows[-2][1], rows[-1][1]))
+        gone |= {2 * i + 1} if similar[-1] >= 0.8 else set()
+    assert len(gone) == 30 and all(0.8 <= s < 0.85 for s in similar[1::2])
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), "").collect()}
+    assert kept == {i for i, _ in rows} - gone
+
+
+def test_bands_and_bits_follow_percent():
+    """Signatures of pairs at the limit itself: what differs stays within the bits, and bands meet."""
+    for percent in (80, 85, 90):
+        bands, rows = neardup.layout(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 1.01e-7
+    assert neardup.layout(85) == (28, 5)
+    n, each = 3000, 180  # 160 of 200 elements shared
+    rng = np.random.default_rng(1)
+    whole = rng.integers(0, 2**63, (n, 200)).astype(np.uint64)
+    bands, rows = neardup.layout(80)
+    sides = []
+    for part in (whole[:, :each], whole[:, 20:]):
+        sides.append(neardup.superminhash(np.repeat(np.arange(n), each), np.sort(part, axis=1).ravel(), n, bands * rows))
+    differ = np.bitwise_count(neardup._slot_bits(sides[0]) ^ neardup._slot_bits(sides[1])).sum(axis=1)
+    assert differ.max() <= neardup.most_bits(80) and 24 < differ.mean() < 27
+    met = (sides[0] == sides[1]).reshape(n, bands, rows).all(axis=2).any(axis=1)
+    assert met.all()
