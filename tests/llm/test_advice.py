@@ -71,3 +71,26 @@ def test_bands_and_bits_follow_percent():
     assert differ.max() <= neardup.most_bits(80) and 24 < differ.mean() < 27
     met = (sides[0] == sides[1]).reshape(n, bands, rows).all(axis=2).any(axis=1)
     assert met.all()
+
+
+def test_stages_judge_rows_by_their_own_text(spark, tmp_path):
+    """Null and shared ids: copies, benchmark passages and toxic texts go, and clean documents stay, whatever their id."""
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    base, passage, lone = text(100), text(60), [text(80) for _ in range(4)]
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, base), (None, base), (None, base), (5, base + " fin"), (7, lone[0]), (7, lone[1]), (None, lone[2]), (None, lone[3]), (8, None), (9, "")]
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), "").select("doc_id", "text").collect()]
+    assert sorted(kept, key=str) == sorted([(1, base), (7, lone[0]), (7, lone[1]), (None, lone[2]), (None, lone[3]), (8, None), (9, "")], key=str)
+
+    rows = [(None, passage), (7, text(30) + " " + passage), (7, lone[0]), (None, lone[1])]
+    kept = [tuple(r) for r in corpus_pipeline.drop_benchmark_passages(spark, documents(spark, rows), str(tmp_path)).select("doc_id", "text").collect()]
+    assert sorted(kept, key=str) == sorted([(7, lone[0]), (None, lone[1])], key=str)
+
+    clean = [(i, mixed(rng, "good", 40)) for i in range(200)]
+    toxic = [(1000 + i, "maldito bobo " * 20) for i in range(40)]
+    rows = clean + toxic + [(None, "maldito bobo " * 15), (5000, "maldito bobo " * 18), (5000, "libro casa cielo " * 9), (None, "libro casa cielo " * 8)]
+    labels = spark.createDataFrame([(i, 1, int(i >= 1000)) for i, _ in clean[::2] + toxic[::2]], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = [tuple(r) for r in corpus_pipeline.mix_sources(spark, documents(spark, rows), str(tmp_path)).select("doc_id", "text").collect()]
+    assert sorted(kept, key=str) == sorted([*clean, *rows[-2:]], key=str)
