@@ -40,7 +40,7 @@ def _digest(edges: DataFrame) -> tuple[int, int]:
     return row[0], int(row[1] or 0)
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of an edge: component is the smallest node that it reaches.
 
     Edges with a null end and loops count for nothing. Alternates the large-star and small-star steps until
@@ -49,9 +49,7 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     pairs = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
     now = save(pairs.mapInArrow(_local_forest, "u long, v long").distinct(), "edges")
     seen = _digest(now)
-    for _ in range(rounds):
-        if not seen[0]:
-            break
+    while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -5,9 +5,10 @@ j-th slot the rank j plus a fraction, so the ranks of an element are correlated
 has a lower variance than MinHash of the same length. A slot that round j filled can't be lowered by a later
 round, so a document stops as soon as all its slots are filled; the rounds run for a whole batch at once.
 
-Candidates: documents that agree on a band of slots. A bucket's members are compared with its head, the member
-that agrees with most documents on most bands, and not with each other. Members that stay outside the head's
-component are then compared with the rest of the bucket, but for pairs whose bitmaps rule a link out.
+A node is a set of shingles, however many documents hold it. Candidates: nodes that agree on a band of slots. A
+bucket's members are compared with its head, the member that agrees with most nodes on most bands, and not with
+each other. Members that stay outside the head's component are then compared with the rest of the bucket. Bitmaps
+rule most candidates out, and only texts of those that remain are fetched and compared in full.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from patrimonia.llm import words as W
 from patrimonia.llm.components import components
-from patrimonia.llm.store import save
+from patrimonia.llm.store import drop, pruning, save
 
 #: A pair of just the similarity asked for is lost by the bands, and by the slot bits, with this chance at most.
 LOSS = 1e-7
@@ -105,53 +106,74 @@ def _sketches(shingle: int, bands: int, rows: int) -> Callable[[Iterator[pa.Reco
                 word, _, _, first = W.words(raw, at)
                 doc, value = W.distinct(*W.shingles(word, first, shingle))
                 count = np.bincount(doc, minlength=n)
-                sums = [np.zeros(n, np.uint64) for _ in range(2)]
-                for seed, total in enumerate(sums):
-                    np.add.at(total, doc, W.mix(value, 31 + seed))
+                name = np.zeros(n, np.uint64)
+                np.add.at(name, doc, W.mix(value, 31))
                 sig = superminhash(doc, value, n, bands * rows)
                 key = W.mix((sig.reshape(n, bands, rows) * place).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * W._STEP)
                 bits = np.concatenate([_slot_bits(sig), _parity(doc, value, n)], axis=1)
                 yield pa.record_batch(
                     [
-                        part.column(0), pa.array(count.astype(np.int64)), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
+                        part.column(0), part.column(2), pa.array(count.astype(np.int64)), pa.array(W.mix(name, 1).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel())),
                         *(pa.array(np.ascontiguousarray(bits[:, i]).view(np.int64)) for i in range(8)),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bands", *BITS],
+                    ["doc_id", "h", "n", "node", "bands", *BITS],
                 )
 
     return run
 
 
+def _sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    word, _, _, first = W.words(*W.text_bytes(column))
+    return W.distinct(*W.shingles(word, first, shingle))
+
+
 def _verify(shingle: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs whose full shingle sets have 100 * intersection >= percent * union."""
+    """Pairs whose full shingle sets have 100 * intersection >= percent * union. Rows in a row that share b read its text once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw, at in W.chunks(batch, "text_a"):
+            for part, _, _ in W.chunks(batch, "text_a"):
                 n = part.num_rows
-                raw_b, at_b = W.text_bytes(part.column(3))
-                sets = []
-                for r, o in ((raw, at), (raw_b, at_b)):
-                    word, _, _, first = W.words(r, o)
-                    sets.append(W.distinct(*W.shingles(word, first, shingle)))
-                row = np.concatenate([s[0] for s in sets])
-                value = np.concatenate([s[1] for s in sets])
-                order = np.lexsort((value, row))
-                row, value = row[order], value[order]
-                twice = (row[1:] == row[:-1]) & (value[1:] == value[:-1])
-                shared = np.bincount(row[1:][twice], minlength=n)
-                union = np.bincount(row, minlength=n) - shared
-                found = np.flatnonzero((100 * shared >= percent * union) & (shared > 0))
-                yield part.select([0, 1]).take(pa.array(found))
+                b = part.column(1).to_numpy()
+                fresh = np.concatenate([[True], b[1:] != b[:-1]])
+                partner = np.cumsum(fresh) - 1
+                row_a, value_a = _sets(part.column(2), shingle)
+                row_b, value_b = _sets(part.column(3).filter(pa.array(fresh)), shingle)
+                tag = W.mix(np.arange(len(b), dtype=np.uint64), 11)
+                held, asked = np.sort(value_b + tag[row_b]), value_a + tag[partner[row_a]]
+                place = np.minimum(np.searchsorted(held, asked), max(0, len(held) - 1))
+                found = held[place] == asked if len(held) else np.zeros(len(asked), bool)
+                shared = np.bincount(row_a[found], minlength=n)
+                union = np.bincount(row_a, minlength=n) + np.bincount(row_b, minlength=n)[partner] - shared
+                yield part.select([0, 1]).take(pa.array(np.flatnonzero((100 * shared >= percent * union) & (shared > 0))))
 
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    a = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
-    both = a.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_verify(shingle, percent), "a long, b long")
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` whose sizes and bitmaps allow a link."""
+    both = pairs
+    for x in "ab":
+        both = both.join(classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in BITS)), x)
+    slots, parity = (" + ".join(f"bit_count({c}_a ^ {c}_b)" for c in part) for part in (BITS[:4], BITS[4:]))
+    # of n_a + n_b elements that are counted twice if shared, a linked pair has this many in one set only at most
+    both = both.where(f"{slots} <= {most_bits(percent)}").where(f"({parity}) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
+    return both.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b")
+
+
+def _confirmed(pairs: DataFrame, text: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The links among ``pairs(a, b)``, on the full sets of one text for each node."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = save(classes.join(nodes, "node").select("node", "n", "rep.doc_id", "rep.h"), "wanted")
+    with pruning(text.sparkSession):
+        texts = save(text.where("text is not null").join(wanted.where("n > 0"), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("node", "text"), "texts")
+    a = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
+    both = a.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
+    links = save(both.mapInArrow(_verify(shingle, percent), "a long, b long"), "links")
+    drop(texts)
+    drop(wanted)
+    return links
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5) -> DataFrame:
@@ -161,59 +183,66 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5) -> Dat
     shingles (A-Z lower-cased, words between ASCII white space; fewer words: the whole sequence as one).
     component_id is the smallest doc_id that links reach; kept tells whether that is the row's own.
     Null, empty and wordless texts have an empty set and are linked with nothing. Repeated rows get the same
-    component. Rows that share a doc_id but not a text count as one node. A null doc_id takes part in no link
-    and is kept with a null component. An empty table gives an empty result.
+    component. Rows that share a doc_id are one document, linked by what any of their texts resembles. A null doc_id
+    takes part in no link and is kept with a null component. An empty table gives an empty result.
     """
     if percent < 80:
         raise ValueError("percent is 80 or more: the bands are laid out for such links")
     bands, rows = layout(percent)
-    near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    form = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"{x} long" for x in BITS)
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    form = "doc_id long, h long, n long, node long, bands array<long>, " + ", ".join(f"{x} long" for x in BITS)
     sketch = save(text.mapInArrow(_sketches(shingle, bands, rows), form), "sketches")
-
-    # Equal sets are one class; its smallest document stands for it.
-    full = sketch.where("n_shingles > 0 and doc_id is not null")
-    classes = save(full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = full.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    member = reps.select(F.explode(F.array_distinct("bands")).alias("key"), F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"))
-    sizes = save(member.groupBy("key").agg(F.count("*").alias("size"), F.min("a").alias("first"), F.max("a").alias("last")).where("first < last").select("key", "size"), "sizes")
-    member = save(member.join(sizes, "key"), "buckets")
-    weight = member.groupBy("a").agg(F.sum("size").alias("weight"))
-    member = save(member.drop("size").join(weight, "a"), "buckets")
-    head = F.max(F.struct("weight", (-F.col("a")).alias("less"), "n_a"))
-    heads = save(member.groupBy("key").agg(head.alias("head")).select("key", (-F.col("head.less")).alias("b"), F.col("head.n_a").alias("n_b")), "heads")
-    pairs = save(member.join(heads, "key").where("a <> b").where(near).select("a", "b").distinct(), "pairs")
-
-    wanted = weight.select(F.col("a").alias("doc_id"))
-    texts = save(text.where("doc_id is not null and text is not null").join(wanted, "doc_id", "left_semi").distinct(), "texts")
-    links = save(_confirmed(pairs, texts, shingle, percent), "links")
+    full = sketch.where("n > 0 and doc_id is not null")
+    # what a set determines is the same in all its rows
+    classes = save(full.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("rep"), *(F.first(c).alias(c) for c in ("n", "bands", *BITS))), "classes")
+
+    every = classes.select(F.explode(F.array_distinct("bands")).alias("key"), F.col("node").alias("a"))
+    sizes = save(every.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    shared = save(every.join(sizes, "key"), "shared")
+    weight = shared.groupBy("a").agg(F.sum("size").alias("weight"))
+    member = save(shared.drop("size").join(weight, "a"), "buckets")
+    heads = member.groupBy("key").agg(F.max(F.struct("weight", (-F.col("a")).alias("less"))).alias("head"))
+    heads = save(heads.select("key", (-F.col("head.less")).alias("b")), "heads")
+    drop(sizes)
+    drop(shared)
+    pairs = save(_plausible(member.join(heads, "key").where("a <> b").select("a", "b").distinct(), classes, percent), "pairs")
+    links = _confirmed(pairs, text, classes, shingle, percent)
+    drop(pairs)
     groups = save(components(links, "a", "b"), "groups")
 
     # A bucket whose members are in several components: those outside its head's are held against all the others.
-    placed = member.select("key", "a", "n_a").join(heads.select("key", F.col("b").alias("head")), "key")
+    placed = member.select("key", "a").join(heads.select("key", F.col("b").alias("head")), "key")
     for name in ("a", "head"):
         own = groups.select(F.col("node").alias(name), F.col("component").alias(f"comp_{name}"))
         placed = placed.join(own, name, "left").withColumn(f"comp_{name}", F.coalesce(f"comp_{name}", name))
-    placed = save(placed.select("key", "a", "n_a", "comp_a", (F.col("comp_a") != F.col("comp_head")).alias("out")), "placed")
-    open_ = save(placed.where("out").select("key").distinct(), "open")
+    placed = save(placed.select("key", "a", F.col("comp_a").alias("comp"), (F.col("comp_a") != F.col("comp_head")).alias("out")), "placed")
+    drop(member)
+    drop(heads)
+    open_ = placed.where("out").select("key").distinct()
     rest = placed.join(open_, "key", "left_semi")
-    bits = full.select(F.col("doc_id").alias("a"), *BITS).join(rest.select("a").distinct(), "a", "left_semi").dropDuplicates(["a"])
-    rest = save(rest.join(bits, "a"), "rest")
-    left = rest.where("out").select("key", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("comp_a").alias("comp_b"), *(F.col(x).alias(f"{x}_b") for x in BITS))
-    left = save(left, "left")
-    differ = [" + ".join(f"bit_count({x} ^ {x}_b)" for x in part) for part in (BITS[:4], BITS[4:])]
-    more = rest.join(left, "key").where("comp_a <> comp_b").where(near).where(f"{differ[0]} <= {most_bits(percent)}")
-    # of n_a + n_b elements that are counted twice if shared, a linked pair has this many in one set only at most
-    more = more.where(f"({differ[1]}) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
+    shape = classes.select(F.col("node").alias("a"), "n", *BITS)
+    rest = save(rest.join(shape, "a"), "rest")
+    drop(placed)
+    left = rest.where("out").select("key", *(F.col(c).alias(f"{c}_b" if c != "a" else "b") for c in ("a", "comp", "n", *BITS)))
+    slots, parity = (" + ".join(f"bit_count({x} ^ {x}_b)" for x in part) for part in (BITS[:4], BITS[4:]))
+    more = rest.join(left, "key").where("comp <> comp_b").where(f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)")
+    more = more.where(f"{slots} <= {most_bits(percent)}").where(f"({parity}) * {100 + percent} <= (n + n_b) * {100 - percent}")
     more = save(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    if not more.isEmpty():
-        links = links.union(_confirmed(more, texts, shingle, percent))
-        groups = save(components(links, "a", "b"), "groups")
+    drop(rest)
+    links = links.union(_confirmed(more, text, classes, shingle, percent))
+    drop(more)
+    # rows that share a doc_id tie their sets together
+    one = full.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b <> last").select("doc_id", "b")
+    links = links.union(full.select("doc_id", F.col("node").alias("a")).join(one, "doc_id").select("a", "b"))
+    drop(groups)
+    groups = save(components(links, "a", "b"), "groups")
 
-    placed = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = save(placed.select("set_a", "set_b", F.coalesce("component", "rep").alias("component")), "placed")
-    out = sketch.select("doc_id", "n_shingles", "set_a", "set_b").join(placed, ["set_a", "set_b"], "left")
+    first = groups.join(classes.select("node", "rep.doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("first"))
+    owned = groups.join(first, "component").select("node", "first")
+    placed = save(classes.select("node", "rep.doc_id").join(owned, "node", "left").select("node", F.coalesce("first", "doc_id").alias("component")), "placed")
+    drop(groups)
+    drop(classes)
+    out = sketch.select("doc_id", F.col("n").alias("n_shingles"), "node").join(placed, "node", "left")
     return out.select(
         "doc_id", "n_shingles",
         F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
