@@ -4,22 +4,54 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where that is unset (tests), one of our own, set for the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the actions inside."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared folder and read it again, so that a lost executor costs no recomputation."""
+    """Write ``df`` to a new table in the shared folder and read it again, so that a lost executor costs no recomputation.
+
+    The shuffle files of the write go with its end: the table stands for them.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with settings(spark, _CLEANED):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the files of a table that ``save`` wrote and that no later plan reads."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
