@@ -2,11 +2,13 @@
 
 Words are ordered by rarity (occurrences by hash bucket, then hash), the same order everywhere. Two sets of
 similarity t share a word among the first n - ceil(t n) + 1 of each, so only those words are joined on; the
-lengths, the places of the shared word and a parity bitmap then rule most pairs out before sets are compared.
+lengths, the places of the shared word and a parity bitmap then rule most pairs out. The pairs that remain are
+dealt to buckets by a shared word; a bucket holds each of its sets once, and verifies its pairs on them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,11 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patrimonia.llm import words as W
-from patrimonia.llm.store import save
+from patrimonia.llm.store import drop, pruning, save
 
 #: Buckets of the word counts: what every task receives has this size at any corpus size.
 BUCKET_BITS, SLICES = 20, 64
+#: Pairs of one verification bucket (about), and pairs whose words are looked up at once.
+BUCKET_PAIRS, STEP_PAIRS = 100_000, 10_000
 _U = np.uint64
+_FATE = "cid long, n_links long, later boolean"
 
 
 def line_offsets(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,6 +89,13 @@ def word_counts(text: DataFrame) -> np.ndarray:
     return total.ravel()
 
 
+def _names(line: np.ndarray, word: np.ndarray, lines: int) -> np.ndarray:
+    """A hash of each line's set of words; ``line`` is sorted."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(word, 41), dtype=np.uint64)])
+    at = np.searchsorted(line, np.arange(lines + 1))
+    return W.mix(total[at[1:]] - total[at[:-1]], 1).view(np.int64)
+
+
 def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     counts = np.minimum(counts, 2**22 - 1).astype(np.uint64)
 
@@ -94,11 +106,9 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
                 line, word, of_row = line_sets(raw, at, counts)
                 lines = int(of_row[-1])
                 size = np.bincount(line, minlength=lines)
-                name = np.zeros(lines, np.uint64)
-                np.add.at(name, line, W.mix(word, 41))
                 odd = np.bincount(line * 64 + (word & _U(63)).astype(np.int64), minlength=lines * 64) & 1
                 parity = (odd.astype(np.uint64).reshape(lines, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-                cid = W.mix(name, 1).view(np.int64)
+                cid = _names(line, word, lines)
                 begin = np.concatenate([[0], np.cumsum(size)])
                 prefix = np.where(size > 0, size - -(-percent * size // 100) + 1, 0)
                 fresh = np.zeros(lines, bool)  # a batch gives a set's prefix once
@@ -112,7 +122,7 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
                 row = np.repeat(np.arange(part.num_rows), np.diff(of_row))
                 number = np.arange(lines) - of_row[row]
                 full = np.flatnonzero(size)
-                held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(prefix[full])]).astype(np.int32)), pa.array(token))
+                held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(prefix[full])]).astype(np.int32)), pa.array(token), mask=pa.array(~fresh[full]))
                 yield pa.record_batch(
                     [part.column(0).take(pa.array(row[full])), pa.array(number[full].astype(np.int32)), pa.array(cid[full]), pa.array(size[full].astype(np.int32)), pa.array(parity[full].view(np.int64)), held],
                     ["doc_id", "line_no", "cid", "n", "parity", "prefix"],
@@ -122,44 +132,102 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, words) of the lines that ``lines`` names by number."""
+    """(cid, words) of the lines that ``lines`` names by number, where the line has that set: rows may share a doc_id."""
     for batch in batches:
         for part, raw, at in W.chunks(batch):
             line, word, of_row = line_sets(raw, at)
             wanted = part.column(2)
             row = np.repeat(np.arange(part.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
             flat = wanted.flatten()
-            number = of_row[row] + flat.field("line_no").to_numpy()
+            number, cid = of_row[row] + flat.field("line_no").to_numpy(), flat.field("cid").to_numpy()
+            here = number < of_row[row + 1]
+            number, cid = number[here], cid[here]
+            same = _names(line, word, int(of_row[-1]))[number] == cid
+            number, cid = number[same], cid[same]
             lo, hi = np.searchsorted(line, number), np.searchsorted(line, number, "right")
             offsets = np.concatenate([[0], np.cumsum(hi - lo)])
             at_word = np.repeat(lo - offsets[:-1], hi - lo) + np.arange(offsets[-1])
-            yield pa.record_batch([flat.field("cid"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(word[at_word].view(np.int64)))], ["cid", "words"])
+            yield pa.record_batch([pa.array(cid), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(word[at_word].view(np.int64)))], ["cid", "words"])
+
+
+def _fates(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A bucket's ``pairs(bucket, a, b)`` on its ``sets(bucket, cid, doc_id, line_no, words)``: links of each set, and whether one leads to an earlier line."""
+
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        own = sets.column("cid").to_numpy()
+        order = np.argsort(own)
+        own = own[order]
+        lists = sets.column("words").combine_chunks()
+        lists = (lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists).take(pa.array(order))
+        size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = np.cumsum(size) - size
+        names, word = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        held = np.sort(np.repeat(np.arange(len(own)), size) * len(names) + word)
+        age = np.empty(len(own), np.int64)
+        age[np.lexsort((sets.column("line_no").to_numpy()[order], sets.column("doc_id").to_numpy()[order]))] = np.arange(len(own))
+        all_a, all_b = np.searchsorted(own, pairs.column("a").to_numpy()), np.searchsorted(own, pairs.column("b").to_numpy())
+        links, later = np.zeros(len(own), np.int64), np.zeros(len(own), bool)
+        for i in range(0, len(all_a), STEP_PAIRS):
+            a, b = all_a[i : i + STEP_PAIRS], all_b[i : i + STEP_PAIRS]
+            many = size[a]
+            pair = np.repeat(np.arange(len(a)), many)
+            asked = b[pair] * len(names) + word[np.repeat(begin[a] - (np.cumsum(many) - many), many) + np.arange(len(pair))]
+            found = held[np.minimum(np.searchsorted(held, asked), len(held) - 1)] == asked
+            shared = np.bincount(pair[found], minlength=len(a))
+            linked = 100 * shared >= percent * (size[a] + size[b] - shared)
+            a, b = a[linked], b[linked]
+            links += np.bincount(a, minlength=len(own)) + np.bincount(b, minlength=len(own))
+            later[np.where(age[a] > age[b], a, b)] = True
+        met = np.flatnonzero(links)
+        return pa.table({"cid": own[met], "n_links": links[met], "later": later[met]})
+
+    return run
+
+
+def _candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, token): pairs of classes that may be alike, once each, with one of the prefix words that they share."""
+    posting = classes.select(F.posexplode("prefix").alias("at", "token"), "cid", "n", "parity", "prefix")
+    # a pair that shares the word before too, in both prefixes, has been met there
+    posting = posting.withColumn("prior", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1))).drop("prefix")
+    left, right = (posting.withColumnsRenamed({"at": f"at_{x}", "cid": x, "n": f"n_{x}", "parity": f"parity_{x}", "prior": f"prior_{x}"}) for x in "ab")
+    pairs = left.join(right, "token").where("n_a < n_b or (n_a = n_b and a < b)").where(f"100 * n_a >= {percent} * n_b")
+    pairs = pairs.where(f"least(n_a - at_a, n_b - at_b) * {100 + percent} >= (n_a + n_b) * {percent}")
+    pairs = pairs.where(f"bit_count(parity_a ^ parity_b) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
+    pairs = pairs.where("prior_a is null or prior_b is null or prior_a <> prior_b")
+    return pairs.groupBy("a", "b").agg(F.min("token").alias("token"))
 
 
 def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(occurrences, classes, links) of the lines of ``text(doc_id, text)``.
+    """(occurrences, classes, fates) of the lines of ``text(doc_id, text)``.
 
     occurrences(doc_id, line_no, cid): lines with a word. classes(cid, first): a class is a set of words, and first
-    its first place as struct(doc_id, line_no). links(a, b): pairs of classes of similarity percent / 100 or more.
+    its first place as struct(doc_id, line_no). fates(cid, n_links, later): how many other classes are of similarity
+    percent / 100 or more, for classes with any, and whether one of them has an earlier first place.
     """
     occurrences = save(text.mapInArrow(_occurrences(word_counts(text), percent), "doc_id long, line_no int, cid long, n int, parity long, prefix array<int>"), "occurrences")
-    classes = save(occurrences.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "classes")
-    left, right = (
-        occurrences.select(F.posexplode("prefix").alias(f"at_{x}", "token"), F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab"
-    )
-    whole = f"(n_a + n_b) * {percent}"
-    pairs = left.join(right, "token").where("n_a < n_b or (n_a = n_b and a < b)").where(f"100 * n_a >= {percent} * n_b")
-    pairs = pairs.where(f"least(n_a - at_a, n_b - at_b) * {100 + percent} >= {whole}")
-    pairs = pairs.where(f"bit_count(parity_a ^ parity_b) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
-    pairs = save(pairs.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = classes.select("cid", "first").join(wanted, "cid", "left_semi").groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("cid", F.col("first.line_no").alias("line_no"))).alias("lines"))
-    sets = text.join(wanted, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sets_of, "cid long, words array<long>")
-    sets = save(sets.dropDuplicates(["cid"]), "sets")
-    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("words").alias("words_a")), "a").join(sets.select(F.col("cid").alias("b"), F.col("words").alias("words_b")), "b")
-    shared = F.size(F.array_intersect("words_a", "words_b"))
-    links = both.where(shared * 100 >= (F.size("words_a") + F.size("words_b") - shared) * percent).select("a", "b")
-    return occurrences.select("doc_id", "line_no", "cid"), classes, save(links, "links")
+    classes = save(occurrences.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), *(F.first(c, ignorenulls=True).alias(c) for c in ("n", "parity", "prefix"))), "classes")
+    pairs = save(_candidates(classes, percent), "pairs")
+    total = pairs.count()
+    buckets = max(32, math.ceil(total / BUCKET_PAIRS))
+    # a word of more pairs than a bucket takes is dealt by both ends to so many parts squared
+    busy = pairs.groupBy("token").agg(F.count("*").alias("n")).where(f"n > {BUCKET_PAIRS}").select("token", F.ceil(F.sqrt(F.col("n") / BUCKET_PAIRS)).cast("int").alias("parts"))
+    split = F.coalesce("parts", F.lit(1))
+    cell = F.xxhash64("token", F.pmod(F.xxhash64("a"), split), F.pmod(F.xxhash64("b"), split))
+    dealt = save(pairs.join(busy, "token", "left").select(F.pmod(cell, F.lit(buckets)).cast("int").alias("bucket"), "a", "b"), "dealt")
+    drop(pairs)
+    members = save(dealt.select("bucket", F.explode(F.array("a", "b")).alias("cid")).distinct(), "members")
+    wanted = save(members.select("cid").distinct().join(classes.select("cid", "first"), "cid"), "wanted")
+    lines = wanted.where("cid is not null").groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("cid", F.col("first.line_no").alias("line_no"))).alias("lines"))
+    with pruning(text.sparkSession):
+        sets = text.join(lines, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sets_of, "cid long, words array<long>")
+        sets = save(sets.dropDuplicates(["cid"]).join(wanted, "cid").select("cid", "first.doc_id", "first.line_no", "words"), "sets")
+    drop(wanted)
+    held = members.join(sets, "cid")
+    fates = dealt.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_fates(percent), _FATE)
+    fates = save(fates.groupBy("cid").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later")), "fates")
+    for table in (dealt, members, sets):
+        drop(table)
+    return occurrences.select("doc_id", "line_no", "cid"), classes.select("cid", "first"), fates
 
 
 def line_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -170,18 +238,15 @@ def line_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     has a set of Jaccard similarity ``percent`` / 100 or more, removed itself or not. removed lists line numbers from
     0 in order, n_lines counts lines with words, and n_links adds up, over those lines, how many different sets
     resemble theirs. Null, empty and wordless texts have no lines. Rows that repeat a doc_id count as one document
-    with the lines of each; rows with a null doc_id are left out. Other columns play no part.
+    with the lines of each; a line that two of them have alike in the same place counts once. Rows with a null doc_id
+    are left out. An empty table gives an empty result. Other columns play no part.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    occurrences, classes, links = similar_lines(text.where("text is not null"), percent)
-    ends = links.select(F.col("a").alias("cid"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("cid"), F.col("a").alias("other")))
-    met = ends.join(classes, "cid").join(classes.select(F.col("cid").alias("other"), F.col("first").alias("other_first")), "other")
-    met = met.groupBy("cid").agg(F.count("*").alias("n_links"), F.bool_or(F.col("other_first") < F.col("first")).alias("later"))
-    fate = save(classes.join(met, "cid", "left"), "fate")
-    lines = occurrences.join(fate, "cid")
+    occurrences, classes, fates = similar_lines(text.where("text is not null"), percent)
+    each = occurrences.dropDuplicates(["doc_id", "line_no", "cid"]).join(classes.join(fates, "cid", "left"), "cid")
     gone = F.coalesce("later", F.lit(False)) | (F.struct("doc_id", "line_no") != F.col("first"))
-    each = lines.groupBy("doc_id").agg(
-        F.countDistinct("line_no", "cid").alias("n_lines"), F.sum(F.coalesce("n_links", F.lit(0))).alias("n_links"), F.array_sort(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed")
+    each = each.groupBy("doc_id").agg(
+        F.count("*").alias("n_lines"), F.sum(F.coalesce("n_links", F.lit(0))).alias("n_links"), F.array_sort(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed")
     )
     none = F.array().cast("array<int>")
     return text.select("doc_id").distinct().join(each, "doc_id", "left").select(
@@ -191,7 +256,8 @@ def line_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` with the lines that ``removed(doc_id, removed)`` names taken out of text; other columns as they are."""
-    own = removed.select("doc_id", F.col("removed").alias("_removed"))
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(~F.array_contains("_removed", i), x)), lambda x: x.isNotNull())
-    cleaned = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
-    return docs.join(own, "doc_id", "left").withColumn("text", cleaned).select(*docs.columns)
+    key, own = "__removed_of", "__removed_lines"  # no column of ``docs``
+    named = removed.select(F.col("doc_id").alias(key), F.col("removed").alias(own))
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(~F.array_contains(own, i), x)), lambda x: x.isNotNull())
+    cleaned = F.when(F.col(own).isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
+    return docs.join(named, docs["doc_id"] == named[key], "left").withColumn("text", cleaned).select(*docs.columns)

@@ -60,7 +60,7 @@ WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE
 y AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, ls FROM x),
 o AS (
   SELECT doc_id, i - 1 AS line_no, list_sort(list_distinct(regexp_extract_all(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w FROM y),
-p AS (SELECT *, array_to_string(w, ' ') AS cid FROM o WHERE len(w) > 0),
+p AS (SELECT DISTINCT doc_id, line_no, w, array_to_string(w, ' ') AS cid FROM o WHERE len(w) > 0),
 k AS (SELECT cid, any_value(w) AS w, any_value(len(w)) AS n, min((doc_id, line_no)) AS first FROM p GROUP BY cid),
 t AS (SELECT cid, n, unnest(w) AS word FROM k),
 f AS (SELECT word, count(*) AS f FROM t GROUP BY word),

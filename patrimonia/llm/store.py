@@ -1,56 +1,21 @@
-"""Tables that cut lineage: Parquet in the folder that every machine of the cluster shares."""
+"""Tables that cut lineage, and runtime filters for joins that read whole texts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
+from patrimonia.sources.store import drop, save, settings, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), one of our own, set for the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+__all__ = ["drop", "pruning", "save", "shared_folder"]
 
+_BLOOM = "spark.sql.optimizer.runtime.bloomFilter."
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared folder and read it again, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
-
-def drop(df: DataFrame) -> None:
-    """Delete the files of a table that ``save`` wrote and that no later plan reads."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-
-
-@contextmanager
-def pruning(spark: SparkSession) -> Iterator[None]:
+def pruning(spark: SparkSession) -> AbstractContextManager[None]:
     """Actions inside let Spark's runtime Bloom filters (4 MB, whatever the tables' sizes) keep rows without a partner from a join's shuffle.
 
     The side that makes the filter needs a condition; a filter that has filled up lets rows pass and loses none.
     """
-    name = "spark.sql.optimizer.runtime.bloomFilter."
-    wanted = {"applicationSideScanSizeThreshold": "0", "expectedNumItems": "4000000", "numBits": str(1 << 25)}
-    before = {k: spark.conf.get(name + k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(name + k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(name + k) if v is None else spark.conf.set(name + k, v)
+    return settings(spark, {_BLOOM + "applicationSideScanSizeThreshold": "0", _BLOOM + "expectedNumItems": "4000000", _BLOOM + "numBits": str(1 << 25)})

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from patrimonia.llm import neardup
+from patrimonia.llm import linedup, neardup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -94,3 +94,25 @@ def test_stages_judge_rows_by_their_own_text(spark, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     kept = [tuple(r) for r in corpus_pipeline.mix_sources(spark, documents(spark, rows), str(tmp_path)).select("doc_id", "text").collect()]
     assert sorted(kept, key=str) == sorted([*clean, *rows[-2:]], key=str)
+
+
+def test_lines_of_rows_that_share_a_doc_id(spark):
+    """Two texts under one id: each line keeps its own set, in whatever order the rows come; equal rows count once."""
+    near = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(1, "uno dos tres\n" + near), (1, "cuatro cinco\notra cosa que nada tiene que ver"), (2, near + " lambda"), (3, "seis siete"), (3, "seis siete"), (4, "siete seis")]
+    for order in (rows, rows[::-1]):
+        got = {r.doc_id: r for r in linedup.line_duplicates(documents(spark, order)).collect()}
+        assert (got[2].removed, got[2].n_links, got[1].n_links, got[1].n_lines) == ([0], 1, 1, 4)
+        assert (got[3].n_lines, got[3].removed, got[4].removed, got[3].n_links) == (1, [], [0], 0)
+
+
+def test_lines_in_many_buckets(spark, monkeypatch):
+    """A crowd of lines that share their rarest word: parts of it are verified apart, and no link is lost or counted twice."""
+    monkeypatch.setattr(linedup, "BUCKET_PAIRS", 50)
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(20)]
+    rows = [(i, " ".join(w for k, w in enumerate(base) if k not in (drop := {rng.randrange(1, 20) for _ in range(2)})) + f" c{rng.randrange(3)}") for i in range(60)]
+    sets = {t: frozenset(t.split()) for _, t in rows}
+    links = {t: sum(o != t and len(sets[o] & sets[t]) * 100 >= 80 * len(sets[o] | sets[t]) for o in sets) for t in sets}
+    got = {r.doc_id: r.n_links for r in linedup.line_duplicates(documents(spark, rows)).collect()}
+    assert got == {i: links[t] for i, t in rows} and sum(got.values()) > 300
