@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -191,18 +192,50 @@ def test_personal_data(spark):
     assert len(got) == len(rows)
     told = sorted((str(r.doc_id), r.base_sha256, r.n_email + r.n_ip + r.n_card + r.n_phone) for r in got)
     assert told == sorted((str(i), hashlib.sha256(",".join(base(t or "")).encode()).hexdigest(), len(base(t or ""))) for i, t in rows)
-    assert all(len(r.spans.split(",")) if r.spans else 0 == r.n_added + r.n_email + r.n_ip + r.n_card + r.n_phone for r in got)
+    assert all((len(r.spans.split(",")) if r.spans else 0) == r.n_added + r.n_email + r.n_ip + r.n_card + r.n_phone for r in got)
     assert pii.personal_data(frame(spark, [])).count() == 0 and pii.personal_data(frame(spark, [(1, "nada")])).first().spans == ""
 
 
-def test_skip_chain_spreads_labels():
-    """A token alone is unsure; with a sure repeat far away it takes the repeat's label."""
-    texts = [f"llame al +34 600 12{i:02d} 34 o 600{i:04d}99 hoy" for i in range(60)] + [f"mail a{i}@b.example y ip 10.0.0.{i}, otra vez a{i}@b.example" for i in range(60)]
-    field = pii.train(texts)
-    assert field.skip[1, 1] > field.skip[1, 2] and field.skip[1, 1] > 0
-    nodes = pii.Nodes("600123499 " + "palabra " * 30 + "600123499")
-    assert nodes.skip.tolist() == [[0, 1]] and np.allclose(field.marginals(nodes).sum(axis=1), 1)
-    assert pii.train(["nada"]) is None
+PRINTS = {
+    "Call +34 600 123 456 now. Later 600123456, or 600-123-456; but not 612345678 or 600 123 457.": ["600123456", "600-123-456"],
+    "Mail a.bc@x.example.com or A.BC [at] x [dot] example, or abc@x, or zz [at] y.": ["A.BC [at] x [dot] example", "abc@x"],
+    "From 10.0.0.25, then 10-0-0-25, and in 1900, 10 0 0 26.": ["10-0-0-25"],
+    "Card 4111 1111 1111 1111, then 4111.1111.1111.1111 and 4111_1111_1111_1112.": ["4111.1111.1111.1111"],
+    "The numbers 123456789 and 123456789 and 1111222233334444 stand alone, on 12.03.2021 at 10:15.": [],
+}
+
+
+def shown(text, spans):
+    return [text[int(a) : int(b)] for _, a, b in (x.split(":") for x in spans.split(",") if x)]
+
+
+def test_field_finds_repeats_in_other_print(spark):
+    """What the patterns miss and the document repeats in a form that they find, and nothing else."""
+    rng = random.Random(5)
+    noise = lambda: f"{rng.randrange(10**7, 10**9)} piezas y {rng.randrange(1000)} cajas. "
+    filler = [noise() + f"Tel +34 6{rng.randrange(10**8):08d}. " + noise() + f"Mail u{i}@h{i}.example, host 10.1.{i}.7, " + noise() for i in range(120)]
+    texts = [*PRINTS, "Call +34 600 123 456. " + "palabra " * 50 + "call 600123456 again. " * 30]
+    got = {r.doc_id: r for r in pii.personal_data(frame(spark, list(enumerate(texts + filler)))).collect()}
+    for i, (t, want) in enumerate(PRINTS.items()):
+        assert [x for x in shown(t, got[i].spans) if x not in {t[a:b] for _, a, b in pii.base_spans(t)}] == want and got[i].n_added == len(want), t
+    assert got[5].n_added == 30  # far more than rounds of messages along a chain would reach
+    assert sum(got[i].n_added for i in range(6, 126)) == 0
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(2)
+    for _ in range(4000):
+        t = "".join(rng.choice("aZ9.@-+ ()%_1234é") for _ in range(rng.choice([5, 20, 60])))
+        assert sorted(base(t)) == sorted(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in pii.base_spans(t)), t
+
+
+def test_hostile_texts_take_linear_time():
+    """A megabyte without an end to its runs: seconds, not minutes."""
+    for t in ("a" * 1_000_000 + "@", "1" * 1_000_000, "1." * 500_000, "@" * 1_000_000, "a@a" * 300_000, "+1" + "(" * 1_000_000, "1 " * 500_000, "1234567 " * 120_000):
+        began = time.process_time()
+        spans = pii.base_spans(t)
+        pii.Nodes(t, spans)
+        assert time.process_time() - began < 30, t[:20]
 
 
 def test_lines(spark):
