@@ -45,11 +45,11 @@ def policy_rule(host: Column, path: Column, policy: Sequence[tuple[str, str]] =
 
 
 def tokens(url: Column) -> Column:
-    """Distinct items of a URL: scheme, host suffixes, first label, path segments without digits, and query keys."""
+    """Distinct items of a URL: scheme, host suffixes, first label, path segments, and query keys."""
     labels = F.split("host", r"\.")
     n = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("host="), F.array_join(F.slice(labels, i, n), ".")))
-    segments = F.filter(F.split("path", "/"), lambda s: (s != "") & ~s.rlike("[0-9]"))
+    segments = F.filter(F.split("path", "/"), lambda s: s != "")
     keys = F.regexp_extract_all(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit(r"(?:^|&)([^=&]+)"), F.lit(1))
     return F.array_distinct(
         F.concat(
@@ -61,36 +61,58 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, support: float, confidence: float, least_rows: int = 20) -> DataFrame:
-    """(rule_id, needs, confidence, support): token sets that imply a block, none of which adds to a smaller one.
+def lower_bound(share: Column, rows: Column, z: float) -> Column:
+    """Wilson's lower bound of a share seen in so many rows: few rows prove little, at every size of the table."""
+    spread = z * F.sqrt(share * (1 - share) / rows + z * z / (4 * rows * rows))
+    return (share + z * z / (2 * rows) - spread) / (1 + z * z / rows)
 
-    ``labelled(items, bad)``. Support is the share of all labelled rows that hold the tokens and are bad.
+
+def filed(rules: DataFrame, sets: DataFrame) -> DataFrame:
+    """The inverted index of ``rules(needs, ...)``: each under the one of its tokens that fewest of ``sets(items)`` hold."""
+    index = rules.withColumn("token", F.explode("needs"))
+    seen = sets.select(F.explode("items").alias("token")).join(index.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    own = [c for c in rules.columns if c != "needs"]
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))
+    return index.join(seen, "token", "left").groupBy("needs", *own).agg(rarest.alias("at")).select("needs", *own, F.col("at.token").alias("token"))
+
+
+def holding(sets: DataFrame, index: DataFrame) -> DataFrame:
+    """``sets(items, ...)`` with each rule of the index whose tokens they all hold."""
+    met = sets.withColumn("token", F.explode("items")).join(index, "token")
+    return met.where(F.size(F.array_except("needs", "items")) == 0).drop("token", "items")
+
+
+def mine(labelled: DataFrame, support: float, confidence: float, z: float = 2.58) -> DataFrame:
+    """(needs, confidence, support): token sets that imply a block, none of which adds to a smaller one.
+
+    ``labelled(items, bad)``. Support is the share of all labelled rows that hold the tokens and are bad. A rule counts
+    if the lower bound (at ``z`` deviations) of the share of bad rows among those that hold its tokens is ``confidence``
+    or more, so that labels which have nothing to do with the tokens make no rule.
     """
-    spark = labelled.sparkSession
-    empty = spark.createDataFrame([], "rule_id long, needs array<string>, confidence double, support double")
     baskets = save(labelled.select(F.when(F.col("bad"), F.array_append("items", F.lit(_BAD))).otherwise(F.col("items")).alias("items")), "baskets")
     rows = baskets.count()
-    if rows < least_rows:
-        return empty
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least_rows / rows)), minConfidence=confidence).fit(baskets)
+    if not rows:
+        return labelled.sparkSession.createDataFrame([], "needs array<string>, confidence double, support double")
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.where(F.col("consequent")[0] == _BAD).select(F.array_sort("antecedent").alias("needs"), "confidence", "support")
-    rules = save(rules.withColumn("rule_id", F.xxhash64("needs")), "rules")
+    held = F.round(F.col("support") * rows / F.col("confidence"))
+    rules = save(rules.where(lower_bound(F.col("confidence"), held, z) >= confidence), "rules")
     # pruned: a rule that a rule on fewer of its tokens matches in confidence says nothing new
-    parts = rules.select("rule_id", "confidence", F.size("needs").alias("n"), F.explode("needs").alias("token"))
-    small = parts.select(F.col("rule_id").alias("by"), F.col("confidence").alias("by_confidence"), F.col("n").alias("by_n"), "token")
-    covered = parts.join(small, "token").where("by <> rule_id and by_n < n and by_confidence >= confidence")
-    covered = covered.groupBy("rule_id", "by", "by_n").count().where("count = by_n").select("rule_id").distinct()
-    return rules.join(covered, "rule_id", "left_anti").select("rule_id", "needs", "confidence", "support")
+    sets = rules.select(F.col("needs").alias("items"), F.col("needs").alias("own"), F.col("confidence").alias("own_confidence"))
+    index = filed(rules.select("needs", "confidence"), sets)
+    covered = holding(sets, index).where("needs <> own and confidence >= own_confidence").select(F.col("own").alias("needs")).distinct()
+    return rules.join(covered, "needs", "left_anti").select("needs", "confidence", "support")
 
 
 def judge_urls(
-    pages: DataFrame, labels: DataFrame, policy: Sequence[tuple[str, str]] = POLICY, support: float = 0.002, confidence: float = 0.6
+    pages: DataFrame, labels: DataFrame, policy: Sequence[tuple[str, str]] = POLICY, support: float = 0.002, confidence: float = 0.5
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, confidence) for each row of ``pages(page_id, url)``.
 
     The longest policy rule that fits a URL decides. Elsewhere mined rules do: ``labels(doc_id, quality, toxic)``
     names good and bad pages by their id (bad: toxic or of quality 0), and a page is blocked if it holds all
-    tokens of a rule of at least ``support`` and ``confidence``; confidence is the best such rule's, else null.
+    tokens of a rule of at least ``support`` (a share of the labelled rows, at every size) and of which at least
+    ``confidence`` is proven (see ``mine``); confidence is the best such rule's, else null.
     Other columns play no part. Null URLs and those without ``://`` have empty host and path, and mined rules
     don't match them: allow. Repeated rows give one result each. Labels with null values count as good; a page
     with several labels is bad if one of them is. Without labels no rule is mined. No pages give no rows.
@@ -101,13 +123,8 @@ def judge_urls(
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("page_id")).agg(F.max(F.coalesce((F.col("toxic") == 1) | (F.col("quality") == 0), F.lit(False))).alias("bad"))
     open_ = save(parsed.where("host <> ''").select("url", "host", "path").distinct().withColumn("items", tokens(url)).select("url", "items"), "urls")
     labelled = parsed.where("host <> ''").join(known, "page_id").withColumn("items", tokens(url)).select("items", "bad")
-    rules = save(mine(labelled, support, confidence), "rules")
-    # inverted index: a rule is filed under its rarest token, and only pages that hold it look at the rest of it
-    index = rules.select("rule_id", "needs", "confidence", F.explode("needs").alias("token"))
-    wide = index.groupBy("token").agg(F.count("*").alias("n"))
-    filed = index.join(wide, "token").groupBy("rule_id", "needs", "confidence").agg(F.min(F.struct("n", "token")).alias("at"))
-    filed = filed.select("needs", "confidence", F.col("at.token").alias("token"))
-    hit = open_.select("url", "items", F.explode("items").alias("token")).join(filed, "token").where(F.size(F.array_except("needs", "items")) == 0)
+    rules = save(mine(labelled, support, confidence).select("needs", "confidence"), "rules")
+    hit = holding(open_, filed(rules, open_))
     blocked = save(hit.groupBy("url").agg(F.max("confidence").alias("confidence")), "blocked")
     out = parsed.withColumn("fit", policy_rule(F.col("host"), F.col("path"), policy)).join(blocked, "url", "left")
     mined = F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from patrimonia.llm.maxscore import search, top_k
-from patrimonia.llm.urlrules import judge_urls, mine, tokens
+from patrimonia.llm.urlrules import filed, holding, judge_urls, mine, tokens
 
 HERE = Path("/root/testdata/sf0.001")
 
@@ -81,6 +81,26 @@ def test_mined_rules(spark):
     assert ["path=win"] in [r.needs for r in rules] and not any("path=win" in r.needs and len(r.needs) > 1 for r in rules)
 
 
+def test_rules_need_proof_at_every_size(spark):
+    """Labels that don't depend on the tokens make no rule in tables of any size; those that do, make one from some 15 rows on."""
+    rng = random.Random(2)
+    for n in (1, 12, 90, 2500):
+        rows = [([f"host={rng.randrange(6)}", f"path={rng.randrange(3)}", "scheme=http"], rng.random() < 0.24) for _ in range(n)]
+        assert mine(spark.createDataFrame(rows, "items array<string>, bad boolean"), 0.002, 0.5).count() == 0
+        sure = [(["host=win", "scheme=http"], True)] * 16
+        rules = mine(spark.createDataFrame(rows + sure, "items array<string>, bad boolean"), 0.002, 0.5).collect()
+        needs = [r.needs for r in rules]
+        assert ["host=win"] in needs and (n <= 12 or len(needs) == 1)  # nearly all of a dozen rows are bad
+
+
+def test_index_files_rules_under_rare_tokens(spark):
+    sets = spark.createDataFrame([(["a", "b"],), (["a", "c"],), (["a", "b", "c", "d"],)], "items array<string>")
+    rules = spark.createDataFrame([(["a", "b"], 0.9), (["a", "c", "d"], 0.8), (["a"], 0.7)], "needs array<string>, confidence double")
+    index = filed(rules, sets)
+    assert {tuple(r.needs): r.token for r in index.collect()} == {("a", "b"): "b", ("a", "c", "d"): "d", ("a",): "a"}
+    assert sorted(r.confidence for r in holding(sets, index).collect()) == [0.7, 0.7, 0.7, 0.8, 0.9, 0.9]
+
+
 def test_pipeline(spark):
     """Each stage keeps columns and works on what the one before kept; what is planted goes, and clean documents stay."""
     docs = spark.read.parquet(f"{HERE}/documents.parquet")
