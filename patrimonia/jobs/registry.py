@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patrimonia.jobs import cases, order_queries, summary_queries, text_queries
+from patrimonia.jobs import function_queries, order_queries, summary_queries, text_queries
 
-_PARTS = (cases, text_queries, order_queries, summary_queries)
+_PARTS = (function_queries, text_queries, order_queries, summary_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,17 +1,15 @@
-"""Case queries: a function of a text that each order picks from a table of cases. The SQL gives the results that were worked out by hand."""
-
-from __future__ import annotations
+"""Functions on cases worked out by hand."""
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pytest
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from patrimonia.functions import amounts as A
 from patrimonia.functions import codes as C
 from patrimonia.functions import similarity as S
 from patrimonia.functions import text as T
-from patrimonia.jobs.driver import pick, read, sql_list
 
 Case = tuple[str | None, object]
 
@@ -82,40 +80,19 @@ SIMILAR_CASES: tuple[tuple[str, str, float], ...] = (
 )
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").select(F.col("o_orderkey"))
-
-
-def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    function, _, cases = CASES[name]
-    return lambda spark, sf_dir: _orders(spark, sf_dir).select("o_orderkey", function(pick(tuple(c[0] for c in cases), F.col("o_orderkey"))).alias("result"))
-
-
-def _sql(cases: tuple, kind: str) -> str:
-    return f"SELECT o_orderkey, CAST(({sql_list(tuple(c[-1] for c in cases))})[CAST(o_orderkey % {len(cases)} AS INTEGER) + 1] AS {kind}) AS result FROM orders"
-
-
-def resolve_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _orders(spark, sf_dir).withColumn("t", pick(tuple(c[0] for c in PROVINCE_CASES), F.col("o_orderkey")))
-    return S.resolve_province(df, "t", "result").select("o_orderkey", "result")
-
-
-def is_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _orders(spark, sf_dir).withColumn("t", pick(tuple(c[0] for c in LABEL_CASES), F.col("o_orderkey")))
-    return S.is_label(df, "t", "result").select("o_orderkey", "result")
-
-
-def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    df = _orders(spark, sf_dir).withColumns({"a": pick(tuple(c[0] for c in SIMILAR_CASES), key), "b": pick(tuple(c[1] for c in SIMILAR_CASES), key)})
-    told = df.select("a", "b").distinct().withColumn("result", S.similarity("a", "b"))
-    return df.join(told, ["a", "b"]).select("o_orderkey", "result")
+@pytest.mark.parametrize("name", CASES)
+def test_function(spark, name):
+    function, kind, cases = CASES[name]
+    got = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, t string").select("i", function(F.col("t")).alias("r")).orderBy("i").collect()
+    assert [str(r.r) if kind == "DATE" and r.r else r.r for r in got] == [c[1] for c in cases]
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(name) for name in CASES} | {f.__name__: f for f in (resolve_province, is_label, similarity)}
+@pytest.mark.parametrize(("function", "cases"), [(S.resolve_province, PROVINCE_CASES), (S.is_label, LABEL_CASES)])
+def test_function_with_ratios(spark, function, cases):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, t string")
+    assert [r.r for r in function(df, "t", "r").orderBy("i").collect()] == [c[1] for c in cases]
 
 
-def oracle_sql() -> dict[str, str]:
-    out = {name: _sql(cases, kind) for name, (_, kind, cases) in CASES.items()}
-    return out | {"resolve_province": _sql(PROVINCE_CASES, "VARCHAR"), "is_label": _sql(LABEL_CASES, "BOOLEAN"), "similarity": _sql(SIMILAR_CASES, "DOUBLE")}
+def test_similarity(spark):
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(SIMILAR_CASES)], "i int, a string, b string, want double")
+    assert df.withColumn("got", S.similarity("a", "b")).where("abs(got - want) > 1e-9").collect() == []
