@@ -324,14 +324,16 @@ SELECT user_id, CAST(line AS INTEGER) AS row, box FROM r
 
 
 def dedup_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes of each user's events, each also drawn a second time a little aside: the twins go."""
-    b = _boxes(spark, sf_dir).withColumns({"t": F.lit("texto"), "x0": F.col("box") * 10.0, "x1": F.col("box") * 10.0 + 50})
-    twice = b.unionByName(b.withColumns({"x0": F.col("x0") + 0.5, "x1": F.col("x1") - 0.5, "t": F.lit("t")}))
-    pages = twice.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("x0", "y0", "x1", "y1", "t", "box"))).alias("boxes"))
-    return L.dedup_boxes(pages, "boxes").select("user_id", F.explode("boxes").alias("b")).groupBy("user_id").agg(F.count("*").alias("n"), F.countDistinct("b.box").alias("n_boxes"), F.count_if(F.col("b.t") == "t").alias("n_twins"))
+    """A row of boxes for each user and kind of event, drawn again half a point lower: a box meets its first drawing if that is among the last twelve."""
+    at = F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("event_id")) - 1
+    once = read(spark, sf_dir, "events").select("user_id", "event_type", at.alias("box"), (at * 10.0).alias("x0"), (at * 10.0 + 5).alias("x1"), F.lit(100.0).alias("y0"), F.lit(109.0).alias("y1"), F.lit("texto").alias("t"))
+    twice = once.unionByName(once.withColumns({"y0": F.col("y0") + 0.5, "y1": F.col("y1") + 0.5}))
+    pages = twice.groupBy("user_id", "event_type").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1", "t", "box")).alias("boxes"))
+    kept = L.dedup_boxes(pages, "boxes").select("user_id", "event_type", F.explode("boxes").alias("b"))
+    return kept.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.countDistinct("b.box").alias("n_boxes"))
 
 
-DEDUP_BOXES = "SELECT user_id, count(*) AS n, count(*) AS n_boxes, CAST(0 AS BIGINT) AS n_twins FROM events GROUP BY user_id"
+DEDUP_BOXES = "SELECT user_id, event_type, CASE WHEN count(*) > 12 THEN 2 * count(*) ELSE count(*) END AS n, count(*) AS n_boxes FROM events GROUP BY ALL"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

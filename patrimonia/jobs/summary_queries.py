@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from patrimonia.jobs import people as P
 from patrimonia.jobs.driver import DECLARATIONS, DISTRICTS, FORENAMES, INCOME, ROSTER, SURNAMES, declarations, income, items, pick, read, roster, sql_pick, statements, table_of
 from patrimonia.jobs.order_queries import CURRENT
+from patrimonia.jobs.text_queries import places, positions, sql_norm
 from patrimonia.operators import declarations as D
 from patrimonia.operators import explore as E
 from patrimonia.operators import layout as L
@@ -18,7 +20,7 @@ from patrimonia.operators import reconcile as R
 from patrimonia.operators import sequence as Q
 from patrimonia.operators import summary as S
 from patrimonia.sources import tables as IO
-from patrimonia.sources.store import save
+from patrimonia.sources.store import save, shared_folder
 
 DEC = "DECIMAL(20,4)"
 
@@ -253,19 +255,27 @@ def filter_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.order_people(roster(spark, sf_dir)).select("id", "en_activo")
+    return positions(E.order_people(roster(spark, sf_dir))).select("id", "en_activo", "position")
 
 
 def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.order_view(_people(spark, sf_dir), "pasivo").select("id", "pasivo")
+    """The places that people take by their debts, the largest first."""
+    return places(E.order_view(_people(spark, sf_dir), "pasivo"), "pasivo")
 
 
 def facets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.facets(_people(spark, sf_dir))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
 def export_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return IO.export_lines(E.filter_people(_people(spark, sf_dir), active=None, min_homes=1)).withColumnRenamed("value", "line")
+    """The export's lines, written and read again; the header once, though each file has it."""
+    path = _folder(spark, "export")
+    IO.export_filtered(E.filter_people(_people(spark, sf_dir), active=None, min_homes=1), path)
+    return spark.read.text(path).select(F.col("value").alias("line")).distinct()
 
 
 def _csv(c: str, number: bool) -> str:
@@ -277,19 +287,26 @@ def _csv(c: str, number: bool) -> str:
 _NUMBERS = ("valor_catastral", "cuentas", "vehiculos", "inversiones", "otros_bienes", "pasivo", "rentas", "cuota_irpf")
 _CELLS = [_csv("replace(provincias, ';', '; ')" if c == "provincias_inmuebles" else c, c in _NUMBERS) for c in IO.EXPORT_COLUMNS]
 _QUOTED = ", ".join(f"""CASE WHEN regexp_matches({c}, '[",\n;]') THEN '"' || replace({c}, '"', '""') || '"' ELSE {c} END""" for c in _CELLS)
-EXPORT_FILTERED = f"{W_PEOPLE} SELECT concat_ws(';', {_QUOTED}) AS line FROM pe WHERE coalesce(n_viviendas, 0) >= 1"
+EXPORT_FILTERED = f"{W_PEOPLE} SELECT concat_ws(';', {_QUOTED}) AS line FROM pe WHERE coalesce(n_viviendas, 0) >= 1 UNION SELECT '{';'.join(IO.EXPORT_COLUMNS)}'"
 
 
 def write_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The people's table as CSV files hold it."""
-    p = _people(spark, sf_dir)
-    return IO.listed(p.select(*S.PEOPLE_COLUMNS)).select("id", "cargo", "provincias_inmuebles", "motivos_revision", "bocv")
+    """The people's table, written as CSV and Parquet; the lists of both as they are read again."""
+    path = _folder(spark, "published")
+    IO.write_tables({"personas": _people(spark, sf_dir).select(*S.PEOPLE_COLUMNS)}, path)
+    told = spark.read.option("header", True).csv(f"{path}/csv/personas")
+    kept = spark.read.parquet(f"{path}/parquet/personas").select(F.col("id"), F.size("motivos_revision").alias("n_motivos"))
+    own = told.select(F.col("id").cast("long").alias("id"), "cargo", "provincias_inmuebles", "motivos_revision", F.col("bocv").cast("int").alias("bocv"))
+    return own.join(kept, "id").withColumns({c: F.coalesce(c, F.lit("")) for c in ("provincias_inmuebles", "motivos_revision")})
 
 
 def write_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Histories as nested JSON documents, one for each person."""
-    h = D.declaration_history(_checked(spark, sf_dir).declarations)
-    return h.select("person_id", F.to_json(F.struct("historico")).alias("doc")).select("person_id", F.size(F.from_json("doc", "historico array<struct<sello:string>>")["historico"]).alias("n"), F.get_json_object("doc", "$.historico[0].sello").alias("first"))
+    """Histories as nested JSON documents, one for each person, written and read again."""
+    path = _folder(spark, "documents")
+    h = D.declaration_history(_checked(spark, sf_dir).declarations).select("person_id", "historico")
+    IO.write_documents(h.select("person_id"), h, h.agg(F.count("*").alias("n")), path)
+    found = spark.read.schema("person_id long, historico array<struct<sello:string>>").json(f"{path}/json/declaraciones")
+    return found.select("person_id", F.size("historico").alias("n"), F.get("historico.sello", F.lit(0)).alias("first"))
 
 
 WRITE_DOCUMENTS = f"WITH {DECLARATIONS} SELECT person_id, CAST(count(*) AS INTEGER) AS n, arg_min(sello, (coalesce(CAST(fecha_registro AS VARCHAR), ''), numero, pos)) AS first FROM de GROUP BY person_id"
@@ -345,34 +362,55 @@ def union_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.union_people(r.where("en_activo").drop("en_activo"), r.where("not en_activo").select("id", "nombre", "apellidos")).select("id", "grupo", "en_activo")
 
 
+#: People of the forms: single words, in mixed case.
+_GIVEN, _FAMILY, _PLACES = ("Berta", "Marc", "Neus", "Oriol"), (("Ejemplo", "Ficticia"), ("Puig", "Martí"), ("Soler", "Vidal")), (("Alacant", "Alicante"), ("València", "Valencia"), ("Castelló", "Castellón"))
+
+
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A form page of each supplier: a property, two assets and a debt, with amounts from its balance."""
+    """A form of each supplier: a person, a property, two assets and a debt, with amounts from its balance.
+
+    Sections lie lower or higher by supplier, some have a line more, and every third form goes on to a second page.
+    """
     key, cents = F.col("s_suppkey"), F.abs(F.round(F.col("s_acctbal").cast("decimal(20,4)") * 100).cast("long")) + 100
     money = lambda c: F.concat(F.floor(c / 100).cast("string"), F.lit(","), F.lpad((c % 100).cast("string"), 2, "0"))
+    lower = (key % 4 * 5).cast("double")
 
-    def words(text: str, y: int):  # noqa: ANN202
+    def words(tokens: list, y: float):  # noqa: ANN001, ANN202
         x, out = 60.0, []
-        for t in text.split():
-            out.append(F.struct(F.lit(t).alias("t"), F.lit(x).alias("x0"), F.lit(x + 5 * len(t)).alias("x1"), F.lit(float(y)).alias("y0"), F.lit(y + 6.0).alias("y1"), F.lit(0).alias("v")))
-            x += 5 * len(t) + 3
+        top = F.lit(float(y)) + (lower if y >= 240 else 0.0)
+        for t in tokens:
+            size = 5 * len(t) if isinstance(t, str) else 45
+            out.append(F.struct((F.lit(t) if isinstance(t, str) else t).alias("t"), F.lit(x).alias("x0"), F.lit(x + size).alias("x1"), top.alias("y0"), (top + 6).alias("y1"), F.lit(0).alias("v")))
+            x += size + 3
         return out
 
     def box(x0: float, x1: float, y: float, t):  # noqa: ANN001, ANN202
-        return F.struct(F.lit(float(x0)).alias("x0"), F.lit(float(y)).alias("y0"), F.lit(float(x1)).alias("x1"), F.lit(y + 9.0).alias("y1"), (F.lit(t) if isinstance(t, str) else t).alias("t"), F.lit(0).alias("dudoso"), F.lit(None).cast("string").alias("alt"))
+        top = F.lit(float(y)) + lower
+        return F.struct(F.lit(float(x0)).alias("x0"), top.alias("y0"), F.lit(float(x1)).alias("x1"), (top + 9).alias("y1"), (F.lit(t) if isinstance(t, str) else t).alias("t"), F.lit(0).alias("dudoso"), F.lit(None).cast("string").alias("alt"))
 
+    family = [pick(tuple(f[i] for f in _FAMILY), key) for i in (0, 1)]
     lines = [
-        (130, L.TITLES[0]), (150, "DATOS PERSONALES"), (165, "NOMBRE Berta APELLIDOS Ejemplo Ficticia"), (180, "CIRCUNSCRIPCIÓN ELECTORAL Alacant"), (240, "DECLARACIÓN DE ACTIVIDADES"), (300, "1.- Bienes inmuebles urbanos"),
-        (315, "CLAVE TIPO SITUACIÓN (PROVINCIA) VALOR CATASTRAL"), (370, "VALOR CATASTRAL DEL CONJUNTO"), (400, "2.- Bienes y derechos de naturaleza no inmobiliaria"), (415, "DESCRIPCIÓN VALOR (EUROS)"), (520, "3.- PASIVO"), (535, "DESCRIPCIÓN VALOR (EUROS)"), (740, "ESTOS DATOS SE DEBERÁN ACTUALIZAR"),
+        (130, L.TITLES[0].split()), (150, ["DATOS", "PERSONALES"]), (165, ["NOMBRE", pick(_GIVEN, key), "APELLIDOS", *family]), (180, ["CIRCUNSCRIPCIÓN", "ELECTORAL", pick(tuple(p[0] for p in _PLACES), key)]),
+        (240, "DECLARACIÓN DE ACTIVIDADES".split()), (300, "1.- Bienes inmuebles urbanos".split()), (315, "CLAVE TIPO SITUACIÓN (PROVINCIA) VALOR CATASTRAL".split()), (370, "VALOR CATASTRAL DEL CONJUNTO".split()),
+        (400, "2.- Bienes y derechos de naturaleza no inmobiliaria".split()), (415, "DESCRIPCIÓN VALOR (EUROS)".split()),
     ]
+    debts = [(520, "3.- PASIVO".split()), (535, "DESCRIPCIÓN VALOR (EUROS)".split()), (740, "ESTOS DATOS SE DEBERÁN ACTUALIZAR".split())]
     boxes = [
         box(60, 100, 335, pick(("P", "Nuda propiedad", "U"), key)), box(105, 145, 335, pick(("Vivienda", "R", "Local", "Plaza"), key)), box(150, 200, 335, "50%"), box(205, 330, 335, pick(("Alacant", "MADRID", "xx"), key)), box(335, 440, 335, money(cents)),
         box(300, 440, 370, money(cents)), box(60, 300, 435, "Cuenta corriente"), box(310, 440, 435, money(cents + 500)), box(60, 300, 450, "Coche Seat"), box(310, 440, 450, "3.000"), box(300, 440, 480, money(cents + 300500)),
-        box(60, 300, 555, "Préstamo hipotecario"), box(310, 440, 555, money(cents + 7)), box(300, 440, 590, money(cents + 7)),
     ]
+    owed = [box(60, 300, 555, "Préstamo hipotecario"), box(310, 440, 555, money(cents + 7)), box(300, 440, 590, money(cents + 7))]
     seal = F.concat(F.lit("XI"), F.lpad(key.cast("string"), 6, "0"), F.lit(" 05/03/2021 10:15"))
-    return read(spark, sf_dir, "supplier").select(
-        key.cast("string").alias("decl_id"), F.lit(1).alias("num"), F.lit(842.0).alias("alto"), F.lit("texto").alias("metodo"), F.array(*(w for y, t in lines for w in words(t, y))).alias("palabras"), F.array(*boxes).alias("casillas"),
-        F.array(F.struct(seal.alias("t"))).alias("sello"), F.lit("B1").alias("bulletin_id"),
+    one = F.array(*(w for y, t in lines for w in words(t, y)))
+    more = F.array(*words("sin otras actividades".split(), 260))
+    two = F.array(*(w for y, t in debts for w in words(t, y)))
+    first = F.when(key % 2 == 1, F.concat(one, more)).otherwise(one)
+    long = key % 3 == 0  # the debts stand on a page of their own
+    page = lambda num, w, c: F.struct(F.lit(num).alias("num"), w.alias("palabras"), c.alias("casillas"))
+    pages = F.when(long, F.array(page(1, first, F.array(*boxes)), page(2, two, F.array(*owed)))).otherwise(F.array(page(1, F.concat(first, two), F.array(*boxes, *owed))))
+    return read(spark, sf_dir, "supplier").select(key, seal.alias("seal"), F.explode(pages).alias("p")).select(
+        F.col("s_suppkey").cast("string").alias("decl_id"), "p.num", F.lit(842.0).alias("alto"), F.lit("texto").alias("metodo"), "p.palabras", "p.casillas",
+        F.array(F.struct(F.col("seal").alias("t"))).alias("sello"), F.lit("B1").alias("bulletin_id"),
     )
 
 
@@ -411,7 +449,7 @@ def detect_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _forms(spark, sf_dir)
     key = F.col("decl_id").cast("long")
     title = F.when(key % 3 == 0, F.col("palabras")).when(key % 3 == 1, F.transform("palabras", lambda w: w.withField("t", F.regexp_replace(w["t"], "INTERESES|REGISTRO", "INTERESFS")))).otherwise(F.transform("palabras", lambda w: w.withField("t", F.lit("otra"))))
-    return L.detect_cover(f.withColumn("palabras", title), ["decl_id", "num"]).select("decl_id", "is_cover")
+    return L.detect_cover(f.withColumn("palabras", title), ["decl_id", "num"]).select("decl_id", "num", "is_cover")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -439,16 +477,18 @@ def oracle_sql() -> dict[str, str]:
         "headline_counts": f"{W_PEOPLE}, v AS (SELECT * {active} AND coalesce(n_provincias, 0) >= 1) SELECT count(*) AS n_vista, count(*) FILTER (n_viviendas >= 1) AS n_con_vivienda, count(*) FILTER (n_viviendas >= 3) AS n_tres_o_mas, count(*) FILTER (n_inmuebles = 0) AS n_sin_inmueble, count(*) FILTER (tiene_hipoteca) AS n_con_hipoteca, count(*) FILTER (n_inmuebles IS NULL) AS n_sin_leer, (SELECT count(*) {active}) AS n_base FROM v",
         "preset_filters": f"{W_PEOPLE} " + " UNION ALL ".join(f"SELECT '{n}' AS preset, count(*) FILTER ({c}) AS n {active}" for n, c in preset),
         "filter_people": f"{W_PEOPLE} SELECT id, apellidos FROM pe WHERE contains(lower(strip_accents(nombre || ' ' || apellidos)), 'puig') AND coalesce(valor_catastral, 0) >= 1000 AND coalesce(rentas, 0) >= 0 AND revisar",
-        "order_people": f"WITH {ROSTER} SELECT id, en_activo FROM ro", "order_view": f"{W_PEOPLE} SELECT id, pasivo FROM pe",
+        "order_people": f"WITH {ROSTER} SELECT id, en_activo, row_number() OVER (ORDER BY en_activo DESC, {sql_norm('apellidos')}, {sql_norm('nombre')}) AS position FROM ro",
+        "order_view": f"{W_PEOPLE}, r AS (SELECT pasivo, row_number() OVER (ORDER BY pasivo DESC NULLS LAST) AS position FROM pe) SELECT pasivo, min(position) AS first, max(position) AS last, count(*) AS n FROM r GROUP BY pasivo",
         "facets": f"{W_PEOPLE} SELECT DISTINCT 'grupo' AS facet, grupo AS value FROM pe WHERE grupo <> '' UNION SELECT 'circunscripcion', circunscripcion FROM pe WHERE circunscripcion <> '' UNION SELECT 'provincia', p FROM (SELECT unnest(string_split(provincias, ';')) AS p FROM pe) WHERE p <> ''",
-        "export_filtered": EXPORT_FILTERED, "write_tables": f"{W_PEOPLE} SELECT id, cargo, replace(provincias, ';', '; ') AS provincias_inmuebles, replace(motivos, '|', '; ') AS motivos_revision, bocv FROM pe",
+        "export_filtered": EXPORT_FILTERED, "write_tables": f"{W_PEOPLE} SELECT id, cargo, replace(provincias, ';', '; ') AS provincias_inmuebles, replace(motivos, '|', '; ') AS motivos_revision, bocv, CAST(CASE WHEN motivos = '' THEN 0 ELSE len(string_split(motivos, '|')) END AS INTEGER) AS n_motivos FROM pe",
         "write_documents": WRITE_DOCUMENTS, "flatten_items": FLATTEN_ITEMS, "union_income_quota": UNION_INCOME,
         "resolve_unmatched": "SELECT s_suppkey AS decl_id, s_suppkey // 5 * 5 AS leader FROM supplier",
         "union_people": f"WITH {ROSTER} SELECT id, CASE WHEN en_activo THEN grupo END AS grupo, en_activo FROM ro",
-        "flow_pages": f"{forms} SELECT decl_id, 16 AS n_lines, 14 AS n_boxes FROM f", "find_anchor": f"{forms} SELECT decl_id, 240.0 AS y_act, 300.0 AS y_inm, 400.0 AS y_noinm, 520.0 AS y_pas, 740.0 AS y_fin FROM f",
+        "flow_pages": f"{forms} SELECT decl_id, CAST(16 + k % 2 AS INTEGER) AS n_lines, 14 AS n_boxes FROM f",
+        "find_anchor": f"{forms}, s AS (SELECT decl_id, CAST(k % 4 * 5 AS DOUBLE) AS y, CASE WHEN k % 3 = 0 THEN 10000.0 ELSE 0.0 END AS p FROM f) SELECT decl_id, 240 + y AS y_act, 300 + y AS y_inm, 400 + y AS y_noinm, 520 + y + p AS y_pas, 740 + y + p AS y_fin FROM s",
         "property_rows": f"{forms} SELECT decl_id, (['P', 'P', 'U'])[CAST(k % 3 AS INTEGER) + 1] AS clave, (['V', 'R', 'L', 'O'])[CAST(k % 4 AS INTEGER) + 1] AS tipo, CAST(50 AS DOUBLE) AS porcentaje, (['Alicante', 'Madrid', NULL])[CAST(k % 3 AS INTEGER) + 1] AS provincia, CAST(c AS DOUBLE) / 100 AS valor FROM f",
         "property_total": f"{forms} SELECT decl_id, CAST(c AS DOUBLE) / 100 AS total_catastral FROM f",
         "asset_liability_rows": f"{forms} SELECT decl_id, 'Cuenta corriente' AS descripcion, 'cuentas' AS categoria, CAST(c + 500 AS DOUBLE) / 100 AS valor FROM f UNION ALL SELECT decl_id, 'Coche Seat', 'vehiculos', 3000.0 FROM f UNION ALL SELECT decl_id, 'Préstamo hipotecario', 'hipoteca', CAST(c + 7 AS DOUBLE) / 100 FROM f",
-        "person_fields": f"{forms} SELECT decl_id, 'Berta' AS nombre, 'Ejemplo Ficticia' AS apellidos, 'Alicante' AS circunscripcion, CAST(NULL AS VARCHAR) AS partido, CAST(c + 300500 AS DOUBLE) / 100 AS total_otros_bienes, CAST(c + 7 AS DOUBLE) / 100 AS total_pasivo FROM f",
-        "detect_cover": f"{forms} SELECT decl_id, k % 3 <> 2 AS is_cover FROM f",
+        "person_fields": f"{forms} SELECT decl_id, {sql_pick(_GIVEN, 'k')} AS nombre, {sql_pick(tuple(' '.join(x) for x in _FAMILY), 'k')} AS apellidos, {sql_pick(tuple(x[1] for x in _PLACES), 'k')} AS circunscripcion, CAST(NULL AS VARCHAR) AS partido, CAST(c + 300500 AS DOUBLE) / 100 AS total_otros_bienes, CAST(c + 7 AS DOUBLE) / 100 AS total_pasivo FROM f",
+        "detect_cover": f"{forms} SELECT decl_id, 1 AS num, k % 3 <> 2 AS is_cover FROM f UNION ALL SELECT decl_id, 2, FALSE FROM f WHERE k % 3 = 0",
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patrimonia.functions import amounts as A
@@ -15,7 +15,7 @@ from patrimonia.jobs.driver import DECLARATIONS, FORENAMES, ROSTER, SURNAMES, de
 from patrimonia.operators import layout as L
 from patrimonia.operators import sequence as Q
 from patrimonia.sources import tables as IO
-from patrimonia.sources.store import shared_folder
+from patrimonia.sources.store import save, shared_folder
 
 NORM = f"trim(regexp_replace(regexp_replace(upper(replace(translate(regexp_replace(coalesce({{}}, ''), '\\p{{{{Mn}}}}+', '', 'g'), '{T.ACCENTED}', '{T.PLAIN}'), 'ß', 'SS')), '[^A-Z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
 
@@ -141,13 +141,29 @@ FROM orders WHERE o_orderkey % 6 IN (0, 2, 5)
 """
 
 
+def positions(ordered: DataFrame) -> DataFrame:
+    """``ordered`` with position, from 1 in its order: rows are numbered within the sort's partitions, and those in a row."""
+    rows = save(ordered.withColumn("_n", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_n", 33)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
+    starts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.withColumn("part", part).join(starts, "part").withColumn("position", F.col("_n") - F.shiftleft("part", 33) + F.col("start") + 1).drop("part", "start", "_n")
+
+
+def places(ordered: DataFrame, *keys: str) -> DataFrame:
+    """The places that each value of the sort keys takes: from first to last, without gaps."""
+    return positions(ordered).groupBy(*keys).agg(F.min("position").alias("first"), F.max("position").alias("last"), F.count("*").alias("n"))
+
+
 def order_insertions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return IO.order_insertions(_insertions(spark, sf_dir)).select("fecha", "numero", "tipo", "pos")
+    return places(IO.order_insertions(_insertions(spark, sf_dir)), "fecha", "numero", "tipo")
 
 
 ORDER_INSERTIONS = f"""
-SELECT CAST(o_orderdate AS DATE) AS fecha, CAST(o_orderkey % 97 AS INTEGER) AS numero,
-  {sql_pick(("inicial", "inicial", "modificacion", "inicial", "final", "final"), "o_orderkey")} AS tipo, o_orderkey AS pos FROM orders ORDER BY 1, 2, 3
+WITH i AS (
+  SELECT CAST(o_orderdate AS DATE) AS fecha, CAST(o_orderkey % 97 AS INTEGER) AS numero, {sql_pick(("inicial", "inicial", "modificacion", "inicial", "final", "final"), "o_orderkey")} AS tipo FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY fecha, numero, tipo) AS position FROM i)
+SELECT fecha, numero, tipo, min(position) AS first, max(position) AS last, count(*) AS n FROM r GROUP BY ALL
 """
 
 
@@ -239,28 +255,38 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id_bocv, CAST(o_orderkey % 97 AS INTEGER)
 """
 
 
+def _turns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Conversations as bulletins: the second word of each turn as a title, and the turns as pages."""
+    turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("bulletin_id"), (F.col("turn") + 1).cast("int").alias("num"), "text")
+    titles = turns.select("bulletin_id", F.col("num").alias("pos"), F.coalesce(F.get(F.split("text", " "), F.lit(1)), F.lit("")).alias("word"))
+    return titles, turns
+
+
+SQL_TURNS = """
+p AS (SELECT conv_id, CAST(turn + 1 AS INTEGER) AS num, text FROM conversations),
+k AS (SELECT conv_id, num AS pos, coalesce(string_split(text, ' ')[2], '') AS word FROM p)"""
+
+
 def title_start_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages as titles, looked for in the documents of the same tenth."""
-    pages = read(spark, sf_dir, "documents").select((F.col("doc_id") % 10).alias("bulletin_id"), F.col("doc_id").cast("int").alias("num"), T.norm_text("text").alias("texto"))
-    titles = read(spark, sf_dir, "benchmark").select((F.col("item_id") % 10).alias("bulletin_id"), F.col("item_id").alias("pos"), F.concat("text", F.lit(" [1234]")).alias("titulo"))
-    return Q.title_start_page(titles, pages).select("pos", "inicio")
+    """The last turn of a conversation that holds a turn's second word."""
+    titles, turns = _turns(spark, sf_dir)
+    titles = titles.withColumn("titulo", F.concat("word", F.lit(" [1234]")))
+    return Q.title_start_page(titles, turns.select("bulletin_id", "num", T.norm_text("text").alias("texto"))).select("bulletin_id", "pos", "inicio")
 
 
 TITLE_START_PAGE = f"""
-WITH p AS (SELECT doc_id % 10 AS b, doc_id AS num, {sql_norm("text")} AS t FROM documents),
-k AS (SELECT item_id % 10 AS b, item_id AS pos, substr({sql_norm("text")}, 1, 70) AS key FROM benchmark)
-SELECT k.pos, CAST(coalesce(max(p.num), 0) AS INTEGER) AS inicio FROM k LEFT JOIN p ON k.b = p.b AND k.key <> '' AND contains(p.t, k.key) GROUP BY k.pos
+WITH {SQL_TURNS}, n AS (SELECT conv_id, num, {sql_norm("text")} AS t FROM p), w AS (SELECT conv_id, pos, substr({sql_norm("word")}, 1, 70) AS key FROM k)
+SELECT w.conv_id AS bulletin_id, w.pos, CAST(coalesce(max(n.num), 0) AS INTEGER) AS inicio FROM w LEFT JOIN n ON w.conv_id = n.conv_id AND w.key <> '' AND contains(n.t, w.key) GROUP BY 1, 2
 """
 
 
 def contains_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages held by documents of the same tenth."""
-    pages = read(spark, sf_dir, "documents").select((F.col("doc_id") % 10).alias("b"), "doc_id", "text")
-    titles = read(spark, sf_dir, "benchmark").select((F.col("item_id") % 10).alias("b"), "item_id", F.col("text").alias("needle"))
-    return Q.contains_join(titles, pages, "b", "needle", "text").select("item_id", "doc_id")
+    """Turns of a conversation that hold the second word of one of its turns."""
+    titles, turns = _turns(spark, sf_dir)
+    return Q.contains_join(titles, turns, "bulletin_id", "word", "text").select("bulletin_id", "pos", "num")
 
 
-CONTAINS_JOIN = "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON b.item_id % 10 = d.doc_id % 10 AND b.text <> '' AND contains(d.text, b.text)"
+CONTAINS_JOIN = f"WITH {SQL_TURNS} SELECT k.conv_id AS bulletin_id, k.pos, p.num FROM k JOIN p ON k.conv_id = p.conv_id AND k.word <> '' AND contains(p.text, k.word)"
 
 
 def flag_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
