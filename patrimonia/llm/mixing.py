@@ -21,8 +21,10 @@ from patrimonia.llm.store import save
 #: Labelled rows that the classifier is fitted on at most (about), by a hash of doc_id.
 FIT_ROWS = 8_000
 DOMAINS = ("good", "low", "toxic")
-#: Shares of the mixed corpus's tokens; domains without one keep the tokens that they have.
-TARGETS: Mapping[str, float] = {"toxic": 0.01}
+#: Shares of the mixed corpus's tokens. A mix may leave domains out: they keep the tokens that they have.
+TARGETS: Mapping[str, float] = {"good": 0.85, "low": 0.14, "toxic": 0.01}
+#: Steps after which the rates so far are written, so that a step's work doesn't grow with their number.
+STEPS_KEPT = 6
 FEATURES = 1 << 15
 
 
@@ -50,7 +52,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     if few.count() > 2 * fit_rows:
         raise ValueError("the labelled sample is larger than its bound")
     hashed = HashingTF(inputCol="words", outputCol="features", numFeatures=FEATURES, binary=True)
-    sample = text.join(F.broadcast(few), "doc_id").select(F.col("text"), F.col("label").cast("double").alias("label"))
+    # one text of each doc_id, so that the bound is one of rows
+    sample = text.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").cast("double").alias("label"))
     sample = save(sample, "sample").select(_words(F.col("text")).alias("words"), "label")
     seen = sorted(int(x["label"]) for x in sample.select("label").distinct().collect())
     if len(seen) < 2:
@@ -62,35 +65,48 @@ def posteriors(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     return scored.select("doc_id", F.size("words").cast("long").alias("n_tokens"), p.alias("p"))
 
 
-def fit_rates(members: DataFrame, targets: Mapping[str, float], rounds: int = 24, tolerance: float = 1e-4) -> tuple[DataFrame, list[dict[str, float]]]:
-    """``members(n_tokens, p, ...)`` with rate, and the domains' totals after each round.
+def fit_rates(members: DataFrame, targets: Mapping[str, float], tolerance: float = 2e-5) -> tuple[DataFrame, list[dict[str, float]]]:
+    """``members(n_tokens, p, ...)`` with rate, and the domains' totals after each step.
 
     Minimises the distance of the expected domain totals from target share * total tokens, over rates of 0 or
-    more, from rates of 1. Steps are scaled by the domains' Gram matrix, so that one step would reach the targets
-    were no rate held at 0; each document's change is in proportion to its posteriors, whatever its length.
+    more, from rates of 1. Steps are scaled by the Gram matrix of the documents that have a rate above 0, so that one
+    step would reach the targets were no more rates held at 0; a step that doesn't bring the totals nearer is halved.
+    It ends when all totals are within ``tolerance`` of all tokens, or when no step brings them nearer (targets that
+    rates can't meet). Each document's change is in proportion to its posteriors, whatever its length.
     A target of 0 leaves its domain out, however small the domain's share is: documents that most likely belong to it
     get rate 0, and the others are fitted to the other domains' totals, which are theirs alone.
     """
     k = len(DOMAINS)
     none = [i for i, d in enumerate(DOMAINS) if targets.get(d) == 0]
     gone = (F.array_position("p", F.array_max("p")) - 1).isin(none)
-    p, n = [F.lit(0.0) if i in none else F.get("p", F.lit(i)) for i in range(k)], F.when(gone, 0.0).otherwise(F.col("n_tokens").cast("double"))
-    first = members.agg(F.sum(n).alias("n"), *(F.sum(n * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)), *(F.sum(n * p[i]).alias(f"t{i}") for i in range(k))).first()
-    total = float(first["n"] or 0)
+    p = [F.lit(0.0) if i in none else F.get("p", F.lit(i)) for i in range(k)]
+    members = members.withColumn("rate", F.lit(1.0))
+    n = F.when(gone, 0.0).otherwise(F.col("n_tokens").cast("double"))
+
+    def totals(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        now = members.select(n.alias("n"), "p", _rate(steps).alias("r"))
+        free = F.when(F.col("r") > 0, F.col("n")).otherwise(0.0)
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        row = now.agg(*(F.sum(F.col("n") * p[i] * F.col("r")).alias(f"t{i}") for i in range(k)), *(F.sum(free * p[i] * p[j]).alias(f"g{i}{j}") for i, j in pairs)).first()
+        gram = np.zeros((k, k))
+        for i, j in pairs:
+            gram[i, j] = gram[j, i] = float(row[f"g{i}{j}"] or 0)
+        return np.array([float(row[f"t{i}"] or 0) for i in range(k)]), gram
+
     steps: list[list[float]] = []
-    history: list[dict[str, float]] = []
-    if total > 0:
-        gram = np.array([[float(first[f"g{i}{j}"]) for j in range(k)] for i in range(k)])
-        back = np.linalg.pinv(gram, rcond=1e-10)
-        now = np.array([float(first[f"t{i}"]) for i in range(k)])
-        goal = _goal(targets, now)
-        for _ in range(rounds):
-            history.append(dict(zip(DOMAINS, now.tolist(), strict=True)))
-            if np.abs(now - goal).max() <= tolerance * total:
-                break
-            steps.append((back @ (now - goal)).tolist())
-            sums = members.select(n.alias("n"), "p", _rate(steps).alias("r")).agg(*(F.sum(F.col("n") * p[i] * F.col("r")).alias(f"t{i}") for i in range(k))).first()
-            now = np.array([float(sums[f"t{i}"]) for i in range(k)])
+    now, gram = totals(steps)
+    history, total, part = [dict(zip(DOMAINS, now.tolist(), strict=True))], now.sum(), 1.0
+    goal = _goal(targets, now)
+    while total > 0 and np.abs(now - goal).max() > tolerance * total and part > 1e-3:
+        step = (part * np.linalg.pinv(gram, rcond=1e-10) @ (now - goal)).tolist()
+        after, its_gram = totals([*steps, step])
+        if ((after - goal) ** 2).sum() > (1 - 1e-3 * part) * ((now - goal) ** 2).sum():
+            part /= 2
+            continue
+        steps, now, gram, part = [*steps, step], after, its_gram, min(1.0, 2 * part)
+        history.append(dict(zip(DOMAINS, now.tolist(), strict=True)))
+        if len(steps) == STEPS_KEPT:
+            members, steps = save(members.withColumn("rate", _rate(steps)), "rates"), []
     return members.withColumn("rate", F.when(gone, 0.0).otherwise(_rate(steps))), history
 
 
@@ -104,22 +120,23 @@ def _goal(targets: Mapping[str, float], now: np.ndarray) -> np.ndarray:
 
 
 def _rate(steps: list[list[float]]) -> Column:
-    """The rate after projected steps from 1. The steps are one array literal, so that all rounds share one plan."""
+    """The rate after further projected steps. The steps are one array literal, so that all rounds share one plan."""
     if not steps:
-        return F.lit(1.0)
+        return F.col("rate")
     down = lambda step: F.aggregate(F.zip_with("p", step, lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
-    return F.aggregate(F.lit(steps), F.lit(1.0), lambda r, step: F.greatest(F.lit(0.0), r - down(step)))
+    return F.aggregate(F.lit(steps), F.col("rate"), lambda r, step: F.greatest(F.lit(0.0), r - down(step)))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, fit_rows: int = FIT_ROWS, rounds: int = 24) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, fit_rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, n_tokens, p_good, p_low, p_toxic, rate) for each row of ``docs(doc_id, text)``.
 
     ``labels(doc_id, quality, toxic)``: toxic 1 is the domain toxic, else quality 0 is low, else good; rows with
     both null tell nothing, and a document with several labels has the last domain of them. Tokens are runs of
     lower-cased characters between ASCII white space and ``.,;:!?``. A null or empty text has no tokens: its rate
     moves by its posteriors like others', and adds nothing. Repeated rows get one result each; null doc_ids have
-    no label. Other columns play no part. With no tokens at all every rate is 1; no rows give no rows.
+    no label. Other columns play no part. With no tokens at all every rate is 1; no rows give no rows. Targets that
+    rates of 0 or more can't meet are met as nearly as they can be.
     """
     members = save(posteriors(docs, labels, fit_rows), "members")
-    out, _ = fit_rates(members, targets, rounds)
+    out, _ = fit_rates(members, targets)
     return out.select("doc_id", "n_tokens", *(F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)), "rate")
