@@ -1,14 +1,15 @@
 """Line deduplication by an exact set-similarity join of lines' word sets.
 
 Words are ordered by rarity (occurrences by hash bucket, then hash), the same order everywhere. Two sets of
-similarity t share a word among the first n - ceil(t n) + 1 of each, so only those words are joined on; the
-lengths, the places of the shared word and a parity bitmap then rule most pairs out. The pairs that remain are
-dealt to buckets by a shared word; a bucket holds each of its sets once, and verifies its pairs on them.
+similarity t share a word among the first n - ceil(t n) + 1 of each, so only those words are posted, and sets meet
+in the posting lists of their words. There the lengths, the places of the shared word and a parity bitmap rule most
+pairs out. Sets that may have a partner come to the lists again, whole, and pairs are verified and counted where they
+meet: no row stands for a pair, so that rows grow with the lines, however many of them are alike. Long lists are
+dealt out by both ends.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,10 +23,12 @@ from patrimonia.llm.store import drop, pruning, save
 
 #: Buckets of the word counts: what every task receives has this size at any corpus size.
 BUCKET_BITS, SLICES = 20, 64
-#: Pairs of one verification bucket (about), and pairs whose words are looked up at once.
-BUCKET_PAIRS, STEP_PAIRS = 100_000, 10_000
+#: Sets of a posting list that one part of it takes, and pairs whose words are looked up at once.
+LIST_SETS, STEP_PAIRS = 4_096, 10_000
+#: A token is a word's count above the first bits of its hash: tokens sort as words do by rarity.
+TOKEN_BITS = 32
 _U = np.uint64
-_FATE = "cid long, n_links long, later boolean"
+_POSTING = ["token", "cell", "side", "id"]
 
 
 def line_offsets(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +121,8 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
                         fresh[i] = True
                 prefix[~fresh] = 0
                 chosen = np.arange(len(word)) - np.repeat(begin[:-1], size) < np.repeat(prefix, size)
-                token = (word[chosen] & _U(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                rare = word[chosen]
+                token = ((counts[(rare >> _U(64 - BUCKET_BITS)).astype(np.int64)] << _U(TOKEN_BITS)) | (rare >> _U(64 - TOKEN_BITS))).view(np.int64)
                 row = np.repeat(np.arange(part.num_rows), np.diff(of_row))
                 number = np.arange(lines) - of_row[row]
                 full = np.flatnonzero(size)
@@ -132,7 +136,7 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, words) of the lines that ``lines`` names by number, where the line has that set: rows may share a doc_id."""
+    """(cid, words) of the lines that ``lines`` names by number, where the line has that set: rows may share a doc_id. Words are in no order."""
     for batch in batches:
         for part, raw, at in W.chunks(batch):
             line, word, of_row = line_sets(raw, at)
@@ -150,51 +154,148 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(cid), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(word[at_word].view(np.int64)))], ["cid", "words"])
 
 
-def _fates(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """A bucket's ``pairs(bucket, a, b)`` on its ``sets(bucket, cid, doc_id, line_no, words)``: links of each set, and whether one leads to an earlier line."""
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches that are sorted by their first two columns, cut anew so that a list lies within one table."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = [batch.column(i).to_numpy() for i in (0, 1)]
+        change = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1]))
+        fresh = bool(kept) and any(kept[-1].column(i)[-1].as_py() != key[i][0] for i in (0, 1))
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if cut or fresh:
+            done = [*kept, batch.slice(0, cut)] if cut else kept
+            yield pa.Table.from_batches(done).combine_chunks()
+            kept = []
+        kept.append(batch.slice(cut))
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+def _meetings(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one list that lengths and parity allow, n rising within a list; of two parts of a list, pairs across them."""
+    token, cell, side, own, n, parity = (table.column(c).to_numpy() for c in (*_POSTING, "n", "parity"))
+    n, parity = n.astype(np.int64), parity.view(np.uint64)
+    of = np.cumsum(np.concatenate([[0], (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])]))
+    i = np.arange(len(of))
+    for step in range(1, len(of)):
+        i = i[i + step < len(of)]
+        i = i[(of[i] == of[i + step]) & (100 * n[i] >= percent * n[np.minimum(i + step, len(of) - 1)])]  # further ones are longer still
+        if not len(i):
+            return
+        j = i + step
+        fit = (own[i] != own[j]) & ((side[i] < 0) | (side[i] != side[j]))
+        fit &= np.bitwise_count(parity[i] ^ parity[j]).astype(np.int64) * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+        if fit.any():
+            yield i[fit], j[fit]
+
+
+def _active(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows of lists that may have a partner there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _lists(batches):
+            n, at, prior = (table.column(c).to_numpy().astype(np.int64) for c in ("n", "at", "prior"))
+            prior = np.where(prior < 0, -1 - np.arange(len(prior)), prior)  # none: like no other
+            hit = np.zeros(len(n), bool)
+            for i, j in _meetings(table, percent):
+                # a pair that shares the token before too has been met there
+                fit = (prior[i] != prior[j]) & (np.minimum(n[i] - at[i], n[j] - at[j]) * (100 + percent) >= (n[i] + n[j]) * percent)
+                hit[i[fit]] = hit[j[fit]] = True
+            yield from table.select(_POSTING).take(pa.array(np.flatnonzero(hit))).to_batches()
+
+    return run
 
-    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        own = sets.column("cid").to_numpy()
-        order = np.argsort(own)
-        own = own[order]
-        lists = sets.column("words").combine_chunks()
-        lists = (lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists).take(pa.array(order))
+
+class _Sets:
+    """The distinct sets of a table: words and posted tokens, to look pairs up in."""
+
+    def __init__(self, table: pa.Table) -> None:
+        _, row, self.of = np.unique(table.column("id").to_numpy(), return_index=True, return_inverse=True)
+        self.word, self.begin, self.size = self._flat(table, "words", row)
+        self.names, self.word = np.unique(self.word, return_inverse=True)
+        self.held = np.sort(np.repeat(np.arange(len(row)), self.size) * len(self.names) + self.word)
+        token, self.token_begin, self.tokens = self._flat(table, "prefix", row)
+        self.token_names, self.token = np.unique(token, return_inverse=True)
+        self.posted = np.sort(np.repeat(np.arange(len(row)), self.tokens) * len(self.token_names) + self.token)
+
+    @staticmethod
+    def _flat(table: pa.Table, name: str, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lists = table.column(name).combine_chunks()
+        lists = (lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists).take(pa.array(row))
         size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        begin = np.cumsum(size) - size
-        names, word = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        held = np.sort(np.repeat(np.arange(len(own)), size) * len(names) + word)
-        age = np.empty(len(own), np.int64)
-        age[np.lexsort((sets.column("line_no").to_numpy()[order], sets.column("doc_id").to_numpy()[order]))] = np.arange(len(own))
-        all_a, all_b = np.searchsorted(own, pairs.column("a").to_numpy()), np.searchsorted(own, pairs.column("b").to_numpy())
-        links, later = np.zeros(len(own), np.int64), np.zeros(len(own), bool)
-        for i in range(0, len(all_a), STEP_PAIRS):
-            a, b = all_a[i : i + STEP_PAIRS], all_b[i : i + STEP_PAIRS]
-            many = size[a]
-            pair = np.repeat(np.arange(len(a)), many)
-            asked = b[pair] * len(names) + word[np.repeat(begin[a] - (np.cumsum(many) - many), many) + np.arange(len(pair))]
-            found = held[np.minimum(np.searchsorted(held, asked), len(held) - 1)] == asked
-            shared = np.bincount(pair[found], minlength=len(a))
-            linked = 100 * shared >= percent * (size[a] + size[b] - shared)
-            a, b = a[linked], b[linked]
-            links += np.bincount(a, minlength=len(own)) + np.bincount(b, minlength=len(own))
-            later[np.where(age[a] > age[b], a, b)] = True
-        met = np.flatnonzero(links)
-        return pa.table({"cid": own[met], "n_links": links[met], "later": later[met]})
+        return lists.flatten().to_numpy(), np.cumsum(size) - size, size
+
+    @staticmethod
+    def _each(begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pair = np.repeat(np.arange(len(many)), many)
+        return pair, np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(len(pair))
+
+    @staticmethod
+    def _found(held: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        return held[np.minimum(np.searchsorted(held, asked), len(held) - 1)] == asked
+
+    def met_before(self, a: np.ndarray, b: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Pairs that share a rarer posted token: they count there."""
+        own = np.searchsorted(self.token_names, token)
+        pair, at = self._each(self.token_begin[a], self.tokens[a])
+        low = self.token[at] < own[pair]
+        pair, at = pair[low], at[low]
+        return np.bincount(pair[self._found(self.posted, b[pair] * len(self.token_names) + self.token[at])], minlength=len(a)) > 0
+
+    def linked(self, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+        pair, at = self._each(self.begin[a], self.size[a])
+        shared = np.bincount(pair[self._found(self.held, b[pair] * len(self.names) + self.word[at])], minlength=len(a))
+        return 100 * shared >= percent * (self.size[a] + self.size[b] - shared)
+
+
+def _fates(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id, n_links, later): links of sets that count in a list, and whether one of them leads to an earlier line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _lists(batches):
+            sets = _Sets(table)
+            token = table.column("token").to_numpy()
+            age = np.empty(len(token), np.int64)
+            age[np.lexsort((table.column("line_no").to_numpy(), table.column("doc_id").to_numpy()))] = np.arange(len(token))
+            links, later = np.zeros(len(token), np.int64), np.zeros(len(token), bool)
+            for some_i, some_j in _meetings(table, percent):
+                for at in range(0, len(some_i), STEP_PAIRS):
+                    i, j = some_i[at : at + STEP_PAIRS], some_j[at : at + STEP_PAIRS]
+                    first = ~sets.met_before(sets.of[i], sets.of[j], token[i])
+                    i, j = i[first], j[first]
+                    fit = sets.linked(sets.of[i], sets.of[j], percent)
+                    i, j = i[fit], j[fit]
+                    np.add.at(links, i, 1)
+                    np.add.at(links, j, 1)
+                    later[np.where(age[i] > age[j], i, j)] = True
+            met = pa.array(np.flatnonzero(links))
+            told = pa.table({"id": table.column("id"), "n_links": links, "later": later}).take(met)
+            yield from told.to_batches()
 
     return run
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, token): pairs of classes that may be alike, once each, with one of the prefix words that they share."""
-    posting = classes.select(F.posexplode("prefix").alias("at", "token"), "cid", "n", "parity", "prefix")
-    # a pair that shares the word before too, in both prefixes, has been met there
-    posting = posting.withColumn("prior", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1))).drop("prefix")
-    left, right = (posting.withColumnsRenamed({"at": f"at_{x}", "cid": x, "n": f"n_{x}", "parity": f"parity_{x}", "prior": f"prior_{x}"}) for x in "ab")
-    pairs = left.join(right, "token").where("n_a < n_b or (n_a = n_b and a < b)").where(f"100 * n_a >= {percent} * n_b")
-    pairs = pairs.where(f"least(n_a - at_a, n_b - at_b) * {100 + percent} >= (n_a + n_b) * {percent}")
-    pairs = pairs.where(f"bit_count(parity_a ^ parity_b) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
-    pairs = pairs.where("prior_a is null or prior_b is null or prior_a <> prior_b")
-    return pairs.groupBy("a", "b").agg(F.min("token").alias("token"))
+def _posted(classes: DataFrame) -> DataFrame:
+    """(token, cell, side, id, n, parity, at, prior), sorted: the posting lists, long ones in parts.
+
+    A list of more than LIST_SETS sets has parts by a hash of the set; a cell compares one with itself, or two with each other.
+    """
+    posting = classes.select(F.posexplode("prefix").alias("at", "token"), "id", "n", "parity", F.col("prefix").alias("all"))
+    posting = posting.withColumn("prior", F.coalesce(F.when(F.col("at") > 0, F.get("all", F.col("at") - 1)), F.lit(-1))).drop("all")
+    # a list is no longer than its word's count, which the token begins with
+    busy = save(posting.where(F.shiftright("token", TOKEN_BITS) > LIST_SETS).groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LIST_SETS).select("token", F.ceil(F.col("size") / LIST_SETS).cast("int").alias("parts")), "busy")
+    whole = F.struct(F.lit(0).alias("cell"), F.lit(-1).alias("side"))
+    if busy.isEmpty():
+        dealt = posting.withColumn("to", whole)
+    else:
+        own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+        cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(x.alias("x"), own.alias("own")))
+        cells = F.transform(cells, lambda c: F.struct((F.least(c["x"], c["own"]) * F.col("parts") + F.greatest(c["x"], c["own"])).alias("cell"), F.when(c["x"] == c["own"], -1).otherwise((c["own"] > c["x"]).cast("int")).alias("side")))
+        dealt = posting.join(busy, "token", "left").withColumn("to", F.explode(F.when(F.col("parts").isNull(), F.array(whole)).otherwise(cells)))
+    dealt = dealt.select("token", "to.cell", "to.side", "id", "n", "parity", "at", "prior")
+    return dealt.repartition("token", "cell").sortWithinPartitions("token", "cell", "n")
 
 
 def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -204,30 +305,26 @@ def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFr
     its first place as struct(doc_id, line_no). fates(cid, n_links, later): how many other classes are of similarity
     percent / 100 or more, for classes with any, and whether one of them has an earlier first place.
     """
-    occurrences = save(text.mapInArrow(_occurrences(word_counts(text), percent), "doc_id long, line_no int, cid long, n int, parity long, prefix array<int>"), "occurrences")
-    classes = save(occurrences.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), *(F.first(c, ignorenulls=True).alias(c) for c in ("n", "parity", "prefix"))), "classes")
-    pairs = save(_candidates(classes, percent), "pairs")
-    total = pairs.count()
-    buckets = max(32, math.ceil(total / BUCKET_PAIRS))
-    # a word of more pairs than a bucket takes is dealt by both ends to so many parts squared
-    busy = pairs.groupBy("token").agg(F.count("*").alias("n")).where(f"n > {BUCKET_PAIRS}").select("token", F.ceil(F.sqrt(F.col("n") / BUCKET_PAIRS)).cast("int").alias("parts"))
-    split = F.coalesce("parts", F.lit(1))
-    cell = F.xxhash64("token", F.pmod(F.xxhash64("a"), split), F.pmod(F.xxhash64("b"), split))
-    dealt = save(pairs.join(busy, "token", "left").select(F.pmod(cell, F.lit(buckets)).cast("int").alias("bucket"), "a", "b"), "dealt")
-    drop(pairs)
-    members = save(dealt.select("bucket", F.explode(F.array("a", "b")).alias("cid")).distinct(), "members")
-    wanted = save(members.select("cid").distinct().join(classes.select("cid", "first"), "cid"), "wanted")
+    full = save(text.mapInArrow(_occurrences(word_counts(text), percent), "doc_id long, line_no int, cid long, n int, parity long, prefix array<long>"), "lines")
+    classes = full.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), *(F.first(c, ignorenulls=True).alias(c) for c in ("n", "parity", "prefix")))
+    classes = save(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    occurrences = save(full.select("doc_id", "line_no", "cid"), "occurrences")
+    drop(full)
+    active = save(_posted(classes).mapInArrow(_active(percent), "token long, cell int, side int, id long"), "active")
+    wanted = save(active.select("id").distinct().join(classes, "id"), "wanted")
+    places = save(classes.select("id", "cid", "first"), "places")
+    drop(classes)
     lines = wanted.where("cid is not null").groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("cid", F.col("first.line_no").alias("line_no"))).alias("lines"))
     with pruning(text.sparkSession):
         sets = text.join(lines, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sets_of, "cid long, words array<long>")
-        sets = save(sets.dropDuplicates(["cid"]).join(wanted, "cid").select("cid", "first.doc_id", "first.line_no", "words"), "sets")
+        sets = save(sets.dropDuplicates(["cid"]).join(wanted, "cid").select("id", "first.doc_id", "first.line_no", "n", "parity", "prefix", "words"), "sets")
     drop(wanted)
-    held = members.join(sets, "cid")
-    fates = dealt.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(_fates(percent), _FATE)
-    fates = save(fates.groupBy("cid").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later")), "fates")
-    for table in (dealt, members, sets):
+    held = active.join(sets, "id").select(*_POSTING, "n", "parity", "doc_id", "line_no", "prefix", "words").repartition("token", "cell").sortWithinPartitions("token", "cell", "n")
+    fates = held.mapInArrow(_fates(percent), "id long, n_links long, later boolean").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later"))
+    fates = save(places.join(fates, "id").select("cid", "n_links", "later"), "fates")
+    for table in (active, sets):
         drop(table)
-    return occurrences.select("doc_id", "line_no", "cid"), classes.select("cid", "first"), fates
+    return occurrences, places.select("cid", "first"), fates
 
 
 def line_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -243,7 +340,9 @@ def line_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     occurrences, classes, fates = similar_lines(text.where("text is not null"), percent)
-    each = occurrences.dropDuplicates(["doc_id", "line_no", "cid"]).join(classes.join(fates, "cid", "left"), "cid")
+    if not text.groupBy("doc_id").count().where("count > 1").isEmpty():
+        occurrences = occurrences.dropDuplicates(["doc_id", "line_no", "cid"])
+    each = occurrences.join(classes.join(fates, "cid", "left"), "cid")
     gone = F.coalesce("later", F.lit(False)) | (F.struct("doc_id", "line_no") != F.col("first"))
     each = each.groupBy("doc_id").agg(
         F.count("*").alias("n_lines"), F.sum(F.coalesce("n_links", F.lit(0))).alias("n_links"), F.array_sort(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed")

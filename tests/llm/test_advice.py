@@ -106,9 +106,9 @@ def test_lines_of_rows_that_share_a_doc_id(spark):
         assert (got[3].n_lines, got[3].removed, got[4].removed, got[3].n_links) == (1, [], [0], 0)
 
 
-def test_lines_in_many_buckets(spark, monkeypatch):
+def test_lines_in_parts_of_long_lists(spark, monkeypatch):
     """A crowd of lines that share their rarest word: parts of it are verified apart, and no link is lost or counted twice."""
-    monkeypatch.setattr(linedup, "BUCKET_PAIRS", 50)
+    monkeypatch.setattr(linedup, "LIST_SETS", 7)
     rng = random.Random(4)
     base = [f"b{i}" for i in range(20)]
     rows = [(i, " ".join(w for k, w in enumerate(base) if k not in (drop := {rng.randrange(1, 20) for _ in range(2)})) + f" c{rng.randrange(3)}") for i in range(60)]
