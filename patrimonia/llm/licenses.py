@@ -117,41 +117,64 @@ def align(template: np.ndarray, text: np.ndarray, band: int) -> tuple[int, int,
 
 
 class Index:
-    """Inverted index from the templates' winnowed fingerprints to (template, position)."""
+    """Inverted index from the templates' fingerprints to (template, position).
 
-    def __init__(self, templates: Mapping[str, str], gram: int = GRAM, window: int = WINDOW) -> None:
-        self.names, self.gram, self.window = sorted(templates), gram, window
-        raw, offsets = W.text_bytes(pa.array([templates[n] for n in self.names], pa.string()))
-        self.word, _, _, self.at = W.words(raw, offsets, W.NON_ALNUM)
+    Fingerprints are winnowed runs of ``gram`` words. Where the words that ``coverage`` allows to change, and as many
+    insertions as the band takes, could spoil all of a template's runs, its longest words are fingerprints by themselves:
+    twice as many and one more than may change.
+    """
+
+    def __init__(self, templates: Mapping[str, str], coverage: float, band: int, gram: int = GRAM, window: int = WINDOW) -> None:
+        self.names, self.gram = sorted(templates), gram
+        texts = [templates[n] for n in self.names]
+        raw, offsets = W.text_bytes(pa.array(texts, pa.string()))
+        self.word, begin, end, self.at = W.words(raw, offsets, W.NON_ALNUM)
+        size = np.diff(self.at)
+        self.bands = np.maximum(1, np.minimum(band, size // 4))  # far below the distance of two places of a template
         value = grams(self.word, self.at, gram)
         place = winnow(value, self.at, window)
         place = place[value[place] < np.uint64(2**64 - 1)]
-        order = np.argsort(value[place], kind="stable")
-        self.value, self.place = value[place][order], place[order]
-        self.owner = np.searchsorted(self.at, self.place, "right") - 1
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(self.value >> np.uint64(48)).astype(np.int64)] = True
-
-    def least_hits(self, coverage: float) -> np.ndarray:
-        """Fingerprints of each template that must be met: a changed word spoils as many as a run has words at most."""
-        size = np.diff(self.at)
-        spoilt = self.gram * np.floor(np.round((1 - coverage) * size, 9)).astype(np.int64)
-        return np.maximum(1, np.bincount(self.owner, minlength=len(size)) - spoilt)
+        owner = np.searchsorted(self.at, place, "right") - 1
+        changed = np.floor(np.round((1 - coverage) * size, 9)).astype(np.int64)
+        #: Fingerprints of each template that must be met: a changed word spoils as many runs as a run has words at most.
+        self.needed = np.bincount(owner, minlength=len(size)) - gram * changed - (gram - 1) * self.bands
+        by_word = self.needed < 1
+        self.runs = self._filed(value[place][~by_word[owner]], place[~by_word[owner]])
+        chosen = [_EMPTY]
+        for t in np.flatnonzero(by_word):
+            own = np.arange(self.at[t], self.at[t + 1])
+            longest = own[np.lexsort((own, begin[own] - end[own]))][: 2 * changed[t] + 1]
+            self.needed[t] = len(longest) - changed[t]
+            chosen.append(longest)
+        chosen = np.concatenate(chosen)
+        self.words = self._filed(self.word[chosen], chosen)
+
+    def _filed(self, value: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(value, kind="stable")
+        maybe = np.zeros(1 << 16, bool)
+        maybe[(value >> np.uint64(48)).astype(np.int64)] = True
+        return value[order], place[order], maybe
 
     def template(self, number: int) -> np.ndarray:
         return self.word[self.at[number] : self.at[number + 1]]
 
-    def hits(self, value: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(template, template position, text position) for each shared fingerprint."""
-        seen = self.maybe[(value >> np.uint64(48)).astype(np.int64)]
-        value, position = value[seen], position[seen]
-        low, high = np.searchsorted(self.value, value), np.searchsorted(self.value, value, "right")
+    def hits(self, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(template, template position, text position) for each shared fingerprint of texts of ``word``."""
+        found = [self._hits(filed, value) for filed, value in ((self.runs, grams(word, at, self.gram)), (self.words, word)) if len(filed[0])]
+        place, where = (np.concatenate([_EMPTY, *(f[i] for f in found)]) for i in (0, 1))
+        owner = np.searchsorted(self.at, place, "right") - 1
+        return owner, place - self.at[owner], where
+
+    @staticmethod
+    def _hits(filed: tuple[np.ndarray, np.ndarray, np.ndarray], value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        known, place, maybe = filed
+        position = np.flatnonzero(maybe[(value >> np.uint64(48)).astype(np.int64)])
+        value = value[position]
+        low, high = np.searchsorted(known, value), np.searchsorted(known, value, "right")
         some = high > low
-        if not some.any():
-            return _EMPTY, _EMPTY, _EMPTY
         low, many, position = low[some], (high - low)[some], position[some]
-        at = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        return self.owner[at], self.place[at] - self.at[self.owner[at]], np.repeat(position, many)
+        at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        return place[at], np.repeat(position, many)
 
 
 def _centres(row: np.ndarray, template: np.ndarray, diagonal: np.ndarray, needed: np.ndarray, bands: np.ndarray) -> list[int]:
@@ -162,32 +185,34 @@ def _centres(row: np.ndarray, template: np.ndarray, diagonal: np.ndarray, needed
     own = np.diff(np.append(first, len(place)))
     reach = bands[template[first]]
     near = np.searchsorted(place, place[first] + reach, "right") - np.searchsorted(place, place[first] - reach)
-    chosen: dict[int, list[int]] = {}
-    for k in sorted(np.flatnonzero(near >= needed[template[first]]), key=lambda k: (-own[k], k)):
-        i = first[k]
-        taken = chosen.setdefault(int(group[i]), [])
-        if all(abs(diagonal[i] - diagonal[j]) > reach[k] for j in taken):
-            taken.append(int(i))
-    return sorted(i for taken in chosen.values() for i in taken)
-
-
-def _scan(index: Index, coverage: float, band: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    needed = index.least_hits(coverage)
-    bands = np.maximum(1, np.minimum(band, np.diff(index.at) // 4))  # far below the distance of two places of a template
-
+    enough = np.flatnonzero(near >= needed[template[first]])
+    # the fullest first; what lies within its reach (which is the same in a group) is taken with it
+    free = np.zeros(len(first), bool)
+    free[enough] = True
+    lo, hi = np.searchsorted(place[first], place[first] - reach), np.searchsorted(place[first], place[first] + reach, "right")
+    chosen = []
+    for k in enough[np.lexsort((enough, -own[enough]))].tolist():
+        if free[k]:
+            chosen.append(int(first[k]))
+            free[lo[k] : hi[k]] = False
+    return sorted(chosen)
+
+
+def _scan(index: Index, coverage: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw, at in W.chunks(batch):
                 word, start, end, first = W.words(raw, at, W.NON_ALNUM)
-                template, inside, where = index.hits(grams(word, first, index.gram), np.arange(len(word)))
+                template, inside, where = index.hits(word, first)
                 if not len(template):
                     continue
                 row = np.searchsorted(first, where, "right") - 1
                 order = np.lexsort((where - inside, template, row))
                 row, template, diagonal = row[order], template[order], (where - inside)[order]
+                chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # code points before each byte
                 found = []
-                for i in _centres(row, template, diagonal, needed, bands):
-                    band = bands[template[i]]
+                for i in _centres(row, template, diagonal, index.needed, index.bands):
+                    band = index.bands[template[i]]
                     own = index.template(template[i])
                     lo = max(first[row[i]], diagonal[i] - band)
                     hi = min(first[row[i] + 1], diagonal[i] + len(own) + band + 1)
@@ -197,10 +222,8 @@ def _scan(index: Index, coverage: float, band: int) -> Callable[[Iterator[pa.Rec
                     matched, a, b = align(own, np.concatenate([head, word[lo:hi]]), band)
                     if matched >= coverage * len(own) - 1e-9:
                         a, b = lo + max(0, a - len(head)), lo + b - len(head)
-                        text = raw[at[row[i]] : at[row[i] + 1]]
-                        chars = np.cumsum((text & 0xC0) != 0x80)
-                        head_at, stop = start[a] - at[row[i]], end[b - 1] - at[row[i]]
-                        found.append((row[i], index.names[template[i]], matched, matched / len(own), int(chars[head_at] - 1), int(chars[stop - 1])))
+                        zero = chars[at[row[i]]]
+                        found.append((row[i], index.names[template[i]], matched, matched / len(own), int(chars[start[a]] - zero), int(chars[end[b - 1]] - zero)))
                 found = list({(x[0], x[1], x[4], x[5]): x for x in found}.values())
                 if found:
                     rows, names, matched, share, begin, stop = zip(*found, strict=True)
@@ -221,10 +244,11 @@ def license_spans(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cov
     several templates one for each. Null, empty and wordless texts give none; nor do rows with a null doc_id.
     Repeated rows give their passages each. Other columns play no part. Without templates the result is empty.
 
-    The index holds the templates' winnowed runs of GRAM words, one for each WINDOW at least; texts look all their
-    runs up. A template is a candidate where as many of its fingerprints are met, within a band of places, as remain
-    when the share of its words that coverage allows to miss is changed.
+    The index holds the templates' winnowed runs of GRAM words, one for each WINDOW at least, or single words where
+    edits could spoil all runs; texts look all their runs and words up. A template is a candidate where as many of its
+    fingerprints are met, within a band of places, as remain when the share of its words that coverage allows to miss is
+    changed and as many words as the band takes are put in.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    index = Index({k: v for k, v in templates.items() if v and v.strip()})
-    return text.mapInArrow(_scan(index, coverage, band), "doc_id long, license string, n_matched long, coverage double, begin long, end long")
+    index = Index({k: v for k, v in templates.items() if v and v.strip()}, coverage, band)
+    return text.mapInArrow(_scan(index, coverage), "doc_id long, license string, n_matched long, coverage double, begin long, end long")
