@@ -116,3 +116,22 @@ def test_lines_in_parts_of_long_lists(spark, monkeypatch):
     links = {t: sum(o != t and len(sets[o] & sets[t]) * 100 >= 80 * len(sets[o] | sets[t]) for o in sets) for t in sets}
     got = {r.doc_id: r.n_links for r in linedup.line_duplicates(documents(spark, rows)).collect()}
     assert got == {i: links[t] for i, t in rows} and sum(got.values()) > 300
+
+
+def test_stages_with_clashing_columns_and_empty_tables(spark, tmp_path):
+    """Columns named as the stages' own, null ids, repeated rows: each stage returns the columns of its input, and nothing of nothing."""
+    rng = random.Random(9)
+    spark.createDataFrame([(1, " ".join(f"q{i}" for i in range(30)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    names = ("row", "key_of_row", "node", "copies", "rate", "copy", "col", "p", "n", "rejected", "score", "component_id", "shard")
+    form = "doc_id long, text string, lang string, " + ", ".join(f"{c} string" for c in names)
+    text = lambda: " ".join(rng.choice(["casa", "libro", "cielo", "verde", "agua", "tren", f"w{rng.randrange(10**6)}"]) for _ in range(60))
+    rows = [(i if i % 7 else None, text(), "es", *names) for i in range(40)]
+    rows += [rows[3], (50, None, None, *names), (51, "", "es", *names)]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for df in (spark.createDataFrame(rows, form), spark.createDataFrame([], form)):
+            out = stage(spark, df, str(tmp_path))
+            assert out.columns == df.columns, name
+            got = out.collect()
+            assert all(tuple(r[3:]) == names for r in got) and (not df.isEmpty() or not got), name
+            assert df.isEmpty() or len(got) >= 39, name
