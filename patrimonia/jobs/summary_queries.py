@@ -335,16 +335,26 @@ UNION ALL SELECT id, apellidos, nombre, grupo, fecha_registro, 'irpf', 'Cuota IR
 
 
 def _declared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names as declarations have them: a customer's with a letter changed, in other case, by surname only, or of nobody."""
+    """Names as declarations have them: a customer's in other case, with the surname's last letter twice, by surname only, or of nobody."""
     key = F.col("id")
     r = roster(spark, sf_dir)
     name = F.when(key % 4 == 2, F.lit(None).cast("string")).otherwise(F.upper("nombre"))
-    surname = F.when(key % 4 == 1, F.regexp_replace("apellidos", "^.", "X")).when(key % 4 == 3, F.concat(F.lit("Desconocido "), F.md5(key.cast("string").cast("binary")))).otherwise(F.lower("apellidos"))
+    surname = F.when(key % 4 == 1, F.concat("apellidos", F.substring("apellidos", -1, 1))).when(key % 4 == 3, F.concat(F.lit("9"), F.translate(F.md5((-key).cast("string").cast("binary")), "abcdef", "012345"))).otherwise(F.lower("apellidos"))
     return r.select(key.alias("decl_id"), name.alias("nombre"), surname.alias("apellidos"), F.lit("S").alias("sello"), key.alias("ord"))
 
 
+#: A name in other case scores 1; with one letter more the surname's ratio is 2n / (2n + 1), beside an equal name; a
+#: surname alone is met by its equal only, and digits meet nobody.
+MATCH_PEOPLE = f"""
+WITH {ROSTER},
+k AS (SELECT id, len(replace({sql_norm("apellidos")}, ' ', '')) AS s, len(replace({sql_norm("nombre || ' ' || apellidos")}, ' ', '')) AS a FROM ro)
+SELECT id AS decl_id, CASE WHEN id % 4 <> 3 THEN id END AS person_id,
+  CASE id % 4 WHEN 0 THEN 1.0 WHEN 1 THEN greatest(2.0 * a / (2 * a + 1), 0.75 * 2.0 * s / (2 * s + 1) + 0.25) WHEN 2 THEN greatest(2.0 * s / (s + a), 0.75) END::DOUBLE AS score FROM k
+"""
+
+
 def match_people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.match_people(_declared(spark, sf_dir).select("decl_id", "nombre", "apellidos"), roster(spark, sf_dir))
+    return W.match_people(_declared(spark, sf_dir).select("decl_id", "nombre", "apellidos"), roster(spark, sf_dir)).select("decl_id", "person_id", "score")
 
 
 def resolve_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,7 +492,7 @@ def oracle_sql() -> dict[str, str]:
         "facets": f"{W_PEOPLE} SELECT DISTINCT 'grupo' AS facet, grupo AS value FROM pe WHERE grupo <> '' UNION SELECT 'circunscripcion', circunscripcion FROM pe WHERE circunscripcion <> '' UNION SELECT 'provincia', p FROM (SELECT unnest(string_split(provincias, ';')) AS p FROM pe) WHERE p <> ''",
         "export_filtered": EXPORT_FILTERED, "write_tables": f"{W_PEOPLE} SELECT id, cargo, replace(provincias, ';', '; ') AS provincias_inmuebles, replace(motivos, '|', '; ') AS motivos_revision, bocv, CAST(CASE WHEN motivos = '' THEN 0 ELSE len(string_split(motivos, '|')) END AS INTEGER) AS n_motivos FROM pe",
         "write_documents": WRITE_DOCUMENTS, "flatten_items": FLATTEN_ITEMS, "union_income_quota": UNION_INCOME,
-        "resolve_unmatched": "SELECT s_suppkey AS decl_id, s_suppkey // 5 * 5 AS leader FROM supplier",
+        "match_people": MATCH_PEOPLE, "resolve_unmatched": "SELECT s_suppkey AS decl_id, s_suppkey // 5 * 5 AS leader FROM supplier",
         "union_people": f"WITH {ROSTER} SELECT id, CASE WHEN en_activo THEN grupo END AS grupo, en_activo FROM ro",
         "flow_pages": f"{forms} SELECT decl_id, CAST(16 + k % 2 AS INTEGER) AS n_lines, 14 AS n_boxes FROM f",
         "find_anchor": f"{forms}, s AS (SELECT decl_id, CAST(k % 4 * 5 AS DOUBLE) AS y, CASE WHEN k % 3 = 0 THEN 10000.0 ELSE 0.0 END AS p FROM f) SELECT decl_id, 240 + y AS y_act, 300 + y AS y_inm, 400 + y AS y_noinm, 520 + y + p AS y_pas, 740 + y + p AS y_fin FROM s",

@@ -101,19 +101,18 @@ def match_people(declared: DataFrame, roster: DataFrame) -> DataFrame:
     return keyed.join(told, ["_n", "_a"], "left").select(*declared.columns, F.col("m.id").alias("person_id"), F.col("m.score").alias("score"))
 
 
-def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, component) for ``nodes(node)`` and ``edges(a, b)``: the smallest node reached, by spreading minima with shortcuts."""
+def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, component) for ``nodes(node)`` and ``edges(a, b)``: the smallest node reached, by spreading minima with shortcuts until none moves."""
     both = save(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     now = save(nodes.select("node", F.col("node").alias("component")), "nodes")
-    for _ in range(rounds):
+    moved = True
+    while moved:
         near = both.join(now.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         spread = now.join(near, "node", "left").select("node", F.col("component").alias("was"), F.least("component", F.coalesce("near", "component")).alias("component"))
         jump = spread.select(F.col("node").alias("component"), F.col("component").alias("up"))
         after = save(spread.join(jump, "component").select("node", "was", F.least("component", "up").alias("component")), "nodes")
-        moved = after.where("was <> component").limit(1).count()
+        moved = not after.where("was <> component").isEmpty()
         now = after.select("node", "component")
-        if not moved:
-            break
     return now
 
 
@@ -154,7 +153,9 @@ def resolve_unmatched(declarations: DataFrame) -> DataFrame:
 
     In the order of ``ord`` each joins the best person made before it, by the rules of ``match_people``, or makes
     one; a person without a name is stored with a text in its place. Only declarations that may match are brought
-    together: components of candidate pairs, in either direction. Blank ones make a person each.
+    together: components of pairs of distinct names that the rules accept, in either direction. Blank ones make a person
+    each. A component is decided in one task, row by row, as the order of its rows decides; a name that a large share of
+    the declarations bears is a component as large.
     """
     kept = declarations.select("decl_id", "nombre", "apellidos", "sello", F.struct("ord", "decl_id").alias("_o"))
     stored = F.when(F.trim(F.coalesce("nombre", F.lit(""))) == "", NO_NAME).otherwise(F.col("nombre"))
@@ -162,7 +163,9 @@ def resolve_unmatched(declarations: DataFrame) -> DataFrame:
     texts = [c for c in both.columns if c[:2] in ("d_", "r_")]
     names = both.select(*texts).distinct().withColumn("_key", F.xxhash64(*texts))
     right = names.select(F.col("_key").alias("_to"), *(c for c in texts if c[0] == "r"))
-    pairs = candidate_pairs(names, right, "_key", "_to").where("_key <> _to").select(F.col("_key").alias("a"), F.col("_to").alias("b"))
+    near = candidate_pairs(names, right, "_key", "_to").where("_key <> _to")
+    scored = score_pairs(near.join(names.select("_key", *(c for c in texts if c[0] == "d")), "_key").join(right, "_to"))
+    pairs = scored.where((F.col("score") >= MATCH) | (F.col("s_sur") >= SURNAME_MATCH)).select(F.col("_key").alias("a"), F.col("_to").alias("b"))
     groups = connected(pairs, names.select(F.col("_key").alias("node")))
     rows = both.withColumn("_key", F.xxhash64(*texts)).join(groups.withColumnRenamed("node", "_key"), "_key")
     blank = (F.col("d_all") == "")
