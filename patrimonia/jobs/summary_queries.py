@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from patrimonia.jobs import bulletins as B
 from patrimonia.jobs import people as P
 from patrimonia.jobs.driver import DECLARATIONS, DISTRICTS, FORENAMES, INCOME, ROSTER, SURNAMES, declarations, income, items, pick, read, roster, sql_pick, statements, table_of
 from patrimonia.jobs.order_queries import CURRENT
@@ -462,11 +463,40 @@ def detect_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.detect_cover(f.withColumn("palabras", title), ["decl_id", "num"]).select("decl_id", "num", "is_cover")
 
 
+def _bulletins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The forms in ten bulletins, a page of something else behind every fifth; two insertions each; corrections by seal."""
+    f = _forms(spark, sf_dir).withColumn("k", F.col("decl_id").cast("long")).drop("decl_id").withColumn("bulletin_id", F.concat(F.lit("B"), (F.col("k") % 10).cast("string")))
+    other = f.where("num = 1 and k % 5 = 0").withColumns({"num": F.lit(3), "sello": F.lit(None).cast(dict(f.dtypes)["sello"]), "palabras": F.slice("palabras", 8, 2), "casillas": F.slice("casillas", 1, 0)})
+    pages = f.unionByName(other).withColumn("num", F.row_number().over(Window.partitionBy("bulletin_id").orderBy("k", "num"))).drop("k")
+    one = lambda pos, title, kind: f.select("bulletin_id").distinct().select("bulletin_id", F.lit(pos).alias("pos"), F.lit(title).alias("titulo"), F.lit(kind).alias("tipo"), F.lit(7).alias("numero"), F.lit("2021-04-01").cast("date").alias("fecha"), F.lit("https://boletin.example/7").alias("url_pdf"))
+    insertions = one(1, "Declaraciones de bienes [1]", "inicial").unionByName(one(2, "Datos personales [2]", "modificacion"))
+    text = F.concat(F.lit('{"XI'), F.lpad(F.col("s_suppkey").cast("string"), 6, "0"), F.lit('": {"motivo": "a mano", "persona": {"nombre": "Otra"}, "inmuebles": [{"clave": "P", "tipo": "V", "porcentaje": 100, "valor_catastral": 1000.5}], "total_catastral": 1000.5}}'))
+    return pages, insertions, IO.parse_corrections(read(spark, sf_dir, "supplier").where("s_suppkey % 7 = 0").select(text.alias("value")))
+
+
+def bulletin_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to checked declarations: seal, pages, kind by insertion, person, totals and sums, with corrections."""
+    d = B.read_bulletins(*_bulletins(spark, sf_dir)).declarations
+    return d.select("sello", "bulletin_id", F.size("paginas").alias("n_paginas"), "tipo", "metodo", "persona.nombre", "persona.apellidos", "total_catastral", "total_otros_bienes", "suma_inmuebles_cuadra", "suma_otros_cuadra", "suma_pasivo_cuadra", "has_property")
+
+
+def bulletin_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's people: a roster of one of the forms' people, and those that only declarations name, with how many declarations each has."""
+    roster_ = spark.createDataFrame([("p1", "Berta", "Ejemplo Ficticia", "Grupo", "Alicante", 1)], "id string, nombre string, apellidos string, grupo string, circunscripcion string, roster_pos long")
+    owned, people = B.link_people(B.read_bulletins(*_bulletins(spark, sf_dir)), roster_)
+    n = owned.declarations.groupBy(F.col("person_id").alias("id")).agg(F.count("*").alias("n"))
+    return people.join(n, "id", "left").select("id", "nombre", "apellidos", "en_activo", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+BULLETIN_RUN = """
+s AS (SELECT f.*, k % 10 AS b, k % 7 = 0 AS m, k = max(k) OVER (PARTITION BY k % 10) AS last FROM f)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         conditional_sum, reconcile_totals, repair_with_alternatives, clear_doubt, flag_illegible, flag_repeated_totals, flag_misfiled_assets, summarize_people, quality_report, assemble_people, many_homes,
         attach_income, run_metadata, headline_counts, preset_filters, filter_people, order_people, order_view, facets, export_filtered, write_tables, write_documents, flatten_items, union_income_quota,
-        match_people, resolve_unmatched, union_people, flow_pages, find_anchor, property_rows, property_total, asset_liability_rows, person_fields, detect_cover,
+        match_people, resolve_unmatched, union_people, flow_pages, find_anchor, property_rows, property_total, asset_liability_rows, person_fields, detect_cover, bulletin_run,
     )
     return {f.__name__: f for f in own}
 
@@ -500,5 +530,8 @@ def oracle_sql() -> dict[str, str]:
         "property_total": f"{forms} SELECT decl_id, CAST(c AS DOUBLE) / 100 AS total_catastral FROM f",
         "asset_liability_rows": f"{forms} SELECT decl_id, 'Cuenta corriente' AS descripcion, 'cuentas' AS categoria, CAST(c + 500 AS DOUBLE) / 100 AS valor FROM f UNION ALL SELECT decl_id, 'Coche Seat', 'vehiculos', 3000.0 FROM f UNION ALL SELECT decl_id, 'Préstamo hipotecario', 'hipoteca', CAST(c + 7 AS DOUBLE) / 100 FROM f",
         "person_fields": f"{forms} SELECT decl_id, {sql_pick(_GIVEN, 'k')} AS nombre, {sql_pick(tuple(' '.join(x) for x in _FAMILY), 'k')} AS apellidos, {sql_pick(tuple(x[1] for x in _PLACES), 'k')} AS circunscripcion, CAST(NULL AS VARCHAR) AS partido, CAST(c + 300500 AS DOUBLE) / 100 AS total_otros_bienes, CAST(c + 7 AS DOUBLE) / 100 AS total_pasivo FROM f",
+        "bulletin_run": f"{forms},{BULLETIN_RUN} SELECT 'XI' || lpad(CAST(k AS VARCHAR), 6, '0') AS sello, 'B' || b AS bulletin_id, CAST(CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS n_paginas, CASE WHEN last THEN 'modificacion' ELSE 'inicial' END AS tipo, CASE WHEN m THEN 'manual' ELSE 'texto' END AS metodo,"
+        f" CASE WHEN m THEN 'Otra' ELSE {sql_pick(_GIVEN, 'k')} END AS nombre, {sql_pick(tuple(' '.join(x) for x in _FAMILY), 'k')} AS apellidos, CASE WHEN m THEN 1000.5 ELSE CAST(c AS DOUBLE) / 100 END AS total_catastral, CASE WHEN NOT m THEN CAST(c + 300500 AS DOUBLE) / 100 END AS total_otros_bienes,"
+        " TRUE AS suma_inmuebles_cuadra, CASE WHEN NOT m THEN TRUE END AS suma_otros_cuadra, CASE WHEN NOT m THEN TRUE END AS suma_pasivo_cuadra, TRUE AS has_property FROM s",
         "detect_cover": f"{forms} SELECT decl_id, 1 AS num, k % 3 <> 2 AS is_cover FROM f UNION ALL SELECT decl_id, 2, FALSE FROM f WHERE k % 3 = 0",
     }
