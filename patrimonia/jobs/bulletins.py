@@ -79,6 +79,7 @@ def publish(people: DataFrame, read: P.Read, income_items: DataFrame, statements
     """The five tables and the nested documents of a run, from the output of ``jobs.people.build``."""
     own = save(people, "people")
     items = {t: S.flatten_items(own, getattr(read, t), S.ITEM_COLUMNS) for t in ("otros_bienes", "pasivo")}
+    items["inmuebles"] = S.flatten_items(own, read.inmuebles, S.PROPERTY_COLUMNS)
     items["rentas"] = S.union_income_quota(own, income_items, statements)
     IO.write_tables({"personas": own.select(*(c for c in S.PEOPLE_COLUMNS if c in own.columns)), **items}, folder)
     IO.write_documents(own, D.declaration_history(read.declarations), S.run_metadata(own), folder)

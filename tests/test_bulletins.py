@@ -25,5 +25,7 @@ def test_run_from_pages_to_tables(spark, tmp_path):
     B.publish(built, owned, items, statements, str(tmp_path))
     told = {r.id: r for r in spark.read.parquet(f"{tmp_path}/parquet/personas").collect()}
     assert set(told) == ids and told["p2"].n_inmuebles is None and told["p1"].n_inmuebles == 1 and told["p1"].rentas == 10.0
+    homes = spark.read.parquet(f"{tmp_path}/parquet/inmuebles").collect()
+    assert len(homes) == sum(r.n_inmuebles or 0 for r in told.values()) and all(r.valor_catastral > 0 for r in homes)
     assert spark.read.parquet(f"{tmp_path}/parquet/otros_bienes").count() >= 2 and spark.read.parquet(f"{tmp_path}/parquet/rentas").count() == 2
     assert spark.read.json(f"{tmp_path}/json/declaraciones").count() == len({p for p, _, _ in owner.values()})
