@@ -3,9 +3,9 @@
 Words are ordered by rarity (occurrences by hash bucket, then hash), the same order everywhere. Two sets of
 similarity t share a word among the first n - ceil(t n) + 1 of each, so only those words are posted, and sets meet
 in the posting lists of their words. There the lengths, the places of the shared word and a parity bitmap rule most
-pairs out. Sets that may have a partner come to the lists again, whole, and pairs are verified and counted where they
-meet: no row stands for a pair, so that rows grow with the lines, however many of them are alike. Long lists are
-dealt out by both ends.
+pairs out. Sets that may have a partner come to the lists again with a parity bitmap that grows with the set, and
+those that still may, whole: pairs are verified and counted where they meet first. No row stands for a pair, so that
+rows grow with the lines, however many of them are alike. Long lists are dealt out by both ends.
 """
 
 from __future__ import annotations
@@ -23,8 +23,12 @@ from patrimonia.llm.store import drop, pruning, save
 
 #: Buckets of the word counts: what every task receives has this size at any corpus size.
 BUCKET_BITS, SLICES = 20, 64
-#: Sets of a posting list that one part of it takes, and pairs whose words are looked up at once.
-LIST_SETS, STEP_PAIRS = 4_096, 10_000
+#: Sets of a posting list that one part of it takes, and words of pairs that are looked up at once.
+LIST_SETS, STEP_WORDS = 4_096, 1_000_000
+#: Words whose buckets are counted at once.
+COUNT_WORDS = 1 << 20
+#: Words of a set for each 64 bits of its bitmap (a power of two in all).
+SKETCH_WORDS = 16
 #: A token is a word's count above the first bits of its hash: tokens sort as words do by rarity.
 TOKEN_BITS = 32
 _U = np.uint64
@@ -59,10 +63,20 @@ def line_sets(raw: np.ndarray, at: np.ndarray, counts: np.ndarray | None = None)
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << BUCKET_BITS, np.int64)
+    seen: list[np.ndarray] = []
+
+    def add() -> None:
+        if seen:
+            np.add(total, np.bincount(np.concatenate(seen), minlength=len(total)), out=total)
+            seen.clear()
+
     for batch in batches:
         for _, raw, at in W.chunks(batch):
             word, _, _, _ = W.words(raw, at)
-            total += np.bincount((word >> _U(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
+            seen.append((word >> _U(64 - BUCKET_BITS)).astype(np.int32))
+            if sum(map(len, seen)) >= COUNT_WORDS:
+                add()
+    add()
     parts = total.reshape(SLICES, -1)
     task = TaskContext.get().partitionId()
     used = [np.flatnonzero(p) for p in parts]
@@ -135,8 +149,17 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
     return run
 
 
+def _sketches(word: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmaps of sets whose words follow one another, in 64-bit pieces, and how many pieces each has."""
+    pieces = 1 << np.ceil(np.log2(np.maximum(size, 1) / SKETCH_WORDS)).clip(0).astype(np.int64)
+    begin = np.cumsum(pieces) - pieces
+    bit = np.repeat(begin * 64, size) + (word & (np.repeat(pieces, size) * 64 - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=int(pieces.sum()) * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64), pieces
+
+
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, words) of the lines that ``lines`` names by number, where the line has that set: rows may share a doc_id. Words are in no order."""
+    """(cid, words, sketch) of the lines that ``lines`` names by number, where the line has that set: rows may share a doc_id. Words are in no order."""
     for batch in batches:
         for part, raw, at in W.chunks(batch):
             line, word, of_row = line_sets(raw, at)
@@ -151,7 +174,9 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo, hi = np.searchsorted(line, number), np.searchsorted(line, number, "right")
             offsets = np.concatenate([[0], np.cumsum(hi - lo)])
             at_word = np.repeat(lo - offsets[:-1], hi - lo) + np.arange(offsets[-1])
-            yield pa.record_batch([pa.array(cid), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(word[at_word].view(np.int64)))], ["cid", "words"])
+            sketch, pieces = _sketches(word[at_word], hi - lo)
+            lists = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(flat.view(np.int64))) for many, flat in ((hi - lo, word[at_word]), (pieces, sketch)))
+            yield pa.record_batch([pa.array(cid), *lists], ["cid", "words", "sketch"])
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -208,64 +233,108 @@ def _active(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-class _Sets:
-    """The distinct sets of a table: words and posted tokens, to look pairs up in."""
+def _each(begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, place) of so many places from each pair's first."""
+    pair = np.repeat(np.arange(len(many)), many)
+    return pair, np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(len(pair))
+
 
-    def __init__(self, table: pa.Table) -> None:
-        _, row, self.of = np.unique(table.column("id").to_numpy(), return_index=True, return_inverse=True)
-        self.word, self.begin, self.size = self._flat(table, "words", row)
-        self.names, self.word = np.unique(self.word, return_inverse=True)
-        self.held = np.sort(np.repeat(np.arange(len(row)), self.size) * len(self.names) + self.word)
-        token, self.token_begin, self.tokens = self._flat(table, "prefix", row)
-        self.token_names, self.token = np.unique(token, return_inverse=True)
-        self.posted = np.sort(np.repeat(np.arange(len(row)), self.tokens) * len(self.token_names) + self.token)
+class _Held:
+    """A list column of the distinct sets ``row`` of a table, to look values up in."""
 
-    @staticmethod
-    def _flat(table: pa.Table, name: str, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __init__(self, table: pa.Table, name: str, row: np.ndarray) -> None:
         lists = table.column(name).combine_chunks()
         lists = (lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists).take(pa.array(row))
-        size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        return lists.flatten().to_numpy(), np.cumsum(size) - size, size
+        self.size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.names, self.value = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        self.held = np.sort(np.repeat(np.arange(len(row)), self.size) * len(self.names) + self.value)
+
+    def shared(self, a: np.ndarray, b: np.ndarray, below: np.ndarray | None = None) -> np.ndarray:
+        """How many values of set a the set b holds, of each pair; only those under ``below`` where it is given."""
+        pair, at = _each(self.begin[a], self.size[a])
+        if below is not None:
+            low = self.value[at] < np.searchsorted(self.names, below)[pair]
+            pair, at = pair[low], at[low]
+        asked = b[pair] * len(self.names) + self.value[at]
+        found = self.held[np.minimum(np.searchsorted(self.held, asked), len(self.held) - 1)] == asked
+        return np.bincount(pair[found], minlength=len(a))
+
+
+class _Sketches:
+    """The bitmaps of the distinct sets ``row`` of a table."""
+
+    def __init__(self, table: pa.Table, row: np.ndarray) -> None:
+        lists = table.column("sketch").combine_chunks()
+        lists = (lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists).take(pa.array(row))
+        self.pieces = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.begin = np.cumsum(self.pieces) - self.pieces
+        self.bits = lists.flatten().to_numpy().view(np.uint64)
+
+    def _folded(self, of: np.ndarray, width: int) -> np.ndarray:
+        out = self.bits[self.begin[of][:, None] + np.arange(width)]
+        for k in range(1, int(self.pieces[of].max()) // width):
+            more = np.flatnonzero(self.pieces[of] > k * width)
+            out[more] ^= self.bits[self.begin[of][more][:, None] + k * width + np.arange(width)]
+        return out
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Words that one set of a pair has and the other hasn't: no fewer than this."""
+        out = np.zeros(len(a), np.int64)
+        width = np.minimum(self.pieces[a], self.pieces[b])
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            out[at] = np.bitwise_count(self._folded(a[at], int(w)) ^ self._folded(b[at], int(w))).sum(axis=1)
+        return out
+
 
-    @staticmethod
-    def _each(begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        pair = np.repeat(np.arange(len(many)), many)
-        return pair, np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(len(pair))
+def _steps(i: np.ndarray, j: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs in runs of about STEP_WORDS words."""
+    step = np.cumsum(n[i]) // STEP_WORDS
+    cut = np.flatnonzero(step[1:] != step[:-1]) + 1
+    yield from zip(np.split(i, cut), np.split(j, cut), strict=True)
 
-    @staticmethod
-    def _found(held: np.ndarray, asked: np.ndarray) -> np.ndarray:
-        return held[np.minimum(np.searchsorted(held, asked), len(held) - 1)] == asked
 
-    def met_before(self, a: np.ndarray, b: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Pairs that share a rarer posted token: they count there."""
-        own = np.searchsorted(self.token_names, token)
-        pair, at = self._each(self.token_begin[a], self.tokens[a])
-        low = self.token[at] < own[pair]
-        pair, at = pair[low], at[low]
-        return np.bincount(pair[self._found(self.posted, b[pair] * len(self.token_names) + self.token[at])], minlength=len(a)) > 0
+def _sure(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows of lists where a set meets one first that its whole bitmap doesn't rule out."""
 
-    def linked(self, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-        pair, at = self._each(self.begin[a], self.size[a])
-        shared = np.bincount(pair[self._found(self.held, b[pair] * len(self.names) + self.word[at])], minlength=len(a))
-        return 100 * shared >= percent * (self.size[a] + self.size[b] - shared)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _lists(batches):
+            _, row, of = np.unique(table.column("id").to_numpy(), return_index=True, return_inverse=True)
+            sketches, posted = _Sketches(table, row), _Held(table, "prefix", row)
+            token, n = table.column("token").to_numpy(), table.column("n").to_numpy().astype(np.int64)
+            hit = np.zeros(len(n), bool)
+            for some in _meetings(table, percent):
+                for i, j in _steps(*some, n):
+                    fit = sketches.apart(of[i], of[j]) * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+                    i, j = i[fit], j[fit]
+                    fit = posted.shared(of[i], of[j], token[i]) == 0
+                    hit[i[fit]] = hit[j[fit]] = True
+            yield from table.select(_POSTING).take(pa.array(np.flatnonzero(hit))).to_batches()
+
+    return run
 
 
 def _fates(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(id, n_links, later): links of sets that count in a list, and whether one of them leads to an earlier line."""
+    """(id, n_links, later): links of sets that count in a list, and whether one of them leads to an earlier line.
+
+    A pair counts in the list of the rarest posted word that it shares.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _lists(batches):
-            sets = _Sets(table)
-            token = table.column("token").to_numpy()
+            _, row, of = np.unique(table.column("id").to_numpy(), return_index=True, return_inverse=True)
+            words, posted = _Held(table, "words", row), _Held(table, "prefix", row)
+            token, n = table.column("token").to_numpy(), table.column("n").to_numpy().astype(np.int64)
             age = np.empty(len(token), np.int64)
             age[np.lexsort((table.column("line_no").to_numpy(), table.column("doc_id").to_numpy()))] = np.arange(len(token))
             links, later = np.zeros(len(token), np.int64), np.zeros(len(token), bool)
-            for some_i, some_j in _meetings(table, percent):
-                for at in range(0, len(some_i), STEP_PAIRS):
-                    i, j = some_i[at : at + STEP_PAIRS], some_j[at : at + STEP_PAIRS]
-                    first = ~sets.met_before(sets.of[i], sets.of[j], token[i])
+            for some in _meetings(table, percent):
+                for i, j in _steps(*some, n):
+                    first = posted.shared(of[i], of[j], token[i]) == 0
                     i, j = i[first], j[first]
-                    fit = sets.linked(sets.of[i], sets.of[j], percent)
+                    shared = words.shared(of[i], of[j])
+                    fit = 100 * shared >= percent * (n[i] + n[j] - shared)
                     i, j = i[fit], j[fit]
                     np.add.at(links, i, 1)
                     np.add.at(links, j, 1)
@@ -316,13 +385,14 @@ def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFr
     drop(classes)
     lines = wanted.where("cid is not null").groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("cid", F.col("first.line_no").alias("line_no"))).alias("lines"))
     with pruning(text.sparkSession):
-        sets = text.join(lines, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sets_of, "cid long, words array<long>")
-        sets = save(sets.dropDuplicates(["cid"]).join(wanted, "cid").select("id", "first.doc_id", "first.line_no", "n", "parity", "prefix", "words"), "sets")
+        sets = text.join(lines, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sets_of, "cid long, words array<long>, sketch array<long>")
+        sets = save(sets.dropDuplicates(["cid"]).join(wanted, "cid").select("id", "first.doc_id", "first.line_no", "n", "parity", "prefix", "words", "sketch"), "sets")
     drop(wanted)
-    held = active.join(sets, "id").select(*_POSTING, "n", "parity", "doc_id", "line_no", "prefix", "words").repartition("token", "cell").sortWithinPartitions("token", "cell", "n")
-    fates = held.mapInArrow(_fates(percent), "id long, n_links long, later boolean").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later"))
+    in_lists = lambda rows, *more: rows.join(sets, "id").select(*_POSTING, "n", "parity", *more).repartition("token", "cell").sortWithinPartitions("token", "cell", "n")
+    sure = save(in_lists(active, "prefix", "sketch").mapInArrow(_sure(percent), "token long, cell int, side int, id long"), "sure")
+    fates = in_lists(sure, "doc_id", "line_no", "prefix", "words").mapInArrow(_fates(percent), "id long, n_links long, later boolean").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later"))
     fates = save(places.join(fates, "id").select("cid", "n_links", "later"), "fates")
-    for table in (active, sets):
+    for table in (active, sets, sure):
         drop(table)
     return occurrences, places.select("cid", "first"), fates
 
