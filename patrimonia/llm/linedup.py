@@ -113,9 +113,24 @@ def _names(line: np.ndarray, word: np.ndarray, lines: int) -> np.ndarray:
     return W.mix(total[at[1:]] - total[at[:-1]], 1).view(np.int64)
 
 
-def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    counts = np.minimum(counts, 2**22 - 1).astype(np.uint64)
+def _parity(line: np.ndarray, word: np.ndarray, lines: int) -> np.ndarray:
+    """A bit for each value of a word's last six bits: whether an odd number of a line's words have it."""
+    odd = np.bincount(line * 64 + (word & _U(63)).astype(np.int64), minlength=lines * 64) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _tokens(word: np.ndarray, size: np.ndarray, wanted: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many words each of the ``wanted`` sets posts, and their tokens; words are by set and rarity."""
+    prefix = np.where(wanted & (size > 0), size - -(-percent * size // 100) + 1, 0)
+    rare = word[np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size) < np.repeat(prefix, size)]
+    return prefix, ((counts[(rare >> _U(64 - BUCKET_BITS)).astype(np.int64)] << _U(TOKEN_BITS)) | (rare >> _U(64 - TOKEN_BITS))).view(np.int64)
+
 
+def _list_array(size: np.ndarray, flat: np.ndarray, **more: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat), **more)
+
+
+def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: set[int] = set()
@@ -123,32 +138,32 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
                 line, word, of_row = line_sets(raw, at, counts)
                 lines = int(of_row[-1])
                 size = np.bincount(line, minlength=lines)
-                odd = np.bincount(line * 64 + (word & _U(63)).astype(np.int64), minlength=lines * 64) & 1
-                parity = (odd.astype(np.uint64).reshape(lines, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+                parity = _parity(line, word, lines)
                 cid = _names(line, word, lines)
-                begin = np.concatenate([[0], np.cumsum(size)])
-                prefix = np.where(size > 0, size - -(-percent * size // 100) + 1, 0)
                 fresh = np.zeros(lines, bool)  # a batch gives a set's prefix once
                 for i in np.unique(cid, return_index=True)[1]:
                     if cid[i] not in known:
                         known.add(int(cid[i]))
                         fresh[i] = True
-                prefix[~fresh] = 0
-                chosen = np.arange(len(word)) - np.repeat(begin[:-1], size) < np.repeat(prefix, size)
-                rare = word[chosen]
-                token = ((counts[(rare >> _U(64 - BUCKET_BITS)).astype(np.int64)] << _U(TOKEN_BITS)) | (rare >> _U(64 - TOKEN_BITS))).view(np.int64)
+                prefix, token = _tokens(word, size, fresh, counts, percent)
                 row = np.repeat(np.arange(part.num_rows), np.diff(of_row))
                 number = np.arange(lines) - of_row[row]
                 full = np.flatnonzero(size)
-                held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(prefix[full])]).astype(np.int32)), pa.array(token), mask=pa.array(~fresh[full]))
+                held = _list_array(prefix[full], token, mask=pa.array(~fresh[full]))
                 yield pa.record_batch(
-                    [part.column(0).take(pa.array(row[full])), pa.array(number[full].astype(np.int32)), pa.array(cid[full]), pa.array(size[full].astype(np.int32)), pa.array(parity[full].view(np.int64)), held],
+                    [part.column(0).take(pa.array(row[full])), pa.array(number[full].astype(np.int32)), pa.array(cid[full]), pa.array(size[full].astype(np.int32)), pa.array(parity[full]), held],
                     ["doc_id", "line_no", "cid", "n", "parity", "prefix"],
                 )
 
     return run
 
 
+def _each(begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, place) of so many places from each pair's first."""
+    pair = np.repeat(np.arange(len(many)), many)
+    return pair, np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(len(pair))
+
+
 def _sketches(word: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Parity bitmaps of sets whose words follow one another, in 64-bit pieces, and how many pieces each has."""
     pieces = 1 << np.ceil(np.log2(np.maximum(size, 1) / SKETCH_WORDS)).clip(0).astype(np.int64)
@@ -158,29 +173,39 @@ def _sketches(word: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.packbits(odd, bitorder="little").view(np.uint64), pieces
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, words, sketch) of the lines that ``lines`` names by number, where the line has that set: rows may share a doc_id. Words are in no order."""
-    for batch in batches:
-        for part, raw, at in W.chunks(batch):
-            line, word, of_row = line_sets(raw, at)
-            wanted = part.column(2)
-            row = np.repeat(np.arange(part.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
-            flat = wanted.flatten()
-            number, cid = of_row[row] + flat.field("line_no").to_numpy(), flat.field("cid").to_numpy()
-            here = number < of_row[row + 1]
-            number, cid = number[here], cid[here]
-            same = _names(line, word, int(of_row[-1]))[number] == cid
-            number, cid = number[same], cid[same]
-            lo, hi = np.searchsorted(line, number), np.searchsorted(line, number, "right")
-            offsets = np.concatenate([[0], np.cumsum(hi - lo)])
-            at_word = np.repeat(lo - offsets[:-1], hi - lo) + np.arange(offsets[-1])
-            sketch, pieces = _sketches(word[at_word], hi - lo)
-            lists = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(flat.view(np.int64))) for many, flat in ((hi - lo, word[at_word]), (pieces, sketch)))
-            yield pa.record_batch([pa.array(cid), *lists], ["cid", "words", "sketch"])
+def _sets_of(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sets of the lines that ``lines`` names by number, where the line has that set: rows may share a doc_id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raw, at in W.chunks(batch):
+                line, word, of_row = line_sets(raw, at, counts)
+                wanted = part.column(2)
+                row = np.repeat(np.arange(part.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
+                flat = wanted.flatten()
+                number, cid, own = (flat.field(c).to_numpy() for c in ("line_no", "cid", "id"))
+                place = of_row[row] + number
+                here = np.flatnonzero(place < of_row[row + 1])
+                here = here[_names(line, word, int(of_row[-1]))[place[here]] == cid[here]]
+                lo, hi = np.searchsorted(line, place[here]), np.searchsorted(line, place[here], "right")
+                size = hi - lo
+                of, at_word = _each(lo, size)
+                held = word[at_word]
+                sketch, pieces = _sketches(held, size)
+                prefix, token = _tokens(held, size, np.ones(len(size), bool), counts, percent)
+                yield pa.record_batch(
+                    [
+                        pa.array(own[here]), part.column(0).take(pa.array(row[here])), pa.array(number[here]), pa.array(size.astype(np.int32)), pa.array(_parity(of, held, len(size))),
+                        _list_array(prefix, token), _list_array(size, held.view(np.int64)), _list_array(pieces, sketch.view(np.int64)),
+                    ],
+                    ["id", "doc_id", "line_no", "n", "parity", "prefix", "words", "sketch"],
+                )
+
+    return run
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches that are sorted by their first two columns, cut anew so that a list lies within one table."""
+    """Batches that are sorted by their first two columns, cut anew so that a list lies within one table, and sorted by n in it."""
     kept: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -191,18 +216,26 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         cut = int(change[-1]) + 1 if len(change) else 0
         if cut or fresh:
             done = [*kept, batch.slice(0, cut)] if cut else kept
-            yield pa.Table.from_batches(done).combine_chunks()
+            yield _by_size(pa.Table.from_batches(done).combine_chunks())
             kept = []
         kept.append(batch.slice(cut))
     if kept:
-        yield pa.Table.from_batches(kept).combine_chunks()
+        yield _by_size(pa.Table.from_batches(kept).combine_chunks())
+
+
+def _list_of(table: pa.Table) -> np.ndarray:
+    token, cell = (table.column(c).to_numpy() for c in ("token", "cell"))
+    return np.cumsum(np.concatenate([[0], (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])]))
+
+
+def _by_size(table: pa.Table) -> pa.Table:
+    return table.take(pa.array(np.argsort((_list_of(table) << 32) | table.column("n").to_numpy())))
 
 
 def _meetings(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one list that lengths and parity allow, n rising within a list; of two parts of a list, pairs across them."""
-    token, cell, side, own, n, parity = (table.column(c).to_numpy() for c in (*_POSTING, "n", "parity"))
-    n, parity = n.astype(np.int64), parity.view(np.uint64)
-    of = np.cumsum(np.concatenate([[0], (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])]))
+    side, own, n, parity = (table.column(c).to_numpy() for c in ("side", "id", "n", "parity"))
+    n, parity, of = n.astype(np.int64), parity.view(np.uint64), _list_of(table)
     i = np.arange(len(of))
     for step in range(1, len(of)):
         i = i[i + step < len(of)]
@@ -233,12 +266,6 @@ def _active(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _each(begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(pair, place) of so many places from each pair's first."""
-    pair = np.repeat(np.arange(len(many)), many)
-    return pair, np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(len(pair))
-
-
 class _Held:
     """A list column of the distinct sets ``row`` of a table, to look values up in."""
 
@@ -347,7 +374,7 @@ def _fates(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def _posted(classes: DataFrame) -> DataFrame:
-    """(token, cell, side, id, n, parity, at, prior), sorted: the posting lists, long ones in parts.
+    """(token, cell, side, id, n, parity, at, prior), sorted by list: the posting lists, long ones in parts.
 
     A list of more than LIST_SETS sets has parts by a hash of the set; a cell compares one with itself, or two with each other.
     """
@@ -356,39 +383,47 @@ def _posted(classes: DataFrame) -> DataFrame:
     # a list is no longer than its word's count, which the token begins with
     busy = save(posting.where(F.shiftright("token", TOKEN_BITS) > LIST_SETS).groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LIST_SETS).select("token", F.ceil(F.col("size") / LIST_SETS).cast("int").alias("parts")), "busy")
     whole = F.struct(F.lit(0).alias("cell"), F.lit(-1).alias("side"))
-    if busy.isEmpty():
+    whole_lists = busy.isEmpty()
+    if whole_lists:
         dealt = posting.withColumn("to", whole)
     else:
         own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
         cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(x.alias("x"), own.alias("own")))
         cells = F.transform(cells, lambda c: F.struct((F.least(c["x"], c["own"]) * F.col("parts") + F.greatest(c["x"], c["own"])).alias("cell"), F.when(c["x"] == c["own"], -1).otherwise((c["own"] > c["x"]).cast("int")).alias("side")))
         dealt = posting.join(busy, "token", "left").withColumn("to", F.explode(F.when(F.col("parts").isNull(), F.array(whole)).otherwise(cells)))
-    dealt = dealt.select("token", "to.cell", "to.side", "id", "n", "parity", "at", "prior")
-    return dealt.repartition("token", "cell").sortWithinPartitions("token", "cell", "n")
+    dealt = dealt.select("token", "to.cell", "to.side", "id", "n", "parity", "at", "prior").repartition("token", "cell")
+    # without parts a token is a list, and one number sorts faster than two
+    return dealt.sortWithinPartitions("token") if whole_lists else dealt.sortWithinPartitions("token", "cell")
 
 
 def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(occurrences, classes, fates) of the lines of ``text(doc_id, text)``.
 
-    occurrences(doc_id, line_no, cid): lines with a word. classes(cid, first): a class is a set of words, and first
+    occurrences(doc_id, line_no, cid): lines with a word, each once. classes(cid, first): a class is a set of words, and first
     its first place as struct(doc_id, line_no). fates(cid, n_links, later): how many other classes are of similarity
     percent / 100 or more, for classes with any, and whether one of them has an earlier first place.
     """
-    full = save(text.mapInArrow(_occurrences(word_counts(text), percent), "doc_id long, line_no int, cid long, n int, parity long, prefix array<long>"), "lines")
+    repeats = not text.groupBy("doc_id").count().where("count > 1").isEmpty()
+    counts = np.minimum(word_counts(text), 2**22 - 1).astype(np.uint64)
+    full = save(text.mapInArrow(_occurrences(counts, percent), "doc_id long, line_no int, cid long, n int, parity long, prefix array<long>"), "lines")
     classes = full.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), *(F.first(c, ignorenulls=True).alias(c) for c in ("n", "parity", "prefix")))
     classes = save(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    occurrences = save(full.select("doc_id", "line_no", "cid"), "occurrences")
+    occurrences = full.select("doc_id", "line_no", "cid")
+    occurrences = save(occurrences.distinct() if repeats else occurrences, "occurrences")
     drop(full)
     active = save(_posted(classes).mapInArrow(_active(percent), "token long, cell int, side int, id long"), "active")
-    wanted = save(active.select("id").distinct().join(classes, "id"), "wanted")
     places = save(classes.select("id", "cid", "first"), "places")
     drop(classes)
-    lines = wanted.where("cid is not null").groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("cid", F.col("first.line_no").alias("line_no"))).alias("lines"))
+    wanted = active.select("id").distinct().join(places.where("cid is not null"), "id")
+    lines = wanted.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("id", "cid", F.col("first.line_no").alias("line_no"))).alias("lines"))
+    lines = save(lines, "wanted")
     with pruning(text.sparkSession):
-        sets = text.join(lines, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sets_of, "cid long, words array<long>, sketch array<long>")
-        sets = save(sets.dropDuplicates(["cid"]).join(wanted, "cid").select("id", "first.doc_id", "first.line_no", "n", "parity", "prefix", "words", "sketch"), "sets")
-    drop(wanted)
-    in_lists = lambda rows, *more: rows.join(sets, "id").select(*_POSTING, "n", "parity", *more).repartition("token", "cell").sortWithinPartitions("token", "cell", "n")
+        sets = text.join(lines.where("lines is not null"), "doc_id").select("doc_id", "text", "lines").mapInArrow(
+            _sets_of(counts, percent), "id long, doc_id long, line_no int, n int, parity long, prefix array<long>, words array<long>, sketch array<long>"
+        )
+        sets = save(sets.dropDuplicates(["id"]) if repeats else sets, "sets")
+    drop(lines)
+    in_lists = lambda rows, *more: rows.join(sets, "id").select(*_POSTING, "n", "parity", *more).repartition("token", "cell").sortWithinPartitions("token", "cell")
     sure = save(in_lists(active, "prefix", "sketch").mapInArrow(_sure(percent), "token long, cell int, side int, id long"), "sure")
     fates = in_lists(sure, "doc_id", "line_no", "prefix", "words").mapInArrow(_fates(percent), "id long, n_links long, later boolean").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later"))
     fates = save(places.join(fates, "id").select("cid", "n_links", "later"), "fates")
@@ -410,8 +445,6 @@ def line_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     occurrences, classes, fates = similar_lines(text.where("text is not null"), percent)
-    if not text.groupBy("doc_id").count().where("count > 1").isEmpty():
-        occurrences = occurrences.dropDuplicates(["doc_id", "line_no", "cid"])
     each = occurrences.join(classes.join(fates, "cid", "left"), "cid")
     gone = F.coalesce("later", F.lit(False)) | (F.struct("doc_id", "line_no") != F.col("first"))
     each = each.groupBy("doc_id").agg(
