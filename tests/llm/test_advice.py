@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -135,3 +136,18 @@ def test_stages_with_clashing_columns_and_empty_tables(spark, tmp_path):
             got = out.collect()
             assert all(tuple(r[3:]) == names for r in got) and (not df.isEmpty() or not got), name
             assert df.isEmpty() or len(got) >= 39, name
+
+
+def test_bitmaps_of_sets_count_no_more_than_they_differ_in():
+    rng = np.random.default_rng(7)
+    pool = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    sets = [rng.choice(pool[: 3 * n], n, replace=False) for n in [1, 2, 15, 16, 17, 33, 60, 128, 129, 250, 300]]
+    size = np.array([len(x) for x in sets])
+    bits, pieces = linedup._sketches(np.concatenate(sets), size)
+    assert ((pieces * linedup.SKETCH_WORDS >= size) & (pieces & (pieces - 1) == 0)).all()
+    sketches = linedup._Sketches(pa.table({"sketch": linedup._list_array(pieces, bits.view(np.int64))}), np.arange(len(sets)))
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    differ = np.array([len(set(sets[i]) ^ set(sets[j])) for i, j in zip(a, b, strict=True)])
+    apart = sketches.apart(a, b)
+    assert (apart <= differ).all() and (apart[a == b] == 0).all() and ((differ - apart) % 2 == 0).all()
+    assert (apart[a != b] > 0).any()
