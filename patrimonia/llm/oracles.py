@@ -77,6 +77,72 @@ SELECT d.doc_id, count(g.line_no) AS n_lines, CAST(coalesce(sum(links), 0) AS BI
 FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) d LEFT JOIN g USING (doc_id) GROUP BY d.doc_id
 """
 
+#: Terms with their counts, weights from document frequencies, scores of all pairs that share a term, the ten best.
+_OP11 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM t WHERE len(w) > 0),
+c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM d),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2.0 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term, docs),
+i AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+s AS (
+  SELECT item_id, r, doc_id, CAST(sum(times * f.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length)))) AS BIGINT) AS score
+  FROM i JOIN f USING (term) JOIN p USING (term), c GROUP BY item_id, r, doc_id),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+#: Texts grouped as they are, without a hash.
+_OP12 = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
+g AS (SELECT text, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(text) AS text_sha256 FROM t JOIN g USING (text)
+"""
+
+#: Levels of the trees by recursion, the siblings of each row from all levels, and its leaf folded level by level; crc32 bit by bit.
+_OP13 = r"""
+WITH RECURSIVE c AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+    lambda s, x: list_reduce(range(8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(s, x)), CAST(4294967295 AS BIGINT)), 4294967295) % 3 = 0 AS chosen
+  FROM documents),
+f AS (
+  SELECT *, concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+    coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+    CASE WHEN chosen THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claim FROM c),
+l AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(claim) || ':' || claim, '-')) AS claimed FROM f),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n, row_number() OVER () AS r FROM l),
+t AS (
+  SELECT coalesce('=' || lang, '') AS tree, 0 AS level, pos, n, leaf AS h FROM p
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY tree, level, pos // 8, n),
+g AS (SELECT tree, h AS subroot, level AS height, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS level, pos, n, subroot AS h FROM g
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY level, pos // 8, n),
+w AS (
+  SELECT p.r, t.level AS step, t.pos < p.pos // CAST(8 ** t.level AS BIGINT) AS before, t.pos, t.h
+  FROM p JOIN t ON t.tree = coalesce('=' || p.lang, '') AND t.n > 1 AND t.pos // 8 = p.pos // CAST(8 ** (t.level + 1) AS BIGINT) AND t.pos <> p.pos // CAST(8 ** t.level AS BIGINT)
+  UNION ALL
+  SELECT p.r, g.height + u.level, u.pos < g.pos // CAST(8 ** u.level AS BIGINT), u.pos, u.h
+  FROM p JOIN g ON g.tree = coalesce('=' || p.lang, '') JOIN u ON u.n > 1 AND u.pos // 8 = g.pos // CAST(8 ** (u.level + 1) AS BIGINT) AND u.pos <> g.pos // CAST(8 ** u.level AS BIGINT)),
+s AS (
+  SELECT r, step, coalesce(string_agg(h, '' ORDER BY pos) FILTER (before), '') AS left_of, coalesce(string_agg(h, '' ORDER BY pos) FILTER (NOT before), '') AS right_of
+  FROM w GROUP BY r, step),
+k AS (SELECT p.r, g.subroot, g.height + (SELECT max(level) FROM u) AS height FROM p JOIN g ON g.tree = coalesce('=' || p.lang, '')),
+o AS (
+  SELECT r, 0 AS step, claimed AS h FROM p
+  UNION ALL
+  SELECT o.r, o.step + 1, sha256(coalesce(s.left_of, '') || o.h || coalesce(s.right_of, '')) FROM o JOIN k USING (r) LEFT JOIN s ON s.r = o.r AND s.step = o.step WHERE o.step < k.height),
+a AS (SELECT r, sha256(string_agg(left_of || right_of, '' ORDER BY step)) AS proof FROM s GROUP BY r)
+SELECT p.doc_id, p.leaf, k.subroot, z.h AS root, coalesce(a.proof, sha256('')) AS proof_sha256, o.h AS folded_root, o.h = z.h AS verified
+FROM p JOIN k USING (r) JOIN o ON o.r = p.r AND o.step = k.height LEFT JOIN a ON a.r = p.r, (SELECT h FROM u WHERE n = 1) AS z
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _OP1, "op4_near_duplicates": _OP4, "op5_top_k": _OP5, "op8_line_duplicates": _OP8}
+    return {"op1_decontaminate": _OP1, "op4_near_duplicates": _OP4, "op5_top_k": _OP5, "op8_line_duplicates": _OP8, "op11_ranked_search": _OP11, "op12_exact_duplicates": _OP12, "op13_merkle_manifest": _OP13}

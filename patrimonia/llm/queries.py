@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patrimonia.llm.decontaminate import contaminated
+from patrimonia.llm.exactdup import exact_duplicates
 from patrimonia.llm.langid import predict_language
+from patrimonia.llm.lexical import ranked_search
 from patrimonia.llm.licenses import license_spans
 from patrimonia.llm.linedup import line_duplicates
 from patrimonia.llm.maxscore import top_k
+from patrimonia.llm.merkle import merkle_manifest
 from patrimonia.llm.mixing import mix
 from patrimonia.llm.neardup import near_duplicates
 from patrimonia.llm.pii import personal_data
@@ -65,12 +68,27 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(_read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    told = merkle_manifest(_read(spark, sf_dir, "documents"), claims={"text": F.when(chosen, lowered).otherwise(F.col("text"))}, proofs=False)
+    return told.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each operator over its whole table."""
     return {
         f.__name__: f
         for f in (
             op1_decontaminate, op2_licenses, op3_language, op4_near_duplicates, op5_top_k,
-            op6_url_rules, op7_sharding, op8_line_duplicates, op9_mixing, op10_personal_data,
+            op6_url_rules, op7_sharding, op8_line_duplicates, op9_mixing, op10_personal_data, op11_ranked_search, op12_exact_duplicates, op13_merkle_manifest,
         )
     }
