@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patrimonia.jobs import bulletins as B
@@ -377,51 +378,78 @@ def union_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GIVEN, _FAMILY, _PLACES = ("Berta", "Marc", "Neus", "Oriol"), (("Ejemplo", "Ficticia"), ("Puig", "Martí"), ("Soler", "Vidal")), (("Alacant", "Alicante"), ("València", "Valencia"), ("Castelló", "Castellón"))
 
 
+#: The forms' words and boxes: (page of a long form, y, text), words from x 60 on; a name in braces stands for a value.
+_WORDS = (
+    (1, 130, L.TITLES[0]), (1, 150, "DATOS PERSONALES"), (1, 165, "NOMBRE {given} APELLIDOS {family} {family2}"), (1, 180, "CIRCUNSCRIPCIÓN ELECTORAL {place}"), (1, 240, "DECLARACIÓN DE ACTIVIDADES"),
+    (1, 300, "1.- Bienes inmuebles urbanos"), (1, 315, "CLAVE TIPO SITUACIÓN (PROVINCIA) VALOR CATASTRAL"), (1, 370, "VALOR CATASTRAL DEL CONJUNTO"), (1, 400, "2.- Bienes y derechos de naturaleza no inmobiliaria"),
+    (1, 415, "DESCRIPCIÓN VALOR (EUROS)"), (2, 520, "3.- PASIVO"), (2, 535, "DESCRIPCIÓN VALOR (EUROS)"), (2, 740, "ESTOS DATOS SE DEBERÁN ACTUALIZAR"), (3, 260, "sin otras actividades"),
+)
+_BOXES = (
+    (1, 60, 100, 335, "{right}"), (1, 105, 145, 335, "{kind}"), (1, 150, 200, 335, "50%"), (1, 205, 330, 335, "{province}"), (1, 335, 440, 335, "{value}"), (1, 300, 440, 370, "{value}"),
+    (1, 60, 300, 435, "Cuenta corriente"), (1, 310, 440, 435, "{account}"), (1, 60, 300, 450, "Coche Seat"), (1, 310, 440, 450, "3.000"), (1, 300, 440, 480, "{assets}"),
+    (2, 60, 300, 555, "Préstamo hipotecario"), (2, 310, 440, 555, "{debt}"), (2, 300, 440, 590, "{debt}"),
+)
+
+
+def _template(words: tuple, boxes: tuple) -> list[tuple]:
+    """A form's words and boxes: (what, page, text, x0, x1, y0, y1, other reading)."""
+    rows = []
+    for page, y, text in words:
+        x = 60.0
+        for t in text.split():
+            size = 45 if t[0] == "{" else 5 * len(t)
+            rows.append(("w", page, t, x, x + size, float(y), float(y + 6), None))
+            x += size + 3
+    rows += [("b", page, t, float(x0), float(x1), float(y), float(y + 9), alt) for page, x0, x1, y, t, alt in ((*x, None)[:6] for x in boxes)]
+    return rows
+
+
+def _filled(spark: SparkSession, keys: DataFrame, words: tuple, boxes: tuple, values: dict[str, Column]) -> DataFrame:
+    """``keys(k, lower, ...)`` with the words and boxes of the template as arrays of struct(what, p, t, x0, x1, y0, y1, alt), in its order."""
+    known = {t for _, _, t, *_ in _template(words, boxes)} | {r[-1] for r in _template(words, boxes)}
+    named = F.create_map(*(x for n, v in values.items() if "{" + n + "}" in known for x in (F.lit("{" + n + "}"), v)))
+    fixed = F.from_json(F.lit(json.dumps([dict(zip(("what", "p", "t", "x0", "x1", "y0", "y1", "alt"), r, strict=True)) for r in _template(words, boxes)])), "array<struct<what:string,p:int,t:string,x0:double,x1:double,y0:double,y1:double,alt:string>>")
+    fill = lambda c: F.coalesce(F.element_at("named", c), c)
+    shift = lambda x: F.when((x["what"] == "b") | (x["y0"] >= 240), F.col("lower")).otherwise(0.0)
+    put = lambda x: F.struct(x["what"].alias("what"), x["p"].alias("p"), fill(x["t"]).alias("t"), x["x0"].alias("x0"), x["x1"].alias("x1"), (x["y0"] + shift(x)).alias("y0"), (x["y1"] + shift(x)).alias("y1"), fill(x["alt"]).alias("alt"))
+    return keys.withColumn("named", named).withColumn("items", F.transform(fixed, put)).drop("named")
+
+
+def _side(items: Column | str, what: str, pages: Column) -> Column:
+    """A page's words or boxes."""
+    own = F.filter(items, lambda x: (x["what"] == what) & F.array_contains(pages, x["p"]))
+    word = lambda x: F.struct(*(x[c].alias(c) for c in ("t", "x0", "x1", "y0", "y1")), F.lit(0).alias("v"))
+    box = lambda x: F.struct(*(x[c].alias(c) for c in ("x0", "y0", "x1", "y1", "t")), F.lit(0).alias("dudoso"), x["alt"].alias("alt"))
+    return F.transform(own, word if what == "w" else box)
+
+
+def _money(c: Column) -> Column:
+    return F.concat(F.floor(c / 100).cast("string"), F.lit(","), F.lpad((c % 100).cast("string"), 2, "0"))
+
+
+def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, cents, lower) of suppliers: an amount from the balance, and how much lower the form's sections lie."""
+    cents = F.abs(F.round(F.col("s_acctbal").cast("decimal(20,4)") * 100).cast("long")) + 100
+    return read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), cents.alias("cents"), (F.col("s_suppkey") % 4 * 5).cast("double").alias("lower"))
+
+
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A form of each supplier: a person, a property, two assets and a debt, with amounts from its balance.
 
     Sections lie lower or higher by supplier, some have a line more, and every third form goes on to a second page.
     """
-    key, cents = F.col("s_suppkey"), F.abs(F.round(F.col("s_acctbal").cast("decimal(20,4)") * 100).cast("long")) + 100
-    money = lambda c: F.concat(F.floor(c / 100).cast("string"), F.lit(","), F.lpad((c % 100).cast("string"), 2, "0"))
-    lower = (key % 4 * 5).cast("double")
-
-    def words(tokens: list, y: float):  # noqa: ANN001, ANN202
-        x, out = 60.0, []
-        top = F.lit(float(y)) + (lower if y >= 240 else 0.0)
-        for t in tokens:
-            size = 5 * len(t) if isinstance(t, str) else 45
-            out.append(F.struct((F.lit(t) if isinstance(t, str) else t).alias("t"), F.lit(x).alias("x0"), F.lit(x + size).alias("x1"), top.alias("y0"), (top + 6).alias("y1"), F.lit(0).alias("v")))
-            x += size + 3
-        return out
-
-    def box(x0: float, x1: float, y: float, t):  # noqa: ANN001, ANN202
-        top = F.lit(float(y)) + lower
-        return F.struct(F.lit(float(x0)).alias("x0"), top.alias("y0"), F.lit(float(x1)).alias("x1"), (top + 9).alias("y1"), (F.lit(t) if isinstance(t, str) else t).alias("t"), F.lit(0).alias("dudoso"), F.lit(None).cast("string").alias("alt"))
-
-    family = [pick(tuple(f[i] for f in _FAMILY), key) for i in (0, 1)]
-    lines = [
-        (130, L.TITLES[0].split()), (150, ["DATOS", "PERSONALES"]), (165, ["NOMBRE", pick(_GIVEN, key), "APELLIDOS", *family]), (180, ["CIRCUNSCRIPCIÓN", "ELECTORAL", pick(tuple(p[0] for p in _PLACES), key)]),
-        (240, "DECLARACIÓN DE ACTIVIDADES".split()), (300, "1.- Bienes inmuebles urbanos".split()), (315, "CLAVE TIPO SITUACIÓN (PROVINCIA) VALOR CATASTRAL".split()), (370, "VALOR CATASTRAL DEL CONJUNTO".split()),
-        (400, "2.- Bienes y derechos de naturaleza no inmobiliaria".split()), (415, "DESCRIPCIÓN VALOR (EUROS)".split()),
-    ]
-    debts = [(520, "3.- PASIVO".split()), (535, "DESCRIPCIÓN VALOR (EUROS)".split()), (740, "ESTOS DATOS SE DEBERÁN ACTUALIZAR".split())]
-    boxes = [
-        box(60, 100, 335, pick(("P", "Nuda propiedad", "U"), key)), box(105, 145, 335, pick(("Vivienda", "R", "Local", "Plaza"), key)), box(150, 200, 335, "50%"), box(205, 330, 335, pick(("Alacant", "MADRID", "xx"), key)), box(335, 440, 335, money(cents)),
-        box(300, 440, 370, money(cents)), box(60, 300, 435, "Cuenta corriente"), box(310, 440, 435, money(cents + 500)), box(60, 300, 450, "Coche Seat"), box(310, 440, 450, "3.000"), box(300, 440, 480, money(cents + 300500)),
-    ]
-    owed = [box(60, 300, 555, "Préstamo hipotecario"), box(310, 440, 555, money(cents + 7)), box(300, 440, 590, money(cents + 7))]
-    seal = F.concat(F.lit("XI"), F.lpad(key.cast("string"), 6, "0"), F.lit(" 05/03/2021 10:15"))
-    one = F.array(*(w for y, t in lines for w in words(t, y)))
-    more = F.array(*words("sin otras actividades".split(), 260))
-    two = F.array(*(w for y, t in debts for w in words(t, y)))
-    first = F.when(key % 2 == 1, F.concat(one, more)).otherwise(one)
-    long = key % 3 == 0  # the debts stand on a page of their own
-    page = lambda num, w, c: F.struct(F.lit(num).alias("num"), w.alias("palabras"), c.alias("casillas"))
-    pages = F.when(long, F.array(page(1, first, F.array(*boxes)), page(2, two, F.array(*owed)))).otherwise(F.array(page(1, F.concat(first, two), F.array(*boxes, *owed))))
-    return read(spark, sf_dir, "supplier").select(key, seal.alias("seal"), F.explode(pages).alias("p")).select(
-        F.col("s_suppkey").cast("string").alias("decl_id"), "p.num", F.lit(842.0).alias("alto"), F.lit("texto").alias("metodo"), "p.palabras", "p.casillas",
-        F.array(F.struct(F.col("seal").alias("t"))).alias("sello"), F.lit("B1").alias("bulletin_id"),
+    key, cents = F.col("k"), F.col("cents")
+    values = {
+        "given": pick(_GIVEN, key), "family": pick(tuple(f[0] for f in _FAMILY), key), "family2": pick(tuple(f[1] for f in _FAMILY), key), "place": pick(tuple(p[0] for p in _PLACES), key),
+        "right": pick(("P", "Nuda propiedad", "U"), key), "kind": pick(("Vivienda", "R", "Local", "Plaza"), key), "province": pick(("Alacant", "MADRID", "xx"), key), "value": _money(cents),
+        "account": _money(cents + 500), "assets": _money(cents + 300500), "debt": _money(cents + 7),
+    }
+    filled = _filled(spark, _keys(spark, sf_dir), _WORDS, _BOXES, values)
+    more = F.when(key % 2 == 1, F.array(F.lit(1), F.lit(3))).otherwise(F.array(F.lit(1)))
+    parts = F.when(key % 3 == 0, F.array(more, F.array(F.lit(2)))).otherwise(F.array(F.concat(more, F.array(F.lit(2)))))  # the debts may stand on a page of their own
+    return filled.select("k", "items", F.posexplode(parts).alias("n", "parts")).select(
+        F.col("k").cast("string").alias("decl_id"), (F.col("n") + 1).alias("num"), F.lit(842.0).alias("alto"), F.lit("texto").alias("metodo"), _side("items", "w", F.col("parts")).alias("palabras"),
+        _side("items", "b", F.col("parts")).alias("casillas"), F.array(F.struct(F.concat(F.lit("XI"), F.lpad(F.col("k").cast("string"), 6, "0"), F.lit(" 05/03/2021 10:15")).alias("t"))).alias("sello"), F.lit("B1").alias("bulletin_id"),
     )
 
 
@@ -429,7 +457,9 @@ _MONEY = "abs(CAST(round(CAST(s_acctbal AS DECIMAL(20,4)) * 100) AS BIGINT)) + 1
 
 
 def flow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.flow_pages(_forms(spark, sf_dir)).select("decl_id", F.size("lines").alias("n_lines"), F.size("boxes").alias("n_boxes"))
+    flow = L.flow_pages(_forms(spark, sf_dir))
+    n = lambda df, c: df.groupBy("decl_id").agg(F.count("*").cast("int").alias(c))
+    return n(flow.lines, "n_lines").join(n(flow.boxes, "n_boxes"), "decl_id")
 
 
 def find_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:

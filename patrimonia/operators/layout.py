@@ -1,17 +1,21 @@
-"""Form pages as words and boxes: lines, rows, anchors and the form's tables, one array column at a time.
+"""Form pages as words and boxes: lines, rows, anchors and the form's tables, as tables of lines, boxes and rows.
 
-A declaration's lines and boxes are arrays in its row, so the form is read without joins after one grouping by
-declaration. Python is used for what needs the order of a running mean or of kept boxes, and for ratios of texts.
+A page's lines and boxes are found within its row. From then on a line and a box is a row of its own, so that each rule
+is a column: lines that mark something give a declaration's sections, boxes are dealt by declaration once, and windows
+and groups by declaration follow without another exchange. Python is used for what needs the order of a running mean or
+of kept boxes, and for ratios of texts.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructType
@@ -19,7 +23,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, S
 from patrimonia.functions.amounts import parse_amount, parse_share
 from patrimonia.functions.codes import classify_asset, classify_liability, code_pair
 from patrimonia.functions.similarity import FORM_LABELS, LABEL_ALIKE, PROVINCE_ALIKE, PROVINCE_KEYS, _plain_upper, province_by_word
-from patrimonia.functions.text import clean_ocr_edges, compact_norm, has_word, let, norm_text
+from patrimonia.functions.text import clean_ocr_edges, compact_norm, has_word, norm_text
+from patrimonia.sources.store import save, settings
 
 LINE_TOLERANCE, ROW_TOLERANCE = 2.5, 4.0
 #: Pages of a declaration stand below each other at this distance.
@@ -50,6 +55,8 @@ ODD_ROW = "Fila de inmuebles con un número raro de casillas"
 
 
 KINDS = StructType().add("label", BooleanType()).add("header", BooleanType()).add("near", StringType())
+#: Texts whose kind a Python worker remembers.
+REMEMBERED = 50_000
 
 
 # ---- helpers in Python ----------------------------------------------------------------------------------------------
@@ -66,10 +73,19 @@ def cluster(centre: np.ndarray, x: np.ndarray, tolerance: float) -> np.ndarray:
     return out
 
 
-@pandas_udf(ArrayType(IntegerType()))
+def in_lines(centre: np.ndarray, x: np.ndarray, tolerance: float) -> list[np.ndarray]:
+    """The points of each line of ``cluster``, by x and then by centre."""
+    if not len(centre):
+        return []
+    line = cluster(centre, x, tolerance)
+    order = np.lexsort((centre, x, line))
+    return np.split(order, np.flatnonzero(np.diff(line[order])) + 1)
+
+
+@pandas_udf(ArrayType(ArrayType(IntegerType())))
 def cluster_rows(centre: pd.Series, x: pd.Series, tolerance: pd.Series) -> pd.Series:
-    """``cluster`` for each row's arrays."""
-    return pd.Series([None if c is None else cluster(np.asarray(c, float), np.asarray(a, float), t) for c, a, t in zip(centre, x, tolerance, strict=True)])
+    """``in_lines`` for each row's arrays."""
+    return pd.Series([None if c is None else in_lines(np.asarray(c, float), np.asarray(a, float), t) for c, a, t in zip(centre, x, tolerance, strict=True)])
 
 
 @pandas_udf(ArrayType(BooleanType()))
@@ -101,34 +117,35 @@ def _compact(text: str) -> str:
     return re.sub("[^A-Z0-9]", "", _plain_upper(text))
 
 
-@pandas_udf(ArrayType(KINDS))
-def text_kinds(texts: pd.Series) -> pd.Series:
-    """For arrays of normalised texts: like a label of the form, like its word for description, and the most alike province."""
-    labels = [_compact(x) for x in FORM_LABELS]
-    known: dict[str, dict] = {}
+@lru_cache(REMEMBERED)
+def _printed(bare: str) -> tuple[bool, bool]:
+    """Whether a text without spaces is like a label of the form, and like its word for description."""
+    return any(_alike(bare, x, LABEL_ALIKE) for x in map(_compact, FORM_LABELS)), _alike(bare, "DESCRIPCION", 0.5)
 
-    def kind(text: str) -> dict:
-        bare = text.replace(" ", "")
-        best = None
-        for key, province in PROVINCE_KEYS.items():
-            if text and 2 * min(len(key), len(text)) >= PROVINCE_ALIKE * (len(key) + len(text)):
-                r = SequenceMatcher(None, key, text).ratio()
-                if r >= PROVINCE_ALIKE and (best is None or (r, key) > best[:2]):
-                    best = (r, key, province)
-        return {"label": any(_alike(bare, x, LABEL_ALIKE) for x in labels), "header": _alike(bare, "DESCRIPCION", 0.5), "near": best[2] if best else None}
 
-    out = []
-    for row in texts:
-        for t in () if row is None else row:
-            if t not in known:
-                known[t] = kind(t)
-        out.append(None if row is None else [known[t] for t in row])
-    return pd.Series(out)
+@lru_cache(REMEMBERED)
+def _nearest(text: str) -> str | None:
+    """The province of the most alike key; of equally alike keys the last."""
+    best = None
+    for key, province in PROVINCE_KEYS.items():
+        if 2 * min(len(key), len(text)) >= PROVINCE_ALIKE * (len(key) + len(text)):
+            r = SequenceMatcher(None, key, text).ratio()
+            if r >= PROVINCE_ALIKE and (best is None or (r, key) > best[:2]):
+                best = (r, key, province)
+    return best[2] if best else None
 
 
-@pandas_udf(ArrayType(ArrayType(StringType())))
+@pandas_udf(KINDS)
+def text_kinds(norm: pd.Series, open_: pd.Series) -> pd.DataFrame:
+    """For normalised texts: like a label of the form, like its word for description; the province most alike to ``open_``, if any."""
+    printed = [_printed(t.replace(" ", "")) if t else (False, False) for t in norm]
+    near = [_nearest(t) if isinstance(t, str) and t else None for t in open_]
+    return pd.DataFrame({"label": [p[0] for p in printed], "header": [p[1] for p in printed], "near": pd.Series(near, dtype=object)})
+
+
+@pandas_udf(ArrayType(StringType()))
 def capital_runs(lines: pd.Series) -> pd.Series:
-    """For arrays of texts: runs of words in capitals that aren't the form's labels, letters only."""
+    """Runs of words in capitals that aren't the form's labels, letters only."""
     labels = ("NOMBRE", "NOM", "APELLIDOS", "COGNOMS")
 
     def runs(text: str) -> list[str]:
@@ -143,7 +160,7 @@ def capital_runs(lines: pd.Series) -> pd.Series:
                 open_ = []
         return [*out, " ".join(open_)] if open_ else out
 
-    return pd.Series([None if row is None else [runs(t) for t in row] for row in lines])
+    return pd.Series([runs(t or "") for t in lines])
 
 
 @pandas_udf(BooleanType())
@@ -167,18 +184,10 @@ def horizontal(words: Column | str) -> Column:
     return F.filter(words, lambda w: F.coalesce(w["v"], F.lit(0)) == 0)
 
 
-def _grouped(items: Column, ids: Column) -> Column:
-    """Items by their line number, each line by x (then by centre)."""
-    numbers = F.when(F.size(ids) > 0, F.sequence(F.lit(0), F.array_max(ids))).otherwise(F.array().cast("array<int>"))
-    paired = F.transform(items, lambda w, i: F.struct(F.get(ids, i).alias("n"), w["x0"].alias("x"), _centre(w).alias("c"), i.alias("i"), w.alias("w")))
-    one = lambda n: F.transform(F.array_sort(F.filter(paired, lambda p: p["n"] == n)), lambda p: p["w"])
-    return F.transform(numbers, one)
-
-
 def _clustered(df: DataFrame, out: str, items: Column, tolerance: float) -> DataFrame:
     df = df.withColumn("_items", F.coalesce(items, F.filter(items, lambda _: F.lit(False))))
     df = pinned(df, "_ids", cluster_rows(F.transform("_items", _centre), F.transform("_items", lambda w: w["x0"]), F.lit(tolerance)))
-    return df.withColumn(out, _grouped(F.col("_items"), F.col("_ids"))).drop("_items", "_ids")
+    return df.withColumn(out, F.transform("_ids", lambda line: F.transform(line, lambda i: F.get("_items", i)))).drop("_items", "_ids")
 
 
 def words_to_lines(pages: DataFrame, words: str = "palabras", out: str = "lineas", tolerance: float = LINE_TOLERANCE) -> DataFrame:
@@ -269,248 +278,321 @@ def _page_boxes(words: Column, offset: Column) -> Column:
 
     def box(c: Column) -> Column:
         within = lambda w: ((w["x0"] + w["x1"]) / 2).between(c["x0"] - 1, c["x1"] + 1) & _centre(w).between(c["y0"] - 1, c["y1"] + 1)
-        own = F.when(scan, clean_ocr_edges(c["t"])).when(c["t"].endswith("+"), F.trim(F.regexp_replace(c["t"], r"\++$", ""))).otherwise(c["t"])
         inner = F.transform(F.array_sort(F.transform(F.filter(words, within), lambda w: F.struct(w["x0"].alias("x"), w["t"].alias("t")))), lambda w: w["t"])
-        page = F.when((F.size(inner) > 0) & (own != ""), clean_ocr_edges(F.array_join(inner, " ")))
-        others = F.filter(F.array(F.when(c["alt"] != "", clean_ocr_edges(c["alt"])), page), lambda a: a.isNotNull() & (a != "") & (a != own))
+        own = F.when(scan, clean_ocr_edges(c["t"])).when(c["t"].endswith("+"), F.trim(F.regexp_replace(c["t"], r"\++$", ""))).otherwise(c["t"])
         return F.struct(
             c["x0"].alias("x0"), (c["y0"] + offset).alias("y0"), c["x1"].alias("x1"), (c["y1"] + offset).alias("y1"), F.coalesce(own, F.lit("")).alias("t"),
-            F.when(scan, others).otherwise(F.array().cast("array<string>")).alias("alts"), F.coalesce(F.when(scan, disagreement(own, c["alt"])), F.lit(False)).alias("dudoso"),
-            F.coalesce(scan, F.lit(False)).alias("ocr"), F.col("num").alias("num"),
+            F.when(scan, c["alt"]).alias("alt"), F.when(scan, F.array_join(inner, " ")).alias("inner"),
         )
 
     inside = F.filter("casillas", lambda c: (c["y1"] >= STAMP_BOTTOM) & (c["y0"] <= F.col("alto") - FOOT_HEIGHT))
     return F.coalesce(F.transform(inside, box), F.filter(F.transform(inside, box), lambda _: F.lit(False)))
 
 
-def flow_pages(pages: DataFrame) -> DataFrame:
-    """(decl_id, lines, boxes, n_pages, scan): all pages of a declaration below each other.
+@dataclass
+class Flow:
+    """The pages of declarations below each other: a row for each declaration, each line and each box.
 
-    ``pages(decl_id, num, alto, metodo, palabras, casillas)``. Boxes of the stamp and the foot are left out; wide boxes
-    with a longer text are lines too. Boxes carry their amount, share, province and kind.
+    heads(decl_id, n_pages, scan); lines(decl_id, y0, page, side, at, y1, x0, t, n, words) with side 1 for a wide box that
+    stands as a line; boxes(decl_id, page, at, x0, y0, x1, y1, t, alts, dudoso, ocr, num, amount, share, province, label,
+    header, word).
     """
-    order = F.row_number().over(_pages_of_declaration()) - 1
-    df = words_to_lines(pages.withColumn("_page", order)).withColumn("_dy", F.col("_page") * PAGE_STEP)
-    df = df.withColumn("_boxes", _page_boxes(horizontal("palabras"), F.col("_dy")))
-    text = lambda l: F.array_join(F.transform(l, lambda w: w["t"]), " ")  # noqa: E731, E741
-
-    def line(l: Column, i: Column) -> Column:  # noqa: E741
-        y0, y1 = F.array_min(F.transform(l, lambda w: w["y0"])) + F.col("_dy"), F.array_max(F.transform(l, lambda w: w["y1"])) + F.col("_dy")
-        return _line(y0, F.col("_page"), F.lit(0), i, y1, F.element_at(l, 1)["x0"], text(l), F.transform(l, lambda w: F.struct(w["t"].alias("t"), w["x0"].alias("x0"))))
-
-    wide = F.filter("_boxes", lambda c: (F.length(norm_text(c["t"])) >= 9) & (c["x1"] - c["x0"] > 200))
-    sign = lambda c, i: _line(c["y0"], F.col("_page"), F.lit(1), i, c["y1"], c["x0"], c["t"], F.array().cast("array<struct<t:string,x0:double>>"))
-    df = df.withColumn("_lines", F.concat(F.transform("lineas", line), F.transform(wide, sign)))
-    each = df.groupBy("decl_id").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_page", "_lines"))), lambda p: p["_lines"])).alias("lines"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_page", "_boxes"))), lambda p: p["_boxes"])).alias("boxes"),
-        F.count("*").alias("n_pages"), F.min_by("metodo", "_page").alias("_first"),
-    )
-    each = each.withColumns({"lines": F.array_sort("lines"), "scan": F.coalesce(F.col("_first") == "ocr", F.lit(False))}).drop("_first")
-    each = pinned(dedup_boxes(each, "boxes"), "_kinds", text_kinds(F.transform("boxes", lambda c: norm_text(c["t"]))))
-    full = F.transform(
-        "boxes",
-        lambda c, i: F.struct(
-            *(c[x].alias(x) for x in ("x0", "y0", "x1", "y1", "t", "alts", "dudoso", "ocr", "num")), parse_amount(c["t"]).alias("amount"), parse_share(c["t"]).alias("share"),
-            F.coalesce(province_by_word(c["t"]), F.get("_kinds", i)["near"]).alias("province"), F.get("_kinds", i)["label"].alias("label"), F.get("_kinds", i)["header"].alias("header"),
-            has_word(c["t"]).alias("word"),
-        ),
+
+    heads: DataFrame
+    lines: DataFrame
+    boxes: DataFrame
+
+
+def flow_pages(pages: DataFrame) -> Flow:
+    """All pages of a declaration below each other, of ``pages(decl_id, num, alto, metodo, palabras, casillas)``.
+
+    Boxes of the stamp and the foot are left out, and all but the first drawing of a box; wide boxes with a longer text
+    are lines too. Pages without words or boxes (null) give none; a null method is that of a text page. Other columns
+    play no part.
+    """
+    own = pages.select("decl_id", "num", "alto", "metodo", "palabras", "casillas")
+    own = own.withColumn("page", F.row_number().over(Window.partitionBy("decl_id").orderBy("num")) - 1).withColumn("_dy", F.col("page") * PAGE_STEP)
+    own = words_to_lines(own).withColumn("boxes", _page_boxes(horizontal("palabras"), F.col("_dy")))
+    own = own.withColumn("boxes", F.array_sort(F.transform("boxes", lambda c, i: F.struct(c["y0"].alias("a"), c["x0"].alias("b"), (-F.length(c["t"])).alias("l"), i.alias("i"), c.alias("c")))))
+    own = pinned(own, "kept", keep_boxes(F.transform("boxes.c", lambda c: F.array(c["x0"], c["x1"], c["y0"], c["y1"]))))
+    own = save(own.select("decl_id", "page", "num", "_dy", (F.col("metodo") == "ocr").alias("ocr"), "lineas", F.col("boxes.c").alias("boxes"), "kept"), "flow")
+
+    heads = own.groupBy("decl_id").agg(F.count("*").alias("n_pages"), F.coalesce(F.min_by("ocr", "page"), F.lit(False)).alias("scan"))
+    line = own.select("decl_id", "page", "_dy", F.posexplode("lineas").alias("at", "l"))
+    text = F.array_join("l.t", " ")
+    words = F.transform("l", lambda w: F.struct(w["t"].alias("t"), w["x0"].alias("x0")))
+    line = line.select(
+        "decl_id", (F.array_min("l.y0") + F.col("_dy")).alias("y0"), "page", F.lit(0).alias("side"), "at", (F.array_max("l.y1") + F.col("_dy")).alias("y1"), F.get("l.x0", F.lit(0)).alias("x0"),
+        text.alias("t"), norm_text(text).alias("n"), words.alias("words"),
     )
-    return each.withColumn("boxes", full).drop("_kinds")
+    box = own.select("decl_id", "page", "num", "ocr", "kept", F.posexplode("boxes").alias("at", "c")).select("decl_id", "page", "num", "ocr", "at", F.get("kept", F.col("at")).alias("kept"), "c.*", norm_text("c.t").alias("n"))
+    sign = box.where((F.length("n") >= 9) & (F.col("x1") - F.col("x0") > 200)).select("decl_id", "y0", "page", F.lit(1).alias("side"), "at", "y1", "x0", "t", "n", F.array().cast(dict(line.dtypes)["words"]).alias("words"))
+    return Flow(heads, line.unionByName(sign), _typed(box.where("kept")))
 
 
-def _pages_of_declaration():  # noqa: ANN202
-    from pyspark.sql import Window
+def _typed(boxes: DataFrame) -> DataFrame:
+    """Boxes with other readings and doubt, and with their text as amount, share, province and kind."""
+    out = boxes.withColumns({"alt": clean_ocr_edges("alt"), "inner": F.when((F.col("inner") != "") & (F.col("t") != ""), clean_ocr_edges("inner"))})
+    out = out.withColumns({"amount": parse_amount("t"), "_other": parse_amount("alt"), "_alt": norm_text("alt"), "_sure": province_by_word("t")})
+    same = (F.col("n") == F.col("_alt")) | F.coalesce(F.col("amount") == F.col("_other"), F.lit(False))
+    others = F.filter(F.array("alt", "inner"), lambda a: a.isNotNull() & (a != "") & (a != F.col("t")))
+    out = out.withColumns({"alts": F.when(F.coalesce("ocr", F.lit(False)), others).otherwise(F.array().cast("array<string>")), "dudoso": F.coalesce(F.col("alt").isNotNull() & ~same, F.lit(False)), "ocr": F.coalesce("ocr", F.lit(False))})
+    out = out.withColumns({"share": parse_share("t"), "word": has_word("t"), "_k": text_kinds(F.col("n"), F.when(F.col("_sure").isNull(), F.col("n")))})
+    out = out.withColumns({"province": F.coalesce("_sure", "_k.near"), "label": F.col("_k.label"), "header": F.col("_k.header")})
+    return out.select("decl_id", "page", "at", "x0", "y0", "x1", "y1", "t", "n", "alts", "dudoso", "ocr", "num", "amount", "share", "province", "label", "header", "word")
 
-    return Window.partitionBy("decl_id").orderBy("num")
 
+# ---- sections ---------------------------------------------------------------------------------------------------------
+#: What a line may mark, by patterns on its normalised text.
+MARKS = {
+    "activities": ACTIVITIES, "properties": PROPERTIES, "others": OTHER_ASSETS, "debts": DEBTS, "end": END, "total": PROPERTY_TOTAL, "property_head": (PROPERTY_HEADER,),
+    "item_head": (ITEM_HEADER,), "title": PERSON_TITLE, "data": PERSON_DATA, "voting": ("ELECTORAL",),
+}
 
-def _line(y0: Column, page: Column, side: Column, at: Column, y1: Column, x0: Column, text: Column, words: Column) -> Column:
-    return F.struct(
-        y0.alias("y0"), page.alias("page"), side.alias("side"), at.alias("at"), y1.alias("y1"), x0.alias("x0"), text.alias("t"), norm_text(text).alias("n"), words.alias("words")
-    )
+
+def _fits(patterns: tuple[str, ...]) -> Column:
+    return F.col("n").rlike("|".join(f"(?:{p})" for p in patterns))
+
+
+def _named(words: list[str]) -> Column:
+    """The place of the first of a line's words that is one of ``words``, from 1; 0 without one."""
+    return F.coalesce(F.array_position("k", F.lit(words[0])) if len(words) == 1 else F.greatest(*(F.array_position("k", F.lit(w)) for w in words)), F.lit(0)).cast("int")
 
 
-def find_anchor(lines: Column | str, patterns: tuple[str, ...], after: Column | None = None, before: Column | None = None) -> Column:
-    """The first line below ``after`` and above ``before`` whose normalised text fits a pattern; null without one."""
-    pattern = "|".join(f"(?:{p})" for p in patterns)
+def _part(begin: Column, end: Column | None = None) -> Column:
+    """The words after place ``begin`` and before place ``end``."""
+    length = F.lit(1 << 20) if end is None else F.greatest(end - begin - 1, F.lit(0))
+    return F.nullif(F.trim(F.array_join(F.slice("words.t", begin + 1, length), " ")), F.lit(""))
+
+
+def find_marks(lines: DataFrame) -> DataFrame:
+    """The lines that mark something: ``lines`` with a flag for each of ``MARKS``, and what they say of a person beside its label."""
+    out = lines.withColumn("k", F.transform("words.t", norm_text)).withColumns({m: _fits(p) for m, p in MARKS.items()})
+    pairs = [(_named([a]), _named([b])) for a, b in NAME_LABELS]
+    both = [(i > 0) & (j > 0) for i, j in pairs]
+    start = F.array_join(F.slice("k", 1, 2), " ")
+    district = start.isin("CIRCUMSCRIPCIO ELECTORAL", "CIRCUNSCRIPCION ELECTORAL") & (F.size("words") > 2)
+    election = _named(["ELECCIONS", "ELECCIONES"])
+    out = out.withColumns({
+        "p_name": F.coalesce(*(F.when(ok, _part(i, j)) for ok, (i, j) in zip(both, pairs, strict=True))), "p_surname": F.coalesce(*(F.when(ok, _part(j)) for ok, (_, j) in zip(both, pairs, strict=True))),
+        "p_district": F.when(district, _part(F.lit(2))), "p_party": F.when((election > 0) & F.get("k", F.lit(0)).isin("PARTIT", "PARTIDO"), _part(election)),
+    })
+    said = ["p_name", "p_surname", "p_district", "p_party"]
+    some = F.lit(False)
+    for c in (*MARKS, *(F.col(c).isNotNull() for c in said)):
+        some = some | (F.col(c) if isinstance(c, str) else c)
+    return out.where(some).select("decl_id", "y0", "page", "side", "at", "y1", "x0", "t", F.col("n").contains("CONJUNT").alias("joint"), *MARKS, *said)
+
+
+def find_anchor(mark: str, after: Column | None = None, before: Column | None = None) -> Column:
+    """The first of a declaration's ``marks`` of a kind below ``after`` and above ``before``; null without one."""
 
     def fits(l: Column) -> Column:  # noqa: E741
-        ok = l["n"].rlike(pattern)
+        ok = l[mark]
         ok = ok if after is None else ok & (l["y0"] > F.coalesce(after, F.lit(-1.0)))
         return ok if before is None else ok & (l["y0"] < before)
 
-    return F.get(F.filter(lines, fits), F.lit(0))
+    return F.get(F.filter("marks", fits), F.lit(0))
 
 
-def header_bottom(lines: Column | str, top: Column, bottom: Column, pattern: str) -> Column:
+def header_bottom(mark: str, top: Column, bottom: Column) -> Column:
     """Where a table's header ends: the lowest of its lines near ``top``, or ``top`` itself."""
-    own = F.filter(lines, lambda l: (l["y0"] >= top) & (l["y0"] < bottom) & l["n"].rlike(pattern) & ~l["n"].contains("CONJUNT") & (l["y1"] - top < 60))
+    own = F.filter("marks", lambda l: l[mark] & (l["y0"] >= top) & (l["y0"] < bottom) & ~l["joint"] & (l["y1"] - top < 60))
     return F.coalesce(F.array_max(F.transform(own, lambda l: l["y1"])), top)
 
 
-def find_sections(flowed: DataFrame) -> DataFrame:
-    """``flow_pages`` rows with the heights of the form's sections; null where a section wasn't found."""
-    out = flowed.withColumns({"_act": find_anchor("lines", ACTIVITIES), "_inm": find_anchor("lines", PROPERTIES)})
-    out = out.withColumns({"y_act": F.col("_act.y0"), "y_inm": F.col("_inm.y0")})
-    out = out.withColumn("y_noinm", find_anchor("lines", OTHER_ASSETS, F.col("y_inm"))["y0"])
-    out = out.withColumn("y_pas", find_anchor("lines", DEBTS, F.coalesce("y_noinm", "y_inm"))["y0"])
-    end = find_anchor("lines", END, F.coalesce("y_pas", "y_noinm", "y_inm"))["y0"]
-    return out.withColumn("y_fin", F.coalesce(end, (F.col("n_pages") + 1) * F.lit(float(PAGE_STEP)))).drop("_act", "_inm")
-
-
-def _row(fields: dict[str, Column]) -> Column:
-    return F.struct(*(v.alias(k) for k, v in fields.items()))
-
-
-def property_rows(df: DataFrame) -> DataFrame:
-    """``find_sections`` rows with inmuebles, total_catastral and the warnings of the property table."""
-    out = df.withColumn("_end", F.coalesce("y_noinm", "y_pas", "y_fin"))
-    out = out.withColumn("_total", find_anchor("lines", PROPERTY_TOTAL, F.col("y_inm"), F.col("_end")))
-    out = out.withColumn("_cab", header_bottom("lines", F.col("y_inm"), F.col("_end"), PROPERTY_HEADER))
-    out = boxes_to_rows(out, "boxes", F.col("_cab") - 2, F.coalesce(F.col("_total.y0") - 3, F.col("_end")), "_rows")
-    some = lambda r: F.exists(r, lambda c: c["t"] != "")
-    labels = lambda r: F.size(F.filter(r, lambda c: (c["t"] != "") & c["label"]))
-    out = out.withColumn("_rows", F.filter("_rows", lambda r: (F.size(r) >= 4) & some(r) & (labels(r) < 2)))
-
-    def item(r: Column) -> Column:
-        right, kind, share, place, value = (F.get(r, F.lit(i)) for i in range(5))
-        return let(code_pair(right["t"], kind["t"], right["alts"], kind["alts"], right["ocr"]), lambda code: _row({
-            "clave": code["clave"], "clave_txt": right["t"], "tipo": code["tipo"], "tipo_txt": kind["t"], "porcentaje": share["share"], "porcentaje_txt": share["t"],
-            "provincia": place["province"], "provincia_txt": place["t"], "valor": value["amount"], "valor_txt": value["t"], "pagina": right["num"],
-            "dudoso": F.exists(F.array(share, place, value), lambda c: (c["t"] != "") & c["dudoso"]), "alts": value["alts"], "ocr": right["ocr"],
-        }))
-
-    known = lambda x: sum((x[c].isNotNull().cast("int") for c in ("clave", "tipo", "porcentaje", "provincia", "valor")), F.lit(0))
-    items = F.filter(F.transform(F.filter("_rows", lambda r: F.size(r) == 5), item), lambda x: known(x) >= F.when(x["ocr"], 2).otherwise(1))
-    odd = F.transform(F.filter("_rows", lambda r: F.size(r) != 5), lambda _: F.lit(ODD_ROW))
-    return property_total(out.withColumns({"inmuebles": items, "avisos": odd})).drop("_end", "_total", "_cab", "_rows")
-
-
-def property_total(df: DataFrame) -> DataFrame:
-    """total_catastral: the wide box right of its label, else the single wide box below the rows."""
-    wide = lambda c: c["x1"] - c["x0"] > 120
-    beside = lambda c: (_centre(c) >= F.col("_total.y0") - 8) & (_centre(c) <= F.col("_total.y1") + 10) & (c["x0"] > F.col("_total.x0") + 40)
-    own = F.get(F.filter("boxes", lambda c: F.coalesce(beside(c), F.lit(False)) & wide(c) & c["amount"].isNotNull()), F.lit(0))["amount"]
-    narrow = F.filter("boxes", lambda c: (c["y0"] >= F.col("_cab")) & (c["y0"] < F.col("_end")) & (c["x1"] - c["x0"] < 120))
-    out = boxes_to_rows(df, "boxes", F.coalesce(F.array_max(F.transform(narrow, lambda c: c["y1"])), F.col("_cab")) - 2, F.col("_end"), "_under")
-    alone = lambda r: F.get(r, F.lit(0))
-    fits = lambda r: (F.size(r) == 1) & wide(alone(r)) & (alone(r)["y1"] - alone(r)["y0"] < 30) & alone(r)["amount"].isNotNull() & ~alone(r)["word"]
-    below = alone(F.get(F.filter("_under", fits), F.lit(0)))["amount"]
-    return out.withColumn("total_catastral", F.coalesce(own, below)).drop("_under")
-
-
-def asset_liability_rows(df: DataFrame, top: str, bottom: Column, items: str, total: str, classify) -> DataFrame:  # noqa: ANN001
-    """``df`` with the two-cell rows of a table as ``items`` and its ``total``.
+def find_sections(flow: Flow) -> DataFrame:
+    """A row for each declaration: its marks, and the heights of the form's sections; null where one wasn't found.
+
+    Written once, without the planner's search for filters that follow from the heights' definitions: each builds on those
+    before, so that the search would double with every one, and finds nothing.
+    """
+    marks = find_marks(flow.lines)
+    each = marks.groupBy("decl_id").agg(F.array_sort(F.collect_list(F.struct(*(c for c in marks.columns if c != "decl_id")))).alias("marks"))
+    out = flow.heads.join(each, "decl_id", "left")
+    foot = (F.col("n_pages") + 1) * F.lit(float(PAGE_STEP))
+    out = out.withColumns({"y_act": find_anchor("activities")["y0"], "y_inm": find_anchor("properties")["y0"]})
+    out = out.withColumn("y_noinm", find_anchor("others", F.col("y_inm"))["y0"])
+    out = out.withColumn("y_pas", find_anchor("debts", F.coalesce("y_noinm", "y_inm"))["y0"])
+    out = out.withColumn("y_fin", F.coalesce(find_anchor("end", F.coalesce("y_pas", "y_noinm", "y_inm"))["y0"], foot))
+    out = out.withColumns({"end_inm": F.coalesce("y_noinm", "y_pas", "y_fin"), "end_noinm": F.coalesce("y_pas", "y_fin"), "end_person": F.coalesce("y_act", "y_inm", foot), "data": find_anchor("data"), "title": find_anchor("title")})
+    out = out.withColumns({
+        "total": find_anchor("total", F.col("y_inm"), F.col("end_inm")), "cab_inm": header_bottom("property_head", F.col("y_inm"), F.col("end_inm")),
+        "cab_noinm": header_bottom("item_head", F.col("y_noinm"), F.col("end_noinm")), "cab_pas": header_bottom("item_head", F.col("y_pas"), F.col("y_fin")),
+        "data_below": find_anchor("data", F.col("title.y0")),
+    })
+    with settings(out.sparkSession, {"spark.sql.constraintPropagation.enabled": "false"}):
+        return save(out, "sections")
+
+
+# ---- rows of the form's tables ----------------------------------------------------------------------------------------
+CELL = ("x0", "y0", "x1", "y1", "t", "n", "alts", "dudoso", "ocr", "num", "amount", "share", "province", "label", "header", "word")
+
+
+def _between(centre: Column, top: Column, bottom: Column) -> Column:
+    return F.coalesce((centre >= top) & (centre < bottom), F.lit(False))
+
+
+def table_rows(boxes: DataFrame, sections: DataFrame) -> DataFrame:
+    """(decl_id, area, row, cells, margin) of the boxes that lie in a table, with total_beside on rows of the area ``under``.
+
+    Areas: inmuebles, otros_bienes, pasivo, persona, and under: below the rows of properties, where their total may stand
+    if none stands beside its label; total: the boxes beside that label. Boxes are dealt by declaration once; what follows keeps that.
+    """
+    near = sections.select("decl_id", "y_inm", "y_noinm", "y_pas", "y_fin", "end_inm", "end_noinm", "end_person", "total", "cab_inm", "cab_noinm", "cab_pas", "title", "data_below")
+    own = boxes.join(near, "decl_id").withColumns({"cy": (F.col("y0") + F.col("y1")) / 2, "wide": F.col("x1") - F.col("x0") > 120})
+    whole = Window.partitionBy("decl_id")
+    beside = F.col("wide") & F.col("amount").isNotNull() & (F.col("cy") >= F.col("total.y0") - 8) & (F.col("cy") <= F.col("total.y1") + 10) & (F.col("x0") > F.col("total.x0") + 40)
+    narrow = (F.col("x1") - F.col("x0") < 120) & (F.col("y0") >= F.col("cab_inm")) & (F.col("y0") < F.col("end_inm"))
+    margin = lambda top, bottom: F.min(F.when(_between(F.col("cy"), F.col(top) - 12, F.col(bottom)), F.col("x0"))).over(whole)
+    own = own.withColumns({
+        "total_beside": F.min(F.when(beside, F.struct("page", "at", "amount"))).over(whole)["amount"], "low": F.coalesce(F.max(F.when(narrow, F.col("y1"))).over(whole), F.col("cab_inm")),
+        "margin_noinm": margin("y_noinm", "end_noinm"), "margin_pas": margin("y_pas", "y_fin"),
+    })
+    top = F.coalesce("data_below.y1", "title.y1", F.lit(0.0))
+    areas = {
+        "inmuebles": (F.col("cab_inm") - 2, F.coalesce(F.col("total.y0") - 3, F.col("end_inm")), None), "under": (F.col("low") - 2, F.col("end_inm"), None),
+        "otros_bienes": (F.col("cab_noinm") - 2, F.col("end_noinm"), "margin_noinm"), "pasivo": (F.col("cab_pas") - 2, F.col("y_fin"), "margin_pas"),
+        "persona": (top, F.when(F.col("data_below").isNotNull(), F.least(F.col("end_person"), top + 80)).otherwise(F.col("end_person")), None),
+    }
+    inside = F.array(*(F.when(_between(F.col("cy"), a, b), F.struct(F.lit(name).alias("area"), (F.col(m) if m else F.lit(None).cast("double")).alias("margin"))) for name, (a, b, m) in areas.items()), F.when(F.coalesce(beside, F.lit(False)), F.struct(F.lit("total").alias("area"), F.lit(None).cast("double").alias("margin"))))
+    own = own.withColumn("_in", F.explode(F.filter(inside, lambda x: x.isNotNull())))
+    each = own.groupBy("decl_id", "_in.area", "_in.margin", "total_beside").agg(F.array_sort(F.collect_list(F.struct("cy", F.col("x0").alias("x"), "page", "at", F.struct(*CELL).alias("cell")))).alias("found"))
+    each = pinned(each, "_ids", cluster_rows(F.col("found.cy"), F.col("found.x"), F.lit(ROW_TOLERANCE)))
+    rows = each.select("decl_id", "area", "margin", "total_beside", "found", F.posexplode("_ids").alias("row", "ids"))
+    return rows.select("decl_id", "area", "margin", "total_beside", "row", F.transform("ids", lambda i: F.get("found.cell", i)).alias("cells"))
+
+
+def _cell(i: int) -> Column:
+    return F.get("cells", F.lit(i))
+
+
+def _some_text() -> Column:
+    return F.exists("cells", lambda c: c["t"] != "")
+
+
+def property_rows(rows: DataFrame) -> DataFrame:
+    """``table_rows`` of properties with ``item`` (null for a row that is none) and ``odd``: another number of cells than five.
+
+    Rows with two labels or under four cells are no rows of the table. A row of five cells is an item if one of its values
+    is known, or two in a scan.
+    """
+    own = rows.where((F.col("area") == "inmuebles") & (F.size("cells") >= 4) & _some_text() & (F.size(F.filter("cells", lambda c: (c["t"] != "") & c["label"])) < 2))
+    own = own.withColumns({"odd": F.size("cells") != 5, **dict(zip(("right", "kind", "part", "place", "value"), map(_cell, range(5)), strict=True))})
+    own = own.withColumn("code", code_pair(F.col("right.t"), F.col("kind.t"), F.col("right.alts"), F.col("kind.alts"), F.col("right.ocr")))
+    known = sum((F.col(c).isNotNull().cast("int") for c in ("code.clave", "code.tipo", "part.share", "place.province", "value.amount")), F.lit(0))
+    doubt = F.exists(F.array("part", "place", "value"), lambda c: (c["t"] != "") & c["dudoso"])
+    item = F.struct(
+        F.col("code.clave").alias("clave"), F.col("right.t").alias("clave_txt"), F.col("code.tipo").alias("tipo"), F.col("kind.t").alias("tipo_txt"), F.col("part.share").alias("porcentaje"),
+        F.col("part.t").alias("porcentaje_txt"), F.col("place.province").alias("provincia"), F.col("place.t").alias("provincia_txt"), F.col("value.amount").alias("valor"), F.col("value.t").alias("valor_txt"),
+        F.col("right.num").alias("pagina"), doubt.alias("dudoso"), F.col("value.alts").alias("alts"), F.col("right.ocr").alias("ocr"),
+    )
+    return own.withColumn("item", F.when(~F.col("odd") & (known >= F.when(F.col("right.ocr"), 2).otherwise(1)), item)).select("decl_id", "row", "odd", "item")
+
+
+def property_total(rows: DataFrame) -> DataFrame:
+    """(decl_id, row, amount): single wide boxes below the rows of properties that hold an amount and no word; the first may be the total."""
+    c = _cell(0)
+    alone = (F.col("area") == "under") & (F.size("cells") == 1) & (c["x1"] - c["x0"] > 120) & (c["y1"] - c["y0"] < 30) & c["amount"].isNotNull() & ~c["word"]
+    return rows.where(alone).select("decl_id", "row", c["amount"].alias("amount"))
+
+
+def asset_liability_rows(rows: DataFrame) -> DataFrame:
+    """(decl_id, area, row, item, total): items of the tables of assets and debts, and the row that holds their total.
 
     A row that is shifted to the right of the table's margin and holds an amount is the total, and ends the table.
     Rows of labels, boxes of running text and rows of a scan's noise are no items.
     """
-    out = df.withColumn("_bottom_", bottom).withColumn("_cab", header_bottom("lines", F.col(top), F.col("_bottom_"), ITEM_HEADER))
-    inside = F.filter("boxes", lambda c: (_centre(c) >= F.col(top) - 12) & (_centre(c) < F.col("_bottom_")))
-    out = boxes_to_rows(out.withColumn("_margin", F.array_min(F.transform(inside, lambda c: c["x0"]))), "boxes", F.col("_cab") - 2, F.col("_bottom_"), "_rows")
-    out = out.withColumn("_rows", F.filter("_rows", lambda r: F.exists(r, lambda c: c["t"] != "")))
-    shifted = lambda r: F.get(r, F.lit(0))["x0"] > F.col("_margin") + 30
-    amount = lambda c: c["amount"].isNotNull() & ~c["word"]
-    ends = F.filter(F.transform("_rows", lambda r, i: F.when(shifted(r) & F.exists(r, amount), i)), lambda i: i.isNotNull())
-    out = out.withColumn("_stop", F.get(ends, F.lit(0)))
-    value = F.get(F.filter(F.get("_rows", F.col("_stop")), amount), F.lit(0))["amount"]
-    before = F.filter("_rows", lambda r, i: (F.size(r) == 2) & ~shifted(r) & (F.col("_stop").isNull() | (i < F.col("_stop"))))
-
-    def kept(r: Column) -> Column:
-        d, v = F.get(r, F.lit(0)), F.get(r, F.lit(1))
-        none = v["amount"].isNull()
-        label = d["label"] | ((d["t"] == "") & v["label"])
-        prose = d["x1"] - d["x0"] > 0.85 * (v["x1"] - d["x0"])
-        noise = ~d["word"] & (none | v["dudoso"])
-        scrap = none & d["ocr"] & ~d["t"].rlike("[A-Za-zÀ-ÿ]{4,}")
-        head = none & (F.size(F.filter(F.split(F.trim(d["t"]), r"\s+"), lambda w: w != "")) <= 1) & (v["word"] | d["header"])
-        return ~(label | prose | noise | scrap | head)
-
-    def item(r: Column) -> Column:
-        d, v = F.get(r, F.lit(0)), F.get(r, F.lit(1))
-        text = F.when(d["word"] | d["t"].rlike("[0-9]"), d["t"]).otherwise("")
-        return _row({"descripcion": text, "categoria": classify(text), "valor": v["amount"], "valor_txt": v["t"], "pagina": d["num"], "dudoso": v["dudoso"], "alts": v["alts"]})
-
-    found = F.transform(F.filter(before, kept), item)
-    return out.withColumns({items: found, total: value}).drop("_bottom_", "_cab", "_margin", "_rows", "_stop")
-
-
-def _first(values: Column) -> Column:
-    return F.get(F.filter(values, lambda x: x.isNotNull() & (x != "")), F.lit(0))
-
-
-def person_fields(df: DataFrame) -> DataFrame:
-    """``find_sections`` rows with persona: name, surname, district and party of the cover.
+    own = rows.where(F.col("area").isin("otros_bienes", "pasivo") & _some_text()).withColumns({"d": _cell(0), "v": _cell(1)})
+    own = own.withColumn("shifted", F.coalesce(F.col("d.x0") > F.col("margin") + 30, F.lit(False)))
+    sums = F.filter("cells", lambda c: c["amount"].isNotNull() & ~c["word"])
+    own = own.withColumn("total", F.when(F.col("shifted"), F.get(sums, F.lit(0))["amount"]))
+    stop = F.min(F.when(F.col("total").isNotNull(), F.col("row"))).over(Window.partitionBy("decl_id", "area"))
+    own = own.withColumn("stop", stop).where("stop IS NULL OR row <= stop")
+    none, text = F.col("v.amount").isNull(), F.col("d.t")
+    label = F.col("d.label") | ((text == "") & F.col("v.label"))
+    prose = F.col("d.x1") - F.col("d.x0") > 0.85 * (F.col("v.x1") - F.col("d.x0"))
+    noise = ~F.col("d.word") & (none | F.col("v.dudoso"))
+    scrap = none & F.col("d.ocr") & ~text.rlike("[A-Za-zÀ-ÿ]{4,}")
+    head = none & (F.size(F.filter(F.split(F.trim(text), r"\s+"), lambda w: w != "")) <= 1) & (F.col("v.word") | F.col("d.header"))
+    kept = ~F.col("shifted") & (F.size("cells") == 2) & ~(label | prose | noise | scrap | head)
+    own = own.withColumn("description", F.when(F.col("d.word") | text.rlike("[0-9]"), text).otherwise(""))
+    own = own.withColumn("category", F.when(F.col("area") == "otros_bienes", classify_asset("description")).otherwise(classify_liability("description")))
+    item = F.struct(
+        F.col("description").alias("descripcion"), F.col("category").alias("categoria"), F.col("v.amount").alias("valor"), F.col("v.t").alias("valor_txt"), F.col("d.num").alias("pagina"),
+        F.col("v.dudoso").alias("dudoso"), F.col("v.alts").alias("alts"),
+    )
+    return own.select("decl_id", "area", "row", F.when(kept, item).alias("item"), "total")
+
+
+# ---- the person -------------------------------------------------------------------------------------------------------
+def _first(field: str) -> Column:
+    """The first that the lines of a text form above the person's end say of a field."""
+    said = F.filter("marks", lambda l: ~F.col("scan") & (l["y0"] <= F.col("end_person")) & l[field].isNotNull())
+    return F.get(said, F.lit(0))[field]
+
+
+def person_fields(flow: Flow, sections: DataFrame, rows: DataFrame) -> DataFrame:
+    """(decl_id, persona): name, surname, district and party of the cover.
 
     Text forms have them beside their labels; other forms in boxes below the title, by place; scans also in runs
-    of capitals near the heading. The first that is found counts.
+    of capitals near the heading. The first that is found counts; what isn't found is null.
     """
-    end = F.coalesce("y_act", "y_inm", (F.col("n_pages") + 1) * F.lit(float(PAGE_STEP)))
-    out = df.withColumn("_end", end)
-    head = F.when(F.col("scan"), F.filter("lines", lambda _: F.lit(False))).otherwise(F.filter("lines", lambda l: l["y0"] <= F.col("_end")))
-    marks = lambda l: F.transform(l["words"], lambda w: norm_text(w["t"]))
-    part = lambda l, a, b: F.trim(F.array_join(F.transform(F.filter(l["words"], lambda w, i: (i >= a) & (i < b)), lambda w: w["t"]), " "))
-    place = lambda l, word: F.array_position(marks(l), word).cast("int")
-    far = F.lit(1 << 20)
-
-    def named(which: int) -> Column:
-        def one(l: Column, pair: tuple[str, str]) -> Column:  # noqa: E741
-            i, j = place(l, pair[0]), place(l, pair[1])
-            value = part(l, i, j - 1) if which == 0 else part(l, j, far)
-            return F.when((i > 0) & (j > 0), value)
-
-        return _first(F.flatten(F.transform(head, lambda l: F.array(*(one(l, p) for p in NAME_LABELS)))))
-
-    starts = lambda l, words: F.array_contains(F.array(*(F.lit(w) for w in words)), F.array_join(F.slice(marks(l), 1, 2), " "))
-    district = _first(F.transform(head, lambda l: F.when(starts(l, ("CIRCUMSCRIPCIO ELECTORAL", "CIRCUNSCRIPCION ELECTORAL")) & (F.size(l["words"]) > 2), part(l, F.lit(2), far))))
-    party = _first(F.flatten(F.transform(head, lambda l: F.array(*(
-        F.when((place(l, e) > 0) & F.get(marks(l), F.lit(0)).isin("PARTIT", "PARTIDO"), part(l, place(l, e), far)) for e in ("ELECCIONS", "ELECCIONES")
-    )))))
-    out = out.withColumns({"_n": named(0), "_a": named(1), "_c": district, "_p": party})
-
-    out = out.withColumn("_title", find_anchor("lines", PERSON_TITLE)).withColumn("_data", find_anchor("lines", PERSON_DATA, F.col("_title.y0")))
-    top = F.coalesce("_data.y1", "_title.y1", F.lit(0.0))
-    bottom = F.when(F.col("_data").isNotNull(), F.least(F.col("_end"), top + 80)).otherwise(F.col("_end"))
-    out = boxes_to_rows(out, "boxes", top, bottom, "_rows")
-    clean = F.transform("_rows", lambda r: F.filter(r, lambda c: (c["t"] != "") & ~c["label"] & ~norm_text(c["t"]).rlike(PERSON_NOISE)))
-    needed = F.col("_n").isNull() | F.col("_a").isNull()
-    out = out.withColumn("_rows", F.when(needed, F.filter(clean, lambda r: F.size(r) > 0)))
-    row = lambda i: F.get("_rows", F.lit(i))
-    side = lambda left: F.get(F.filter(row(0), lambda c: (c["x0"] < 250) if left else (c["x0"] >= 250)), F.lit(0))["t"]
-    out = out.withColumns({
-        "_n": F.coalesce("_n", side(True)), "_a": F.coalesce("_a", side(False)),
-        "_c": F.coalesce("_c", F.get(row(1), F.lit(0))["t"]), "_p": F.coalesce("_p", F.get(row(2), F.lit(0))["t"]),
+    own = rows.where("area = 'persona'").withColumn("cells", F.filter("cells", lambda c: (c["t"] != "") & ~c["label"] & ~c["n"].rlike(PERSON_NOISE))).where(F.size("cells") > 0)
+    side = lambda left: F.get(F.filter("cells", lambda c: (c["x0"] < 250) if left else (c["x0"] >= 250)), F.lit(0))["t"]
+    placed = own.groupBy("decl_id").agg(F.array_sort(F.collect_list(F.struct("row", side(True).alias("left"), side(False).alias("right"), _cell(0)["t"].alias("t")))).alias("placed"))
+    at = lambda i, c: F.get("placed", F.lit(i))[c]
+    out = sections.select("decl_id", "scan", "data", "end_person", "marks").join(placed, "decl_id", "left")
+    out = out.select("decl_id", "scan", "data", F.get(F.filter("marks", lambda l: l["voting"]), F.lit(0))["t"].alias("voting"), "placed", *(_first(f"p_{f}").alias(f) for f in ("name", "surname", "district", "party")))
+    open_ = F.col("name").isNull() | F.col("surname").isNull()
+    by_place = {"name": at(0, "left"), "surname": at(0, "right"), "district": at(1, "t"), "party": at(2, "t")}
+    out = out.withColumns({f: F.coalesce(F.col(f), F.when(open_, c)) for f, c in by_place.items()}).drop("placed")
+
+    wanted = out.where("scan AND (name IS NULL OR surname IS NULL) AND data IS NOT NULL").select("decl_id", "name", "surname", F.col("data.y1").alias("_y"))
+    line = flow.lines.where("side = 0").join(wanted, "decl_id").where(F.col("y0").between(F.col("_y") - 2, F.col("_y") + 22) & (F.col("y0") != F.col("_y") - 2) & (F.col("y0") != F.col("_y") + 22) & ~F.col("n").contains("PERSONAL"))
+    line = line.withColumn("runs", capital_runs("t")).where(F.size("runs") > 0)
+    line = line.withColumn("apart", differ(compact_norm(F.get("runs", F.lit(0))), compact_norm("surname")))
+    line = line.where((F.size("runs") >= 2) | (F.col("surname").isNotNull() & F.col("name").isNull() & F.col("apart")))
+    runs = line.groupBy("decl_id").agg(F.min_by("runs", F.struct("y0", "page", "at")).alias("runs"))
+    out = out.join(runs, "decl_id", "left").withColumns({
+        "name": F.coalesce("name", F.get("runs", F.lit(0))), "surname": F.coalesce("surname", F.when(F.size("runs") >= 2, F.array_join(F.slice("runs", 2, 1 << 20), " "))),
     })
 
-    out = out.withColumn("_data", find_anchor("lines", PERSON_DATA))
-    near = F.filter("lines", lambda l: (l["side"] == 0) & (l["y0"] > F.col("_data.y1") - 2) & (l["y0"] < F.col("_data.y1") + 22) & ~l["n"].contains("PERSONAL"))
-    wanted = F.col("scan") & (F.col("_n").isNull() | F.col("_a").isNull()) & F.col("_data").isNotNull()
-    out = pinned(out, "_runs", capital_runs(F.when(wanted, F.transform(near, lambda l: l["t"]))))
-    pair = F.get(F.filter("_runs", lambda r: F.size(r) >= 2), F.lit(0))
-    lone = F.get(F.get(F.filter("_runs", lambda r: F.size(r) == 1), F.lit(0)), F.lit(0))
-    out = out.withColumns({"_pair": pair, "_lone": lone})
-    out = pinned(out, "_differ", differ(compact_norm("_lone"), compact_norm("_a")))
-    alone = F.when(F.col("_pair").isNull() & F.col("_a").isNotNull() & F.col("_differ"), F.col("_lone"))
-    out = out.withColumns({"_n": F.coalesce("_n", F.get("_pair", F.lit(0)), alone), "_a": F.coalesce("_a", F.array_join(F.slice("_pair", 2, 100), " "))})
-
-    voting = find_anchor("lines", ("ELECTORAL",))["t"]
-    out = pinned(out.withColumn("_c0", F.coalesce("_c", F.when(F.col("scan"), voting))), "_k", text_kinds(F.array(norm_text("_c0"))))
-    province = F.coalesce(province_by_word("_c0"), F.get("_k", F.lit(0))["near"])
-    out = out.withColumn("_prov", province)
-    final = F.when(F.col("_prov").isin(*DISTRICTS), F.col("_prov")).otherwise(F.coalesce("_c", F.when(F.col("scan"), F.col("_prov"))))
-    out = out.withColumn("persona", F.struct(F.col("_n").alias("nombre"), F.col("_a").alias("apellidos"), final.alias("circunscripcion"), F.col("_p").alias("partido")))
-    return out.drop("_end", "_n", "_a", "_c", "_p", "_title", "_data", "_rows", "_runs", "_pair", "_lone", "_differ", "_c0", "_k", "_prov")
+    out = out.withColumn("said", F.coalesce("district", F.when(F.col("scan"), F.col("voting"))))
+    out = out.withColumn("sure", province_by_word("said")).withColumn("n", norm_text("said"))
+    out = out.withColumn("k", text_kinds(F.col("n"), F.when(F.col("sure").isNull(), F.col("n")))).withColumn("province", F.coalesce("sure", "k.near"))
+    district = F.when(F.col("province").isin(*DISTRICTS), F.col("province")).otherwise(F.coalesce("district", F.when(F.col("scan"), F.col("province"))))
+    return out.select("decl_id", F.struct(F.col("name").alias("nombre"), F.col("surname").alias("apellidos"), district.alias("circunscripcion"), F.col("party").alias("partido")).alias("persona"))
 
 
 def read_forms(pages: DataFrame) -> DataFrame:
-    """(decl_id, persona, inmuebles, otros_bienes, pasivo, totals, avisos) of ``pages(decl_id, num, alto, metodo, palabras, casillas)``."""
-    df = property_rows(person_fields(find_sections(flow_pages(pages))))
-    df = asset_liability_rows(df, "y_noinm", F.coalesce("y_pas", "y_fin"), "otros_bienes", "total_otros_bienes", classify_asset)
-    df = asset_liability_rows(df, "y_pas", F.col("y_fin"), "pasivo", "total_pasivo", classify_liability)
+    """(decl_id, persona, inmuebles, otros_bienes, pasivo, totals, avisos) of ``pages(decl_id, num, alto, metodo, palabras, casillas)``.
+
+    A declaration without its section of properties has no items and no totals, and a warning; one whose other sections
+    are missing has a warning for each. Every declaration of ``pages`` has a row.
+    """
+    flow = flow_pages(pages)
+    sections = find_sections(flow)
+    rows = save(table_rows(flow.boxes, sections), "rows")
+    homes, others, below = property_rows(rows), asset_liability_rows(rows), property_total(rows)
+    nested = lambda item, when: F.transform(F.array_sort(F.collect_list(F.when(when, F.struct("row", item)))), lambda x: x["item"])
+    homes = homes.groupBy("decl_id").agg(nested("item", F.col("item").isNotNull()).alias("inmuebles"), F.count_if("odd").alias("odd"))
+    table = lambda name: F.col("area") == name
+    others = others.groupBy("decl_id").agg(
+        *(nested("item", table(t) & F.col("item").isNotNull()).alias(t) for t in ("otros_bienes", "pasivo")), *(F.max(F.when(table(t), F.col("total"))).alias(f"total_{t}") for t in ("otros_bienes", "pasivo"))
+    )
+    beside = rows.groupBy("decl_id").agg(F.max("total_beside").alias("beside"))
+    below = below.groupBy("decl_id").agg(F.min_by("amount", "row").alias("below"))
+    out = sections.select("decl_id", "y_inm", "y_noinm", "y_pas")
+    for part in (person_fields(flow, sections, rows), homes, others, beside, below):
+        out = out.join(part, "decl_id", "left")
     lost = F.col("y_inm").isNull()
-    missing = F.filter(F.array(F.when(F.col("y_noinm").isNull(), NO_ASSETS), F.when(F.col("y_pas").isNull(), NO_DEBTS)), lambda x: x.isNotNull())
-    put = {c: F.when(lost, F.filter(c, lambda _: F.lit(False))).otherwise(F.coalesce(c, F.filter(c, lambda _: F.lit(False)))) for c in ("inmuebles", "otros_bienes", "pasivo")}
-    put |= {c: F.when(~lost, F.col(c)) for c in ("total_catastral", "total_otros_bienes", "total_pasivo")}
-    put["avisos"] = F.when(lost, F.array(F.lit(NO_PROPERTIES))).otherwise(F.concat("avisos", missing))
-    return df.withColumns(put).select("decl_id", "persona", "inmuebles", "otros_bienes", "pasivo", "total_catastral", "total_otros_bienes", "total_pasivo", "avisos")
+    kind = dict(out.dtypes)
+    items = {t: F.when(lost | F.col(t).isNull(), F.array().cast(kind[t])).otherwise(F.col(t)) for t in ("inmuebles", "otros_bienes", "pasivo")}
+    totals = {"total_catastral": F.coalesce("beside", "below"), "total_otros_bienes": F.col("total_otros_bienes"), "total_pasivo": F.col("total_pasivo")}
+    missing = F.array_compact(F.array(F.when(F.col("y_noinm").isNull(), NO_ASSETS), F.when(F.col("y_pas").isNull(), NO_DEBTS)))
+    warned = F.concat(F.array_repeat(F.lit(ODD_ROW), F.coalesce(F.col("odd"), F.lit(0)).cast("int")), missing)
+    return out.select(
+        "decl_id", "persona", *(c.alias(t) for t, c in items.items()), *(F.when(~lost, c).alias(t) for t, c in totals.items()),
+        F.when(lost, F.array(F.lit(NO_PROPERTIES))).otherwise(warned).alias("avisos"),
+    )
