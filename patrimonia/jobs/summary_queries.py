@@ -453,6 +453,58 @@ def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Scanned forms. Parts: 1 all; 2 and 3 a person in boxes or in capitals; 4, 5 and 6 a second row of four cells, of six, or of noise; 7 the total's label.
+_SCAN_WORDS = (
+    (1, 130, L.TITLES[0]), (1, 190, "DATOS PERSONALES"), (3, 205, "NOMBRE {given} APELLIDOS DEL RIO"), (3, 222, "CIRCUNSCRIPCIÓN ELECTORAL Castelló"), (1, 240, "DECLARACIÓN DE ACTIVIDADES"), (1, 300, "1.- Bienes inmuebles urbanos"),
+    (1, 315, "CLAVE TIPO SITUACIÓN (PROVINCIA) VALOR CATASTRAL"), (7, 370, "VALOR CATASTRAL DEL CONJUNTO"), (1, 400, "2.- Bienes y derechos de naturaleza no inmobiliaria"), (1, 415, "DESCRIPCIÓN VALOR (EUROS)"),
+    (1, 520, "3.- PASIVO"), (1, 535, "DESCRIPCIÓN VALOR (EUROS)"), (1, 740, "ESTOS DATOS SE DEBERÁN ACTUALIZAR"),
+)
+_SCAN_BOXES = (
+    (2, 60, 200, 199, "{given}"), (2, 300, 440, 199, "Ejemplo Ficticia"), (2, 60, 200, 211, "Alacant"), (2, 60, 200, 223, "Partido Imaginario"),
+    (1, 60, 100, 335, "{right}", "{right2}"), (1, 105, 145, 335, "{kind}"), (1, 150, 200, 335, "50%", "50 %"), (1, 205, 330, 335, "{province}"), (1, 335, 440, 335, "{value}", "{value2}"),
+    (4, 60, 100, 350, "P"), (4, 105, 145, 350, "V"), (4, 150, 200, 350, "50%"), (4, 205, 330, 350, "Madrid"),
+    (5, 60, 100, 350, "P"), (5, 105, 145, 350, "V"), (5, 150, 200, 350, "50%"), (5, 205, 270, 350, "Madrid"), (5, 275, 330, 350, "x"), (5, 335, 440, 350, "1"),
+    (6, 60, 100, 350, "|"), (6, 105, 145, 350, ""), (6, 150, 200, 350, ""), (6, 205, 330, 350, ""), (6, 335, 440, 350, "7"), (1, 300, 440, 370, "{value}"),
+    (1, 60, 300, 425, "Descripeion"), (1, 310, 440, 425, "Valor(euros)"), (1, 60, 300, 437, "Cuenta corriente", "Cuenta corrienle"), (1, 310, 440, 437, "{account}", "{account2}"), (1, 60, 300, 450, "Coche Seat ]"), (1, 310, 440, 450, "3:000"),
+    (1, 60, 300, 465, "il"), (1, 310, 440, 465, ""), (1, 300, 440, 480, "{assets}"), (1, 60, 300, 555, "Préstamo hipotecario"), (1, 310, 440, 555, "{debt}"), (1, 300, 440, 590, "{debt}"),
+)
+
+
+def _scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scanned form of each supplier, with second readings, swapped and misread codes, rows of four and six cells, and the person by place or in capitals."""
+    key, cents = F.col("k"), F.col("cents")
+    none = F.lit(None).cast("string")
+    values = {
+        "given": pick(("BERTA", "MARC", "NEUS", "ORIOL"), key), "right": pick(("P", "Vivienda", "F", "zzzz"), key), "right2": pick(("P", "Vivienda", "F", "Nuda"), key), "kind": pick(("Vivienda", "Pleno", "Y", "Local"), key),
+        "province": pick(("Alacant", "MADRJD", "VALENCIA"), key), "value": _money(cents), "value2": F.when(key % 3 == 0, F.concat(_money(cents), F.lit(" €"))).when(key % 3 == 1, _money(cents + 1)).otherwise(none),
+        "account": _money(cents + 500), "account2": F.when(key % 3 == 1, F.lit("ilegible")).otherwise(none), "assets": _money(cents + 300500), "debt": _money(cents + 7),
+    }
+    filled = _filled(spark, _keys(spark, sf_dir), _SCAN_WORDS, _SCAN_BOXES, values)
+    filled = filled.withColumn("items", F.transform("items", lambda x: x.withField("alt", F.when(x["alt"].startswith("{"), none).otherwise(x["alt"]))))
+    parts = F.array_compact(F.array(F.lit(1), F.when(key % 2 == 0, 2).otherwise(3), F.when(key % 5 < 3, (key % 5).cast("int") + 4), F.when(key % 2 == 0, 7)))
+    return filled.withColumn("parts", parts).select(
+        key.cast("string").alias("decl_id"), F.lit(1).alias("num"), F.lit(842.0).alias("alto"), F.lit("ocr").alias("metodo"), _side("items", "w", F.col("parts")).alias("palabras"), _side("items", "b", F.col("parts")).alias("casillas"),
+    )
+
+
+def scan_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of scanned forms, with doubts and other readings, the total beside its label or below the rows, and warnings."""
+    d = L.read_forms(_scans(spark, sf_dir))
+    return d.select("decl_id", F.explode("inmuebles").alias("i"), "total_catastral", F.array_join("avisos", "|").alias("avisos")).select("decl_id", "i.clave", "i.tipo", "i.porcentaje", "i.provincia", "i.valor", "i.dudoso", F.size("i.alts").alias("n_alts"), "total_catastral", "avisos")
+
+
+def scan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets and debts of scanned forms: no misread header, no noise."""
+    d = L.read_forms(_scans(spark, sf_dir))
+    both = d.select("decl_id", F.explode("otros_bienes").alias("i"), F.col("total_otros_bienes").alias("total")).unionByName(d.select("decl_id", F.explode("pasivo").alias("i"), F.col("total_pasivo").alias("total")))
+    return both.select("decl_id", "i.descripcion", "i.categoria", "i.valor", "i.dudoso", F.array_join("i.alts", "|").alias("alts"), "total")
+
+
+def scan_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People of scanned forms, in boxes by place or in a line of capitals."""
+    return L.read_forms(_scans(spark, sf_dir)).select("decl_id", "persona.*")
+
+
 _MONEY = "abs(CAST(round(CAST(s_acctbal AS DECIMAL(20,4)) * 100) AS BIGINT)) + 100"
 
 
@@ -526,7 +578,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         conditional_sum, reconcile_totals, repair_with_alternatives, clear_doubt, flag_illegible, flag_repeated_totals, flag_misfiled_assets, summarize_people, quality_report, assemble_people, many_homes,
         attach_income, run_metadata, headline_counts, preset_filters, filter_people, order_people, order_view, facets, export_filtered, write_tables, write_documents, flatten_items, union_income_quota,
-        match_people, resolve_unmatched, union_people, flow_pages, find_anchor, property_rows, property_total, asset_liability_rows, person_fields, detect_cover, bulletin_run,
+        match_people, resolve_unmatched, union_people, flow_pages, find_anchor, property_rows, property_total, asset_liability_rows, person_fields, scan_properties, scan_items, scan_people, detect_cover, bulletin_run,
     )
     return {f.__name__: f for f in own}
 
@@ -560,6 +612,11 @@ def oracle_sql() -> dict[str, str]:
         "property_total": f"{forms} SELECT decl_id, CAST(c AS DOUBLE) / 100 AS total_catastral FROM f",
         "asset_liability_rows": f"{forms} SELECT decl_id, 'Cuenta corriente' AS descripcion, 'cuentas' AS categoria, CAST(c + 500 AS DOUBLE) / 100 AS valor FROM f UNION ALL SELECT decl_id, 'Coche Seat', 'vehiculos', 3000.0 FROM f UNION ALL SELECT decl_id, 'Préstamo hipotecario', 'hipoteca', CAST(c + 7 AS DOUBLE) / 100 FROM f",
         "person_fields": f"{forms} SELECT decl_id, {sql_pick(_GIVEN, 'k')} AS nombre, {sql_pick(tuple(' '.join(x) for x in _FAMILY), 'k')} AS apellidos, {sql_pick(tuple(x[1] for x in _PLACES), 'k')} AS circunscripcion, CAST(NULL AS VARCHAR) AS partido, CAST(c + 300500 AS DOUBLE) / 100 AS total_otros_bienes, CAST(c + 7 AS DOUBLE) / 100 AS total_pasivo FROM f",
+        "scan_properties": f"{forms} SELECT decl_id, (['P', 'P', 'P', 'N'])[CAST(k % 4 AS INTEGER) + 1] AS clave, (['V', 'V', 'V', 'L'])[CAST(k % 4 AS INTEGER) + 1] AS tipo, CAST(50 AS DOUBLE) AS porcentaje, (['Alicante', 'Madrid', 'Valencia'])[CAST(k % 3 AS INTEGER) + 1] AS provincia, CAST(c AS DOUBLE) / 100 AS valor,"
+        f" k % 3 = 1 AS dudoso, CAST(CASE WHEN k % 3 = 2 THEN 0 ELSE 1 END AS INTEGER) AS n_alts, CAST(c AS DOUBLE) / 100 AS total_catastral, CASE WHEN k % 5 < 2 THEN '{L.ODD_ROW}' ELSE '' END AS avisos FROM f",
+        "scan_items": f"{forms} SELECT decl_id, 'Cuenta corriente' AS descripcion, 'cuentas' AS categoria, CAST(c + 500 AS DOUBLE) / 100 AS valor, k % 3 = 1 AS dudoso, CASE WHEN k % 3 = 1 THEN 'ilegible' ELSE '' END AS alts, CAST(c + 300500 AS DOUBLE) / 100 AS total FROM f"
+        " UNION ALL SELECT decl_id, 'Coche Seat', 'vehiculos', 3000.0, FALSE, '', CAST(c + 300500 AS DOUBLE) / 100 FROM f UNION ALL SELECT decl_id, 'Préstamo hipotecario', 'hipoteca', CAST(c + 7 AS DOUBLE) / 100, FALSE, '', CAST(c + 7 AS DOUBLE) / 100 FROM f",
+        "scan_people": f"{forms} SELECT decl_id, (['BERTA', 'MARC', 'NEUS', 'ORIOL'])[CAST(k % 4 AS INTEGER) + 1] AS nombre, CASE WHEN k % 2 = 0 THEN 'Ejemplo Ficticia' ELSE 'DEL RIO' END AS apellidos, CASE WHEN k % 2 = 0 THEN 'Alicante' ELSE 'Castellón' END AS circunscripcion, CASE WHEN k % 2 = 0 THEN 'Partido Imaginario' END AS partido FROM f",
         "bulletin_run": f"{forms},{BULLETIN_RUN} SELECT 'XI' || lpad(CAST(k AS VARCHAR), 6, '0') AS sello, 'B' || b AS bulletin_id, CAST(CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS n_paginas, CASE WHEN last THEN 'modificacion' ELSE 'inicial' END AS tipo, CASE WHEN m THEN 'manual' ELSE 'texto' END AS metodo,"
         f" CASE WHEN m THEN 'Otra' ELSE {sql_pick(_GIVEN, 'k')} END AS nombre, {sql_pick(tuple(' '.join(x) for x in _FAMILY), 'k')} AS apellidos, CASE WHEN m THEN 1000.5 ELSE CAST(c AS DOUBLE) / 100 END AS total_catastral, CASE WHEN NOT m THEN CAST(c + 300500 AS DOUBLE) / 100 END AS total_otros_bienes,"
         " TRUE AS suma_inmuebles_cuadra, CASE WHEN NOT m THEN TRUE END AS suma_otros_cuadra, CASE WHEN NOT m THEN TRUE END AS suma_pasivo_cuadra, TRUE AS has_property FROM s",
