@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patrimonia.functions.similarity import length_bound, ratio
 from patrimonia.functions.text import compact_norm, norm_text, slug_id, title_case_name
-from patrimonia.sources.store import save
+from patrimonia.sources.store import drop, save, scratch
 
 MATCH, SURNAME_MATCH = 0.84, 0.92
 SURNAME_WEIGHT, NAME_WEIGHT = 0.75, 0.25
@@ -36,38 +35,79 @@ def keyed_names(df: DataFrame, name: str, surname: str, prefix: str) -> DataFram
     return df.withColumns({f"{prefix}_all": compact_norm(full), f"{prefix}_sur": compact_norm(surname), f"{prefix}_nom": compact_norm(name), f"{prefix}_tokens": norm_text(name)})
 
 
+#: Texts of a list that meet in one cell: a list of more is cut into cells of its rows by its columns.
+LIST_ROWS = 1000
+
+
+def _marked(texts: DataFrame) -> DataFrame:
+    """``texts(id, text)`` with what pairs are judged by: distinct pairs of characters, how many repeat, and a bitmap of them."""
+    out = texts.withColumn("grams", _grams(F.col("text")))
+    at = lambda x: F.pmod(F.xxhash64(x), F.lit(128)).cast("int")
+
+    def bits(word: int) -> Column:
+        one = lambda x: F.when(at(x).between(64 * word, 64 * word + 63), F.call_function("shiftleft", F.lit(1).cast("long"), at(x) - 64 * word)).otherwise(F.lit(0).cast("long"))
+        return F.aggregate("grams", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(one(x)))
+
+    return out.withColumns({"size": F.length("text"), "n": F.size("grams"), "again": F.length("text") - 1 - F.size(F.array_distinct(_pairs(F.col("text")))), "bits0": bits(0), "bits1": bits(1)})
+
+
 def _rarest(texts: DataFrame, counts: DataFrame, least: float) -> DataFrame:
-    """(id, gram) of ``texts(id, text, grams)``: as many of the rarest grams as must hold one that any accepted partner shares."""
+    """(id, gram, size, n, again, bits) of ``_marked`` texts: as many of the rarest grams as must hold one that any accepted partner shares."""
     # a partner of ratio ``least`` has least / (2 - least) of the characters at least, which bounds the pairs in common from below
-    shared = F.greatest(F.lit(1), F.ceil((1.5 * least - 1) * 2 / (2 - least) * F.length("text") - 1 - 1e-9) - F.col("again"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("n", "gram"))
-    rows = texts.select("id", F.explode("grams").alias("gram"), (F.size("grams") - shared + 1).alias("most")).join(counts, "gram")
-    return rows.withColumn("rank", rank).where("rank <= most").select("id", "gram")
+    shared = F.greatest(F.lit(1), F.ceil((1.5 * least - 1) * 2 / (2 - least) * F.col("size") - 1 - 1e-9) - F.col("again"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("held", "gram"))
+    kept = ("id", "size", "n", "again", "bits0", "bits1")
+    rows = texts.select(*kept, F.explode("grams").alias("gram"), (F.col("n") - shared + 1).alias("most")).join(counts, "gram")
+    return rows.withColumn("rank", rank).where("rank <= most").select(*kept, "gram")
+
+
+def _dealt(rows: DataFrame, lists: DataFrame, own: str, other: str) -> DataFrame:
+    """Rows of lists in cells: a row lies in one part of its side, and meets every part of the other side."""
+    put = rows.join(lists, "gram").withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"{own}s")))
+    return put.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1))).drop("rows", "columns")
+
+
+def _near_texts(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """Distinct (id, to) of ``left(id, text)`` and ``right(id, text)`` whose ratio may reach ``least``.
+
+    No such pair is lost: with T characters in both texts a ratio of t matches m >= t T / 2 of each, in T - 2 m + 1
+    blocks at most, and so 3 m - T - 1 neighbouring pairs at least, repeats counted. Only the rarest pairs of each text
+    that must hold a shared one are listed. Lists are cut into cells, however long they are, and a pair is judged in its
+    list by lengths and bitmaps: pairs of characters that the partner's bitmap lacks aren't shared.
+    """
+    a, b = (save(_marked(x), "grams") for x in (left, right))
+    counts = a.select(F.explode("grams").alias("gram")).unionByName(b.select(F.explode("grams").alias("gram"))).groupBy("gram").agg(F.count("*").alias("held"))
+    a, b = (save(_rarest(x, counts, least), "lists") for x in (a, b))
+    parts = lambda side: F.ceil(F.count_if(F.col("side") == side) / LIST_ROWS)
+    lists = a.select("gram", F.lit("a").alias("side")).unionByName(b.select("gram", F.lit("b").alias("side"))).groupBy("gram").agg(parts("a").alias("rows"), parts("b").alias("columns"))
+    lists = lists.where("rows > 0 AND columns > 0").select("gram", F.col("rows").alias("rows"), F.col("columns").alias("columns"))
+    lists = lists.withColumnsRenamed({"rows": "rs", "columns": "cs"})
+    x = _dealt(a, lists, "r", "c").drop("rs", "cs").alias("x")
+    y = _dealt(b, lists, "c", "r").drop("rs", "cs").alias("y")
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.r") == F.col("y.r")) & (F.col("x.c") == F.col("y.c")))
+    la, lb = F.col("x.size"), F.col("y.size")
+    needed = (1.5 * least - 1) * (la + lb) - 1 - 1e-9 - F.least("x.again", "y.again")
+    lacks = lambda p, q: sum((F.bit_count(F.col(f"{p}.bits{w}").bitwiseAND(F.bitwise_not(F.col(f"{q}.bits{w}")))) for w in (0, 1)), F.lit(0))
+    fits = (2 * F.least(la, lb) >= least * (la + lb)) & (F.col("x.n") - lacks("x", "y") >= needed) & (F.col("y.n") - lacks("y", "x") >= needed)
+    return met.where(fits).select(F.col("x.id").alias("id"), F.col("y.id").alias("to")).distinct()
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    """Distinct (left_id, right_id) that may reach MATCH, by full names or surnames: lengths near enough, and enough pairs of characters in common.
+    """Distinct (left_id, right_id) that may reach MATCH, by full names or by surnames.
 
-    ``left`` and ``right`` come from ``keyed_names`` with the prefixes ``d`` and ``r``. No pair that would be accepted is
-    lost: with T characters in both texts a ratio of t matches m >= t T / 2 of each, in T - 2 m + 1 blocks at most, and
-    so 3 m - T - 1 neighbouring pairs at least, repeats counted. Only the rarest pairs of each text that must hold a shared one are joined.
+    ``left`` and ``right`` come from ``keyed_names`` with the prefixes ``d`` and ``r``. Texts are paired once each,
+    however many names have them; surnames' ratios are measured before names meet.
     """
     found = None
     for part, least in (("all", MATCH), ("sur", SURNAME_NEEDED)):
-        sides = []
-        for df, key, side in ((left, left_id, "d"), (right, right_id, "r")):
-            own = df.select(F.col(key).alias("id"), F.col(f"{side}_{part}").alias("text")).where("text <> ''")
-            own = own.withColumns({"grams": _grams(F.col("text")), "again": F.length("text") - 1 - F.size(F.array_distinct(_pairs(F.col("text"))))})
-            sides.append(save(own, "grams"))
-        a, b = sides
-        counts = a.select(F.explode("grams").alias("gram")).unionByName(b.select(F.explode("grams").alias("gram"))).groupBy("gram").agg(F.count("*").alias("n"))
-        pairs = _rarest(a, counts, least).join(_rarest(b, counts, least).withColumnRenamed("id", "to"), "gram").select("id", "to").distinct()
-        pairs = pairs.join(a, "id").join(b.select(F.col("id").alias("to"), F.col("text").alias("text_b"), F.col("grams").alias("grams_b"), F.col("again").alias("again_b")), "to")
-        common = F.size(F.array_intersect("grams", "grams_b"))
-        enough = common >= (1.5 * least - 1) * (F.length("text") + F.length("text_b")) - 1 - 1e-9 - F.least("again", "again_b")
-        pairs = pairs.where(length_bound(F.col("text"), F.col("text_b"), least)).where(enough).select(F.col("id").alias(left_id), F.col("to").alias(right_id))
+        d, r = (x.select(F.col(k).alias("key"), F.col(f"{side}_{part}").alias("text")).where("text <> ''") for x, k, side in ((left, left_id, "d"), (right, right_id, "r")))
+        texts = [x.select("text", F.xxhash64("text").alias("id")).distinct() for x in (d, r)]
+        near = _near_texts(*(t.select("id", "text") for t in texts), least)
+        near = near.join(texts[0].withColumnRenamed("text", "a"), "id").join(texts[1].select(F.col("id").alias("to"), F.col("text").alias("b")), "to").select("a", "b")
+        near = save(near.where(ratio("a", "b") >= least - 1e-9).select("a", "b"), "near")
+        pairs = d.select(F.col("key").alias(left_id), F.col("text").alias("a")).join(near, "a").join(r.select(F.col("key").alias(right_id), F.col("text").alias("b")), "b").select(left_id, right_id)
         found = pairs if found is None else found.unionByName(pairs)
-    return save(found.distinct(), "candidates")
+    return found.distinct()
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
@@ -84,96 +124,124 @@ def match_people(declared: DataFrame, roster: DataFrame) -> DataFrame:
     """``declared(nombre, apellidos, ...)`` with person_id and score of the roster's best match, or nulls.
 
     ``roster(id, nombre, apellidos, roster_pos)``; of equal scores the first position counts. A score of 0.84 is a
-    match; else a surname of ratio 0.92 that no other person has. Blank names match nobody. Distinct names are
-    matched once, by blocks that lose no match, and joined back.
+    match; else a surname of ratio 0.92 that no other person has. Blank names (null, empty or without letters) match
+    nobody. Distinct names of both sides are matched once and joined back: first those that nothing can beat (the same
+    full name, or the same surname and a forename in common), then the rest by blocks that lose no match.
     """
-    names = declared.select(F.coalesce("nombre", F.lit("")).alias("_n"), F.coalesce("apellidos", F.lit("")).alias("_a")).where("_n <> '' or _a <> ''").distinct()
-    left = keyed_names(names.withColumn("_key", F.xxhash64("_n", "_a")), "_n", "_a", "d")
-    right = keyed_names(roster.select("id", "nombre", "apellidos", "roster_pos"), "nombre", "apellidos", "r")
-    pairs = candidate_pairs(left, right, "_key", "id").join(left, "_key").join(right, "id")
-    scored = score_pairs(pairs)
-    best = F.max(F.struct("score", (-F.col("roster_pos")).alias("p"), "id"))
-    same = F.col("s_sur") >= SURNAME_MATCH
-    told = scored.groupBy("_n", "_a").agg(best.alias("best"), F.count_if(same).alias("same"), F.max(F.when(same, F.struct("id", "score"))).alias("only"))
-    chosen = F.when(F.col("best.score") >= MATCH, F.struct("best.id", "best.score")).when((F.col("_a") != "") & (F.col("same") == 1), F.struct("only.id", "only.score"))
-    told = told.select("_n", "_a", chosen.alias("m")).where("m is not null")
+    spark = declared.sparkSession
+    with scratch(spark):
+        names = declared.select(F.coalesce("nombre", F.lit("")).alias("_n"), F.coalesce("apellidos", F.lit("")).alias("_a")).where("_n <> '' or _a <> ''").distinct()
+        left = save(keyed_names(names.withColumn("_key", F.xxhash64("_n", "_a")), "_n", "_a", "d"), "declared")
+        known = keyed_names(roster.select("id", "nombre", "apellidos", "roster_pos"), "nombre", "apellidos", "r")
+        texts = [c for c in known.columns if c.startswith("r_")]
+        known = known.groupBy(*texts).agg(F.min(F.struct("roster_pos", "id")).alias("first"), F.count("*").alias("people"))
+        right = save(known.withColumn("_to", F.xxhash64(*texts)), "roster")
+
+        word = lambda side: F.nullif(F.substring_index(f"{side}_tokens", " ", 1), F.lit(""))
+        tokens = lambda side: F.array_distinct(F.split(f"{side}_tokens", " "))
+        mine, theirs = left.where("d_sur <> ''").select("_key", F.col("d_sur").alias("sur"), word("d").alias("first_word"), F.explode(tokens("d")).alias("word")), right.where("r_sur <> ''").select(F.col("r_sur").alias("sur"), word("r").alias("first_word"), F.explode(tokens("r")).alias("word"), "first")
+        sure = [
+            left.where("d_all <> ''").select("_key", F.col("d_all").alias("r_all")).join(right.select("r_all", "first"), "r_all").select("_key", "first"),
+            mine.select("_key", "sur", F.col("first_word").alias("word")).distinct().join(theirs.select("sur", "word", "first"), ["sur", "word"]).select("_key", "first"),
+            mine.select("_key", "sur", "word").join(theirs.select("sur", F.col("first_word").alias("word"), "first").distinct(), ["sur", "word"]).select("_key", "first"),
+        ]
+        sure = save(sure[0].unionByName(sure[1]).unionByName(sure[2]).groupBy("_key").agg(F.min("first").alias("first")), "sure")
+        rest = save(left.join(sure, "_key", "left_anti"), "rest")
+        scored = score_pairs(candidate_pairs(rest, right, "_key", "_to").join(rest, "_key").join(right, "_to"))
+        best = F.max(F.struct("score", (-F.col("first.roster_pos")).alias("p"), F.col("first.id").alias("id")))
+        same = F.col("s_sur") >= SURNAME_MATCH
+        told = scored.groupBy("_key", "_a").agg(best.alias("best"), F.sum(F.when(same, F.col("people"))).alias("same"), F.max(F.when(same, F.struct("first.id", "score"))).alias("only"))
+        chosen = F.when(F.col("best.score") >= MATCH, F.struct("best.id", "best.score")).when((F.col("_a") != "") & (F.col("same") == 1), F.struct("only.id", "only.score"))
+        told = told.select("_key", chosen.alias("m")).where("m is not null").unionByName(sure.select("_key", F.struct("first.id", F.lit(1.0).alias("score")).alias("m")))
+        told = save(left.select("_key", "_n", "_a").join(told, "_key").drop("_key"), "matched", keep=True)
     keyed = declared.withColumns({"_n": F.coalesce("nombre", F.lit("")), "_a": F.coalesce("apellidos", F.lit(""))})
     return keyed.join(told, ["_n", "_a"], "left").select(*declared.columns, F.col("m.id").alias("person_id"), F.col("m.score").alias("score"))
 
 
-def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, component) for ``nodes(node)`` and ``edges(a, b)``: the smallest node reached, by spreading minima with shortcuts until none moves."""
-    both = save(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    now = save(nodes.select("node", F.col("node").alias("component")), "nodes")
-    moved = True
-    while moved:
-        near = both.join(now.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        spread = now.join(near, "node", "left").select("node", F.col("component").alias("was"), F.least("component", F.coalesce("near", "component")).alias("component"))
-        jump = spread.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        after = save(spread.join(jump, "component").select("node", "was", F.least("component", "up").alias("component")), "nodes")
-        moved = not after.where("was <> component").isEmpty()
-        now = after.select("node", "component")
-    return now
-
-
-def _lead(rows: pd.DataFrame) -> pd.DataFrame:
-    """Declarations of a component in order, each given to the best person made before it, or making one."""
-    from difflib import SequenceMatcher
-
-    def alike(a: str, b: str) -> float:
-        return SequenceMatcher(None, a, b).ratio() if a and b else 0.0
-
-    def tokens(text: str) -> list[str]:
-        return text.split()
-
-    made: list[dict] = []
-    owner = []
-    for row in rows.sort_values("_order").to_dict("records"):
-        best, top, same = None, 0.0, []
-        for p in made:
-            sur = alike(row["d_sur"], p["r_sur"])
-            mine, theirs = tokens(row["d_tokens"]), tokens(p["r_tokens"])
-            shared = bool(mine and mine[0] in theirs) or bool(theirs and theirs[0] in mine)
-            score = max(alike(row["d_all"], p["r_all"]), SURNAME_WEIGHT * sur + NAME_WEIGHT * max(alike(row["d_nom"], p["r_nom"]), float(shared)))
-            if score > top:
-                best, top = p, score
-            if sur >= SURNAME_MATCH:
-                same.append(p)
-        blank = not row["d_tokens"] and not row["d_sur"] and not row["d_nom"]
-        found = None if blank else best if top >= MATCH else same[0] if row["d_sur"] and len(same) == 1 else None
-        if found is None:
-            found = {k: row[k] for k in ("decl_id", "r_all", "r_sur", "r_nom", "r_tokens")}
-            made.append(found)
-        owner.append((row["decl_id"], found["decl_id"]))
-    return pd.DataFrame(owner, columns=["decl_id", "leader"])
+def _next_rows(open_: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key, at): the first of a name's rows after ``open_(key, after)``."""
+    return rows.join(open_, "key").where(F.col("o") > F.col("after")).groupBy("key").agg(F.min("o").alias("at"))
+
+
+def _elect(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, one, two): when the first and the second person was made of each name, for ``rows(key, o)`` in order of o.
+
+    ``links(key, to, hit, sur)``: a row of ``key`` joins a person made of ``to`` before it by its score (hit), or by its
+    surname if only one such person is there (sur). A row that joins nobody makes a person. Each round settles the next
+    row of every name that has no partner with an earlier open row; the earliest open row of all is always among them.
+    A name is open until none of its later rows can make a first or second person.
+    """
+    own = links.where("key = to").select("key", "hit")
+    now = rows.groupBy("key").agg(F.min("o").alias("at")).join(own, "key", "left")
+    never = F.lit(None).cast(dict(rows.dtypes)["o"])
+    now = save(now.select("key", "at", never.alias("one"), never.alias("two"), F.coalesce("hit", F.lit(False)).alias("knows_itself")), "names")
+    earlier = lambda c: F.coalesce(F.col(c) < F.col("at"), F.lit(False))
+    while True:
+        there = now.select(F.col("key").alias("to"), F.col("at").alias("to_at"), F.col("one").alias("to_one"), F.col("two").alias("to_two"))
+        open_ = now.where("at IS NOT NULL").select("key", "at")
+        other = F.when(F.col("key") != F.col("to"), F.col("to_at"))
+        seen = open_.join(links, "key").join(there, "to").groupBy("key").agg(
+            F.coalesce(F.bool_or((F.col("key") != F.col("to")) & earlier("to_at")), F.lit(False)).alias("waits"), F.min(other).alias("event"),
+            F.coalesce(F.bool_or(F.col("hit") & earlier("to_one")), F.lit(False)).alias("joins"),
+            F.sum(F.when(F.col("sur"), earlier("to_one").cast("int") + earlier("to_two").cast("int")).otherwise(0)).alias("same"),
+        )
+        told = now.join(seen, "key", "left").withColumn("leads", F.col("at").isNotNull() & ~F.coalesce("waits", F.lit(False)) & ~F.coalesce("joins", F.lit(False)) & (F.coalesce("same", F.lit(0)) != 1))
+        told = told.withColumns({
+            "one": F.when(F.col("leads") & F.col("one").isNull(), F.col("at")).otherwise(F.col("one")), "two": F.when(F.col("leads") & F.col("one").isNotNull(), F.col("at")).otherwise(F.col("two")),
+        })
+        settled = F.col("at").isNotNull() & ~F.coalesce("waits", F.lit(False))
+        # settled rows end a name, but for one that may still make a person: it doesn't know itself, or its surname was told by one person only
+        more = settled & ~F.coalesce("joins", F.lit(False)) & F.col("two").isNull() & (F.when(F.col("leads"), ~F.col("knows_itself")).otherwise(F.col("event").isNotNull()))
+        told = told.withColumn("after", F.when(more, F.when(F.col("leads"), F.col("at")).otherwise(F.greatest("at", "event"))))
+        told = save(told.select("key", F.when(~settled, F.col("at")).alias("at"), "one", "two", "knows_itself", "after"), "names")
+        nexts = _next_rows(told.where("after IS NOT NULL").select("key", "after"), rows)
+        after = save(told.join(nexts.withColumnRenamed("at", "next"), "key", "left").select("key", F.coalesce("at", "next").alias("at"), "one", "two", "knows_itself"), "names")
+        drop(told)
+        drop(now)
+        now = after
+        if now.where("at IS NOT NULL").isEmpty():
+            return now.select("key", "one", "two")
 
 
 def resolve_unmatched(declarations: DataFrame) -> DataFrame:
     """``declarations(decl_id, nombre, apellidos, sello, ord, ...)`` that match nobody, with the person that they make: (decl_id, leader, person_id, nombre, apellidos).
 
-    In the order of ``ord`` each joins the best person made before it, by the rules of ``match_people``, or makes
-    one; a person without a name is stored with a text in its place. Only declarations that may match are brought
-    together: components of pairs of distinct names that the rules accept, in either direction. Blank ones make a person
-    each. A component is decided in one task, row by row, as the order of its rows decides; a name that a large share of
-    the declarations bears is a component as large.
+    In the order of ``ord`` (then of decl_id) each joins the best person made before it, by the rules of
+    ``match_people``, or makes one; a person without a name is stored with a text in its place. Blank ones make a person
+    each. Names that the rules accept, in either direction, are linked; rounds of joins settle which rows make a person,
+    each distinct name once or twice, and every row is then given to the best of the people before it: no task ever holds
+    a group of names.
     """
-    kept = declarations.select("decl_id", "nombre", "apellidos", "sello", F.struct("ord", "decl_id").alias("_o"))
-    stored = F.when(F.trim(F.coalesce("nombre", F.lit(""))) == "", NO_NAME).otherwise(F.col("nombre"))
-    both = save(keyed_names(keyed_names(kept.withColumn("_stored", stored), "nombre", "apellidos", "d"), "_stored", "apellidos", "r"), "names")
-    texts = [c for c in both.columns if c[:2] in ("d_", "r_")]
-    names = both.select(*texts).distinct().withColumn("_key", F.xxhash64(*texts))
-    right = names.select(F.col("_key").alias("_to"), *(c for c in texts if c[0] == "r"))
-    near = candidate_pairs(names, right, "_key", "_to").where("_key <> _to")
-    scored = score_pairs(near.join(names.select("_key", *(c for c in texts if c[0] == "d")), "_key").join(right, "_to"))
-    pairs = scored.where((F.col("score") >= MATCH) | (F.col("s_sur") >= SURNAME_MATCH)).select(F.col("_key").alias("a"), F.col("_to").alias("b"))
-    groups = connected(pairs, names.select(F.col("_key").alias("node")))
-    rows = both.withColumn("_key", F.xxhash64(*texts)).join(groups.withColumnRenamed("node", "_key"), "_key")
-    blank = (F.col("d_all") == "")
-    rows = rows.withColumn("_group", F.when(blank, F.xxhash64("decl_id")).otherwise(F.col("component"))).withColumn("_order", F.concat_ws("\u0001", F.lpad(F.col("_o.ord").cast("string"), 40, " "), F.lpad(F.col("_o.decl_id").cast("string"), 40, " ")))
-    led = rows.groupBy("_group").applyInPandas(_lead, f"decl_id {dict(declarations.dtypes)['decl_id']}, leader {dict(declarations.dtypes)['decl_id']}")
-    heads = kept.select(F.col("decl_id").alias("leader"), title_case_name("nombre").alias("_n"), title_case_name("apellidos").alias("apellidos"), "sello")
-    named = heads.select("leader", slug_id("apellidos", "_n", "sello").alias("person_id"), F.when(F.col("_n") == "", NO_NAME).otherwise(F.col("_n")).alias("nombre"), "apellidos")
-    return led.join(named, "leader").select("decl_id", "leader", "person_id", "nombre", "apellidos")
+    spark = declarations.sparkSession
+    kind = dict(declarations.dtypes)["decl_id"]
+    with scratch(spark):
+        kept = declarations.select("decl_id", "nombre", "apellidos", "sello", F.struct("ord", "decl_id").alias("o"))
+        stored = F.when(F.trim(F.coalesce("nombre", F.lit(""))) == "", NO_NAME).otherwise(F.col("nombre"))
+        both = keyed_names(keyed_names(kept.withColumn("_stored", stored), "nombre", "apellidos", "d"), "_stored", "apellidos", "r")
+        texts = [c for c in both.columns if c[:2] in ("d_", "r_")]
+        both = save(both.withColumn("key", F.xxhash64(*texts)), "names")
+        names = save(both.where("d_all <> ''").select("key", *texts).distinct(), "distinct")
+        left, right = names.select("key", *(c for c in texts if c[0] == "d")), names.select(F.col("key").alias("to"), *(c for c in texts if c[0] == "r"))
+        near = candidate_pairs(left, right, "key", "to").unionByName(names.select("key", F.col("key").alias("to"))).distinct()
+        scored = score_pairs(near.join(left, "key").join(right, "to")).select("key", "to", "score", (F.col("score") >= MATCH).alias("hit"), ((F.col("d_sur") != "") & (F.col("s_sur") >= SURNAME_MATCH)).alias("sur"))
+        links = save(scored.where("hit OR sur"), "links")
+        rows = both.where("d_all <> ''").select("key", "decl_id", "o")
+        made = save(_elect(rows.select("key", "o"), links), "made")
+
+        # of the people that a name's score accepts, the best before a row; else the only one of its surname
+        people = links.join(made.withColumnRenamed("key", "to"), "to").where("one IS NOT NULL")
+        hits = people.where("hit").groupBy("key").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("one").alias("o")))).alias("hits"))
+        both_times = people.where("sur").select("key", F.explode(F.array("one", "two")).alias("o")).where("o IS NOT NULL")
+        two = Window.partitionBy("key").orderBy("o")
+        sames = both_times.withColumn("n", F.row_number().over(two)).where("n <= 2").groupBy("key").agg(F.min("o").alias("same"), F.max(F.when(F.col("n") == 2, F.col("o"))).alias("second"))
+        led = rows.join(hits, "key", "left").join(sames, "key", "left")
+        best = F.get(F.filter("hits", lambda h: h["o"] < F.col("o")), F.lit(0))["o"]
+        only = F.when((F.col("same") < F.col("o")) & F.coalesce(F.col("second") >= F.col("o"), F.lit(True)), F.col("same"))
+        led = led.select("decl_id", F.coalesce(best, only, F.col("o"))["decl_id"].cast(kind).alias("leader"))
+        led = led.unionByName(both.where("d_all = ''").select("decl_id", F.col("decl_id").alias("leader")))
+        heads = kept.select(F.col("decl_id").alias("leader"), title_case_name("nombre").alias("_n"), title_case_name("apellidos").alias("apellidos"), "sello")
+        named = heads.select("leader", slug_id("apellidos", "_n", "sello").alias("person_id"), F.when(F.col("_n") == "", NO_NAME).otherwise(F.col("_n")).alias("nombre"), "apellidos")
+        return save(led.join(named, "leader").select("decl_id", "leader", "person_id", "nombre", "apellidos"), "former", keep=True)
 
 
 def union_people(roster: DataFrame, former: DataFrame) -> DataFrame:

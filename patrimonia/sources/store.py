@@ -36,22 +36,43 @@ def settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it again, so that a lost executor costs no recomputation.
 
-    The shuffle files of the write go with its end: the table stands for them.
+    The shuffle files of the write go with its end: the table stands for them. Inside ``scratch`` the table goes with the
+    end of the block; with ``keep`` it goes with the block around that one, if any.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
     with settings(spark, _CLEANED):
         df.write.parquet(path)
+    owners = _open[:-1] if keep else _open
+    if owners:
+        owners[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The paths of the tables that each open ``scratch`` block has to delete.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``save`` writes inside are deleted at the end; what leaves the block is saved last, with ``keep``."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def drop(df: DataFrame) -> None:
     """Delete the files of a table that ``save`` wrote and that no later plan reads."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(df.sparkSession, folder)

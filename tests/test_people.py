@@ -61,17 +61,48 @@ def test_match_people(spark):
     assert {r.decl_id: r.person_id for r in got.collect()} == want
 
 
-def test_resolve_unmatched(spark):
-    rows = [(i, a or None, b or None, f"S{i}", i) for i, (a, b) in enumerate(names(3, 80))]
-    got = {r.decl_id: r.leader for r in people.resolve_unmatched(spark.createDataFrame(rows, "decl_id long, nombre string, apellidos string, sello string, ord long")).collect()}
-    made, want = [], {}
+def led(rows):
+    """The sequential rule: each row joins the best person made before it, or makes one."""
+    made, out = [], {}
     for i, a, b, _, _ in rows:
         found = match(a or "", b or "", made)
         if found is None:
-            found = {"id": i, "nombre": a or people.NO_NAME, "apellidos": b or ""}
+            found = {"id": i, "nombre": a if (a or "").strip() else people.NO_NAME, "apellidos": b or ""}
             made.append(found)
-        want[i] = found["id"]
-    assert got == want
+        out[i] = found["id"]
+    return out
+
+
+def repeated(seed, n):
+    """Few names, so that most rows repeat one; a third of them bear the same surname without a forename."""
+    rng = random.Random(seed)
+    pool = [x for x in names(seed, 14) if x[0] or x[1]] + [("Ana", "Sanz Vidal"), ("Eva", "Sanz Vidal"), ("Ana", "Sans Vidal"), (None, "Sanz Vidal")]
+    return [(None, "Sanz Vidal") if rng.random() < 0.33 else rng.choice(pool) for _ in range(n)]
+
+
+NAMED = "decl_id long, nombre string, apellidos string, sello string, ord long"
+
+
+def test_resolve_unmatched(spark):
+    for given in (names(3, 80), repeated(4, 60), repeated(5, 40)):
+        rows = [(i, a or None, b or None, f"S{i}", i) for i, (a, b) in enumerate(given)]
+        got = {r.decl_id: r.leader for r in people.resolve_unmatched(spark.createDataFrame(rows, NAMED)).collect()}
+        assert got == led(rows)
+
+
+def test_resolve_unmatched_of_nobody_and_in_another_order(spark):
+    assert people.resolve_unmatched(spark.createDataFrame([], NAMED)).collect() == []
+    rows = [(i, a, b, "S", -i) for i, (a, b) in enumerate([("Ana", "Puig Mas"), ("ANA", "PUIG MAS"), ("Ana", "Puig i Mas"), ("", "")])]
+    got = {r.decl_id: r.leader for r in people.resolve_unmatched(spark.createDataFrame(rows, NAMED)).collect()}
+    assert got == led(rows[::-1]) == {3: 3, 2: 2, 1: 2, 0: 2}
+
+
+def test_long_lists_are_cut_into_cells(spark, monkeypatch):
+    roster = spark.createDataFrame([(i, a, b, i) for i, (a, b) in enumerate(names(8, 90)) if a and b], "id long, nombre string, apellidos string, roster_pos long")
+    declared = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(names(9, 90))], "decl_id long, nombre string, apellidos string")
+    whole = {tuple(r) for r in people.match_people(declared, roster).collect()}
+    monkeypatch.setattr(people, "LIST_ROWS", 3)
+    assert {tuple(r) for r in people.match_people(declared, roster).collect()} == whole
 
 
 def test_sessions(spark):
