@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patrimonia.jobs import people as P
+from patrimonia.jobs.people import PLAIN
 from patrimonia.operators import declarations as D
 from patrimonia.operators import layout as L
+from patrimonia.operators import nested as N
 from patrimonia.operators import people as W
 from patrimonia.operators import sequence as Q
 from patrimonia.operators import summary as S
 from patrimonia.sources import tables as IO
-from patrimonia.sources.store import save
-
-TABLES = ("inmuebles", "otros_bienes", "pasivo")
+from patrimonia.sources.store import save, scratch, settings
 
 
 def declared(pages: DataFrame, insertions: DataFrame) -> DataFrame:
@@ -24,62 +23,76 @@ def declared(pages: DataFrame, insertions: DataFrame) -> DataFrame:
     on a declaration's first page. Pages that belong to no declaration are left out; a bulletin without insertions
     leaves the kind null.
     """
-    stamped = save(L.detect_cover(L.extract_stamp(pages), ["bulletin_id", "num"]), "stamped")
-    inside = save(Q.sessionize_pages(stamped).withColumn("decl_id", F.concat_ws(":", "bulletin_id", "gid")), "sessions")
-    header = Q.declaration_header(inside).withColumn("first_page", F.element_at("paginas", 1))
-    starts = Q.title_start_page(insertions, stamped.select("bulletin_id", "num", L.page_text("palabras").alias("texto")))
-    dated = Q.asof_insertion(header, starts, ["tipo", "numero", "fecha", "url_pdf"]).withColumnRenamed("fecha", "fecha_bocv")
-    read = L.read_forms(inside.select("decl_id", "num", "alto", "metodo", "palabras", "casillas"))
-    none = F.array().cast("array<string>")
-    return save(dated.join(read, "decl_id").withColumns({"notas": none, "totales_repetidos": none, "ilegible": F.lit(False), "pos": F.struct("bulletin_id", "gid")}), "declared")
-
+    with scratch(pages.sparkSession):
+        stamped = save(L.detect_cover(L.extract_stamp(pages), ["bulletin_id", "num"]), "stamped")
+        inside = save(Q.sessionize_pages(stamped).withColumn("decl_id", F.concat_ws(":", "bulletin_id", "gid")), "sessions")
+        header = Q.declaration_header(inside).withColumn("first_page", F.element_at("paginas", 1))
+        starts = Q.title_start_page(insertions, stamped.select("bulletin_id", "num", L.page_text("palabras").alias("texto")))
+        dated = Q.asof_insertion(header, starts, ["tipo", "numero", "fecha", "url_pdf"]).withColumnRenamed("fecha", "fecha_bocv")
+        read = L.read_forms(inside.select("decl_id", "num", "alto", "metodo", "palabras", "casillas"))
+        out = dated.join(read.withColumns({t: _numbered(read, t) for t in N.TABLES}), "decl_id", "left").withColumns({"notas": F.array().cast("array<string>"), "pos": F.struct("bulletin_id", "gid")})
+        return save(out, "declared", keep=True)
 
-def items_of(declarations: DataFrame, table: str) -> DataFrame:
-    """The nested items of a table, a row each."""
-    rows = declarations.select("decl_id", F.posexplode(table).alias("pos", "x")).select("decl_id", "pos", "x.*")
-    return rows.withColumnRenamed("valor", "valor_catastral") if table == "inmuebles" else rows
 
+def _numbered(read: DataFrame, table: str) -> Column:
+    """A form's items with their place as pos; a form that wasn't read has none."""
+    fields = read.schema[table].dataType.elementType.names
+    return F.transform(table, lambda x, i: F.struct(i.alias("pos"), *(x[f].alias(f) for f in fields)))
 
-def corrected(declarations: DataFrame, corrections: DataFrame) -> P.Read:
-    """Declarations and item tables with manual corrections by seal; sums are checked on the transcribed items."""
-    put = save(D.correct_declarations(declarations, corrections), "corrected")
-    tables = {t: save(D.corrected_items(items_of(declarations, t), put, corrections, t), t) for t in TABLES}
-    some = None
-    for t in TABLES:
-        own = tables[t].select("decl_id", F.lit(t).alias("t")).distinct()
-        some = own if some is None else some.unionByName(own)
-    holds = some.groupBy("decl_id").agg(F.bool_or(F.col("t") == "inmuebles").alias("has_property"), F.lit(True).alias("has_items"))
-    false = {c: F.coalesce(c, F.lit(False)) for c in ("has_property", "has_items")}
-    return P.Read(put.join(holds, "decl_id", "left").withColumns(false).drop(*TABLES, "totales_repetidos", "ilegible"), **tables)
 
-
-def read_bulletins(pages: DataFrame, insertions: DataFrame, corrections: DataFrame) -> P.Read:
-    """Checked declarations and item tables of all bulletins."""
-    return P.check(corrected(declared(pages, insertions), corrections))
+def read_bulletins(pages: DataFrame, insertions: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Checked and corrected declarations of all bulletins, with their items in their rows (``nested.correct_rows``)."""
+    spark = pages.sparkSession
+    with scratch(spark), settings(spark, PLAIN):
+        read = declared(pages, insertions)
+        checked = save(N.check_rows(read.withColumns({t: N._items(read, t) for t in N.TABLES})), "checked")
+        return save(N.correct_rows(checked, corrections), "corrected", keep=True)
 
 
 def _order(number: Column | str = "numero") -> Column:
     return F.struct(F.coalesce(F.col("fecha_registro").cast("string"), F.lit("")).alias("d"), F.coalesce(number, F.lit(0)).alias("n"), "pos")
 
 
-def link_people(read: P.Read, roster: DataFrame) -> tuple[P.Read, DataFrame]:
-    """``read`` with each declaration's person_id, and all people: ``roster`` and those that only declarations name."""
-    names = read.declarations.select("decl_id", "persona.nombre", "persona.apellidos", "sello", _order().alias("ord"))
-    matched = save(W.match_people(names, roster), "matched")
-    known = matched.where("person_id is not null").select("decl_id", F.col("person_id").cast("string").alias("person_id"))
-    rest = matched.where("person_id is null").select("decl_id", "nombre", "apellidos", "sello", F.to_json("ord").alias("ord"))
-    former = save(W.resolve_unmatched(rest), "former")
-    owner = known.unionByName(former.select("decl_id", "person_id"))
-    ids = former.select(F.col("person_id").alias("id"), "nombre", "apellidos", "leader").groupBy("id").agg(F.min_by("nombre", "leader").alias("nombre"), F.min_by("apellidos", "leader").alias("apellidos"))
-    people = W.union_people(roster.withColumn("id", F.col("id").cast("string")), ids)
-    return P.Read(save(read.declarations.join(owner, "decl_id"), "owned"), read.inmuebles, read.otros_bienes, read.pasivo), people
+def link_people(checked: DataFrame, roster: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``checked`` with each declaration's person_id, and all people: ``roster`` and those that only declarations name.
+
+    A former person has the name, district and party of the declaration that made it.
+    """
+    with scratch(checked.sparkSession):
+        names = checked.select("decl_id", "persona.nombre", "persona.apellidos", "sello", _order().alias("ord"))
+        matched = save(W.match_people(names, roster), "matches")
+        known = matched.where("person_id is not null").select("decl_id", F.col("person_id").cast("string").alias("person_id"))
+        former = save(W.resolve_unmatched(matched.where("person_id is null").select("decl_id", "nombre", "apellidos", "sello", "ord")), "former", keep=True)
+        owner = known.unionByName(former.select("decl_id", "person_id"))
+        owned = save(checked.join(owner, "decl_id"), "owned", keep=True)
+    said = checked.select(F.col("decl_id").alias("leader"), "persona.circunscripcion", F.col("persona.partido").alias("grupo"))
+    made = former.where("decl_id = leader").join(said, "leader").select(F.col("person_id").alias("id"), "leader", "nombre", "apellidos", "circunscripcion", "grupo")
+    first = lambda c: F.min_by(c, "leader").alias(c)
+    ids = made.groupBy("id").agg(*(first(c) for c in ("nombre", "apellidos", "circunscripcion", "grupo")))
+    return owned, W.union_people(roster.withColumn("id", F.col("id").cast("string")), ids)
+
+
+def documents(people: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is published as documents: people, each with its declaration in force, history, income and quality; and all declarations with their items.
+
+    An illegible declaration has no items and no totals. A person without a declaration or an income has null for it.
+    """
+    told = D.publishable(checked)
+    shown = told.select("decl_id", F.struct(*(c for c in told.columns if c != "decl_id")).alias("declaracion"))
+    income = F.when(F.col("tiene_renta"), F.struct("rentas", "salarios", "otras_rentas", "cuota_irpf"))
+    own = people.select("id", "nombre", "apellidos", "cargo", "grupo", "circunscripcion", "decl_id", "historico", income.alias("renta"), F.struct("revisar", "comprobado", F.col("motivos_revision").alias("motivos")).alias("calidad"))
+    return own.join(shown, "decl_id", "left").drop("decl_id"), checked.select("decl_id", "bulletin_id", "person_id").join(told, "decl_id")
 
 
-def publish(people: DataFrame, read: P.Read, income_items: DataFrame, statements: DataFrame, folder: str) -> None:
-    """The five tables and the nested documents of a run, from the output of ``jobs.people.build``."""
+def publish(people: DataFrame, checked: DataFrame, income_items: DataFrame, statements: DataFrame, folder: str) -> None:
+    """The five tables and the nested documents of a run, from the output of ``jobs.people.build``.
+
+    Declarations' documents lie in a folder for each bulletin; a run replaces the folders of the bulletins in ``checked``
+    and leaves all others' files as they are.
+    """
     own = save(people, "people")
-    items = {t: S.flatten_items(own, getattr(read, t), S.ITEM_COLUMNS) for t in ("otros_bienes", "pasivo")}
-    items["inmuebles"] = S.flatten_items(own, read.inmuebles, S.PROPERTY_COLUMNS)
+    items = {t: S.flatten_items(own, N.items_of(checked, t), S.ITEM_COLUMNS) for t in ("otros_bienes", "pasivo")}
+    items["inmuebles"] = S.flatten_items(own, N.items_of(checked, "inmuebles"), S.PROPERTY_COLUMNS)
     items["rentas"] = S.union_income_quota(own, income_items, statements)
     IO.write_tables({"personas": own.select(*(c for c in S.PEOPLE_COLUMNS if c in own.columns)), **items}, folder)
-    IO.write_documents(own, D.declaration_history(read.declarations), S.run_metadata(own), folder)
+    IO.write_documents(*documents(own, checked), S.run_metadata(own), folder)

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patrimonia.operators import declarations as D
-from patrimonia.operators import reconcile as R
+from patrimonia.operators import nested as N
 from patrimonia.operators import summary as S
 from patrimonia.operators.people import assemble_people
-from patrimonia.sources.store import save
+from patrimonia.sources.store import save, settings
 
-SECTIONS = (("inmuebles", "valor_catastral", "porcentaje", "total_catastral", "suma_inmuebles_cuadra"), ("otros_bienes", "valor", None, "total_otros_bienes", "suma_otros_cuadra"), ("pasivo", "valor", None, "total_pasivo", "suma_pasivo_cuadra"))
+#: The rows of ``nested`` build columns on columns: the planner's search for filters that follow from them finds nothing and takes long.
+PLAIN = {"spark.sql.constraintPropagation.enabled": "false"}
 
 
 @dataclass
@@ -25,41 +26,29 @@ class Read:
     otros_bienes: DataFrame
     pasivo: DataFrame
 
-    def all_items(self) -> DataFrame:
-        own = [getattr(self, t).select("decl_id", F.lit(t).alias("table"), *(F.col(c) if t == "inmuebles" else F.lit(None).cast("string").alias(c) for c in ("tipo", "provincia")), "dudoso") for t, *_ in SECTIONS]
-        return own[0].unionByName(own[1]).unionByName(own[2])
 
+def check(read: Read) -> DataFrame:
+    """Declarations with their items in their rows, checked (``nested.check_rows``); written once."""
+    tables = {t: getattr(read, t) for t in N.TABLES}
+    with settings(read.declarations.sparkSession, PLAIN):
+        return save(N.check_rows(N.nest(read.declarations, tables)), "checked")
 
-def check(read: Read) -> Read:
-    """Sums against totals, repairs from other readings, and what follows for doubts, legibility and totals.
-
-    The tables are written once: what is built on them reads each several times.
-    """
-    declarations, tables = read.declarations, {}
-    for name, value, share, total, flag in SECTIONS:
-        totals = read.declarations.select("decl_id", F.col(total).alias("total"))
-        items, flags = R.repair_with_alternatives(getattr(read, name), totals, value, share)
-        flags = save(flags, f"flags-{name}")
-        tables[name] = R.clear_doubt(items, flags)
-        declarations = declarations.join(flags.withColumnRenamed("cuadra", flag), "decl_id", "left")
-    tables["pasivo"] = R.flag_misfiled_assets(tables["pasivo"])
-    tables = {name: save(items, name) for name, items in tables.items()}
-    declarations = R.flag_illegible(declarations, Read(declarations, **tables).all_items())
-    return Read(save(R.flag_repeated_totals(declarations, tables["otros_bienes"], tables["pasivo"]), "declarations"), **tables)
 
+def build(people: DataFrame, checked: DataFrame, income: DataFrame, ambito: str | None = None) -> DataFrame:
+    """One row for each of ``people(id, en_activo, ...)``: summary, quality, role and history of its declarations.
 
-def build(people: DataFrame, read: Read, income: DataFrame) -> DataFrame:
-    """One row for each of ``people(id, en_activo, ...)``: summary, quality, role and history of its declarations."""
-    current = save(D.current_declaration(read.declarations), "current")
-    own = read.declarations.join(current.select("decl_id", "aviso"), "decl_id")
-    rated = S.put_notice_first(S.quality_report(own, read.all_items()))
-    summed = S.summarize_people(save(rated, "rated"), read.inmuebles, read.otros_bienes, read.pasivo)
+    ``checked`` comes from ``check`` or ``jobs.bulletins``; ``ambito`` is the body that the people belong to, as published.
+    """
+    current = D.current_declaration(checked)
+    with settings(checked.sparkSession, PLAIN):
+        summed = save(N.summarize_rows(N.rate_rows(checked)).drop(*(f"lista_{t}" for t in N.TABLES)), "summed")
+    summed = S.put_notice_first(summed.join(current.select("decl_id", "aviso"), "decl_id"))
     summed = summed.withColumns({"bocv": F.col("numero"), "fecha_declaracion": F.col("fecha_registro"), "url_declaracion": D.declaration_ref()["url"]})
     keep = [c for c in summed.columns if c not in ("person_id", "aviso", "bulletin_id", "pos")]
-    out = assemble_people(people, current, summed.select(*keep), D.declaration_history(read.declarations))
+    out = assemble_people(people, current, summed.select(*keep), D.declaration_history(checked))
+    none = F.array().cast("array<string>")
     out = out.withColumns({
-        "revisar": F.coalesce("revisar", F.lit(True)), "comprobado": F.coalesce("comprobado", F.lit(False)), "metodo_lectura": F.col("metodo"),
-        "motivos_revision": F.coalesce("motivos", F.array(F.lit(S.NO_DECLARATION))), "provincias_inmuebles": F.coalesce("provincias_inmuebles", F.array().cast("array<string>")),
-        "provincias_viviendas": F.coalesce("provincias_viviendas", F.array().cast("array<string>")), "ambito": F.lit("ejemplo"),
+        "revisar": F.coalesce("revisar", F.lit(True)), "comprobado": F.coalesce("comprobado", F.lit(False)), "metodo_lectura": F.col("metodo"), "motivos_revision": F.coalesce("motivos", F.array(F.lit(S.NO_DECLARATION))),
+        "provincias_inmuebles": F.coalesce("provincias_inmuebles", none), "provincias_viviendas": F.coalesce("provincias_viviendas", none), "ambito": F.lit(ambito).cast("string"),
     })
     return S.attach_income(out, income)

@@ -17,6 +17,7 @@ from patrimonia.jobs.text_queries import places, positions, sql_norm
 from patrimonia.operators import declarations as D
 from patrimonia.operators import explore as E
 from patrimonia.operators import layout as L
+from patrimonia.operators import nested as N
 from patrimonia.operators import people as W
 from patrimonia.operators import reconcile as R
 from patrimonia.operators import sequence as Q
@@ -44,7 +45,7 @@ def _assets(r: P.Read) -> DataFrame:
     return r.otros_bienes.withColumn("categoria", classify_asset("descripcion"))
 
 
-def _checked(spark: SparkSession, sf_dir: str) -> P.Read:
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _read(spark, sf_dir)
     return P.check(P.Read(r.declarations, r.inmuebles, _assets(r), _debts(r)))
 
@@ -80,10 +81,10 @@ ci AS (
     CASE i.tab WHEN 'otros_bienes' THEN {sql_pick(ASSET_CLASS, "part")} WHEN 'pasivo' THEN {sql_pick(DEBT_CLASS, "part")} END AS categoria
   FROM it i LEFT JOIN xx x ON x.decl_id = i.decl_id AND x.pos = i.pos LEFT JOIN gg g ON g.decl_id = i.decl_id AND g.tab = i.tab),
 cd AS (
-  SELECT d.*, a.ok AS ok_a, b.ok AS ok_b, c.ok AS ok_c, coalesce(z.n, 0) AS n_all, coalesce(z.doubt, 0) AS n_doubt, coalesce(z.no_type, 0) AS no_type, coalesce(z.no_prov, 0) AS no_prov,
+  SELECT d.*, a.ok AS ok_a, b.ok AS ok_b, c.ok AS ok_c, coalesce(z.n, 0) AS n_all, coalesce(z.doubt, 0) AS n_doubt, coalesce(z.no_type, 0) AS no_type, coalesce(z.no_prov, 0) AS no_prov, coalesce(z.misfiled, 0) > 0 AS misfiled,
     n_b IS NULL AND coalesce(total_otros_bienes = total_catastral, FALSE) AS rep_b, n_c IS NULL AND (coalesce(total_pasivo = total_otros_bienes, FALSE) OR coalesce(total_pasivo = total_catastral, FALSE)) AS rep_c
   FROM de d JOIN g_inmuebles a USING (decl_id) JOIN g_otros_bienes b USING (decl_id) JOIN g_pasivo c USING (decl_id)
-  LEFT JOIN (SELECT decl_id, count(*) AS n, count(*) FILTER (dudoso) AS doubt, count(*) FILTER (tab = 'inmuebles' AND tipo IS NULL) AS no_type, count(*) FILTER (tab = 'inmuebles' AND provincia IS NULL) AS no_prov FROM ci GROUP BY decl_id) z USING (decl_id)),
+  LEFT JOIN (SELECT decl_id, count(*) AS n, count(*) FILTER (dudoso) AS doubt, count(*) FILTER (tab = 'inmuebles' AND tipo IS NULL) AS no_type, count(*) FILTER (tab = 'inmuebles' AND provincia IS NULL) AS no_prov, count(*) FILTER (categoria = 'posible_bien') AS misfiled FROM ci GROUP BY decl_id) z USING (decl_id)),
 ck AS (
   SELECT *, metodo = 'ocr' AND n_all >= 3 AND NOT (coalesce(ok_a, FALSE) OR coalesce(ok_b, FALSE) OR coalesce(ok_c, FALSE)) AND n_doubt * 2 >= n_all AS ilegible FROM cd)"""
 
@@ -122,8 +123,8 @@ WITH {CHECKED} SELECT i.decl_id, count(*) AS n, count(*) FILTER (i.dudoso AND NO
 
 
 def flag_illegible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _checked(spark, sf_dir).declarations
-    return d.select("decl_id", "ilegible", *(F.col(x[-1]) for x in P.SECTIONS), F.array_join("avisos", "|").alias("avisos"))
+    d = _checked(spark, sf_dir)
+    return d.select("decl_id", "ilegible", *(flag for _, flag, _ in N.TABLES.values()), F.array_join("avisos", "|").alias("avisos"))
 
 
 FLAG_ILLEGIBLE = f"""
@@ -148,8 +149,7 @@ def flag_misfiled_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _checked(spark, sf_dir)
-    return S.summarize_people(r.declarations, r.inmuebles, r.otros_bienes, r.pasivo)
+    return N.summarize_rows(_checked(spark, sf_dir))
 
 
 _SUMMARY = ("n_inmuebles", "n_viviendas", "n_viviendas_compartidas", "n_locales", "n_rusticos", "n_otros_urbanos", "n_provincias", "valor_catastral", "cuentas", "vehiculos", "n_vehiculos", "inversiones", "otros_bienes", "pasivo", "tiene_hipoteca", "patrimonio_declarado")
@@ -185,8 +185,7 @@ SUMMARIZE = f"WITH {CHECKED},{SUMMARY} SELECT decl_id, {', '.join(_SUMMARY)}, pr
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _checked(spark, sf_dir)
-    return S.quality_report(r.declarations, r.all_items()).select("decl_id", "revisar", "comprobado", F.array_join("motivos", "|").alias("motivos"))
+    return N.rate_rows(_checked(spark, sf_dir)).select("decl_id", "revisar", "comprobado", F.array_join("motivos", "|").alias("motivos"))
 
 
 def _wrong(ok: str, name: str, scan: bool) -> str:
@@ -201,7 +200,7 @@ qu AS (
   SELECT *, concat_ws('|', CASE WHEN decl_id % 13 = 0 THEN 'aviso' END, CASE WHEN ilegible THEN 'Formulario escrito a mano o muy borroso: el OCR no es fiable' END,
       CASE WHEN NOT ilegible AND n_doubt > 0 THEN n_doubt || ' dato(s) con lectura dudosa del OCR' END, {", ".join(_wrong(a, b, True) for a, b in _NAMES)},
       CASE WHEN NOT ilegible AND no_type > 0 THEN no_type || ' inmueble(s) sin tipo reconocible' END, CASE WHEN NOT ilegible AND no_prov > 0 THEN no_prov || ' inmueble(s) sin provincia reconocible' END) AS lectura,
-    concat_ws('|', CASE WHEN rep_b THEN 'El total de otros bienes repite el valor catastral y no tiene detalle: no se cuenta' END, CASE WHEN rep_c THEN 'El total de deudas repite el de otro apartado y no tiene detalle: no se cuenta' END,
+    concat_ws('|', CASE WHEN rep_b THEN 'El total de otros bienes repite el valor catastral y no tiene detalle: no se cuenta' END, CASE WHEN rep_c THEN 'El total de deudas repite el de otro apartado y no tiene detalle: no se cuenta' END, CASE WHEN misfiled THEN '{R.MISFILED}' END,
       {", ".join(_wrong(a, b, False) for a, b in _NAMES)}) AS escrito,
     coalesce(ok_a, ok_b, ok_c) IS NOT NULL AND coalesce(ok_a, TRUE) AND coalesce(ok_b, TRUE) AND coalesce(ok_c, TRUE) AS comprobado FROM ck)"""
 QUALITY_REPORT = f"WITH {CHECKED},{QUALITY} SELECT decl_id, lectura <> '' AS revisar, comprobado, concat_ws('|', nullif(lectura, ''), nullif(escrito, '')) AS motivos FROM qu"
@@ -305,7 +304,7 @@ def write_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histories as nested JSON documents, one for each person, written and read again."""
     path = _folder(spark, "documents")
-    h = D.declaration_history(_checked(spark, sf_dir).declarations).select("person_id", "historico")
+    h = D.declaration_history(_checked(spark, sf_dir)).select("person_id", "historico")
     IO.write_documents(h.select("person_id"), h, h.agg(F.count("*").alias("n")), path)
     found = spark.read.schema("person_id long, historico array<struct<sello:string>>").json(f"{path}/json/declaraciones")
     return found.select("person_id", F.size("historico").alias("n"), F.get("historico.sello", F.lit(0)).alias("first"))
@@ -316,7 +315,7 @@ WRITE_DOCUMENTS = f"WITH {DECLARATIONS} SELECT person_id, CAST(count(*) AS INTEG
 
 def flatten_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _people(spark, sf_dir).select(*S.OWNER, "decl_id", "bocv", "metodo", "ilegible")
-    return S.flatten_items(p, _checked(spark, sf_dir).otros_bienes, S.ITEM_COLUMNS).drop("valor_txt")
+    return S.flatten_items(p, N.items_of(_checked(spark, sf_dir), "otros_bienes"), S.ITEM_COLUMNS).drop("valor_txt")
 
 
 FLATTEN_ITEMS = f"""
@@ -558,7 +557,7 @@ def _bulletins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 def bulletin_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to checked declarations: seal, pages, kind by insertion, person, totals and sums, with corrections."""
-    d = B.read_bulletins(*_bulletins(spark, sf_dir)).declarations
+    d = B.read_bulletins(*_bulletins(spark, sf_dir))
     return d.select("sello", "bulletin_id", F.size("paginas").alias("n_paginas"), "tipo", "metodo", "persona.nombre", "persona.apellidos", "total_catastral", "total_otros_bienes", "suma_inmuebles_cuadra", "suma_otros_cuadra", "suma_pasivo_cuadra", "has_property")
 
 
@@ -566,7 +565,7 @@ def bulletin_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run's people: a roster of one of the forms' people, and those that only declarations name, with how many declarations each has."""
     roster_ = spark.createDataFrame([("p1", "Berta", "Ejemplo Ficticia", "Grupo", "Alicante", 1)], "id string, nombre string, apellidos string, grupo string, circunscripcion string, roster_pos long")
     owned, people = B.link_people(B.read_bulletins(*_bulletins(spark, sf_dir)), roster_)
-    n = owned.declarations.groupBy(F.col("person_id").alias("id")).agg(F.count("*").alias("n"))
+    n = owned.groupBy(F.col("person_id").alias("id")).agg(F.count("*").alias("n"))
     return people.join(n, "id", "left").select("id", "nombre", "apellidos", "en_activo", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 

@@ -70,6 +70,11 @@ def summarize_people(declarations: DataFrame, properties: DataFrame, assets: Dat
     out = declarations
     for part in (summarize_properties(properties), summarize_assets(assets), summarize_debts(debts)):
         out = out.join(part, "decl_id", "left")
+    return summed(out)
+
+
+def summed(out: DataFrame) -> DataFrame:
+    """Declarations with the sums and counts of their items as they are published, by the rules of ``summarize_people``."""
     bad = F.coalesce("ilegible", F.lit(False)) | F.col("decl_id").isNull()
     put = lambda c, other: F.when(~bad, F.coalesce(c, other))
     total = lambda c: F.when(~F.array_contains(F.coalesce("totales_repetidos", F.array().cast("array<string>")), c), F.col(c))
@@ -116,7 +121,11 @@ def quality_report(declarations: DataFrame, items: DataFrame) -> DataFrame:
     seen = items.groupBy("decl_id").agg(
         F.count_if(F.coalesce("dudoso", F.lit(False))).alias("_doubt"), F.count_if(prop & F.col("tipo").isNull()).alias("_type"), F.count_if(prop & F.col("provincia").isNull()).alias("_prov")
     )
-    out = declarations.join(seen, "decl_id", "left")
+    return rated(declarations.join(seen, "decl_id", "left"))
+
+
+def rated(out: DataFrame) -> DataFrame:
+    """Declarations with counts of doubts, unknown types and provinces (_doubt, _type, _prov) as ``quality_report`` rates them."""
     legible, ocr = ~F.coalesce("ilegible", F.lit(False)), F.coalesce(F.col("metodo") == "ocr", F.lit(False))
     counted = lambda c, text: F.when(legible & (F.col(c) > 0), F.concat(F.col(c).cast("string"), F.lit(text)))
     wrong = lambda c: legible & F.coalesce(~F.col(c), F.lit(False))

@@ -123,10 +123,17 @@ def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
         df.write.mode("overwrite").parquet(f"{folder}/parquet/{name}")
 
 
-def write_documents(people: DataFrame, declarations: DataFrame, meta: DataFrame, folder: str) -> None:
-    """Nested JSON lines: people, all declarations with history, and the run's counts."""
+def write_documents(people: DataFrame, declarations: DataFrame, meta: DataFrame, folder: str, by: str = "bulletin_id") -> None:
+    """Nested JSON lines: people, all declarations, and the run's counts.
+
+    Declarations lie in a folder for each value of ``by``, where they have that column: those of the values in
+    ``declarations`` are replaced, and all other files stay. The others are replaced whole.
+    """
     for name, df in (("personas", people), ("declaraciones", declarations), ("meta", meta)):
-        df.write.mode("overwrite").json(f"{folder}/json/{name}")
+        out = df.write.mode("overwrite")
+        if name == "declaraciones" and by in df.columns:
+            out = out.option("partitionOverwriteMode", "dynamic").partitionBy(by)
+        out.json(f"{folder}/json/{name}")
 
 
 def export_rows(people: DataFrame) -> DataFrame:
