@@ -566,7 +566,28 @@ def bulletin_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     roster_ = spark.createDataFrame([("p1", "Berta", "Ejemplo Ficticia", "Grupo", "Alicante", 1)], "id string, nombre string, apellidos string, grupo string, circunscripcion string, roster_pos long")
     owned, people = B.link_people(B.read_bulletins(*_bulletins(spark, sf_dir)), roster_)
     n = owned.groupBy(F.col("person_id").alias("id")).agg(F.count("*").alias("n"))
-    return people.join(n, "id", "left").select("id", "nombre", "apellidos", "en_activo", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return people.join(n, "id", "left").select("id", "nombre", "apellidos", "circunscripcion", "en_activo", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+#: Everybody of the first family is the roster's one person of that surname; of the others the first declaration makes a person.
+BULLETIN_PEOPLE = f"""
+o AS (
+  SELECT k % 3 AS r, CASE WHEN k % 7 = 0 THEN 'Otra' ELSE {sql_pick(_GIVEN, "k")} END AS given, {sql_pick(tuple(" ".join(x) for x in _FAMILY), "k")} AS family, {sql_pick(tuple(x[1] for x in _PLACES), "k")} AS place,
+    row_number() OVER (PARTITION BY k % 3 ORDER BY 'B' || (k % 10), k) AS n, count(*) OVER (PARTITION BY k % 3) AS many FROM f)
+SELECT CASE WHEN r = 0 THEN 'p1' ELSE 'ex-' || replace(lower(strip_accents(family || ' ' || given)), ' ', '-') END AS id, CASE WHEN r = 0 THEN 'Berta' ELSE given END AS nombre, family AS apellidos,
+  CASE WHEN r = 0 THEN 'Alicante' ELSE place END AS circunscripcion, r = 0 AS en_activo, many AS n FROM o WHERE n = 1
+"""
+
+
+def published_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's declarations as published documents, in a folder for each bulletin, written and read again."""
+    path = _folder(spark, "documents")
+    checked = B.read_bulletins(*_bulletins(spark, sf_dir)).withColumn("person_id", F.lit("p"))
+    told = checked.select("decl_id", "bulletin_id", "person_id").join(D.publishable(checked), "decl_id")
+    IO.write_documents(told.select("person_id").distinct(), told, told.agg(F.count("*").alias("n")), path)
+    lists = "array<struct<valor:double>>"
+    found = spark.read.schema(f"sello string, inmuebles {lists}, otros_bienes {lists}, pasivo {lists}, total_catastral double, bulletin_id string").json(f"{path}/json/declaraciones")
+    return found.select("bulletin_id", "sello", *(F.size(t).alias(f"n_{t}") for t in N.TABLES), "total_catastral", F.get("inmuebles.valor", F.lit(0)).alias("valor"))
 
 
 BULLETIN_RUN = """
@@ -577,7 +598,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         conditional_sum, reconcile_totals, repair_with_alternatives, clear_doubt, flag_illegible, flag_repeated_totals, flag_misfiled_assets, summarize_people, quality_report, assemble_people, many_homes,
         attach_income, run_metadata, headline_counts, preset_filters, filter_people, order_people, order_view, facets, export_filtered, write_tables, write_documents, flatten_items, union_income_quota,
-        match_people, resolve_unmatched, union_people, flow_pages, find_anchor, property_rows, property_total, asset_liability_rows, person_fields, scan_properties, scan_items, scan_people, detect_cover, bulletin_run,
+        match_people, resolve_unmatched, union_people, flow_pages, find_anchor, property_rows, property_total, asset_liability_rows, person_fields, scan_properties, scan_items, scan_people, detect_cover, bulletin_run, bulletin_people, published_documents,
     )
     return {f.__name__: f for f in own}
 
@@ -619,5 +640,7 @@ def oracle_sql() -> dict[str, str]:
         "bulletin_run": f"{forms},{BULLETIN_RUN} SELECT 'XI' || lpad(CAST(k AS VARCHAR), 6, '0') AS sello, 'B' || b AS bulletin_id, CAST(CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS n_paginas, CASE WHEN last THEN 'modificacion' ELSE 'inicial' END AS tipo, CASE WHEN m THEN 'manual' ELSE 'texto' END AS metodo,"
         f" CASE WHEN m THEN 'Otra' ELSE {sql_pick(_GIVEN, 'k')} END AS nombre, {sql_pick(tuple(' '.join(x) for x in _FAMILY), 'k')} AS apellidos, CASE WHEN m THEN 1000.5 ELSE CAST(c AS DOUBLE) / 100 END AS total_catastral, CASE WHEN NOT m THEN CAST(c + 300500 AS DOUBLE) / 100 END AS total_otros_bienes,"
         " TRUE AS suma_inmuebles_cuadra, CASE WHEN NOT m THEN TRUE END AS suma_otros_cuadra, CASE WHEN NOT m THEN TRUE END AS suma_pasivo_cuadra, TRUE AS has_property FROM s",
+        "bulletin_people": f"{forms}, {BULLETIN_PEOPLE}",
+        "published_documents": f"{forms} SELECT 'B' || (k % 10) AS bulletin_id, 'XI' || lpad(CAST(k AS VARCHAR), 6, '0') AS sello, 1::INTEGER AS n_inmuebles, CASE WHEN k % 7 = 0 THEN 0 ELSE 2 END::INTEGER AS n_otros_bienes, CASE WHEN k % 7 = 0 THEN 0 ELSE 1 END::INTEGER AS n_pasivo, CASE WHEN k % 7 = 0 THEN 1000.5 ELSE CAST(c AS DOUBLE) / 100 END AS total_catastral, CASE WHEN k % 7 = 0 THEN 1000.5 ELSE CAST(c AS DOUBLE) / 100 END AS valor FROM f",
         "detect_cover": f"{forms} SELECT decl_id, 1 AS num, k % 3 <> 2 AS is_cover FROM f UNION ALL SELECT decl_id, 2, FALSE FROM f WHERE k % 3 = 0",
     }
