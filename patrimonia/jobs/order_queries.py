@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from patrimonia.jobs import income as I
 from patrimonia.jobs.driver import DECLARATIONS, declarations, items, pick, read, sql_pick
 from patrimonia.operators import declarations as D
 from patrimonia.operators import layout as L
@@ -155,6 +156,42 @@ WITH {LINES} SELECT doc_id, {", ".join(_total(s) for s in ("salarios", "dividend
 """
 
 
+def _income_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as pages of eight, a stamp on top of the first; some forms have a page more that failed, and some failed whole."""
+    line = F.struct(F.col("line"), F.transform("words", lambda w: F.struct(w["t"].alias("t"), w["x0"].alias("x0"), (w["x0"] + 5).alias("x1"), (110.0 + F.col("line") % 8 * 20).alias("y0"), (116.0 + F.col("line") % 8 * 20).alias("y1"), F.lit(0).alias("v"))).alias("w"))
+    num = (F.floor(F.col("line") / 8) + 1).cast("int")
+    stamp = lambda t, x: F.struct(F.lit(t).alias("t"), F.lit(x).alias("x0"), F.lit(x + 5).alias("x1"), F.lit(50.0).alias("y0"), F.lit(56.0).alias("y1"), F.lit(0).alias("v"))
+    pages = _lines(spark, sf_dir).groupBy(F.col("doc_id").alias("person_id"), num.alias("num")).agg(F.flatten(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["w"])).alias("w"))
+    words = F.when(F.col("num") == 1, F.concat(F.array(stamp("05/03/2021", 400.0), stamp("10:15", 460.0)), "w")).otherwise(F.col("w"))
+    pages = pages.select("person_id", "num", F.lit(842.0).alias("alto"), words.alias("palabras"), F.when(F.col("person_id") % 7 == 3, "roto").alias("error"))
+    return pages.unionByName(pages.where("num = 1 AND person_id % 6 = 0").withColumns({"num": F.lit(99), "error": F.lit("roto")}))
+
+
+def income_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.read_income(_income_pages(spark, sf_dir)).statements
+
+
+INCOME_STATEMENTS = f"""
+WITH {LINES},
+x AS (SELECT doc_id, arg_max(k, turn) AS k, arg_max(size, turn) AS size FROM va WHERE is_value GROUP BY doc_id),
+q AS (SELECT doc_id, arg_max(importe, turn) AS cuota_irpf FROM inl WHERE is_quota GROUP BY doc_id),
+t AS (SELECT doc_id, {", ".join(_total(s) for s in ("salarios", "dividendos", "intereses", "otras"))}, CAST(coalesce(round(sum(CAST(importe AS DECIMAL(20,4))), 2), 0) AS DOUBLE) AS total_rentas FROM inl WHERE NOT is_quota GROUP BY doc_id)
+SELECT d.doc_id AS person_id, DATE '2021-03-05' AS fecha_registro, CASE x.k WHEN 'name' THEN 'Casada' WHEN 'amount' THEN '(cid:3)Nomina+' END AS estado_civil,
+  CASE x.k WHEN 'name' THEN 'Gananciales' WHEN 'amount' THEN 'Empresa ' || x.size || ',50 €' END AS regimen_matrimonial, coalesce(total_salarios, 0) AS total_salarios, coalesce(total_dividendos, 0) AS total_dividendos,
+  coalesce(total_intereses, 0) AS total_intereses, coalesce(total_otras, 0) AS total_otras, coalesce(total_rentas, 0) AS total_rentas, q.cuota_irpf, CASE WHEN d.doc_id % 6 = 0 THEN 1 ELSE 0 END::BIGINT AS paginas_fallidas
+FROM (SELECT DISTINCT conv_id AS doc_id FROM conversations WHERE conv_id % 7 <> 3) d LEFT JOIN x USING (doc_id) LEFT JOIN q USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+def income_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.read_income(_income_pages(spark, sf_dir)).items.groupBy("person_id", "apartado", "concepto", "origen").agg(F.count("*").alias("n"), F.sum("importe").alias("importe"))
+
+
+def income_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of income forms that couldn't be read, by person."""
+    return I.read_income(_income_pages(spark, sf_dir)).failed
+
+
 def _decls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return declarations(spark, sf_dir, items(spark, sf_dir))
 
@@ -338,7 +375,7 @@ DEDUP_BOXES = "SELECT user_id, event_type, CASE WHEN count(*) > 12 THEN 2 * coun
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        sessionize_pages, declaration_header, asof_insertion, bulletin_counts, carry_sections, civil_status, income_lines, income_totals, current_declaration, declaration_history,
+        sessionize_pages, declaration_header, asof_insertion, bulletin_counts, carry_sections, civil_status, income_lines, income_totals, income_statements, income_items, income_failures, current_declaration, declaration_history,
         has_assets, publishable, apply_corrections, words_to_lines, boxes_to_rows, words_in_boxes, drop_container_boxes, dedup_boxes,
     )
     return {f.__name__: f for f in own}
@@ -348,7 +385,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "sessionize_pages": f"WITH RECURSIVE {SESSIONS} SELECT bulletin_id, num, gid FROM ses WHERE opened", "declaration_header": DECLARATION_HEADER, "asof_insertion": ASOF_INSERTION,
         "bulletin_counts": BULLETIN_COUNTS, "carry_sections": f"WITH {LINES} SELECT doc_id, turn AS line, is_value, section, x_origin, x_amount FROM va", "civil_status": CIVIL_STATUS,
-        "income_lines": f"WITH {LINES} SELECT doc_id, turn AS line, apartado, concepto, origen, importe, is_quota FROM inl", "income_totals": INCOME_TOTALS,
+        "income_lines": f"WITH {LINES} SELECT doc_id, turn AS line, apartado, concepto, origen, importe, is_quota FROM inl", "income_totals": INCOME_TOTALS, "income_statements": INCOME_STATEMENTS,
+        "income_items": f"WITH {LINES} SELECT doc_id AS person_id, apartado, concepto, origen, count(*) AS n, sum(importe) AS importe FROM inl WHERE NOT is_quota AND doc_id % 7 <> 3 GROUP BY ALL",
+        "income_failures": "SELECT conv_id AS person_id, CASE WHEN conv_id % 7 = 3 THEN max(turn // 8) + 1 ELSE 0 END + CASE WHEN conv_id % 6 = 0 THEN 1 ELSE 0 END AS pages FROM conversations WHERE conv_id % 7 = 3 OR conv_id % 6 = 0 GROUP BY conv_id",
         "current_declaration": f"WITH {DECLARATIONS},{CURRENT} SELECT * FROM cu", "declaration_history": DECLARATION_HISTORY, "has_assets": f"WITH {DECLARATIONS} SELECT decl_id, {FULL} AS result FROM de",
         "publishable": PUBLISHABLE, "apply_corrections": APPLY_CORRECTIONS, "words_to_lines": WORDS_TO_LINES, "boxes_to_rows": BOXES_TO_ROWS, "words_in_boxes": WORDS_IN_BOXES,
         "drop_container_boxes": DROP_CONTAINER_BOXES, "dedup_boxes": DEDUP_BOXES,

@@ -193,10 +193,9 @@ def _elect(rows: DataFrame, links: DataFrame) -> DataFrame:
         # settled rows end a name, but for one that may still make a person: it doesn't know itself, or its surname was told by one person only
         more = settled & ~F.coalesce("joins", F.lit(False)) & F.col("two").isNull() & (F.when(F.col("leads"), ~F.col("knows_itself")).otherwise(F.col("event").isNotNull()))
         told = told.withColumn("after", F.when(more, F.when(F.col("leads"), F.col("at")).otherwise(F.greatest("at", "event"))))
-        told = save(told.select("key", F.when(~settled, F.col("at")).alias("at"), "one", "two", "knows_itself", "after"), "names")
+        told = told.select("key", F.when(~settled, F.col("at")).alias("at"), "one", "two", "knows_itself", "after")
         nexts = _next_rows(told.where("after IS NOT NULL").select("key", "after"), rows)
         after = save(told.join(nexts.withColumnRenamed("at", "next"), "key", "left").select("key", F.coalesce("at", "next").alias("at"), "one", "two", "knows_itself"), "names")
-        drop(told)
         drop(now)
         now = after
         if now.where("at IS NOT NULL").isEmpty():
