@@ -201,23 +201,59 @@ def boxes_to_rows(df: DataFrame, boxes: str, top: Column, bottom: Column, out: s
     return _clustered(df.withColumns({"_top": top, "_bottom": bottom}), out, within, ROW_TOLERANCE).drop("_top", "_bottom")
 
 
+#: The grid's finest cells, and how often they double: a box lies in a few cells of the level that fits its size.
+CELL_SIDE, CELL_LEVELS = 32.0, 6
+
+
+def _side(level: Column) -> Column:
+    return F.lit(CELL_SIDE) * F.pow(F.lit(2.0), level)
+
+
+def _touched(boxes: DataFrame, spare: float) -> DataFrame:
+    """``boxes(x0, y0, x1, y1, ...)`` in each cell (_level, _i, _j) that they touch with ``spare`` around them."""
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(1.0)) + 2 * spare
+    level = F.least(F.greatest(F.ceil(F.log2(size / CELL_SIDE)), F.lit(0)), F.lit(CELL_LEVELS - 1))
+    out = boxes.withColumn("_level", level)
+    span = lambda a, b: F.sequence(F.floor((F.least(a, b) - spare) / _side(F.col("_level"))), F.floor((F.greatest(a, b) + spare) / _side(F.col("_level"))))
+    return out.withColumn("_i", F.explode(span("x0", "x1"))).withColumn("_j", F.explode(span("y0", "y1")))
+
+
+def _placed(points: DataFrame, x: Column, y: Column) -> DataFrame:
+    """``points`` in the cell of each level that they lie in."""
+    out = points.withColumn("_level", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CELL_LEVELS - 1).cast("long"))))
+    return out.withColumns({"_i": F.floor(x / _side(F.col("_level"))), "_j": F.floor(y / _side(F.col("_level")))})
+
+
+_GRID = ["_level", "_i", "_j"]
+
+
 def words_in_boxes(words: DataFrame, boxes: DataFrame, page: list[str]) -> DataFrame:
-    """``boxes(page, box, x0, y0, x1, y1)`` with the text of ``words(page, t, x0, x1, y0, y1)`` whose centre lies in them, with 1 to spare."""
+    """``boxes(page, box, x0, y0, x1, y1)`` with the text of ``words(page, t, x0, x1, y0, y1)`` whose centre lies in them, with 1 to spare.
+
+    Boxes and words meet in the cells of a grid, not page by page. Words without a place lie nowhere; a box without one,
+    or without words, has an empty text.
+    """
     w = words.select(*page, "t", F.col("x0").alias("_x"), ((F.col("x0") + F.col("x1")) / 2).alias("_cx"), ((F.col("y0") + F.col("y1")) / 2).alias("_cy"), F.round(F.col("y0") / 3).alias("_line"))
     inside = F.col("_cx").between(F.col("x0") - 1, F.col("x1") + 1) & F.col("_cy").between(F.col("y0") - 1, F.col("y1") + 1)
-    found = boxes.select(*page, "box", "x0", "y0", "x1", "y1").join(w, page).where(inside).groupBy(*page, "box").agg(F.array_sort(F.collect_list(F.struct("_line", "_x", "t"))).alias("_w"))
+    cells = _touched(boxes.select(*page, "box", "x0", "y0", "x1", "y1"), 1.0)
+    found = cells.join(_placed(w, F.col("_cx"), F.col("_cy")), [*page, *_GRID]).where(inside).groupBy(*page, "box").agg(F.array_sort(F.collect_list(F.struct("_line", "_x", "t"))).alias("_w"))
     return boxes.join(found, [*page, "box"], "left").withColumn("t", F.coalesce(F.array_join(F.transform("_w", lambda x: x["t"]), " "), F.lit(""))).drop("_w")
 
 
 def drop_container_boxes(boxes: DataFrame, page: list[str], tolerance: float = 0.6) -> DataFrame:
-    """``boxes(page, box, x0, y0, x1, y1)`` but those that hold a box of clearly smaller area on the same page."""
+    """``boxes(page, box, x0, y0, x1, y1)`` but those that hold a box of clearly smaller area on the same page.
+
+    A box that is held has its centre in a cell that the holder touches. Boxes without a place hold nothing and stay.
+    """
     o = boxes.select(*page, *(F.col(c).alias(f"_{c}") for c in ("box", "x0", "y0", "x1", "y1")))
     area = lambda p: (F.col(f"{p}x1") - F.col(f"{p}x0")) * (F.col(f"{p}y1") - F.col(f"{p}y0"))
     holds = (
         (F.col("_box") != F.col("box")) & (F.col("_x0") >= F.col("x0") - tolerance) & (F.col("_y0") >= F.col("y0") - tolerance)
         & (F.col("_x1") <= F.col("x1") + tolerance) & (F.col("_y1") <= F.col("y1") + tolerance) & (area("_") < 0.98 * area(""))
     )
-    outer = boxes.join(o, page).where(holds).select(*page, "box").distinct()
+    inner = _placed(o, (F.col("_x0") + F.col("_x1")) / 2, (F.col("_y0") + F.col("_y1")) / 2)
+    cells = _touched(boxes.select(*page, "box", "x0", "y0", "x1", "y1"), tolerance)
+    outer = cells.join(inner, [*page, *_GRID]).where(holds).select(*page, "box").distinct()
     return boxes.join(outer, [*page, "box"], "left_anti")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from patrimonia.functions.amounts import parse_amount
 from patrimonia.functions.text import clean_income_cell, norm_text
+from patrimonia.sources.store import save
 
 # The income form's section marks and words.
 SECTIONS = {"I.": "salarios", "II.": "dividendos", "III.": "intereses", "IV.": "otras", "V.": "irpf"}
@@ -51,9 +52,45 @@ def declaration_header(pages: DataFrame) -> DataFrame:
     )
 
 
+#: Needles of three words or more are filed by up to so many of their inner words, others by up to so many characters.
+RUN_WORDS, RUN_CHARS = 3, 8
+
+
+def _filed(needle: str) -> tuple[Column, Column]:
+    """What a needle is filed by: the kind (a number of words, or minus a number of characters) and a hash."""
+    words = F.split(needle, " ")
+    run = F.least(F.size(words) - 2, F.lit(RUN_WORDS))
+    short = F.least(F.length(needle), F.lit(RUN_CHARS))
+    by_words = F.xxhash64(F.array_join(F.slice(words, 2, F.greatest(run, F.lit(0))), " "))
+    return F.when(run > 0, run).otherwise(-short), F.when(run > 0, by_words).otherwise(F.xxhash64(F.substring(needle, F.lit(1), short)))
+
+
+def _runs(text: str, kind: str) -> Column:
+    """The distinct hashes of a text's runs of ``kind``."""
+    words, n = F.split(text, " "), F.col(kind)
+    places = lambda last: F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    by_words = F.transform(places(F.size(words) - n + 1), lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " ")))
+    by_chars = F.transform(places(F.length(text) + n + 1), lambda i: F.xxhash64(F.substring(F.col(text), i, -n)))
+    return F.array_distinct(F.when(n > 0, by_words).otherwise(by_chars))
+
+
 def contains_join(titles: DataFrame, pages: DataFrame, key: str, needle: str, text: str) -> DataFrame:
-    """Pairs of rows of the same ``key`` where ``text`` holds ``needle`` (an empty needle is held nowhere)."""
-    return titles.join(pages, key).where((F.col(needle) != "") & F.col(text).contains(F.col(needle)))
+    """Pairs of rows of the same ``key`` where ``text`` holds ``needle`` (an empty or null needle is held nowhere).
+
+    A needle's inner words stand in a text that holds it as whole words, next to each other. Needles are filed by a run of
+    these, short ones by their first characters, and texts look up their runs of the kinds that their key's needles have:
+    an equi-join on key and run, so that the work of a key with many rows is dealt out by runs. Pairs that it finds are
+    then compared in full. Rows that repeat are pairs each; columns that both sides have, other than ``key``, clash.
+    """
+    titles = save(titles.where(F.col(needle) != "").withColumn("_t", F.monotonically_increasing_id()), "needles")
+    pages = save(pages.where(F.col(text) != "").withColumn("_p", F.monotonically_increasing_id()), "texts")
+    kind, code = _filed(needle)
+    filed = titles.select(key, kind.alias("_kind"), code.alias("_code"), "_t")
+    kinds = filed.select(key, "_kind").distinct()
+    runs = pages.select(key, "_p", text).join(kinds, key).select(key, "_kind", "_p", F.explode(_runs(text, "_kind")).alias("_code"))
+    found = runs.join(filed, [key, "_kind", "_code"]).select("_t", "_p").distinct()
+    pairs = titles.join(found, "_t").join(pages.drop(key), "_p").where(F.col(text).contains(F.col(needle)))
+    return pairs.drop("_t", "_p").select(key, *(c for c in titles.columns if c not in (key, "_t")), *(c for c in pages.columns if c not in (key, "_p")))
 
 
 def title_start_page(insertions: DataFrame, pages: DataFrame) -> DataFrame:
