@@ -238,6 +238,24 @@ def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 READ_PAGES = "SELECT 'B' || user_id AS bulletin_id, CAST(event_id AS INTEGER) AS num, CASE WHEN event_id % 3 = 0 THEN 'ocr' ELSE 'texto' END AS metodo, event_type AS t, value AS x0 FROM events"
 
 
+def rejected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page files of each user, some cut short, some with pages that failed; what is rejected, by bulletin and reason."""
+    e = read(spark, sf_dir, "events")
+    failed = F.when(F.col("event_id") % 5 == 0, "roto")
+    page = F.to_json(F.struct(F.col("event_id").cast("int").alias("num"), F.lit(842.0).alias("alto"), failed.alias("error")))
+    text = F.concat(F.lit("["), F.array_join(F.collect_list(page), ","), F.when(F.col("user_id") % 4 == 0, "").otherwise("]"))
+    files = e.groupBy("user_id").agg(text.alias("value")).select(F.concat(F.lit("B"), F.col("user_id").cast("string")).alias("bulletin_id"), "value")
+    path = f"{shared_folder(spark)}/tables/pages-{uuid.uuid4().hex}"
+    files.write.partitionBy("bulletin_id").text(path)
+    return IO.rejected_pages(spark, path).groupBy("bulletin_id", "reason").agg(F.count("*").alias("n"), F.count("num").alias("n_paginas"))
+
+
+REJECTED_PAGES = """
+SELECT 'B' || user_id AS bulletin_id, 'broken file' AS reason, 1::BIGINT AS n, 0::BIGINT AS n_paginas FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 4 = 0)
+UNION ALL SELECT 'B' || user_id, 'roto', count(*), count(*) FROM events WHERE user_id % 4 <> 0 AND event_id % 5 = 0 GROUP BY user_id
+"""
+
+
 def read_insertions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search results of twenty files in ISO-8859-15, with tabs and line ends in their titles, written and read again."""
     key = F.col("o_orderkey")
@@ -303,7 +321,7 @@ FLAG_DISAGREEMENT = "SELECT l_partkey, count(*) FILTER (l_partkey % 4 IN (1, 2))
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         parse_amount, slug_id, extract_stamp, page_text, source_links, reading_status, filter_insertions, order_insertions, first_by_key, select_bulletins,
-        extract_links, extract_roster, read_corrections, read_pages, read_insertions, title_start_page, contains_join, flag_disagreement,
+        extract_links, extract_roster, read_corrections, read_pages, rejected_pages, read_insertions, title_start_page, contains_join, flag_disagreement,
     )
     return {"strip_accents": _texts(T.strip_accents), "norm_text": _texts(T.norm_text), "fold_text": _texts(T.fold_text)} | {f.__name__: f for f in own}
 
@@ -315,6 +333,6 @@ def oracle_sql() -> dict[str, str]:
         "parse_amount": PARSE_AMOUNT, "slug_id": SLUG_ID, "extract_stamp": EXTRACT_STAMP, "page_text": PAGE_TEXT, "source_links": SOURCE_LINKS, "reading_status": READING_STATUS,
         "filter_insertions": FILTER_INSERTIONS, "order_insertions": ORDER_INSERTIONS, "first_by_key": "SELECT o_orderkey % 500 AS bulletin_id, min(o_orderkey) AS pos FROM orders GROUP BY 1",
         "select_bulletins": "SELECT doc_id AS bulletin_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
-        "extract_links": EXTRACT_LINKS, "extract_roster": EXTRACT_ROSTER, "read_corrections": PARSE_CORRECTIONS, "read_pages": READ_PAGES, "read_insertions": READ_INSERTIONS, "title_start_page": TITLE_START_PAGE, "contains_join": CONTAINS_JOIN,
+        "extract_links": EXTRACT_LINKS, "extract_roster": EXTRACT_ROSTER, "read_corrections": PARSE_CORRECTIONS, "read_pages": READ_PAGES, "rejected_pages": REJECTED_PAGES, "read_insertions": READ_INSERTIONS, "title_start_page": TITLE_START_PAGE, "contains_join": CONTAINS_JOIN,
         "flag_disagreement": FLAG_DISAGREEMENT,
     }

@@ -27,23 +27,43 @@ EXPORT_COLUMNS = (
 )
 
 
+def _raw_pages(spark: SparkSession, path: str) -> DataFrame:
+    raw = spark.read.schema(f"{PAGE}, _broken string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").json(path)
+    if "bulletin_id" in raw.columns:
+        return raw.withColumn("bulletin_id", F.col("bulletin_id").cast("string"))
+    return raw.withColumn("bulletin_id", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[A-Za-z]+)*$", 1))
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Page layouts of bulletins: files of JSON arrays of pages, named after their bulletin or in a folder ``bulletin_id=...`` each."""
-    pages = spark.read.schema(PAGE).option("multiLine", True).json(path)
-    if "bulletin_id" in pages.columns:
-        return pages.withColumn("bulletin_id", F.col("bulletin_id").cast("string"))
-    return pages.withColumn("bulletin_id", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[A-Za-z]+)*$", 1))
+    """Page layouts of bulletins: files of JSON arrays of pages, named after their bulletin or in a folder ``bulletin_id=...`` each.
+
+    Files that aren't JSON have no pages here; pages that failed when they were decoded have an ``error``, and no words.
+    ``rejected_pages`` lists both.
+    """
+    return _raw_pages(spark, path).where("_broken IS NULL").drop("_broken")
+
+
+def rejected_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bulletin_id, num, reason) of what ``read_pages`` can't use: broken files (num is null), and pages with an error."""
+    raw = _raw_pages(spark, path).select(F.col("_metadata.file_path").alias("file"), "bulletin_id", "num", "error", F.col("_broken").isNotNull().alias("broken"))
+    return raw.where("broken OR error IS NOT NULL").select("file", "bulletin_id", F.when(~F.col("broken"), F.col("num")).alias("num"), F.when(F.col("broken"), "broken file").otherwise(F.col("error")).alias("reason"))
 
 
 def read_insertions(spark: SparkSession, path: str) -> DataFrame:
-    """(id_bocv, numero, fecha, titulo, tipo, pos) of a search result in ISO-8859-15 with raw tabs and line ends in its texts."""
+    """(id_bocv, numero, fecha, titulo, tipo, pos) of search results in ISO-8859-15 with raw tabs and line ends in their texts.
+
+    ``pos`` ascends with the file's path and the place in it, on every partitioning, so that the first of several files
+    comes first. Broken files are left out.
+    """
     raw = spark.read.schema(INSERTIONS).option("multiLine", True).option("encoding", "ISO-8859-1").option("allowUnquotedControlChars", True).json(path)
-    rows = raw.select(F.posexplode("dades.inserciones").alias("pos", "x"))
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("dades.inserciones").alias("_at", "x"))
+    files = rows.select("_file").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_file")) - 1)  # a row for each file
+    rows = rows.join(files, "_file")
     text = F.regexp_replace(F.translate("x.titulo", LATIN1, LATIN9), r"\t|\r\n", " ")
     title = F.trim(F.regexp_replace(text, "</?HTML>", ""))
     return rows.select(
         "x.id_bocv", F.col("x.numero_bocv").cast("int").alias("numero"), parse_pub_date("x.fecha_publicacion").alias("fecha"), title.alias("titulo"),
-        classify_insertion(title).alias("tipo"), "pos",
+        classify_insertion(title).alias("tipo"), (F.col("_rank").cast("long") * (1 << 32) + F.col("_at")).alias("pos"),
     )
 
 
@@ -106,9 +126,19 @@ def read_corrections(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_corrections(texts: DataFrame) -> DataFrame:
-    """(seal, motivo, persona, items, totals) of ``texts(value)``, each a whole file."""
+    """(seal, motivo, persona, items, totals) of ``texts(value)``, each a whole file; what can't be read is left out."""
     entries = texts.select(F.explode(F.from_json("value", "map<string,string>")).alias("seal", "body")).where(F.ltrim("body").startswith("{"))
-    return entries.select("seal", F.from_json("body", CORRECTION).alias("c")).select("seal", "c.*")
+    read = entries.select("seal", F.from_json("body", f"{CORRECTION}, _broken string", {"columnNameOfCorruptRecord": "_broken"}).alias("c")).where("c._broken IS NULL")
+    return read.select("seal", F.col("c").dropFields("_broken").alias("c")).select("seal", "c.*")
+
+
+def rejected_corrections(texts: DataFrame) -> DataFrame:
+    """(seal, reason) of what ``parse_corrections`` leaves out: broken files (seal is null), and entries with another form."""
+    whole = texts.select(F.from_json("value", "map<string,string>").alias("m"))
+    files = whole.where("m IS NULL OR size(m) = 0").select(F.lit(None).cast("string").alias("seal"), F.lit("broken file").alias("reason"))
+    entries = whole.select(F.explode("m").alias("seal", "body")).where(F.ltrim("body").startswith("{"))
+    read = entries.select("seal", F.from_json("body", f"{CORRECTION}, _broken string", {"columnNameOfCorruptRecord": "_broken"}).alias("c"))
+    return files.unionByName(read.where("c._broken IS NOT NULL").select("seal", F.lit("broken entry").alias("reason")))
 
 
 def listed(df: DataFrame, separator: str = "; ") -> DataFrame:

@@ -14,6 +14,26 @@ def test_read_pages(spark, tmp_path):
     assert [(r.bulletin_id, r.num, r.error) for r in got] == [("B7", 1, None), ("B7", 2, "roto")] and got[0].palabras[0].t == "hola"
 
 
+def test_broken_files_are_rejected_and_counted(spark, tmp_path):
+    good = {"num": 1, "alto": 842.0, "palabras": [], "casillas": []}
+    (tmp_path / "B1.json").write_text(json.dumps([good, {"num": 2, "error": "roto"}]))
+    (tmp_path / "B2.json").write_text(json.dumps([good, good])[:-20])
+    (tmp_path / "B3.json").write_text("esto no es JSON")
+    assert [(r.bulletin_id, r.num) for r in tables.read_pages(spark, str(tmp_path)).orderBy("num").collect()] == [("B1", 1), ("B1", 2)]
+    assert sorted((r.bulletin_id, r.num, r.reason) for r in tables.rejected_pages(spark, str(tmp_path)).collect()) == [("B1", 2, "roto"), ("B2", None, "broken file"), ("B3", None, "broken file")]
+    texts = spark.createDataFrame([("no",), ('{"_ayuda": "x", "X1": {"total_pasivo": 5}, "X2": {"total_pasivo": "cinco"}}',)], "value string")
+    assert [r.seal for r in tables.parse_corrections(texts).collect()] == ["X1"]
+    assert sorted((r.seal or "", r.reason) for r in tables.rejected_corrections(texts).collect()) == [("", "broken file"), ("X2", "broken entry")]
+
+
+def test_insertions_keep_their_order_over_files(spark, tmp_path):
+    for name, ids in (("b", "34"), ("a", "12"), ("c", "15")):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"dades": {"inserciones": [{"id_bocv": i, "titulo": f"{name}{i}"} for i in ids]}}))
+    got = tables.read_insertions(spark, str(tmp_path)).repartition(5)
+    assert [r.id_bocv for r in got.orderBy("pos").collect()] == list("123415")
+    assert {r.titulo for r in tables.first_by_key(got, "id_bocv", "pos").collect()} == {"a1", "a2", "b3", "b4", "c5"}
+
+
 def test_read_insertions(spark, tmp_path):
     raw = '{"dades": {"inserciones": [{"id_bocv": "1", "numero_bocv": "12", "titulo": "<HTML>Modificación\tde bienes en €</HTML>", "fecha_publicacion": "20240131"}, {"id_bocv": "2", "numero_bocv": "13", "titulo": "Declaración final\r\nde bienes", "fecha_publicacion": "mal"}]}}'
     (tmp_path / "lista.json").write_bytes(raw.encode("iso-8859-15"))
