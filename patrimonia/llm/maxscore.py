@@ -86,12 +86,12 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     Queries are the rows whose vec_id is divisible by ``every``; all rows but those of the query's vec_id are
     its candidates, and fewer than k give all. Null vectors and vectors with a null or non-finite component take
     no part, nor do rows with a null vec_id. A shorter vector's missing components count as 0. Repeated rows are
-    candidates each, and a repeated query row is asked once. An empty table gives an empty result.
+    candidates each; query rows that share a vec_id are asked once, with the smallest of their vectors. An empty table gives an empty result.
     """
     x = F.col("embedding")
     fit = x.isNotNull() & F.col("vec_id").isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
     whole = vectors.where(fit).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"))
-    asked = whole.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.first("v").alias("v"))
+    asked = whole.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     n, m = whole.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
     shards, blocks = max(6, math.ceil(n / shard_rows)), max(1, math.ceil(m / block_queries))
     by_id = lambda parts: F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
