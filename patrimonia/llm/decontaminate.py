@@ -24,14 +24,15 @@ BLOCK_SHINGLES = 2_000_000
 _BITS = np.uint64(48)
 
 
-def _item_shingles(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _shingle_sets(shingle: int, ids: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw, at in W.chunks(batch):
                 word, _, _, first = W.words(raw, at, W.NON_ALNUM)
                 row, value = W.distinct(*W.shingles(word, first, shingle))
                 size = np.minimum(np.diff(first), shingle)
-                yield pa.record_batch([part.column(0).take(pa.array(row)), pa.array(size[row]), pa.array(value.view(np.int64))], ["item_id", "k", "value"])
+                own = [part.column(part.schema.get_field_index(c)).take(pa.array(row)) for c in ids]
+                yield pa.record_batch([*own, pa.array(size[row]), pa.array(value.view(np.int64))], [*ids, "k", "value"])
 
     return run
 
@@ -92,6 +93,16 @@ def _contained(blocks: list[Sketches], threshold: float) -> Callable[[Iterator[p
     return run
 
 
+def _by_join(text: DataFrame, sets: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """What documents hold of items too large for a task's memory: both sides' shingles meet in a join and are counted."""
+    rows = text.withColumn("row", F.monotonically_increasing_id())
+    own = rows.mapInArrow(_shingle_sets(shingle, ("row", "doc_id")), "row long, doc_id long, k long, value long")
+    size = sets.groupBy("item_id").agg(F.count("*").alias("n_item_shingles"))
+    found = own.join(sets, ["k", "value"]).groupBy("row", "doc_id", "item_id").agg(F.count("*").alias("n_shared")).join(size, "item_id")
+    held = found.where(F.col("n_shared") >= threshold * F.col("n_item_shingles") - 1e-9)
+    return held.select("doc_id", "item_id", "n_item_shingles", "n_shared", (F.col("n_shared") / F.col("n_item_shingles")).alias("containment"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle: int = 5, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, item_id, n_item_shingles, n_shared, containment): items of which a document holds ``threshold`` or more.
 
@@ -101,22 +112,27 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shin
     wordless texts on either side match nothing; rows with a null id are left out. Repeated rows give one result
     row each; items that share an id are one set of shingles. With no items or documents the result is empty.
 
-    The items' sets are sent to all tasks in blocks of at most ``block_shingles`` (a bound that is checked), one
-    pass over the documents for each block.
+    The items' sets are sent to all tasks in blocks of at most about ``block_shingles``, one pass over the documents for
+    each block. An item that alone has more than that is found by a join of its shingles with the documents'.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold lies above 0 and up to 1")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     own = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
-    sets = save(own.mapInArrow(_item_shingles(shingle), "item_id long, k long, value long").distinct(), "items")
+    sets = save(own.mapInArrow(_shingle_sets(shingle, ("item_id",)), "item_id long, k long, value long").distinct(), "items")
+    large = sets.groupBy("item_id", "k").agg(F.count("*").alias("n")).where(F.col("n") > block_shingles).select("item_id", "k")
+    out = None
+    lengths = sorted(int(x["k"]) for x in large.select("k").distinct().collect())  # up to ``shingle`` of them
+    for k in lengths:
+        found = _by_join(text, sets.join(large.where(F.col("k") == k), ["item_id", "k"], "left_semi"), threshold, k)
+        out = found if out is None else out.unionByName(found)
+    if lengths:
+        sets = save(sets.join(large, ["item_id", "k"], "left_anti"), "items")
     total = sets.count()
     parts = max(1, math.ceil(total / block_shingles * 1.2)) if total > block_shingles else 1
-    out = None
     for number in range(parts):
         block = sets.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == number) if parts > 1 else sets
         got = block.toPandas()
-        if len(got) > 2 * block_shingles:
-            raise ValueError("one item alone is larger than a block: raise block_shingles")
         by_k = [Sketches(int(k), {int(i): np.sort(g["value"].to_numpy(np.int64).view(np.uint64)) for i, g in rows.groupby("item_id")}, threshold) for k, rows in got.groupby("k")]
         if by_k:
             found = text.mapInArrow(_contained(by_k, threshold), "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double")
