@@ -231,6 +231,7 @@ def merkle_manifest(
     own = [F.col(f) for f in fields]
     claimed = [(claims or {}).get(f, F.col(f)) for f in fields]
     rows = docs.select(F.col(order).alias("id"), F.col(group).alias("group"), leaf_digest(own).alias("digest"), leaf_digest(claimed).alias("claimed"))
+    rows = save(rows, "digests")  # read twice by the range sort, which samples first
     placed = save(place(rows, "group", ["id", "digest"], "leaves"), "placed")
     way = "places array<int>, siblings string, " if proofs else ""
     schema = f"id {dict(rows.dtypes)['id']}, digest string, subroot string, root string, {way}proof_sha256 string, folded_root string"
