@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from patrimonia.functions.text import _col, let
 
-#: The first number of a text: with thousands in groups of three, or in one piece with separators.
+# Fixed value: the first number of a text, with thousands in groups of three, or in one piece with separators.
 AMOUNT = r"-?\s*(?:[0-9]{1,3}(?:[ .][0-9]{3})+(?:[,.'][0-9]{1,2})?(?![0-9])|[0-9]+(?:[.,'][0-9]+)*)"
 
 

@@ -28,7 +28,7 @@ OTHER_NAMES = {
     "TEROL": "Teruel", "CONCA": "Cuenca", "LA CORUNA": "A Coruña", "ORENSE": "Ourense", "SARAGOSSA": "Zaragoza", "MURCIA": "Murcia",
     "OSCA": "Huesca", "ALBACETE": "Albacete", "TENERIFE": "Santa Cruz de Tenerife",
 }
-#: What the form prints in its cells, and how alike a text must be to count as that.
+# What the form prints in its cells, and how alike a text must be to count as that.
 FORM_LABELS = (
     "Descripción", "Descripció", "Valor (euros)", "Clave (*)", "Tipo (**)", "Situación (provincia)", "Valor catastral",
     "Valor catastral del conjunto", "Valor global conjunto",

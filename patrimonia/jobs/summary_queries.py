@@ -255,6 +255,17 @@ def filter_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "apellidos")
 
 
+def filter_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People by group and district, by a province and least properties and assets, and by shared homes, debts and mortgages."""
+    people = _people(spark, sf_dir)
+    found = [
+        E.filter_people(people, group="BUILDING", district="Valencia", active=None).select(F.lit("place").alias("filtro"), "id"),
+        E.filter_people(people, province="GERMANY", min_properties=2, min_assets=30000).select(F.lit("province").alias("filtro"), "id"),
+        E.filter_people(people, min_shared_homes=1, min_debts=40000, min_accounts=1, mortgage=True, active=False).select(F.lit("debts").alias("filtro"), "id"),
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def order_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions(E.order_people(roster(spark, sf_dir))).select("id", "en_activo", "position")
 
@@ -597,7 +608,7 @@ s AS (SELECT f.*, k % 10 AS b, k % 7 = 0 AS m, k = max(k) OVER (PARTITION BY k %
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         conditional_sum, reconcile_totals, repair_with_alternatives, clear_doubt, flag_illegible, flag_repeated_totals, flag_misfiled_assets, summarize_people, quality_report, assemble_people, many_homes,
-        attach_income, run_metadata, headline_counts, preset_filters, filter_people, order_people, order_view, facets, export_filtered, write_tables, write_documents, flatten_items, union_income_quota,
+        attach_income, run_metadata, headline_counts, preset_filters, filter_people, filter_by_place, order_people, order_view, facets, export_filtered, write_tables, write_documents, flatten_items, union_income_quota,
         match_people, resolve_unmatched, union_people, flow_pages, find_anchor, property_rows, property_total, asset_liability_rows, person_fields, scan_properties, scan_items, scan_people, detect_cover, bulletin_run, bulletin_people, published_documents,
     )
     return {f.__name__: f for f in own}
@@ -619,6 +630,8 @@ def oracle_sql() -> dict[str, str]:
         "headline_counts": f"{W_PEOPLE}, v AS (SELECT * {active} AND coalesce(n_provincias, 0) >= 1) SELECT count(*) AS n_vista, count(*) FILTER (n_viviendas >= 1) AS n_con_vivienda, count(*) FILTER (n_viviendas >= 3) AS n_tres_o_mas, count(*) FILTER (n_inmuebles = 0) AS n_sin_inmueble, count(*) FILTER (tiene_hipoteca) AS n_con_hipoteca, count(*) FILTER (n_inmuebles IS NULL) AS n_sin_leer, (SELECT count(*) {active}) AS n_base FROM v",
         "preset_filters": f"{W_PEOPLE} " + " UNION ALL ".join(f"SELECT '{n}' AS preset, count(*) FILTER ({c}) AS n {active}" for n, c in preset),
         "filter_people": f"{W_PEOPLE} SELECT id, apellidos FROM pe WHERE contains(lower(strip_accents(nombre || ' ' || apellidos)), 'puig') AND coalesce(valor_catastral, 0) >= 1000 AND coalesce(rentas, 0) >= 0 AND revisar",
+        "filter_by_place": f"{W_PEOPLE} SELECT 'place' AS filtro, id FROM pe WHERE grupo = 'BUILDING' AND circunscripcion = 'Valencia' UNION ALL SELECT 'province', id FROM pe WHERE en_activo AND list_contains(string_split(provincias, ';'), 'GERMANY') AND n_inmuebles >= 2 AND otros_bienes >= 30000"
+        " UNION ALL SELECT 'debts', id FROM pe WHERE NOT en_activo AND n_viviendas_compartidas >= 1 AND pasivo >= 40000 AND cuentas >= 1 AND tiene_hipoteca",
         "order_people": f"WITH {ROSTER} SELECT id, en_activo, row_number() OVER (ORDER BY en_activo DESC, {sql_norm('apellidos')}, {sql_norm('nombre')}) AS position FROM ro",
         "order_view": f"{W_PEOPLE}, r AS (SELECT pasivo, row_number() OVER (ORDER BY pasivo DESC NULLS LAST) AS position FROM pe) SELECT pasivo, min(position) AS first, max(position) AS last, count(*) AS n FROM r GROUP BY pasivo",
         "facets": f"{W_PEOPLE} SELECT DISTINCT 'grupo' AS facet, grupo AS value FROM pe WHERE grupo <> '' UNION SELECT 'circunscripcion', circunscripcion FROM pe WHERE circunscripcion <> '' UNION SELECT 'provincia', p FROM (SELECT unnest(string_split(provincias, ';')) AS p FROM pe) WHERE p <> ''",

@@ -109,17 +109,20 @@ def asof_insertion(declarations: DataFrame, insertions: DataFrame, take: list[st
     """``declarations(bulletin_id, first_page, ...)`` with ``take`` of the insertion in force on its first page.
 
     That is the last of its bulletin that starts at or before the page (``insertions(bulletin_id, inicio, pos)``,
-    of equal starts the last), else the bulletin's first. Both sides are dealt by bulletin once.
+    of equal starts the last), else the bulletin's first; null without one. Only bulletins and pages go through the window,
+    each once.
     """
     given = F.struct(*take)
     own = insertions.select("bulletin_id", F.col("inicio").alias("_at"), F.lit(0).alias("_side"), F.col("pos").cast("long").alias("_pos"), given.alias("_given"))
-    asked = declarations.select("bulletin_id", F.col("first_page").alias("_at"), F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_pos"), F.struct(*declarations.columns).alias("_row"))
+    asked = declarations.select("bulletin_id", F.col("first_page").alias("_at")).distinct().select("bulletin_id", "_at", F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_pos"))
     both = own.unionByName(asked, allowMissingColumns=True)
     order = Window.partitionBy("bulletin_id").orderBy("_at", "_side", "_pos")
     whole = Window.partitionBy("bulletin_id")
     first = F.min(F.when(F.col("_side") == 0, F.struct("_at", "_pos", "_given"))).over(whole)["_given"]
-    both = both.withColumn("_found", F.coalesce(F.last("_given", ignorenulls=True).over(order), first)).where("_side = 1")
-    return both.select("_row.*", *(F.col(f"_found.{c}").alias(c) for c in take))
+    found = both.withColumn("_found", F.coalesce(F.last("_given", ignorenulls=True).over(order), first)).where("_side = 1")
+    found = found.select(F.col("bulletin_id").alias("_bulletin"), F.col("_at").alias("_page"), *(F.col(f"_found.{c}").alias(f"_{c}") for c in take))
+    met = declarations.join(found, F.equal_null("bulletin_id", "_bulletin") & F.equal_null("first_page", "_page"), "left")
+    return met.select(*declarations.columns, *(F.col(f"_{c}").alias(c) for c in take))
 
 
 def carry_sections(lines: DataFrame) -> DataFrame:
