@@ -54,6 +54,8 @@ def declaration_header(pages: DataFrame) -> DataFrame:
 
 #: Needles of three words or more are filed by up to so many of their inner words, others by up to so many characters.
 RUN_WORDS, RUN_CHARS = 3, 8
+#: A key of so many pairs or fewer is compared pair by pair, which costs less than looking up its texts' runs.
+DIRECT_PAIRS = 10_000
 
 
 def _filed(needle: str) -> tuple[Column, Column]:
@@ -74,23 +76,38 @@ def _runs(text: str, kind: str) -> Column:
     return F.array_distinct(F.when(n > 0, by_words).otherwise(by_chars))
 
 
-def contains_join(titles: DataFrame, pages: DataFrame, key: str, needle: str, text: str) -> DataFrame:
+def _looked_up(titles: DataFrame, pages: DataFrame, key: str, needle: str, text: str) -> DataFrame:
+    """The pairs of ``contains_join`` by an equi-join on key and run."""
+    titles = save(titles.withColumn("_t", F.monotonically_increasing_id()), "needles")
+    pages = save(pages.withColumn("_p", F.monotonically_increasing_id()), "texts")
+    kind, code = _filed(needle)
+    filed = titles.select(key, kind.alias("_kind"), code.alias("_code"), "_t")
+    kinds = filed.select(key, "_kind").distinct()
+    runs = pages.select(key, "_p", text).join(kinds, key).select(key, "_kind", "_p", F.explode(_runs(text, "_kind")).alias("_code"))
+    found = runs.join(filed, [key, "_kind", "_code"]).select("_t", "_p").distinct()
+    return titles.join(found, "_t").join(pages.drop(key), "_p").drop("_t", "_p")
+
+
+def contains_join(titles: DataFrame, pages: DataFrame, key: str, needle: str, text: str, direct_pairs: int = DIRECT_PAIRS) -> DataFrame:
     """Pairs of rows of the same ``key`` where ``text`` holds ``needle`` (an empty or null needle is held nowhere).
 
     A needle's inner words stand in a text that holds it as whole words, next to each other. Needles are filed by a run of
     these, short ones by their first characters, and texts look up their runs of the kinds that their key's needles have:
     an equi-join on key and run, so that the work of a key with many rows is dealt out by runs. Pairs that it finds are
-    then compared in full. Rows that repeat are pairs each; columns that both sides have, other than ``key``, clash.
+    then compared in full. Keys of at most ``direct_pairs`` pairs are compared pair by pair; the pairs are the same. Rows
+    that repeat are pairs each; columns that both sides have, other than ``key``, clash.
     """
-    titles = save(titles.where(F.col(needle) != "").withColumn("_t", F.monotonically_increasing_id()), "needles")
-    pages = save(pages.where(F.col(text) != "").withColumn("_p", F.monotonically_increasing_id()), "texts")
-    kind, code = _filed(needle)
-    filed = titles.select(key, kind.alias("_kind"), code.alias("_code"), "_t")
-    kinds = filed.select(key, "_kind").distinct()
-    runs = pages.select(key, "_p", text).join(kinds, key).select(key, "_kind", "_p", F.explode(_runs(text, "_kind")).alias("_code"))
-    found = runs.join(filed, [key, "_kind", "_code"]).select("_t", "_p").distinct()
-    pairs = titles.join(found, "_t").join(pages.drop(key), "_p").where(F.col(text).contains(F.col(needle)))
-    return pairs.drop("_t", "_p").select(key, *(c for c in titles.columns if c not in (key, "_t")), *(c for c in pages.columns if c not in (key, "_p")))
+    titles, pages = titles.where(F.col(needle) != ""), pages.where(F.col(text) != "")
+    n = lambda df, c: df.groupBy(key).agg(F.count("*").alias(c))
+    large = n(titles, "_n").join(n(pages, "_m"), key).where(F.col("_n") * F.col("_m") > direct_pairs).select(key)
+    columns = [key, *(c for c in titles.columns if c != key), *(c for c in pages.columns if c != key)]
+    if large.isEmpty():
+        pairs = titles.join(pages, key).select(columns)
+    else:
+        large = save(large, "large")
+        pairs = titles.join(large, key, "left_anti").join(pages, key).select(columns)
+        pairs = pairs.unionByName(_looked_up(titles.join(large, key, "left_semi"), pages.join(large, key, "left_semi"), key, needle, text).select(columns))
+    return pairs.where(F.col(text).contains(F.col(needle)))
 
 
 def title_start_page(insertions: DataFrame, pages: DataFrame) -> DataFrame:

@@ -16,9 +16,11 @@ def test_contains_join_equals_all_pairs(spark):
     text = lambda n: " ".join(word() for _ in range(rng.randrange(n)))
     pages = [(rng.choice("xy"), i, text(14)) for i in range(60)] + [("x", 60, None), ("z", 61, "ab ab")]
     titles = [(rng.choice("xy"), i, rng.choice([text(9), text(3), *(p[2][rng.randrange(3) : rng.randrange(3, 30)] for p in pages[:40])])) for i in range(150)] + [("x", 150, None), ("w", 151, "ab"), ("x", 152, "b"), ("x", 152, "b")]
-    got = Q.contains_join(spark.createDataFrame(titles, "k string, pos int, needle string"), spark.createDataFrame(pages, "k string, num int, body string"), "k", "needle", "body")
+    needles, texts = spark.createDataFrame(titles, "k string, pos int, needle string"), spark.createDataFrame(pages, "k string, num int, body string")
     want = [(k, a, n, b, t) for k, a, n in titles for q, b, t in pages if k == q and n and t and n in t]
-    assert got.columns == ["k", "pos", "needle", "num", "body"] and sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 300
+    for direct in (0, sum(1 for t in titles if t[0] == "x" and t[2]) * sum(1 for q in pages if q[0] == "x" and q[2]) - 1, 10**6):
+        got = Q.contains_join(needles, texts, "k", "needle", "body", direct)
+        assert got.columns == ["k", "pos", "needle", "num", "body"] and sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 300
 
 
 def test_grid_equals_all_pairs(spark):
