@@ -2,7 +2,7 @@
 
 DataFrame operations and Spark's own classifier only. A document belongs to each domain by its posterior, so it
 adds posterior * tokens * rate to the domain's expected total. Projected gradient steps fit nonnegative rates
-to the domains' target totals: a step is one aggregation of as many sums as there are domains.
+to the domains' target totals: a step is two aggregations of a few sums for each domain.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patrimonia.llm.store import save
+from patrimonia.llm.store import drop, save
 
 #: Labelled rows that the classifier is fitted on at most (about), by a hash of doc_id.
 FIT_ROWS = 8_000
@@ -26,6 +26,8 @@ TARGETS: Mapping[str, float] = {"good": 0.85, "low": 0.14, "toxic": 0.01}
 #: Steps after which the rates so far are written, so that a step's work doesn't grow with their number.
 STEPS_KEPT = 6
 FEATURES = 1 << 15
+#: Parts of the step by the Gram matrix, and multiples of the plain gradient step, that one pass tries.
+_PARTS, _TIMES = (1.0, 0.25, 0.0625), (1.0, 16.0, 256.0, 4096.0, 65536.0)
 
 
 def domain_of(toxic: Column, quality: Column) -> Column:
@@ -65,14 +67,17 @@ def posteriors(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     return scored.select("doc_id", F.size("words").cast("long").alias("n_tokens"), p.alias("p"))
 
 
-def fit_rates(members: DataFrame, targets: Mapping[str, float], tolerance: float = 2e-5) -> tuple[DataFrame, list[dict[str, float]]]:
+def fit_rates(members: DataFrame, targets: Mapping[str, float], tolerance: float = 2e-5, nearness: float = 1e-4) -> tuple[DataFrame, list[dict[str, float]]]:
     """``members(n_tokens, p, ...)`` with rate, and the domains' totals after each step.
 
     Minimises the distance of the expected domain totals from target share * total tokens, over rates of 0 or
-    more, from rates of 1. Steps are scaled by the Gram matrix of the documents that have a rate above 0, so that one
-    step would reach the targets were no more rates held at 0; a step that doesn't bring the totals nearer is halved.
-    It ends when all totals are within ``tolerance`` of all tokens, or when no step brings them nearer (targets that
-    rates can't meet). Each document's change is in proportion to its posteriors, whatever its length.
+    more, from rates of 1. A step moves the rates that are above 0 or that the gradient raises, and cuts them at 0. One
+    pass tries several steps: parts of the one that would reach the targets were no rate cut (by the Gram matrix of the
+    rates that move), and multiples of the plain gradient step, whose first always brings the totals nearer; the best is
+    taken. It ends when all totals are within ``tolerance`` of all tokens, or, with targets proven out of reach, when
+    the distance is proven to be within ``nearness`` of all tokens of the smallest possible: a direction in which every
+    document's posterior grows bounds the distance from below. Each document's change is in proportion to its
+    posteriors, whatever its length.
     A target of 0 leaves its domain out, however small the domain's share is: documents that most likely belong to it
     get rate 0, and the others are fitted to the other domains' totals, which are theirs alone.
     """
@@ -80,33 +85,54 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], tolerance: float
     none = [i for i, d in enumerate(DOMAINS) if targets.get(d) == 0]
     gone = (F.array_position("p", F.array_max("p")) - 1).isin(none)
     p = [F.lit(0.0) if i in none else F.get("p", F.lit(i)) for i in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
     members = members.withColumn("rate", F.lit(1.0))
     n = F.when(gone, 0.0).otherwise(F.col("n_tokens").cast("double"))
+    steps: list[list[list[float]]] = []
 
-    def totals(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    def totals(tried: list[list[float]], gradient: list[float]) -> np.ndarray:
+        """The domains' totals after each of the steps tried."""
         now = members.select(n.alias("n"), "p", _rate(steps).alias("r"))
-        free = F.when(F.col("r") > 0, F.col("n")).otherwise(0.0)
-        pairs = [(i, j) for i in range(k) for j in range(i, k)]
-        row = now.agg(*(F.sum(F.col("n") * p[i] * F.col("r")).alias(f"t{i}") for i in range(k)), *(F.sum(free * p[i] * p[j]).alias(f"g{i}{j}") for i, j in pairs)).first()
+        rates = F.transform(F.lit(tried), lambda step: _moved(F.col("r"), F.lit(gradient), step))
+        now = now.withColumn("tried", rates)
+        row = now.agg(*(F.sum(F.col("n") * p[i] * F.get("tried", F.lit(c))) for c in range(len(tried)) for i in range(k))).first()
+        return np.array([float(x or 0) for x in row]).reshape(len(tried), k)
+
+    def look(gradient: list[float]) -> tuple[float, np.ndarray]:
+        """The least growth along the gradient for a share of posteriors, and the Gram matrix of the rates that move."""
+        now = members.select(n.alias("n"), "p", _rate(steps).alias("r")).withColumn("up", _dot(F.lit(gradient)))
+        now = now.withColumn("free", F.when((F.col("r") > 0) | (F.col("up") < 0), F.col("n")).otherwise(0.0))
+        least = F.min(F.when(F.col("n") > 0, F.col("up") / sum(p, F.lit(0.0))))
+        row = now.agg(least.alias("least"), *(F.sum(F.col("free") * p[i] * p[j]).alias(f"g{i}{j}") for i, j in pairs)).first()
         gram = np.zeros((k, k))
         for i, j in pairs:
             gram[i, j] = gram[j, i] = float(row[f"g{i}{j}"] or 0)
-        return np.array([float(row[f"t{i}"] or 0) for i in range(k)]), gram
+        return float(row["least"] or 0), gram
 
-    steps: list[list[float]] = []
-    now, gram = totals(steps)
-    history, total, part = [dict(zip(DOMAINS, now.tolist(), strict=True))], now.sum(), 1.0
+    now = totals([[0.0] * k], [0.0] * k)[0]
+    history, total = [dict(zip(DOMAINS, now.tolist(), strict=True))], now.sum()
     goal = _goal(targets, now)
-    while total > 0 and np.abs(now - goal).max() > tolerance * total and part > 1e-3:
-        step = (part * np.linalg.pinv(gram, rcond=1e-10) @ (now - goal)).tolist()
-        after, its_gram = totals([*steps, step])
-        if ((after - goal) ** 2).sum() > (1 - 1e-3 * part) * ((now - goal) ** 2).sum():
-            part /= 2
-            continue
-        steps, now, gram, part = [*steps, step], after, its_gram, min(1.0, 2 * part)
+    while total > 0 and np.abs(now - goal).max() > tolerance * total:
+        gradient = now - goal
+        least, gram = look(gradient.tolist())
+        bound = gradient + max(0.0, -least) * ~np.isin(np.arange(k), none)
+        smallest = max(0.0, -float(bound @ goal)) / max(1e-300, float(np.linalg.norm(bound)))
+        steepest = float(np.linalg.eigvalsh(gram)[-1])
+        near = nearness if smallest > tolerance * total else tolerance
+        if np.linalg.norm(gradient) - smallest <= near * total or steepest <= 0:
+            break
+        newton = np.linalg.pinv(gram, rcond=1e-10) @ gradient
+        tried = [(part * newton).tolist() for part in _PARTS] + [(times / steepest * gradient).tolist() for times in _TIMES]
+        after = totals(tried, gradient.tolist())
+        best = int(((after - goal) ** 2).sum(axis=1).argmin())
+        if ((after[best] - goal) ** 2).sum() >= (1 - 1e-12) * (gradient**2).sum():
+            break  # doubles can't tell the totals apart
+        steps, now = [*steps, [gradient.tolist(), tried[best]]], after[best]
         history.append(dict(zip(DOMAINS, now.tolist(), strict=True)))
         if len(steps) == STEPS_KEPT:
-            members, steps = save(members.withColumn("rate", _rate(steps)), "rates"), []
+            earlier, members, steps = members, save(members.withColumn("rate", _rate(steps)), "rates"), []
+            if len(history) > STEPS_KEPT + 1:
+                drop(earlier)
     return members.withColumn("rate", F.when(gone, 0.0).otherwise(_rate(steps))), history
 
 
@@ -119,12 +145,19 @@ def _goal(targets: Mapping[str, float], now: np.ndarray) -> np.ndarray:
     return np.where(open_, now, np.nan_to_num(given) / max(1e-9, 1 - np.nansum(given)) * now[open_].sum())
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    """The rate after further projected steps. The steps are one array literal, so that all rounds share one plan."""
+def _dot(step: Column) -> Column:
+    return F.aggregate(F.zip_with("p", step, lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+
+
+def _moved(rate: Column, gradient: Column, step: Column) -> Column:
+    return F.when((rate > 0) | (_dot(gradient) < 0), F.greatest(F.lit(0.0), rate - _dot(step))).otherwise(rate)
+
+
+def _rate(steps: list[list[list[float]]]) -> Column:
+    """The rate after further (gradient, step). The steps are one array literal, so that all rounds share one plan."""
     if not steps:
         return F.col("rate")
-    down = lambda step: F.aggregate(F.zip_with("p", step, lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
-    return F.aggregate(F.lit(steps), F.col("rate"), lambda r, step: F.greatest(F.lit(0.0), r - down(step)))
+    return F.aggregate(F.lit(steps), F.col("rate"), lambda r, step: _moved(r, step[0], step[1]))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, fit_rows: int = FIT_ROWS) -> DataFrame:

@@ -53,7 +53,7 @@ def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int) -> Dat
         share = F.lit(admit)[F.col("shard") * shards + F.col("to")]
         moves = calls.withColumn("part", F.floor(F.col("n") * share + _share(*link, "shard", F.lit(number))) / F.col("n"))
         after = linked.join(moves.where("part > 0").select(*link, "shard", "to", "part"), [*link, "shard"], "left")
-        goes = F.col("to").isNotNull() & (_share("doc_id", "size", F.lit(number)) < F.col("part"))
+        goes = F.col("to").isNotNull() & (_share("doc_id", "row", F.lit(number)) < F.col("part"))
         after = save(after.withColumn("shard", F.when(goes, F.col("to")).otherwise(F.col("shard"))).drop("to", "part"), "linked")
         drop(linked)
         drop(calls)
@@ -64,16 +64,16 @@ def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int) -> Dat
 def numbered(df: DataFrame, first: Column, rows: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """``df(shard, ...)`` with rank: gapless from 0 within each shard, rows with a smaller ``first`` before others.
 
-    Rows are dealt to windows by a hash; a window's rank starts after the rows of the windows before it.
+    Rows are dealt to windows by a hash of doc_id and ``row``, which repeated rows don't share; a window's rank starts after the rows of the windows before it.
     """
     parts = max(8, math.ceil(rows / window_rows))
-    dealt = save(df.withColumn("window", first.cast("long") * parts + F.pmod(F.xxhash64("doc_id", "h"), F.lit(parts))), "dealt")
+    dealt = save(df.withColumn("window", first.cast("long") * parts + F.pmod(F.xxhash64("doc_id", "row"), F.lit(parts))), "dealt")
     sizes = dealt.groupBy("shard", "window").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("window").rowsBetween(Window.unboundedPreceding, -1)
     starts = save(sizes.select("shard", "window", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "starts")
-    inside = Window.partitionBy("shard", "window").orderBy("doc_id", "h", "size")
+    inside = Window.partitionBy("shard", "window").orderBy("doc_id", "h", "row")
     ranked = dealt.withColumn("rank", F.row_number().over(inside) - 1).join(starts, ["shard", "window"])
-    return ranked.withColumn("rank", (F.col("rank") + F.col("start")).cast("long")).drop("start", "window")
+    return ranked.withColumn("rank", (F.col("rank") + F.col("start")).cast("long")).drop("start", "window", "row")
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
@@ -82,7 +82,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataF
     law is ``rows``: shards hold row counts at most one apart. Slots run from 0 without gaps in each shard.
     size is the text's UTF-8 bytes plus 1; a null text has size 1, the checksum of no bytes (0) and no links.
     Rows of equal, non-null text are linked. A group larger than a shard is spread over as few shards as the
-    quotas allow. Repeated rows and null doc_ids are placed like others; other columns play no part. An empty
+    quotas allow. Repeated rows and null doc_ids are placed like others: rows are parted by their number in the table, so
+    that one document on a third of the rows fills many windows. Other columns play no part. An empty
     table gives an empty result. grown_shard is null: only the law ``key`` has it.
     """
     text = F.col("text").cast("string")
@@ -93,6 +94,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataF
         F.xxhash64(text).alias("h"),
         text.isNotNull().alias("has"),
     )
+    # the number of a row in the table parts rows that repeat one another; it is written, so that all readers see the same
+    base = base.withColumn("row", F.monotonically_increasing_id())
     base = save(base.withColumn("shard", F.pmod(F.xxhash64("doc_id", "h", F.lit(1)), F.lit(shards)).cast("int")), "rows")
     rows = base.count()
     groups = save(base.where("has").groupBy("h", "text_crc32").agg(F.count("*").alias("n")).where("n > 1").select("h", "text_crc32"), "groups")

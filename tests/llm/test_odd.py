@@ -1,7 +1,13 @@
-"""Inputs that an operator once couldn't take: an item larger than a block, query rows that share an id."""
+"""Inputs that an operator once couldn't take: an item larger than a block, query rows that share an id, unseen
+languages, targets out of reach, one document on a third of the rows."""
 
 import random
+from itertools import combinations
 
+import numpy as np
+from pyspark.sql import functions as F
+
+from patrimonia.llm import langid, mixing, sharding
 from patrimonia.llm.decontaminate import contaminated
 from patrimonia.llm.maxscore import top_k
 
@@ -27,3 +33,70 @@ def test_query_rows_that_share_an_id_ask_the_smallest_vector_in_every_order(spar
         got = top_k(spark.createDataFrame(given, "vec_id long, embedding array<float>").coalesce(1), k=3)
         told.append(sorted((r["rank"], r.vec_id) for r in got.collect() if r.query_id == 0))
     assert told[0] == told[1] == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_unseen_languages_and_noise_are_rejected(spark):
+    rng = random.Random(5)
+    parts = {"en": ["the", "and", "ing", "tion", "wh"], "fr": ["eau", "que", "é", "oi", "leur"], "de": ["sch", "ung", "ä", "ein", "pf"]}
+    strange = {"fi": ["kkä", "yys", "lla", "uo", "hti"], "hu": ["ség", "nak", "gy", "őz", "tek"]}
+    word = lambda bits: "".join(rng.choice(bits) for _ in range(rng.choice([1, 2, 3])))
+    text = lambda bits: " ".join(word(bits) for _ in range(rng.choice([30, 100])))
+    langs = [rng.choice(list(parts)) for _ in range(600)]
+    rows = [(i, text(parts[k]), k) for i, k in enumerate(langs)]
+    rows += [(1000 + i, text(strange["fi" if i % 2 else "hu"]), None) for i in range(40)]
+    rows += [(2000 + i, "".join(rng.sample(t := text(parts["en"]), len(t))), None) for i in range(20)]
+    rows += [(3000, "すべての人間は、生まれながらにして自由であり", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.predict_language(docs).collect()}
+    assert all(got[i].rejected for i in got if i >= 1000)
+    assert sum(got[i].rejected for i in range(600)) <= 3
+    assert all(got[i].lang_pred == langs[i] for i in range(600) if not got[i].rejected)
+
+
+def test_rows_that_repeat_one_doc_id_do_not_widen_the_training_sample(spark):
+    one = next(i for i in range(100) if spark.range(i, i + 1).select(langid.fold_of_training(F.col("id"))).first()[0])
+    rows = [(one, f"texto {i}", "es") for i in range(3000)] + [(one, "igual", "es")] * 3000 + [(i, f"otro {i}", "es") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    chosen = langid.sample(docs, 200).collect()
+    assert 120 < len(chosen) < 300 and len(set(chosen)) == len(chosen)
+    assert len({r.doc_id for r in chosen}) > 40
+
+
+def nearest(p, n, goal):
+    """The smallest distance of the goal from totals that some rates of 0 or more give: three documents are enough."""
+    columns, best = (p * n[:, None]).T, np.inf
+    for size in (1, 2, 3):
+        for chosen in combinations(range(len(n)), size):
+            rate = np.linalg.lstsq(columns[:, chosen], goal, rcond=None)[0]
+            if (rate >= 0).all():
+                best = min(best, np.linalg.norm(columns[:, chosen] @ rate - goal))
+    return best
+
+
+def test_rates_come_as_near_to_targets_as_rates_can(spark):
+    rng = np.random.default_rng(5)
+    p, n = rng.dirichlet([1, 1, 1], 40), rng.integers(1, 400, 40)
+    members = spark.createDataFrame([(int(a), [float(x) for x in row]) for a, row in zip(n, p, strict=True)], "n_tokens long, p array<double>").coalesce(1)
+    for shares in ((0.1, 0.1, 0.8), (0.02, 0.96, 0.02), (0.001, 0.001, 0.998)):
+        out, _ = mixing.fit_rates(members, dict(zip(mixing.DOMAINS, shares, strict=True)))
+        rows = out.collect()
+        sums, goal = np.sum([np.array(r.p) * r.n_tokens * r.rate for r in rows], axis=0), np.array(shares) * n.sum()
+        assert all(r.rate >= 0 for r in rows)
+        assert np.linalg.norm(sums - goal) <= nearest(p, n.astype(float), goal) + 2e-4 * n.sum(), shares
+
+
+def test_rows_that_repeat_one_document_fill_many_windows(spark, monkeypatch):
+    rows = [(7, "igual")] * 400 + [(i, f"texto {i}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    windows = []
+    save = sharding.save
+    monkeypatch.setattr(sharding, "save", lambda df, name: windows.append(save(df, name)) or windows[-1])
+    got = sharding.shard_documents(docs).collect()
+    counts, slots = {}, set()
+    for r in got:
+        counts[r.shard] = counts.get(r.shard, 0) + 1
+        slots.add((r.shard, r.slot))
+    assert len(got) == 1200 and set(counts.values()) == {75} and len(slots) == 1200
+    dealt = next(t for t in windows if "window" in t.columns and "row" in t.columns)
+    same = [r["n"] for r in dealt.where("doc_id = 7").groupBy("shard", "window").agg(F.count("*").alias("n")).collect()]
+    assert len(same) >= 8 and max(same) < 400 / 4
