@@ -46,19 +46,25 @@ def line_sets(raw: np.ndarray, at: np.ndarray, counts: np.ndarray | None = None)
     """(line, word) of all lines' distinct words, by line, rarity and word, and the offsets of each row's lines."""
     lines, of_row = line_offsets(raw, at)
     word, _, _, first = W.words(raw, lines)
-    line = np.repeat(np.arange(len(lines) - 1), np.diff(first))
-    rank = np.zeros(len(word), np.uint64) if counts is None else counts[(word >> _U(64 - BUCKET_BITS)).astype(np.int64)]
-    key = (line.astype(np.uint64) << _U(42)) | (rank << _U(20)) | (word >> _U(44))
-    order = np.argsort(key)
-    near, full = key[order], word[order]
-    same = near[1:] == near[:-1]
-    if (same & (full[1:] != full[:-1])).any() or len(lines) > 1 << 22:  # words that the short key can't tell apart
+    rank = np.zeros(len(word), np.uint64) if counts is None else counts[(word >> _U(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
+    if len(lines) > 1 << 22:
+        line = np.repeat(np.arange(len(lines) - 1), np.diff(first))
         order = np.lexsort((word, rank, line))
-        full = word[order]
-        row = line[order]
-        same = (row[1:] == row[:-1]) & (full[1:] == full[:-1])
-    keep = np.concatenate([[True], ~same])[: len(order)]
-    return line[order][keep], full[keep], of_row
+        line, word = line[order], word[order]
+        keep = np.concatenate([[True], (line[1:] != line[:-1]) | (word[1:] != word[:-1])])[: len(word)]
+        return line[keep], word[keep], of_row
+    key = np.repeat(np.arange(len(lines) - 1, dtype=np.uint64) << _U(42), np.diff(first))
+    key |= (rank << _U(20)) | (word >> _U(44))
+    order = np.argsort(key)
+    key, word = key[order], word[order]
+    same = key[1:] == key[:-1]
+    mixed = np.flatnonzero(same & (word[1:] != word[:-1]))
+    if len(mixed):  # different words of a line that share a key: such runs are put in order by whole words
+        run = np.flatnonzero(np.isin(key, key[mixed]))
+        word[run] = word[run][np.lexsort((word[run], key[run]))]
+        same &= word[1:] == word[:-1]
+    keep = np.concatenate([[True], ~same])[: len(word)]
+    return (key[keep] >> _U(42)).astype(np.int64), word[keep], of_row
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +129,7 @@ def _tokens(word: np.ndarray, size: np.ndarray, wanted: np.ndarray, counts: np.n
     """How many words each of the ``wanted`` sets posts, and their tokens; words are by set and rarity."""
     prefix = np.where(wanted & (size > 0), size - -(-percent * size // 100) + 1, 0)
     rare = word[np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size) < np.repeat(prefix, size)]
-    return prefix, ((counts[(rare >> _U(64 - BUCKET_BITS)).astype(np.int64)] << _U(TOKEN_BITS)) | (rare >> _U(64 - TOKEN_BITS))).view(np.int64)
+    return prefix, ((counts[(rare >> _U(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64) << _U(TOKEN_BITS)) | (rare >> _U(64 - TOKEN_BITS))).view(np.int64)
 
 
 def _list_array(size: np.ndarray, flat: np.ndarray, **more: pa.Array) -> pa.ListArray:
@@ -141,10 +147,9 @@ def _occurrences(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.Reco
                 parity = _parity(line, word, lines)
                 cid = _names(line, word, lines)
                 fresh = np.zeros(lines, bool)  # a batch gives a set's prefix once
-                for i in np.unique(cid, return_index=True)[1]:
-                    if cid[i] not in known:
-                        known.add(int(cid[i]))
-                        fresh[i] = True
+                names, at_first = (x.tolist() for x in np.unique(cid, return_index=True))
+                fresh[[i for i, name in zip(at_first, names, strict=True) if name not in known]] = True
+                known.update(names)
                 prefix, token = _tokens(word, size, fresh, counts, percent)
                 row = np.repeat(np.arange(part.num_rows), np.diff(of_row))
                 number = np.arange(lines) - of_row[row]
@@ -205,7 +210,7 @@ def _sets_of(counts: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBa
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches that are sorted by their first two columns, cut anew so that a list lies within one table, and sorted by n in it."""
+    """Batches that are sorted by their first two columns, cut anew so that a list lies within one table, and sorted by n in it. Lists of one row are left out."""
     kept: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -216,11 +221,13 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         cut = int(change[-1]) + 1 if len(change) else 0
         if cut or fresh:
             done = [*kept, batch.slice(0, cut)] if cut else kept
-            yield _by_size(pa.Table.from_batches(done).combine_chunks())
+            lists = _by_size(pa.Table.from_batches(done).combine_chunks())
+            if lists.num_rows:
+                yield lists
             kept = []
         kept.append(batch.slice(cut))
-    if kept:
-        yield _by_size(pa.Table.from_batches(kept).combine_chunks())
+    if kept and (lists := _by_size(pa.Table.from_batches(kept).combine_chunks())).num_rows:
+        yield lists
 
 
 def _list_of(table: pa.Table) -> np.ndarray:
@@ -229,7 +236,11 @@ def _list_of(table: pa.Table) -> np.ndarray:
 
 
 def _by_size(table: pa.Table) -> pa.Table:
-    return table.take(pa.array(np.argsort((_list_of(table) << 32) | table.column("n").to_numpy())))
+    """The lists of two rows or more, each by n."""
+    of, n = _list_of(table), table.column("n").to_numpy()
+    near = of[1:] == of[:-1]
+    many = np.flatnonzero(np.append(near, False) | np.append(False, near))
+    return table.take(pa.array(many[np.argsort((of[many] << 32) | n[many])]))
 
 
 def _meetings(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -380,6 +391,7 @@ def _posted(classes: DataFrame) -> DataFrame:
     """
     posting = classes.select(F.posexplode("prefix").alias("at", "token"), "id", "n", "parity", F.col("prefix").alias("all"))
     posting = posting.withColumn("prior", F.coalesce(F.when(F.col("at") > 0, F.get("all", F.col("at") - 1)), F.lit(-1))).drop("all")
+    posting = posting.where(F.shiftright("token", TOKEN_BITS) > 1)  # a word that occurs once is in one set
     # a list is no longer than its word's count, which the token begins with
     busy = save(posting.where(F.shiftright("token", TOKEN_BITS) > LIST_SETS).groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LIST_SETS).select("token", F.ceil(F.col("size") / LIST_SETS).cast("int").alias("parts")), "busy")
     whole = F.struct(F.lit(0).alias("cell"), F.lit(-1).alias("side"))
@@ -404,7 +416,7 @@ def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFr
     percent / 100 or more, for classes with any, and whether one of them has an earlier first place.
     """
     repeats = not text.groupBy("doc_id").count().where("count > 1").isEmpty()
-    counts = np.minimum(word_counts(text), 2**22 - 1).astype(np.uint64)
+    counts = np.minimum(word_counts(text), 2**22 - 1).astype(np.uint32)
     full = save(text.mapInArrow(_occurrences(counts, percent), "doc_id long, line_no int, cid long, n int, parity long, prefix array<long>"), "lines")
     classes = full.groupBy("cid").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), *(F.first(c, ignorenulls=True).alias(c) for c in ("n", "parity", "prefix")))
     classes = save(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
