@@ -41,6 +41,8 @@ _NAMES = re.compile(r"[A-Za-z0-9-]+(?:(?:\s?[(\[{<]\s?(?:dot|DOT|punto|\.)\s?[)\
 _WORD = re.compile(r"[^\W\d_]+")
 #: Digits that make two numbers similar, the most of a mention, and the characters between neighbouring nodes at most.
 SUFFIX, MOST_DIGITS, NEAR = 8, 19, 40
+#: Characters of an address before and behind its mark at most, as mail allows: what is longer is no mention at all.
+MOST_LOCAL, MOST_NAMES = 64, 255
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -165,17 +167,19 @@ class Nodes:
         out, done = [], 0
         for m in _AT.finditer(self.text):
             begin = m.start()
-            while begin > max(done, m.start() - 64) and _BEFORE_AT.match(self.text[begin - 1]):
+            while begin > done and _BEFORE_AT.match(self.text[begin - 1]):  # ends at the mark before at the latest
                 begin -= 1
-            names = _NAMES.match(self.text, m.end(), m.end() + 256)
-            if begin < m.start() and names and self._free(begin, names.end()):
+            names = _NAMES.match(self.text, m.end())
+            if not names or names.end() - names.start() > MOST_NAMES:
+                continue
+            if 0 < m.start() - begin <= MOST_LOCAL and self._free(begin, names.end()):
                 out.append((begin, names.end(), -1, _address_key(self.text[begin : m.start()], names[0])))
                 done = names.end()
         return out
 
     def _features(self, a: int, b: int) -> list[float]:
         """Shape and the words before, but not the print that makes a pattern match: other prints are to be judged by the same weights."""
-        text = self.text[a:b] if b - a <= 400 else self.text[a : a + 400]
+        text = self.text[a:b]
         parts = _DIGITS.findall(text)
         n, address = sum(map(len, parts)), bool(_AT.search(text))
         x = [
@@ -197,7 +201,6 @@ class Field:
 
     def marginals(self, nodes: Nodes, rounds: int = 500, damping: float = 0.3) -> np.ndarray:
         """Beliefs of all nodes. Messages stop when none moves by 1e-4 any more (damped, so that loops settle), or after ``rounds``."""
-        n = len(nodes.start)
         unary = _log_softmax(nodes.features @ self.weights).astype(float)
         clamped = np.flatnonzero(nodes.known >= 0)
         unary[clamped] = -30.0
@@ -205,33 +208,41 @@ class Field:
         # the hub of a key is a node of its own, where what its members say about each other meets: where pattern spans
         # have the key, their labels are the hub's evidence, so that no number of unsure mentions outvotes them
         member = np.flatnonzero(nodes.hub >= 0)
-        hubs = int(nodes.hub.max(initial=-1)) + 1
-        seen = np.zeros((hubs, LABELS))
+        member = member[np.argsort(nodes.hub[member], kind="stable")]
+        of = nodes.hub[member]
+        begin = np.flatnonzero(np.diff(of, prepend=-1))
+        seen = np.zeros((len(begin), LABELS))
         told = clamped[nodes.hub[clamped] >= 0]
         np.add.at(seen, (nodes.hub[told], nodes.known[told]), 1)
         told_hub = seen.any(axis=1)[:, None]
         seen = np.where(told_hub, np.log(np.maximum(seen, 1e-13) / np.maximum(seen.sum(axis=1, keepdims=True), 1)), 0.0)
-        belief_of = np.concatenate([unary, seen])
-        a = np.concatenate([nodes.chain, member])
-        b = np.concatenate([nodes.chain + 1, n + nodes.hub[member]])
-        if not len(a):
-            return np.exp(_log_softmax(unary))
-        potential = np.concatenate([np.repeat(self.chain[None], len(nodes.chain), 0), np.repeat(self.skip[None], len(member), 0)])
-        ahead, back = np.zeros((len(a), LABELS)), np.zeros((len(a), LABELS))
-        for _ in range(rounds):
-            belief = belief_of.copy()
-            np.add.at(belief, b, ahead)
-            np.add.at(belief, a, back)
-            new_ahead = _log_softmax(_log_sum(potential + (belief[a] - back)[:, :, None], 1))
-            new_back = _log_softmax(_log_sum(potential + (belief[b] - ahead)[:, None, :], 2))
-            moved = max(np.abs(new_ahead - ahead).max(), np.abs(new_back - back).max())
-            ahead, back = damping * ahead + (1 - damping) * new_ahead, damping * back + (1 - damping) * new_back
+        left, right = nodes.chain, nodes.chain + 1
+        chain, skip = np.exp(self.chain), np.exp(self.skip)
+        onward, backward = np.zeros((len(left), LABELS)), np.zeros((len(left), LABELS))
+        up, down = np.zeros((len(member), LABELS)), np.zeros((len(member), LABELS))
+
+        def believed() -> np.ndarray:
+            out = unary.copy()
+            out[left] += backward
+            out[right] += onward
+            out[member] += down
+            return out
+
+        for _ in range(rounds if len(left) or len(member) else 0):
+            belief = believed()
+            hub = seen + np.add.reduceat(up, begin) if len(begin) else seen
+            fresh = _sent(belief[left] - backward, chain), _sent(belief[right] - onward, chain.T), _sent(belief[member] - down, skip), _sent(hub[of] - up, skip.T)
+            moved = max(np.abs(new - old).max(initial=0) for new, old in zip(fresh, (onward, backward, up, down), strict=True))
+            onward, backward, up, down = (damping * old + (1 - damping) * new for new, old in zip(fresh, (onward, backward, up, down), strict=True))
             if moved < 1e-4:
                 break
-        belief = belief_of.copy()
-        np.add.at(belief, b, ahead)
-        np.add.at(belief, a, back)
-        return np.exp(_log_softmax(belief[:n]))
+        return np.exp(_log_softmax(believed()))
+
+
+def _sent(known: np.ndarray, potential: np.ndarray) -> np.ndarray:
+    """The log messages that nodes of such log beliefs send through a potential."""
+    out = np.einsum("ns,st->nt", np.exp(known - known.max(axis=1, keepdims=True)), potential)  # too small for threads of a matrix product
+    return np.log(out / out.sum(axis=1, keepdims=True))
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -332,12 +343,12 @@ def _fit(rows: pa.Table) -> pa.Table:
 def learn(text: DataFrame, fit_docs: int = FIT_DOCS) -> Field | None:
     """The field of a sample of ``text(doc_id, text)``: examples are made where the rows are, one task fits, the driver gets the potentials."""
     some = text.where(F.col("text").rlike("[0-9@]"))
-    total = some.count()
+    row_hash = F.xxhash64("doc_id", "text")
+    total = some.agg(F.approx_count_distinct(row_hash, 0.01)).first()[0]
     if total > fit_docs:
-        some = some.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) < int(fit_docs / total * 2**30))
-    # rows that repeat share their hash: one of each is enough, and keeps the sample's bound
-    some = some.dropDuplicates(["doc_id", "text"]) if total > fit_docs else some
-    made = some.mapInArrow(_examples, "doc_id long, kinds binary, n binary, chain binary, skip binary")
+        some = some.where(F.pmod(row_hash, F.lit(2**30)) < int(fit_docs / total * 2**30))
+    # rows that repeat share their hash: they count once in the number of rows and in the sample, at every size
+    made = some.dropDuplicates(["doc_id", "text"]).mapInArrow(_examples, "doc_id long, kinds binary, n binary, chain binary, skip binary")
     row = made.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit, "weights binary, chain binary, skip binary").first()
     if row is None:
         return None
@@ -372,7 +383,9 @@ def personal_data(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
 
     The counts and the digest are of the pattern spans; spans holds those and the field's (n_added of them), as
     kind:start:end by kind and start, in code points, end exclusive. Added spans don't overlap pattern spans. Null and
-    empty texts have none. Repeated rows give one result each, and null doc_ids stay null; other columns play no part.
+    empty texts have none. A mention of more than MOST_DIGITS digits, or of more than MOST_LOCAL characters before an
+    address's mark or MOST_NAMES behind it, isn't added. Messages of a document that don't settle end after 500 rounds.
+    Repeated rows give one result each and count once in learning, and null doc_ids stay null; other columns play no part.
     Without a document that holds a digit or an ``@`` there is nothing to learn from, and nothing is added. An empty
     table gives an empty result. The field is learnt from about ``fit_docs`` documents by a hash of the row (all, if
     there are no more).

@@ -2,12 +2,13 @@
 languages, targets out of reach, one document on a third of the rows."""
 
 import random
+import time
 from itertools import combinations
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from patrimonia.llm import langid, mixing, sharding
+from patrimonia.llm import langid, mixing, pii, sharding
 from patrimonia.llm.decontaminate import contaminated
 from patrimonia.llm.maxscore import top_k
 
@@ -100,3 +101,69 @@ def test_rows_that_repeat_one_document_fill_many_windows(spark, monkeypatch):
     dealt = next(t for t in windows if "window" in t.columns and "row" in t.columns)
     same = [r["n"] for r in dealt.where("doc_id = 7").groupBy("shard", "window").agg(F.count("*").alias("n")).collect()]
     assert len(same) >= 8 and max(same) < 400 / 4
+
+
+def _cards(rng, n):
+    """Texts with a number and an address in two prints, and others in one."""
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    return [f"call +34{(p := digits(9))} or {p}, write u{(k := digits(3))}@mail.org or u{k} (at) mail (dot) org, ref {digits(7)} tel {digits(9)}" for _ in range(n)]
+
+
+def test_a_megabyte_of_numbers_takes_seconds_and_keeps_its_spans():
+    rng = random.Random(4)
+    field = pii.train(_cards(rng, 50))
+    numbers = ["6" + "".join(rng.choice("0123456789") for _ in range(8)) for _ in range(50_000)]
+    text = "\n".join(f"+34{n}" for n in numbers[:1000]) + "\n" + "\n".join(numbers) + "\n" + "\n".join(numbers[::-1])
+    assert len(text) > 1_000_000
+    base, start = pii.base_spans(text), time.process_time()
+    added = pii.added_spans(text, base, field)
+    assert time.process_time() - start < 20
+    assert len(base) == 1000 and all(not (a < y and x < b) for (_, a, b), (_, x, y) in zip(added, base))
+    shown = {text[a:b] for _, a, b in added}
+    assert set(numbers[:1000]) <= shown
+
+
+def test_messages_equal_those_summed_edge_by_edge():
+    rng = random.Random(6)
+    field = pii.train(_cards(rng, 50))
+    for text in [*(" ".join(_cards(rng, k)) for k in (1, 2, 4) * 5), "", "a@b.co", "12345678"]:
+        nodes = pii.Nodes(text, pii.base_spans(text))
+        got, n = field.marginals(nodes), len(nodes.start)
+        unary = np.exp(nodes.features @ field.weights.astype(float))
+        unary /= unary.sum(axis=1, keepdims=True)
+        for i, known in enumerate(nodes.known):
+            if known >= 0:
+                unary[i] = np.exp(-30.0)
+                unary[i, known] = 1
+        hubs = [np.ones(pii.LABELS) for _ in range(nodes.hub.max(initial=-1) + 1)]
+        for h in range(len(hubs)):
+            told = nodes.known[(nodes.hub == h) & (nodes.known >= 0)]
+            if len(told):
+                hubs[h] = np.maximum(np.bincount(told, minlength=pii.LABELS), 1e-13) / len(told)
+        local = [*unary, *hubs]
+        edges = [(i, i + 1, np.exp(field.chain)) for i in nodes.chain] + [(i, n + h, np.exp(field.skip)) for i, h in enumerate(nodes.hub) if h >= 0]
+        sent = {(a, b): np.full(pii.LABELS, 1 / pii.LABELS) for x, y, _ in edges for a, b in ((x, y), (y, x))}
+        at = lambda i, but=None: local[i] * np.prod([m for (a, b), m in sent.items() if b == i and a != but] or [np.ones(pii.LABELS)], axis=0)  # noqa: B023, E731
+        for _ in range(60):
+            new = {(x, y): at(x, y) @ p for x, y, p in edges} | {(y, x): p @ at(y, x) for x, y, p in edges}
+            sent = {k: m / m.sum() for k, m in new.items()}
+        for i in range(n):
+            assert np.allclose(got[i], at(i) / at(i).sum(), atol=2e-3), text
+
+
+def test_addresses_longer_than_mail_allows_are_no_mentions():
+    field = pii.train(_cards(random.Random(4), 50))
+    for local, names in (("a" * 65, "mail (dot) org"), ("ana", "m" * 256 + " (dot) org"), ("a" * 300_000, "mail (dot) org")):
+        nodes = pii.Nodes(f"{local} (at) {names} y {local} (at) {names}", [])
+        assert not len(nodes.start)
+    text = f"{'a' * 64} (at) mail (dot) org"
+    nodes = pii.Nodes(text, [])
+    assert list(zip(nodes.start, nodes.end)) == [(0, len(text))]
+    assert field is not None
+
+
+def test_repeated_rows_count_once_in_the_field(spark):
+    rows = list(enumerate(_cards(random.Random(8), 40)))
+    fields = [pii.learn(spark.createDataFrame(r, "doc_id long, text string").repartition(3)) for r in (rows, rows + rows, rows + rows[:1] * 50)]
+    for f in fields[1:]:
+        assert np.array_equal(f.weights, fields[0].weights) and np.allclose(f.chain, fields[0].chain) and np.allclose(f.skip, fields[0].skip)
