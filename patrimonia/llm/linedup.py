@@ -394,16 +394,21 @@ def _posted(classes: DataFrame) -> DataFrame:
     posting = posting.where(F.shiftright("token", TOKEN_BITS) > 1)  # a word that occurs once is in one set
     # a list is no longer than its word's count, which the token begins with
     busy = save(posting.where(F.shiftright("token", TOKEN_BITS) > LIST_SETS).groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LIST_SETS).select("token", F.ceil(F.col("size") / LIST_SETS).cast("int").alias("parts")), "busy")
+    return in_lists(posting, busy)
+
+
+def in_lists(rows: DataFrame, busy: DataFrame) -> DataFrame:
+    """``rows(token, id, ...)`` with cell and side, sorted by list; lists that ``busy(token, parts)`` names come in parts."""
     whole = F.struct(F.lit(0).alias("cell"), F.lit(-1).alias("side"))
     whole_lists = busy.isEmpty()
     if whole_lists:
-        dealt = posting.withColumn("to", whole)
+        dealt = rows.withColumn("to", whole)
     else:
         own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
         cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(x.alias("x"), own.alias("own")))
         cells = F.transform(cells, lambda c: F.struct((F.least(c["x"], c["own"]) * F.col("parts") + F.greatest(c["x"], c["own"])).alias("cell"), F.when(c["x"] == c["own"], -1).otherwise((c["own"] > c["x"]).cast("int")).alias("side")))
-        dealt = posting.join(busy, "token", "left").withColumn("to", F.explode(F.when(F.col("parts").isNull(), F.array(whole)).otherwise(cells)))
-    dealt = dealt.select("token", "to.cell", "to.side", "id", "n", "parity", "at", "prior").repartition("token", "cell")
+        dealt = rows.join(busy, "token", "left").withColumn("to", F.explode(F.when(F.col("parts").isNull(), F.array(whole)).otherwise(cells)))
+    dealt = dealt.select("token", "to.cell", "to.side", *(c for c in rows.columns if c != "token")).repartition("token", "cell")
     # without parts a token is a list, and one number sorts faster than two
     return dealt.sortWithinPartitions("token") if whole_lists else dealt.sortWithinPartitions("token", "cell")
 
@@ -435,9 +440,9 @@ def similar_lines(text: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFr
         )
         sets = save(sets.dropDuplicates(["id"]) if repeats else sets, "sets")
     drop(lines)
-    in_lists = lambda rows, *more: rows.join(sets, "id").select(*_POSTING, "n", "parity", *more).repartition("token", "cell").sortWithinPartitions("token", "cell")
-    sure = save(in_lists(active, "prefix", "sketch").mapInArrow(_sure(percent), "token long, cell int, side int, id long"), "sure")
-    fates = in_lists(sure, "doc_id", "line_no", "prefix", "words").mapInArrow(_fates(percent), "id long, n_links long, later boolean").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later"))
+    listed = lambda rows, *more: rows.join(sets, "id").select(*_POSTING, "n", "parity", *more).repartition("token", "cell").sortWithinPartitions("token", "cell")
+    sure = save(listed(active, "prefix", "sketch").mapInArrow(_sure(percent), "token long, cell int, side int, id long"), "sure")
+    fates = listed(sure, "doc_id", "line_no", "prefix", "words").mapInArrow(_fates(percent), "id long, n_links long, later boolean").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.bool_or("later").alias("later"))
     fates = save(places.join(fates, "id").select("cid", "n_links", "later"), "fates")
     for table in (active, sets, sure):
         drop(table)

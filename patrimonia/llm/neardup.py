@@ -7,8 +7,9 @@ round, so a document stops as soon as all its slots are filled; the rounds run f
 
 A node is a set of shingles, however many documents hold it. Candidates: nodes that agree on a band of slots. A
 bucket's members are compared with its head, the member that agrees with most nodes on most bands, and not with
-each other. Members that stay outside the head's component are then compared with the rest of the bucket. Bitmaps
-rule most candidates out, and only texts of those that remain are fetched and compared in full.
+each other. Members that stay outside the head's component are then compared with the rest of the bucket, inside its
+tasks: no row stands for a pair, and what joins components already isn't compared again. Bitmaps rule most candidates
+out, and only texts of those that remain are fetched and compared in full.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patrimonia.llm import linedup as L
 from patrimonia.llm import words as W
 from patrimonia.llm.components import components
 from patrimonia.llm.store import drop, pruning, save
@@ -30,6 +32,10 @@ LOSS = 1e-7
 #: Slots that the slot bits are taken of.
 BIT_SLOTS = 128
 BITS = [f"bits{i}" for i in range(8)]
+#: Nodes of a bucket that one part of it takes, and pairs that are looked at at once.
+LIST_NODES, STEP_PAIRS = 4_096, 1 << 19
+_ROW = ["token", "cell", "side", "id", "comp", "out"]
+_ROW_FORM = "token long, cell int, side int, id long, comp long, out boolean"
 _U = np.uint64
 
 
@@ -162,20 +168,138 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, text: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The links among ``pairs(a, b)``, on the full sets of one text for each node."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _texts(nodes: DataFrame, text: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, text): one text of each of ``nodes(node)``, which are distinct."""
     wanted = save(classes.join(nodes, "node").select("node", "n", "rep.doc_id", "rep.h"), "wanted")
     with pruning(text.sparkSession):
         texts = save(text.where("text is not null").join(wanted.where("n > 0"), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("node", "text"), "texts")
+    drop(wanted)
+    return texts
+
+
+def _confirmed(pairs: DataFrame, text: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The links among ``pairs(a, b)``, on the full sets of one text for each node."""
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), text, classes)
     a = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
     both = a.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
     links = save(both.mapInArrow(_verify(shingle, percent), "a long, b long"), "links")
     drop(texts)
-    drop(wanted)
     return links
 
 
+def _across(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one list (by n) in different components, the first of them out, that lengths allow; of two parts of a list, pairs across them."""
+    side, comp, n, out = (table.column(c).to_numpy() for c in ("side", "comp", "n", "out"))
+    of = L._list_of(table) << 32
+    place, i = of | n, np.flatnonzero(out)
+    lo = np.searchsorted(place, of[i] | -(-percent * n[i] // 100))
+    hi = np.searchsorted(place, of[i] | 100 * n[i] // percent, "right")
+    step = np.cumsum(hi - lo) // STEP_PAIRS
+    for some in np.split(np.arange(len(i)), np.flatnonzero(step[1:] != step[:-1]) + 1):
+        pair, b = L._each(lo[some], (hi - lo)[some])
+        a = i[some][pair]
+        fit = (comp[a] != comp[b]) & (~out[b] | (a < b)) & ((side[a] < 0) | (side[a] != side[b]))
+        yield a[fit], b[fit]
+
+
+def _distinct_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    _, row, of = np.unique(table.column("id").to_numpy(), return_index=True, return_inverse=True)
+    return row, of
+
+
+def _possible(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows of lists where sizes and bitmaps allow a link across components."""
+    most = most_bits(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in L._lists(batches):
+            bits = np.stack([table.column(c).to_numpy().view(np.uint64) for c in BITS], axis=1)
+            n, hit = table.column("n").to_numpy(), np.zeros(table.num_rows, bool)
+            for a, b in _across(table, percent):
+                differ = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64)
+                fit = (differ[:, :4].sum(axis=1) <= most) & (differ[:, 4:].sum(axis=1) * (100 + percent) <= (n[a] + n[b]) * (100 - percent))
+                hit[a[fit]] = hit[b[fit]] = True
+            yield from table.select(_ROW).take(pa.array(np.flatnonzero(hit))).to_batches()
+
+    return run
+
+
+def _whole_sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id, n, sketch, shingles) of ``(node, text)``: the set and a parity bitmap that grows with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raw, at in W.chunks(batch):
+                word, _, _, first = W.words(raw, at)
+                row, value = W.distinct(*W.shingles(word, first, shingle))
+                size = np.bincount(row, minlength=part.num_rows)
+                sketch, pieces = L._sketches(value, size)
+                yield pa.record_batch(
+                    [part.column(0), pa.array(size.astype(np.int64)), L._list_array(pieces, sketch.view(np.int64)), L._list_array(size, value.view(np.int64))],
+                    ["id", "n", "sketch", "shingles"],
+                )
+
+    return run
+
+
+def _likely(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows of lists where whole bitmaps allow a link across components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in L._lists(batches):
+            row, of = _distinct_ids(table)
+            sketches, n, hit = L._Sketches(table, row), table.column("n").to_numpy(), np.zeros(table.num_rows, bool)
+            for some in _across(table, percent):
+                for a, b in L._steps(*some, n):
+                    fit = sketches.apart(of[a], of[b]) * (100 + percent) <= (n[a] + n[b]) * (100 - percent)
+                    hit[a[fit]] = hit[b[fit]] = True
+            yield from table.select(_ROW).take(pa.array(np.flatnonzero(hit))).to_batches()
+
+    return run
+
+
+def _tied(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(a, b): links that tie the components of a task's lists together, on full sets; no more of them than components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in L._lists(batches):
+            row, of = _distinct_ids(table)
+            sketches, sets = L._Sketches(table, row), L._Held(table, "shingles", row)
+            node, n = table.column("id").to_numpy(), table.column("n").to_numpy()
+            _, root = np.unique(table.column("comp").to_numpy(), return_inverse=True)
+            links = []
+            for some in _across(table, percent):
+                for a, b in L._steps(*some, n):
+                    fit = (root[a] != root[b]) & (sketches.apart(of[a], of[b]) * (100 + percent) <= (n[a] + n[b]) * (100 - percent))
+                    a, b = a[fit], b[fit]
+                    shared = sets.shared(of[a], of[b])
+                    fit = 100 * shared >= percent * (n[a] + n[b] - shared)
+                    for x, y in zip(a[fit], b[fit], strict=True):
+                        if root[x] != root[y]:
+                            root[root == root[y]] = root[x]
+                            links.append((int(node[x]), int(node[y])))
+            yield pa.record_batch([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def _ties(rest: DataFrame, text: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) across components in the buckets ``rest(token, id, comp, out)``: of those that are out with all others."""
+    busy = rest.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LIST_NODES)
+    busy = save(busy.select("token", F.ceil(F.col("size") / LIST_NODES).cast("int").alias("parts")), "busy")
+    shape = classes.select(F.col("node").alias("id"), "n", *BITS)
+    possible = save(L.in_lists(rest.join(shape, "id").select("token", *_ROW[3:], "n", *BITS), busy).mapInArrow(_possible(percent), _ROW_FORM), "possible")
+    texts = _texts(possible.select(F.col("id").alias("node")).distinct(), text, classes)
+    sets = save(texts.mapInArrow(_whole_sets(shingle), "id long, n long, sketch array<long>, shingles array<long>"), "sets")
+    drop(texts)
+    listed = lambda rows, *more: rows.join(sets, "id").select(*_ROW, "n", "sketch", *more).repartition("token", "cell").sortWithinPartitions("token", "cell")
+    likely = save(listed(possible).mapInArrow(_likely(percent), _ROW_FORM), "likely")
+    ties = save(listed(likely, "shingles").mapInArrow(_tied(percent), "a long, b long"), "ties")
+    for table in (busy, possible, sets, likely):
+        drop(table)
+    return ties
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs(doc_id, text)``; other columns play no part.
 
@@ -219,18 +343,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5) -> Dat
     drop(member)
     drop(heads)
     open_ = placed.where("out").select("key").distinct()
-    rest = placed.join(open_, "key", "left_semi")
-    shape = classes.select(F.col("node").alias("a"), "n", *BITS)
-    rest = save(rest.join(shape, "a"), "rest")
+    rest = save(placed.join(open_, "key", "left_semi").select(F.col("key").alias("token"), F.col("a").alias("id"), "comp", "out"), "rest")
     drop(placed)
-    left = rest.where("out").select("key", *(F.col(c).alias(f"{c}_b" if c != "a" else "b") for c in ("a", "comp", "n", *BITS)))
-    slots, parity = (" + ".join(f"bit_count({x} ^ {x}_b)" for x in part) for part in (BITS[:4], BITS[4:]))
-    more = rest.join(left, "key").where("comp <> comp_b").where(f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)")
-    more = more.where(f"{slots} <= {most_bits(percent)}").where(f"({parity}) * {100 + percent} <= (n + n_b) * {100 - percent}")
-    more = save(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    links = links.union(_ties(rest, text, classes, shingle, percent))
     drop(rest)
-    links = links.union(_confirmed(more, text, classes, shingle, percent))
-    drop(more)
     # rows that share a doc_id tie their sets together
     one = full.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b <> last").select("doc_id", "b")
     links = links.union(full.select("doc_id", F.col("node").alias("a")).join(one, "doc_id").select("a", "b"))

@@ -20,6 +20,58 @@ def mixed(rng, kind, n):
     return " ".join(rng.choice({"good": "libro casa cielo a b c", "toxic": "maldito bobo a b"}[kind].split()) for _ in range(n))
 
 
+def edited(rng, words, k):
+    spots = set(rng.sample(range(len(words)), k))
+    return [w if i not in spots else f"e{rng.randrange(10**9)}" for i, w in enumerate(words)]
+
+
+def components_of(rows):
+    """The smallest id that links of similarity 0.8 reach from each."""
+    sets = {i: frozenset(tuple(w[k : k + 5]) for w in [t.split()] for k in range(len(w) - 4)) for i, t in rows}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {i: new if r == old else r for i, r in root.items()}
+    return root
+
+
+def test_near_copies_just_unlike_make_no_rows_of_pairs(spark, monkeypatch):
+    """A crowd of edits of one text, most of them a little less alike than is asked for: tables grow with the texts, not with their pairs."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(400)]
+    rows = [(i, " ".join(edited(rng, base, rng.choice([5, 6, 6])))) for i in range(300)]
+    written, save = {}, neardup.save
+    monkeypatch.setattr(neardup, "save", lambda df, name: written.setdefault(name, []).append(save(df, name)) or written[name][-1])
+    monkeypatch.setattr(neardup, "drop", lambda table: None)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(documents(spark, rows), percent=80).collect()}
+    assert got == components_of(rows) and len(set(got.values())) > 20
+    # a text meets the head of each of its bands
+    assert [t.count() for name in ("pairs", "links", "ties") for t in written.get(name, []) if t.count() > neardup.layout(80)[0] * len(rows)] == []
+
+
+def test_ties_of_a_bucket(spark, monkeypatch):
+    """All members of a bucket, each a component of its own: the links found tie together what brute force does, in parts of the bucket too."""
+    rng = random.Random(13)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(i, " ".join(edited(rng, base, rng.choice([1, 3, 5])))) for i in range(120)]
+    text = documents(spark, rows).select("doc_id", "text", F.xxhash64("text").alias("h"))
+    form = "doc_id long, h long, n long, node long, bands array<long>, " + ", ".join(f"{x} long" for x in neardup.BITS)
+    classes = text.mapInArrow(neardup._sketches(5, *neardup.layout(80)), form).withColumn("rep", F.struct("doc_id", "h")).cache()
+    node = {r.node: r.doc_id for r in classes.collect()}
+    for part in (25, 4096):
+        monkeypatch.setattr(neardup, "LIST_NODES", part)
+        for out in (F.lit(True), F.col("doc_id") > 0):
+            rest = classes.select(F.lit(5).cast("long").alias("token"), F.col("node").alias("id"), F.col("node").alias("comp"), out.alias("out"))
+            root = {i: i for i, _ in rows}
+            ties = neardup._ties(rest, text, classes, 5, 80).collect()
+            for a, b in ties:
+                old, new = sorted((root[node[a]], root[node[b]]), reverse=True)
+                root = {i: new if r == old else r for i, r in root.items()}
+            assert root == components_of(rows) and 0 < len(ties) < (len(rows) if part > 1000 else 15 * len(rows))
+
+
 def test_mixing_drops_few_toxic_documents(spark, tmp_path):
     """At 0.5 % of the tokens, and at less than the fit's tolerance, toxic documents go, and clean ones stay once each."""
     for clean, toxic, size in ((800, 4, 40), (1200, 2, 4)):
