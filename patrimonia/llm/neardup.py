@@ -345,13 +345,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5) -> Dat
     open_ = placed.where("out").select("key").distinct()
     rest = save(placed.join(open_, "key", "left_semi").select(F.col("key").alias("token"), F.col("a").alias("id"), "comp", "out"), "rest")
     drop(placed)
-    links = links.union(_ties(rest, text, classes, shingle, percent))
+    # the components so far are stars, which stand for the links that made them
+    links = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_ties(rest, text, classes, shingle, percent))
     drop(rest)
     # rows that share a doc_id tie their sets together
     one = full.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b <> last").select("doc_id", "b")
     links = links.union(full.select("doc_id", F.col("node").alias("a")).join(one, "doc_id").select("a", "b"))
+    tied = save(components(links, "a", "b"), "groups")
     drop(groups)
-    groups = save(components(links, "a", "b"), "groups")
+    groups = tied
 
     first = groups.join(classes.select("node", "rep.doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("first"))
     owned = groups.join(first, "component").select("node", "first")

@@ -220,3 +220,25 @@ def test_bitmaps_of_sets_count_no_more_than_they_differ_in():
     apart = sketches.apart(a, b)
     assert (apart <= differ).all() and (apart[a == b] == 0).all() and ((differ - apart) % 2 == 0).all()
     assert (apart[a != b] > 0).any()
+
+
+def test_stars_take_no_rounds(spark, monkeypatch):
+    """Edges that are stars when each partition has joined its own are written once; others take rounds, with the same components."""
+    from patrimonia.llm import components as C
+
+    rng, written, save = random.Random(3), [], C.save
+    monkeypatch.setattr(C, "save", lambda df, name: written.append(name) or save(df, name))
+    monkeypatch.setattr(C, "drop", lambda table: None)
+    for parts, rounds in ((1, 0), (8, None)):
+        edges = [(i, i + 1) for i in range(60)] + [(200 + rng.randrange(60), 200 + rng.randrange(60)) for _ in range(40)] + [(500, i) for i in range(501, 560)]
+        rng.shuffle(edges)
+        root = {x: x for e in edges for x in e if e[0] != e[1]}
+        for a, b in edges:
+            if a != b and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {i: new if r == old else r for i, r in root.items()}
+        written.clear()
+        got = C.components(spark.createDataFrame(edges, "a long, b long").repartition(parts), "a", "b").collect()
+        assert len(got) == len(root) and {r.node: r.component for r in got} == root
+        assert rounds is None or len(written) == 1 + rounds
+    assert C.components(spark.createDataFrame([(1, 1), (None, 2)], "a long, b long"), "a", "b").count() == 0
