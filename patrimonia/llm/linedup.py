@@ -45,7 +45,7 @@ def line_offsets(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def line_sets(raw: np.ndarray, at: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, word) of all lines' distinct words, by line, rarity and word, and the offsets of each row's lines."""
     lines, of_row = line_offsets(raw, at)
-    word, _, _, first = W.words(raw, lines)
+    word, first = W.plain_words(raw, lines)
     rank = np.zeros(len(word), np.uint64) if counts is None else counts[(word >> _U(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
     if len(lines) > 1 << 22:
         line = np.repeat(np.arange(len(lines) - 1), np.diff(first))
@@ -78,7 +78,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for _, raw, at in W.chunks(batch):
-            word, _, _, _ = W.words(raw, at)
+            word, _ = W.plain_words(raw, at)
             seen.append((word >> _U(64 - BUCKET_BITS)).astype(np.int32))
             if sum(map(len, seen)) >= COUNT_WORDS:
                 add()

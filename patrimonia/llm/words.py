@@ -23,6 +23,10 @@ _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64
 
 SPACES = np.zeros(256, bool)
 SPACES[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes of a word that are hashed eight at a time; longer words are hashed by prefix sums.
+SHORT_BYTES = 64
+_PIECE = np.uint64(0x9FB21C651E98DF25)
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 #: Everything in ASCII but letters and digits; bytes of other characters belong to words.
 NON_ALNUM = np.ones(256, bool)
 NON_ALNUM[48:58] = NON_ALNUM[65:91] = NON_ALNUM[97:123] = NON_ALNUM[128:] = False
@@ -94,6 +98,39 @@ def words(raw: np.ndarray, at: np.ndarray, apart: np.ndarray = SPACES) -> tuple[
     return mix(value + (end - start).astype(np.uint64) * _STEP), start, end, np.searchsorted(start, at)
 
 
+def plain_words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, offsets) of the words that ``words`` finds between ASCII white space, with hashes of another kind that take half its time."""
+    n = len(raw)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
+    inside = ~((raw == 32) | (raw - np.uint8(9) < 5))
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    begin, end = at[:-1][at[:-1] < n], at[1:][at[1:] > 0] - 1
+    first[begin], last[end] = inside[begin], inside[end]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    lower = np.zeros(n + 8, np.uint8)
+    np.add(raw, (raw - np.uint8(65) < 26).view(np.uint8) << np.uint8(5), out=lower[:n])
+    eight = np.ndarray((n + 1,), "<u8", lower.data, 0, (1,))  # the eight bytes from each place
+    size = end - start
+    value = mix((eight[start] & _LOW_BYTES[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * _STEP))
+    more = np.flatnonzero((size > 8) & (size <= SHORT_BYTES))
+    for k in range(8, SHORT_BYTES, 8):
+        if not len(more):
+            break
+        left = size[more] - k
+        value[more] = mix(value[more] * _PIECE ^ (eight[start[more] + k] & _LOW_BYTES[np.minimum(left, 8)]))
+        more = more[left > 8]
+    long = np.flatnonzero(size > SHORT_BYTES)
+    if len(long):
+        step, back = _power_tables(n)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE[raw] * step[:n], out=total[1:])
+        value[long] = mix((total[end[long]] - total[start[long]]) * back[start[long]] + size[long].astype(np.uint64) * _STEP)
+    return value, np.searchsorted(start, at)
+
+
 def shingles(word: np.ndarray, at: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every run of ``k`` words; a row with fewer words gives its whole sequence as one."""
     count = np.diff(at)

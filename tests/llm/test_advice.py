@@ -242,3 +242,14 @@ def test_stars_take_no_rounds(spark, monkeypatch):
         assert len(got) == len(root) and {r.node: r.component for r in got} == root
         assert rounds is None or len(written) == 1 + rounds
     assert C.components(spark.createDataFrame([(1, 1), (None, 2)], "a long, b long"), "a", "b").count() == 0
+
+
+def test_plain_words_are_the_same_words():
+    """Words by pieces of eight bytes: as many as by prefix sums, equal where those are, of every length and at every place."""
+    rng = random.Random(5)
+    texts = [" ".join(("aB" * 80)[rng.randrange(2) : rng.randrange(1, 150)] for _ in range(40)) for _ in range(20)] + ["", None, " \tñ\n", "x" * 70 + "\r\n" + "X" * 70 + " " + "x" * 71]
+    raw, at = neardup.W.text_bytes(pa.array(texts))
+    word, _, _, first = neardup.W.words(raw, at)
+    plain, own = neardup.W.plain_words(raw, at)
+    pairs = set(zip(word.tolist(), plain.tolist(), strict=True))
+    assert own.tolist() == first.tolist() and len(pairs) == len(set(word.tolist())) == len(set(plain.tolist()))
