@@ -255,6 +255,7 @@ def apply_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = items(spark, sf_dir)
     base = declarations(spark, sf_dir, own).withColumns({"persona": F.struct(F.lit("N").alias("nombre"), F.lit("A").alias("apellidos"), F.lit(None).cast("string").alias("circunscripcion"), F.lit("P").alias("partido")), "totales_repetidos": F.array(F.lit("total_pasivo")), "ilegible": F.lit(True)})
     key = F.col("decl_id")
+    base = base.withColumn("sello", F.concat(F.lit("XI"), key.cast("string")))  # the tables' seals have six digits, which declarations from 1,000,000 on share
     home = F.array(F.struct(F.lit("P").alias("clave"), F.lit("V").alias("tipo"), F.lit(50.0).alias("porcentaje"), F.lit("Valencia").alias("provincia"), key.cast("double").alias("valor_catastral")))
     car = F.array(F.struct(F.lit("Coche").alias("descripcion"), F.lit(1000.0).alias("valor")))
     fixes = base.where(key % 9 == 0).select(
