@@ -31,3 +31,9 @@ def test_corrections_meet_their_own_declaration_beyond_a_million(spark, tmp_path
     write(tmp_path, "lineitem", "SELECT * REPLACE (l_orderkey + 999950 AS l_orderkey) FROM {} WHERE l_orderkey < 150")
     got, want = compared(spark, tmp_path, "apply_corrections")
     assert len(want) == 150 and got == want
+
+
+def test_people_without_declarations_have_no_history(spark, tmp_path):
+    write(tmp_path, "orders", "SELECT * FROM {} WHERE o_custkey % 5 <> 0")
+    got, want = compared(spark, tmp_path, "assemble_people")
+    assert sum(x.endswith(", -1)") for x in want) >= 10 and got == want
