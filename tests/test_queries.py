@@ -2,6 +2,7 @@
 
 import duckdb
 
+from patrimonia.jobs import people as P
 from patrimonia.jobs import registry
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +38,11 @@ def test_people_without_declarations_have_no_history(spark, tmp_path):
     write(tmp_path, "orders", "SELECT * FROM {} WHERE o_custkey % 5 <> 0")
     got, want = compared(spark, tmp_path, "assemble_people")
     assert sum(x.endswith(", -1)") for x in want) >= 10 and got == want
+
+
+def test_flattened_items_are_checked_once(spark, tmp_path, monkeypatch):
+    made = []
+    check = P.check
+    monkeypatch.setattr(P, "check", lambda read: made.append(read) or check(read))
+    got, want = compared(spark, tmp_path, "flatten_items")
+    assert want and got == want and len(made) == 1
