@@ -44,3 +44,13 @@ def test_names_of_one_surname_are_hardly_measured(spark, monkeypatch):
     monkeypatch.setattr(people, "LIST_ROWS", 64)
     left, right = (spark.createDataFrame([(x,) for x in names[part]], "text string") for part in (slice(200), slice(100, 300)))
     assert {tuple(r) for r in people._near_texts(left, right, people.SURNAME_NEEDED).collect()} == brute(names[:200], names[100:], people.SURNAME_NEEDED)
+
+
+def test_rounds_do_not_grow_with_the_rows_of_names_that_rest(spark, monkeypatch):
+    """Two names that join the one person of their surname, in turn: no row of theirs can change what the other's do."""
+    saved, save = [], people.save
+    monkeypatch.setattr(people, "save", lambda df, name, keep=False: saved.append(name) or save(df, name, keep))
+    given = [("Ana", "Puig Soler")] + [("Xavier", "Puig Soler"), ("Oriol", "Puig Soler")] * 10
+    rows = spark.createDataFrame([(i, a, b, "S", i) for i, (a, b) in enumerate(given)], "decl_id long, nombre string, apellidos string, sello string, ord long")
+    assert {r.leader for r in people.resolve_unmatched(rows).collect()} == {0}
+    assert saved.count("names") <= 6
